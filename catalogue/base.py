@@ -12,6 +12,9 @@ from .views import with_views
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
+# Moves exact ties at the seventh decimal off the rounding edge, in both engines alike.
+NUDGE = 3e-10
+
 
 def comparable(frame: DataFrame) -> DataFrame:
     """Doubles to six decimals, whole numbers as bigint, dates and times as text."""
@@ -19,7 +22,7 @@ def comparable(frame: DataFrame) -> DataFrame:
     for f in frame.schema:
         c, kind = F.col(f"`{f.name}`"), f.dataType.typeName()
         if kind in ("double", "float"):
-            c = F.round(c.cast("double"), 6)
+            c = F.round(c.cast("double") + NUDGE, 6)
         elif kind in ("byte", "short", "integer", "long"):
             c = c.cast("bigint")
         elif kind == "date":
@@ -45,7 +48,7 @@ def query(name: str, sql: str | None = None):
 
 
 def r(expr: str, name: str | None = None) -> str:
-    return f"round(CAST({expr} AS DOUBLE),6)+0.0 AS {name or expr}"
+    return f"round(CAST({expr} AS DOUBLE)+{NUDGE},6)+0.0 AS {name or expr}"
 
 
 def n(expr: str, name: str | None = None) -> str:

@@ -63,7 +63,7 @@ def ob(spark, sf_dir):
     orders = table(spark, sf_dir, "orders")
     return orders.groupBy(
         F.to_date("o_orderdate").alias("valid_date"), *[c.alias(n) for n, c in grid("o_custkey").items()]
-    ).agg(F.avg(F.col("o_totalprice") / 10000.0).alias("value"))
+    ).agg((F.avg(F.floor(F.col("o_totalprice") / 1000)) / 10.0).alias("value"))
 
 
 def fc6(spark, sf_dir):
@@ -85,7 +85,7 @@ def ob6(spark, sf_dir):
     return orders.groupBy(
         (start + timefn.hours(6 * (F.col("o_custkey") % 64))).alias("valid_time"),
         *[c.alias(n) for n, c in small_grid("o_orderkey").items()],
-    ).agg(F.avg(F.col("o_totalprice") / 10000.0).alias("value"))
+    ).agg((F.avg(F.floor(F.col("o_totalprice") / 1000)) / 10.0).alias("value"))
 
 
 def obs6(spark, sf_dir):
@@ -165,13 +165,13 @@ SQL_VIEWS = {
       CAST(o_orderkey%15 AS INTEGER) AS forecast_day, CAST(o_orderdate AS DATE)+CAST(o_orderkey%15 AS INTEGER) AS valid_date,
       {_GRID.format(k='o_custkey')}, l_linenumber AS member, avg(l_quantity) AS value
       FROM lineitem JOIN orders ON l_orderkey=o_orderkey GROUP BY ALL""",
-    "ob": f"""SELECT CAST(o_orderdate AS DATE) AS valid_date, {_GRID.format(k='o_custkey')}, avg(o_totalprice/10000.0) AS value
+    "ob": f"""SELECT CAST(o_orderdate AS DATE) AS valid_date, {_GRID.format(k='o_custkey')}, avg(CAST(floor(o_totalprice/1000) AS BIGINT))/10.0 AS value
       FROM orders GROUP BY ALL""",
     "fc6": f"""SELECT CAST(make_date(year(l_shipdate),1,1) AS TIMESTAMP)+to_hours(12*(l_suppkey%2)) AS init_time,
       CAST(6*(l_partkey%60) AS INTEGER) AS lead_hours, CAST(l_linenumber%2 AS INTEGER) AS member,
       {_SMALL.format(k='l_orderkey')}, avg(l_quantity) AS value FROM lineitem GROUP BY ALL""",
     "ob6": f"""SELECT CAST(make_date(year(o_orderdate),1,1) AS TIMESTAMP)+to_hours(6*(o_custkey%64)) AS valid_time,
-      {_SMALL.format(k='o_orderkey')}, avg(o_totalprice/10000.0) AS value FROM orders GROUP BY ALL""",
+      {_SMALL.format(k='o_orderkey')}, avg(CAST(floor(o_totalprice/1000) AS BIGINT))/10.0 AS value FROM orders GROUP BY ALL""",
     "obs6": f"""SELECT time_bucket(INTERVAL 6 HOUR, ts, TIMESTAMP '2024-01-01') AS valid_time, {_GRID.format(k='user_id')}, avg(value) AS value
       FROM events GROUP BY ALL""",
     "obs1h": """SELECT date_trunc('hour', ts) AS valid_time, CAST(30*(user_id%2) AS DOUBLE) AS latitude, 30.0::DOUBLE AS longitude,

@@ -22,14 +22,14 @@ def _laid_out(frame: DataFrame, partition_by: list[str], spread: int) -> DataFra
 
 
 def write_partitioned(frame: DataFrame, path: str, partition_by: list[str], spread: int = 8) -> None:
-    """Replace exactly the partitions that the rows belong to."""
-    (
-        _laid_out(frame, partition_by, spread)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partition_by)
-        .parquet(path)
-    )
+    """Replace exactly the partitions that the rows belong to.
+
+    A new table is written plainly: only an existing one needs the per-partition commit.
+    """
+    writer = _laid_out(frame, partition_by, spread).write.partitionBy(*partition_by)
+    if table_exists(frame.sparkSession, path):
+        writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.parquet(path)
 
 
 def write_cases(cases: DataFrame, path: str, spread: int = 8) -> None:
