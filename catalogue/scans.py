@@ -202,7 +202,9 @@ def table_concat(spark, sf_dir):
   {r('sum(CASE WHEN observation_temperature IS NOT NULL THEN forecast_temperature END)','total')} FROM cs GROUP BY model, forecast_day""")
 def write_cases(spark, sf_dir):
     path = scratch_path(spark, "cases")
-    sinks.write_cases(V.cs(spark, sf_dir), path, spread=1)
+    # One period per year: the given tables hold a few cases per month and lead.
+    yearly = V.cs(spark, sf_dir).withColumn("init_month", F.concat(F.year("init_time"), F.lit("-01")))
+    sinks.write_cases(yearly, path, spread=1)
     return spark.read.parquet(path).groupBy("model", "forecast_day").agg(
         F.count("*").alias("cases"), F.count("forecast_temperature").alias("valid_cases"), F.sum("forecast_temperature").alias("total")
     )

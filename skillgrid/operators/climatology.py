@@ -9,6 +9,8 @@ cell and date.
 
 from __future__ import annotations
 
+from calendar import isleap
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -57,7 +59,7 @@ def calendar_day_percentiles(
 
     ``alpha`` and ``beta`` are plotting positions (Hyndman and Fan); 1 and 1 give linear
     interpolation. Day 366 has a quarter of the data, so by default days 1-365 are stretched
-    over 1-366 by linear interpolation when day 366 occurs.
+    over 1-366 by linear interpolation when the period has a leap year.
     """
     radius = _check_window(window)
     base = daily.where(F.year(date).between(first_year, last_year))
@@ -79,25 +81,25 @@ def calendar_day_percentiles(
         )
     )
     found = packed.select("doy", *CELL, each.alias("r")).select("r.percentile", "doy", *CELL, "r.value")
-    return stretch_calendar(found) if stretch_leap_day else found
+    has_day_366 = any(isleap(y) for y in range(first_year, last_year + 1))
+    return stretch_calendar(found) if stretch_leap_day and has_day_366 else found
 
 
 def stretch_calendar(thresholds: DataFrame) -> DataFrame:
-    """Days 1-365 stretched linearly over 1-366 where a cell has day 366; others unchanged.
+    """Days 1-365 stretched linearly over 1-366; a day whose neighbours are absent is left out.
 
     The values of one cell and percentile (366) are packed, so neighbours need no join.
     """
     by = ["percentile", *CELL]
     packed = thresholds.groupBy(*by).agg(F.map_from_entries(F.collect_list(F.struct("doy", "value"))).alias("by_day"))
-    leap = F.map_contains_key("by_day", F.lit(366))
     days = packed.withColumn("doy", F.explode(F.sequence(F.lit(1), F.lit(366))))
     place = (F.col("doy") - 1) * (364.0 / 365.0) + 1.0
     low = F.floor(place).cast("int")
     part = place - low
     at_low = F.try_element_at("by_day", low)
     stretched = F.when(part > 0.0, at_low + part * (F.try_element_at("by_day", low + 1) - at_low)).otherwise(at_low)
-    out = days.select(*by, "doy", F.when(leap, stretched).otherwise(F.try_element_at("by_day", F.col("doy"))).alias("value"), leap.alias("leap"))
-    return out.where("leap or value is not null").select("percentile", "doy", *CELL, "value")
+    out = days.select(*by, "doy", stretched.alias("value")).where("value is not null")
+    return out.select("percentile", "doy", *CELL, "value")
 
 
 def circular_quantile(
