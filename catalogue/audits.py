@@ -81,8 +81,9 @@ def climatology_support(spark, sf_dir):
     return audit.climatology_support(days, 15, 5)
 
 
-@query("au5_preflight", f"""SELECT 'm0' AS model, {n('count(*)','initializations')}, {n('count(DISTINCT (a,b))','grid_shapes')}, {n('count(DISTINCT c)','member_counts')}, CAST(0 AS BIGINT) AS weakest_support, 'review_required' AS status
-  FROM (SELECT init_time, count(DISTINCT latitude) AS a, count(DISTINCT longitude) AS b, count(DISTINCT member) AS c FROM fc6 GROUP BY init_time)""")
+@query("au5_preflight", f"""WITH {_SUPPORT}, ly AS (SELECT count(*) AS i, count(DISTINCT (a,b)) AS g, count(DISTINCT c) AS mc FROM (SELECT init_time, count(DISTINCT latitude) AS a, count(DISTINCT longitude) AS b, count(DISTINCT member) AS c FROM fc6 GROUP BY init_time)),
+  wk AS (SELECT min(c) AS w FROM su) SELECT 'm0' AS model, {n('i','initializations')}, {n('g','grid_shapes')}, {n('mc','member_counts')}, {n('w','weakest_support')},
+  CASE WHEN w>=5 AND g<=1 AND mc<=1 THEN 'ready' ELSE 'review_required' END AS status FROM ly, wk""")
 def preflight(spark, sf_dir):
     rows = V.fc6(spark, sf_dir).withColumn("model", F.lit("m0"))
     support = audit.climatology_support(daily.local_solar_days(rows), 15, 5)
@@ -150,8 +151,9 @@ def date_span(spark, sf_dir):
     return audit.date_span(V.fc(spark, sf_dir), ["model", "forecast_day"], "valid_date")
 
 
-@query("e9_inventory_and_coverage", f"""WITH {_AUDIT}, iv AS (SELECT model, count(*) AS k FROM (SELECT DISTINCT model, init_time FROM cs) GROUP BY model)
-  SELECT au.{_AUDIT_OUT.replace('(k AS', '(au.k AS').replace('*c/k', '*c/au.k')}, {n('iv.k','initializations')}, CAST(NULL AS BIGINT) AS common_days FROM au LEFT JOIN iv USING (model)""")
+@query("e9_inventory_and_coverage", f"""WITH {_AUDIT}, hd AS (SELECT DISTINCT model, init_time, forecast_day FROM cs), iv AS (SELECT model, count(DISTINCT init_time) AS ni FROM hd GROUP BY model),
+  cd AS (SELECT model, nullif(count(*),0) AS nd FROM (SELECT model, forecast_day, count(*) AS q FROM hd GROUP BY ALL) JOIN iv USING (model) WHERE q=ni GROUP BY model)
+  SELECT {_AUDIT_OUT}, {n('ni','initializations')}, {n('nd','common_days')} FROM au LEFT JOIN iv USING (model) LEFT JOIN cd USING (model)""")
 def inventory_and_coverage(spark, sf_dir):
     return jobs.inventory_and_coverage(V.cs(spark, sf_dir), [*MONTHS, "2003-01"], list(range(15)))
 
@@ -222,10 +224,10 @@ def custom_calculation(spark, sf_dir):
     return metricgrid.mean_by(V.fc(spark, sf_dir), squared_distance, {"by_member": ["member"]}, ["squared_distance"])
 
 
-@query("ud2_array_kernel", f"""WITH cf AS (SELECT ((dayofyear(valid_date)-1+k+366)%366)+1 AS doy, latitude, value FROM ob, (SELECT unnest(range(-15,16)) AS k))
-  SELECT {n('doy')}, {r('latitude')}, {r('quantile_cont(value,0.95)','quantile')} FROM cf GROUP BY doy, latitude""")
+@query("ud2_array_kernel", f"""WITH cf AS (SELECT ((dayofyear(valid_date)-1+k+366)%366)+1 AS doy, latitude, longitude, value FROM ob, (SELECT unnest(range(-15,16)) AS k))
+  SELECT {n('doy')}, {r('latitude')}, {r('longitude')}, {r('quantile_cont(value,0.95)','quantile')} FROM cf GROUP BY doy, latitude, longitude""")
 def array_kernel(spark, sf_dir):
-    return climatology.circular_quantile(V.ob(spark, sf_dir), ["latitude"], 31, counts=False)
+    return climatology.circular_quantile(V.ob(spark, sf_dir), CELLS, 31, counts=False)
 
 
 @query("ud3_user_source", f"SELECT model, {n('count(*)','cases')}, {r('avg(forecast_temperature)','mean')} FROM cs GROUP BY model")

@@ -103,16 +103,16 @@ def calendar_day_percentiles(spark, sf_dir):
     return climatology.calendar_day_percentiles(V.ob(spark, sf_dir), 1995, 2000, [90.0, 95.0], 15, date="valid_date")
 
 
-CIRCULAR = """cf AS (SELECT forecast_day, ((dayofyear(valid_date)-1+k+366)%366)+1 AS doy, latitude, m FROM
-   (SELECT forecast_day, valid_date, latitude, avg(value) AS m FROM fc GROUP BY model, init_time, forecast_day, valid_date, latitude, longitude), (SELECT unnest(range(-7,8)) AS k))"""
+CIRCULAR = """cf AS (SELECT model, forecast_day, ((dayofyear(valid_date)-1+k+366)%366)+1 AS doy, latitude, longitude, m FROM
+   (SELECT model, forecast_day, valid_date, latitude, longitude, avg(value) AS m FROM fc GROUP BY model, init_time, forecast_day, valid_date, latitude, longitude), (SELECT unnest(range(-7,8)) AS k))"""
 
 
-@query("cl2_circular_quantile", f"""WITH {CIRCULAR} SELECT {n('forecast_day')}, {n('doy')}, {r('latitude')}, {r('quantile_cont(m,0.95)','quantile')}, {n('count(*)','sample_count')} FROM cf GROUP BY forecast_day, doy, latitude""")
+@query("cl2_circular_quantile", f"""WITH {CIRCULAR} SELECT model, {n('forecast_day')}, {n('doy')}, {r('latitude')}, {r('longitude')}, {r('quantile_cont(m,0.95)','quantile')}, {n('count(*)','sample_count')} FROM cf GROUP BY model, forecast_day, doy, latitude, longitude""")
 def circular_quantile(spark, sf_dir):
     from skillgrid.operators.ensemble import mean
 
     means = mean(V.fc(spark, sf_dir))
-    return climatology.circular_quantile(means, ["forecast_day", "latitude"], 15, value="ensemble_mean")
+    return climatology.circular_quantile(means, ["model", "forecast_day", *CELLS], 15, value="ensemble_mean")
 
 
 @query("cl3_circular_counts", f"""WITH cd AS (SELECT model, dayofyear(valid_date) AS dd, count(*) AS k FROM (SELECT DISTINCT model, init_time, forecast_day, valid_date, latitude, longitude FROM fc) GROUP BY model, dd)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import geo, timefn
-from .checks import require_unique, stop_if_any
+from .checks import one_per_key, stop_if_any
 
 CELL = ["latitude", "longitude"]
 
@@ -19,11 +19,12 @@ def match_valid_time(
     Reduce members first: the join then carries one row per case.
     """
     cell = [c for c in CELL if c in forecasts.columns and c in observations.columns]
+    keys = ["valid_time", *cell]
+    lookup = observations.select(*keys, F.col(value).alias(out))
     if check:
-        require_unique(observations, ["valid_time", *cell], "observation times")
-    lookup = observations.select("valid_time", *cell, F.col(value).alias(out))
+        lookup = one_per_key(lookup, keys, [out], "observation times")
     timed = forecasts.withColumn("valid_time", timefn.valid_time(F.col("init_time"), F.col("lead_hours")))
-    return timed.join(lookup, ["valid_time", *cell], "left")
+    return timed.join(lookup, keys, "left")
 
 
 def match_valid_date(
@@ -31,12 +32,12 @@ def match_valid_date(
 ) -> DataFrame:
     """Daily observation by ``valid_date`` and cell; an absent date is an error or NULL."""
     keys = ["valid_date", *CELL]
-    if check:
-        require_unique(observations, keys, "observation dates")
     if on_missing == "error":
         absent = cases.where("valid_date is not null").select("valid_date").distinct()
         stop_if_any(absent.join(observations.select("valid_date"), "valid_date", "left_anti"), "no observation on dates")
     lookup = observations.select(*keys, *[F.col(c).alias(a) for c, a in columns.items()])
+    if check:
+        lookup = one_per_key(lookup, keys, list(columns.values()), "observation dates")
     return cases.join(lookup, keys, "left")
 
 
@@ -57,13 +58,25 @@ def thresholds_by_day(thresholds: DataFrame) -> DataFrame:
     return thresholds.join(calendar_day_map(thresholds), "doy").drop("doy").withColumnRenamed("day", "doy")
 
 
+def thresholds_by_cell(thresholds: DataFrame, value: str = "value", fill_days: bool = True) -> DataFrame:
+    """One row per cell with an array of 366 calendar-day values."""
+    full = thresholds_by_day(thresholds) if fill_days else thresholds
+    by_day = F.map_from_entries(F.collect_list(F.struct(F.col("doy"), F.col(value))))
+    packed = full.groupBy(*CELL).agg(by_day.alias("m"))
+    days = F.sequence(F.lit(1), F.lit(timefn.DAYS_IN_CALENDAR))
+    return packed.select(*CELL, F.transform(days, lambda d: F.try_element_at("m", d)).alias("by_day"))
+
+
 def threshold_for_dates(
     frame: DataFrame, thresholds: DataFrame, value: str = "value", out: str = "threshold", date: str = "valid_date", fill_days: bool = True
 ) -> DataFrame:
-    """Calendar-day value for each date and cell; a NULL date gets NULL."""
-    full = thresholds_by_day(thresholds) if fill_days else thresholds
-    lookup = full.select("doy", *CELL, F.col(value).alias(out))
-    return frame.withColumn("doy", F.dayofyear(date)).join(lookup, ["doy", *CELL], "left").drop("doy")
+    """Calendar-day value for each date and cell; a NULL date gets NULL.
+
+    The join key is the cell alone: the rows come out laid out by cell, which later windows and
+    groupings on cell and anything else can use as it is.
+    """
+    packed = thresholds_by_cell(thresholds, value, fill_days)
+    return frame.join(packed, CELL, "left").withColumn(out, F.get("by_day", F.dayofyear(date) - 1)).drop("by_day")
 
 
 def nearest_percentile(thresholds: DataFrame, percentile: float) -> DataFrame:
@@ -127,7 +140,7 @@ def common_initializations(cases: DataFrame) -> DataFrame:
 def merge_many_to_one(left: DataFrame, right: DataFrame, keys: list[str], check: bool = True) -> DataFrame:
     """Left join whose right side must be unique on the keys."""
     if check:
-        require_unique(right, keys, "right rows")
+        right = one_per_key(right, keys, [c for c in right.columns if c not in keys], "right rows")
     return left.join(right, keys, "left")
 
 

@@ -16,8 +16,9 @@ DURATIONS = (2, 3)
 def compact_products(daily: DataFrame, thresholds: DataFrame, value: str = "t2m_daily_mean", levels=None) -> DataFrame:
     """Ensemble mean, hot-day and onset probabilities, and optional quantiles, per case.
 
-    ``daily`` has one row per member and local forecast day. Two shuffles: one lays out
-    trajectories for the onset windows, one reduces members.
+    ``daily`` has one row per member and local forecast day. The threshold join lays rows out by
+    cell (or broadcasts a small threshold table); the onset windows and the reduction over members
+    keep the cell in their keys and need no further shuffle of member rows.
     """
     hot = onset_flags(daily, thresholds, value)
     return reduce_members(hot, value, levels)

@@ -19,3 +19,16 @@ def duplicates(frame: DataFrame, keys: list[str]) -> DataFrame:
 def require_unique(frame: DataFrame, keys: list[str], what: str) -> DataFrame:
     stop_if_any(duplicates(frame, keys), f"{what} repeat on {keys}")
     return frame
+
+
+def one_per_key(frame: DataFrame, keys: list[str], columns: list[str], what: str) -> DataFrame:
+    """The same rows, failing at run time on a key that occurs twice.
+
+    The grouping uses the keys of the join that follows, so the check costs no extra shuffle and
+    no separate job.
+    """
+    grouped = frame.groupBy(*keys).agg(*[F.any_value(c).alias(c) for c in columns], F.count("*").alias("_copies"))
+    message = F.concat(F.lit(f"{what} repeat on "), F.concat_ws(", ", *[F.col(k).cast("string") for k in keys]))
+    return grouped.select(
+        *keys, *[F.when(F.col("_copies") == 1, F.col(c)).otherwise(F.raise_error(message)).alias(c) for c in columns]
+    )

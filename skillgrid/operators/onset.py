@@ -34,15 +34,6 @@ def observed_onset(daily: DataFrame, durations, keys: list[str], date: str = "lo
     return daily.withColumns(out)
 
 
-def dense_days(trajectories: DataFrame, keys: list[str], days: list[int], day: str = "local_forecast_day") -> DataFrame:
-    """Every trajectory with a row for every forecast day; added rows carry NULLs."""
-    others = [c for c in trajectories.columns if c not in (*keys, day)]
-    per_day = F.map_from_entries(F.collect_list(F.struct(F.col(day), F.struct(*others).alias("row"))))
-    packed = trajectories.groupBy(*keys).agg(per_day.alias("rows"))
-    spread = packed.withColumn(day, F.explode(F.array(*[F.lit(d) for d in days])))
-    return spread.select(*keys, day, F.try_element_at("rows", F.col(day)).alias("row")).select(*keys, day, "row.*")
-
-
 def member_onset(trajectories: DataFrame, durations, keys: list[str], day: str = "local_forecast_day", hot: str = "hot") -> DataFrame:
     """Onset flag per member and day as 1.0 / 0.0, NULL where it cannot be verified.
 
