@@ -20,9 +20,7 @@ MONTHS = [f"{y}-{m:02d}" for y in (1995, 1996) for m in range(1, 13)]
 def _forecast_store(spark, sf_dir):
     """Member forecasts as a partitioned store."""
     path = scratch_path(spark, "forecasts")
-    rows = V.fc6(spark, sf_dir).withColumnRenamed("value", "2t")
-    rows = rows.withColumns({"init_year": F.year("init_time"), "init_month": F.date_format("init_time", "yyyy-MM")})
-    sinks.write_partitioned(rows, path, ["init_year", "init_month"])
+    sinks.write_forecasts(V.fc6(spark, sf_dir).withColumnRenamed("value", "2t"), path)
     return path
 
 

@@ -75,8 +75,10 @@ def threshold_for_dates(
     The join key is the cell alone: the rows come out laid out by cell, which later windows and
     groupings on cell and anything else can use as it is.
     """
-    packed = thresholds_by_cell(thresholds, value, fill_days)
-    return frame.join(packed, CELL, "left").withColumn(out, F.get("by_day", F.dayofyear(date) - 1)).drop("by_day")
+    packed = geo.with_cell_id(thresholds_by_cell(thresholds, value, fill_days)).select("cell_id", "by_day")
+    keyed = frame if "cell_id" in frame.columns else geo.with_cell_id(frame)
+    joined = keyed.join(packed, "cell_id", "left").withColumn(out, F.get("by_day", F.dayofyear(date) - 1)).drop("by_day")
+    return joined if "cell_id" in frame.columns else joined.drop("cell_id")
 
 
 def nearest_percentile(thresholds: DataFrame, percentile: float) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import ensemble as ens
+from ..functions import geo
 from . import align, onset
 from .suffstats import EVENTS, INTERVAL_LEVELS
 
@@ -25,14 +26,16 @@ def compact_products(daily: DataFrame, thresholds: DataFrame, value: str = "t2m_
 
 
 def onset_flags(daily: DataFrame, thresholds: DataFrame, value: str = "t2m_daily_mean") -> DataFrame:
-    rows = align.threshold_for_dates(daily, thresholds)
+    rows = align.threshold_for_dates(geo.with_cell_id(daily), thresholds)
     rows = rows.withColumn("hot", F.col(value) > F.col("threshold"))
-    keys = [c for c in ("model", "init_time", "member", "latitude", "longitude") if c in rows.columns]
+    keys = [c for c in ("model", "init_time", "member", "cell_id") if c in rows.columns]
     return onset.member_onset(rows, DURATIONS, keys)
 
 
 def reduce_members(flags: DataFrame, value: str = "t2m_daily_mean", levels=None) -> DataFrame:
-    keys = [c for c in ("model", "init_time", "local_forecast_day", "valid_date", "latitude", "longitude") if c in flags.columns]
+    """Means, probabilities and quantiles over members, per initialization, day and cell."""
+    keys = [c for c in ("model", "init_time", "local_forecast_day", "cell_id") if c in flags.columns]
+    same = [F.any_value(c).alias(c) for c in ("valid_date", "latitude", "longitude")]
     aggs = [
         F.avg(value).alias("forecast_temperature"),
         F.avg(ens.indicator(F.col("hot"))).alias("probability_hot_day_q95"),
@@ -40,7 +43,7 @@ def reduce_members(flags: DataFrame, value: str = "t2m_daily_mean", levels=None)
     ]
     if levels:
         aggs.append(ens.member_quantiles(F.col(value), levels).alias("q"))
-    out = flags.groupBy(*keys).agg(*aggs).withColumnRenamed("local_forecast_day", "forecast_day")
+    out = flags.groupBy(*keys).agg(*same, *aggs).withColumnRenamed("local_forecast_day", "forecast_day").drop("cell_id")
     if levels:
         pairs = F.array(*[F.struct(F.lit(float(q)).alias("q"), F.get("q", F.lit(i)).alias("value")) for i, q in enumerate(levels)])
         out = out.withColumn("quantiles", F.when(F.col("q").isNotNull(), pairs)).drop("q")
@@ -49,9 +52,9 @@ def reduce_members(flags: DataFrame, value: str = "t2m_daily_mean", levels=None)
 
 def observed_events(daily: DataFrame, thresholds: DataFrame, value: str = "t2m_daily_mean", date: str = "local_date") -> DataFrame:
     """Observed hot-day and onset flags of daily observations."""
-    rows = align.threshold_for_dates(daily, thresholds, date=date)
+    rows = align.threshold_for_dates(geo.with_cell_id(daily), thresholds, date=date)
     rows = rows.withColumn("hot", F.col(value) > F.col("threshold"))
-    flags = onset.observed_onset(rows, DURATIONS, ["latitude", "longitude"], date=date)
+    flags = onset.observed_onset(rows, DURATIONS, ["cell_id"], date=date)
     return flags.select(
         F.col(date).alias("valid_date"),
         "latitude",

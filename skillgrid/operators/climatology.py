@@ -32,13 +32,16 @@ def _check_window(window: int) -> int:
 
 
 def _packed_windows(daily: DataFrame, groups: list[str], targets: Column, value: str) -> DataFrame:
-    """Values of each group and target day as one array."""
-    laid_out = daily.repartition(*groups)
-    per_day = laid_out.withColumn("targets", targets).groupBy(*groups, "targets").agg(F.collect_list(value).alias("vals"))
+    """Values of each group and target day as one array; one shuffle, by group."""
+    on_cells = set(CELL) <= set(groups)
+    carried = [F.any_value(c).alias(c) for c in CELL] if on_cells else []
+    keys = [*[g for g in groups if g not in CELL], "cell_id"] if on_cells else groups
+    laid_out = (geo.with_cell_id(daily) if on_cells else daily).repartition(*keys)
+    per_day = laid_out.withColumn("targets", targets).groupBy(*keys, "targets").agg(*carried, F.collect_list(value).alias("vals"))
     return (
-        per_day.select(*groups, F.explode("targets").alias("doy"), "vals")
-        .groupBy(*groups, "doy")
-        .agg(F.flatten(F.collect_list("vals")).alias("vals"))
+        per_day.withColumn("doy", F.explode("targets"))
+        .groupBy(*keys, "doy")
+        .agg(*carried, F.flatten(F.collect_list("vals")).alias("vals"))
     )
 
 
@@ -80,9 +83,9 @@ def calendar_day_percentiles(
             ]
         )
     )
-    found = packed.select("doy", *CELL, each.alias("r")).select("r.percentile", "doy", *CELL, "r.value")
+    found = packed.select("cell_id", "doy", *CELL, each.alias("r")).select("cell_id", "r.percentile", "doy", *CELL, "r.value")
     has_day_366 = any(isleap(y) for y in range(first_year, last_year + 1))
-    return stretch_calendar(found) if stretch_leap_day and has_day_366 else found
+    return stretch_calendar(found) if stretch_leap_day and has_day_366 else found.drop("cell_id")
 
 
 def stretch_calendar(thresholds: DataFrame) -> DataFrame:
@@ -90,16 +93,17 @@ def stretch_calendar(thresholds: DataFrame) -> DataFrame:
 
     The values of one cell and percentile (366) are packed, so neighbours need no join.
     """
-    by = ["percentile", *CELL]
-    packed = thresholds.groupBy(*by).agg(F.map_from_entries(F.collect_list(F.struct("doy", "value"))).alias("by_day"))
+    keyed = thresholds if "cell_id" in thresholds.columns else geo.with_cell_id(thresholds)
+    packed = keyed.groupBy("cell_id", "percentile").agg(
+        *[F.any_value(c).alias(c) for c in CELL], F.map_from_entries(F.collect_list(F.struct("doy", "value"))).alias("by_day")
+    )
     days = packed.withColumn("doy", F.explode(F.sequence(F.lit(1), F.lit(366))))
     place = (F.col("doy") - 1) * (364.0 / 365.0) + 1.0
     low = F.floor(place).cast("int")
     part = place - low
     at_low = F.try_element_at("by_day", low)
     stretched = F.when(part > 0.0, at_low + part * (F.try_element_at("by_day", low + 1) - at_low)).otherwise(at_low)
-    out = days.select(*by, "doy", stretched.alias("value")).where("value is not null")
-    return out.select("percentile", "doy", *CELL, "value")
+    return days.select("percentile", "doy", *CELL, stretched.alias("value")).where("value is not null")
 
 
 def circular_quantile(

@@ -32,6 +32,23 @@ def write_partitioned(frame: DataFrame, path: str, partition_by: list[str], spre
     writer.parquet(path)
 
 
+def write_forecasts(frame: DataFrame, path: str, cells_per_block: float = 10.0) -> None:
+    """Member forecasts by initialization month, clustered so that reductions start in the scan.
+
+    A file holds whole blocks of ``cells_per_block`` degrees of an initialization, ordered by cell,
+    member and lead: the samples of a day and the members of a case lie side by side, and partial
+    aggregation shrinks them before any shuffle. Blocks of one month spread over many tasks.
+    """
+    block = [F.floor(F.col(c) / cells_per_block).alias(f"_{c}") for c in ("latitude", "longitude")]
+    months = frame.withColumns({"init_year": F.year("init_time"), "init_month": F.date_format("init_time", "yyyy-MM")})
+    order = [c for c in ("init_month", "init_time", "latitude", "longitude", "member", "lead_hours") if c in months.columns]
+    clustered = months.repartition("init_time", *block).sortWithinPartitions("init_year", *order)
+    writer = clustered.write.partitionBy("init_year", "init_month")
+    if table_exists(frame.sparkSession, path):
+        writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.parquet(path)
+
+
 def write_cases(cases: DataFrame, path: str, spread: int = 8) -> None:
     """Canonical cases, values masked by validity, one partition per model, month and lead."""
     write_partitioned(case_ops.masked_cases(cases), path, UNIT, spread)
