@@ -259,7 +259,7 @@ def heat_month(spark, sf_dir):
 def model_climatology(spark, sf_dir):
     means = V.fc6(spark, sf_dir).groupBy("init_time", "lead_hours", *CELLS).agg(F.avg("value").alias("value"))
     days = daily.local_solar_days(means)
-    rows = days.withColumn("doy", F.explode(timefn.circular_window(F.dayofyear("valid_date"), 7)))
+    rows = days.withColumn("k", timefn.window_offsets(7)).withColumn("doy", timefn.circular_day(F.dayofyear("valid_date"), F.col("k")))
     per_cell = rows.groupBy("local_forecast_day", "doy", *CELLS).agg(F.sum("t2m_daily_mean").alias("s"), F.count("*").alias("k"))
     return per_cell.groupBy("local_forecast_day").agg(F.count("*").alias("cells"), (F.sum("s") / F.sum("k")).alias("mean"))
 

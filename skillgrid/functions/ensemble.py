@@ -89,17 +89,15 @@ def quantile_value(quantiles: Column, level: float) -> Column:
     return F.get(F.filter(quantiles, lambda x: F.abs(x["q"] - level) <= 1e-10), F.lit(0))["value"]
 
 
-def plotting_position_quantile(values: Column, level: float, alpha: float = 1.0, beta: float = 1.0) -> Column:
-    """Quantile of an array by Hyndman and Fan plotting positions.
+def plotting_position_quantile(ordered: Column, level: float, alpha: float = 1.0, beta: float = 1.0) -> Column:
+    """Quantile of an ascending array without NULLs, by Hyndman and Fan plotting positions.
 
     ``alpha = beta = 1`` is linear interpolation, ``1/3`` their median-unbiased rule.
     """
-    ordered = F.array_sort(F.array_compact(values))
     n = F.size(ordered)
     place = n * F.lit(float(level)) + (alpha + float(level) * (1.0 - alpha - beta))
     place = F.least(F.greatest(place, F.lit(1.0)), n.cast("double"))
     low = F.floor(place).cast("int")
-    part = place - low
     at_low = F.get(ordered, low - 1)
     at_high = F.coalesce(F.get(ordered, low), at_low)
-    return F.when(n > 0, at_low + part * (at_high - at_low))
+    return F.when(n > 0, at_low + (place - low) * (at_high - at_low))

@@ -64,15 +64,12 @@ def lead_window(day: Column, first_hour: int) -> tuple[Column, Column]:
 
 
 def utc_offset_hours(longitude: Column) -> Column:
-    """Six-hour local-solar offset of a longitude in either convention; bands are half-open."""
-    lon = F.pmod(longitude + 180.0, F.lit(360.0)) - 180.0
-    return (
-        F.when(lon < -135, F.lit(-12))
-        .when(lon < -45, F.lit(-6))
-        .when(lon < 45, F.lit(0))
-        .when(lon < 135, F.lit(6))
-        .otherwise(F.lit(12))
-    )
+    """Six-hour local-solar offset of a longitude in either convention; bands are half-open.
+
+    From -180: -12 up to -135, then steps of six hours every 90 degrees, +12 from 135.
+    """
+    east = F.pmod(longitude + 180.0, F.lit(360.0))
+    return (6 * (F.floor((east + 45.0) / 90.0) - 2)).cast("int")
 
 
 def first_local_date(init: Column, first_lead: Column | int, offset: Column) -> Column:
@@ -102,12 +99,22 @@ def circular_day_distance(a: Column, b: Column) -> Column:
     return F.abs(F.pmod(a - b + 183, F.lit(DAYS_IN_CALENDAR)) - 183)
 
 
-def circular_window(doy: Column, radius: int) -> Column:
-    """Calendar days whose centred circular window holds ``doy``."""
-    return F.transform(
-        F.sequence(F.lit(-radius), F.lit(radius)),
-        lambda k: (F.pmod(doy - 1 + k, F.lit(DAYS_IN_CALENDAR)) + 1).cast("int"),
-    )
+def window_offsets(radius: int) -> Column:
+    """One row per day offset of a centred window.
+
+    The array is constant and the target day is computed after the explode: an exploded
+    expression of the row would be turned into a filter and evaluated again down at the scan.
+    """
+    return F.explode(F.array(*[F.lit(k) for k in range(-radius, radius + 1)]))
+
+
+def circular_day(doy: Column, offset: Column) -> Column:
+    """Calendar day ``offset`` days on, on the 366-day circle."""
+    return (F.pmod(doy - 1 + offset, F.lit(DAYS_IN_CALENDAR)) + 1).cast("int")
+
+
+def is_leap(year: Column) -> Column:
+    return ((year % 4 == 0) & (year % 100 != 0)) | (year % 400 == 0)
 
 
 def store_year_month(name: Column) -> Column:

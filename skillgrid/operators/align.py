@@ -98,8 +98,7 @@ def cell_regions(cell_frame: DataFrame, regions, land_mask: DataFrame | None = N
     if land_mask is not None:
         cell_frame = cell_frame.join(land_mask.select(*CELL, "is_land"), CELL, "left")
         is_land = F.col("is_land")
-    names = geo.regions_of(F.col("latitude"), F.col("longitude"), regions, is_land)
-    return cell_frame.select(*CELL, F.explode(names).alias("region"))
+    return geo.with_regions(cell_frame, regions, is_land).select(*CELL, "region")
 
 
 def grid_differences(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:

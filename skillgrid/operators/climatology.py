@@ -31,18 +31,21 @@ def _check_window(window: int) -> int:
     return window // 2
 
 
-def _packed_windows(daily: DataFrame, groups: list[str], targets: Column, value: str) -> DataFrame:
-    """Values of each group and target day as one array; one shuffle, by group."""
+def _packed_windows(daily: DataFrame, groups: list[str], value: str, day_keys: dict[str, Column], target: Column, radius: int) -> DataFrame:
+    """Ascending values and number of rows of each group and target day; one shuffle, by group.
+
+    ``day_keys`` fix a day's neighbours; ``target`` gives the calendar day at column ``offset``,
+    NULL for none.
+    """
     on_cells = set(CELL) <= set(groups)
     carried = [F.any_value(c).alias(c) for c in CELL] if on_cells else []
     keys = [*[g for g in groups if g not in CELL], "cell_id"] if on_cells else groups
-    laid_out = (geo.with_cell_id(daily) if on_cells else daily).repartition(*keys)
-    per_day = laid_out.withColumn("targets", targets).groupBy(*keys, "targets").agg(*carried, F.collect_list(value).alias("vals"))
-    return (
-        per_day.withColumn("doy", F.explode("targets"))
-        .groupBy(*keys, "doy")
-        .agg(*carried, F.flatten(F.collect_list("vals")).alias("vals"))
-    )
+    laid_out = (geo.with_cell_id(daily) if on_cells else daily).withColumns(day_keys).repartition(*keys)
+    per_day = laid_out.groupBy(*keys, *day_keys).agg(*carried, F.collect_list(value).alias("vals"), F.count("*").alias("n"))
+    around = per_day.withColumn("offset", timefn.window_offsets(radius)).withColumn("doy", target).where("doy is not null")
+    windows = around.groupBy(*keys, "doy").agg(*carried, F.flatten(F.collect_list("vals")).alias("vals"), F.sum("n").alias("n"))
+    # Sorted in a projection of its own, so that every quantile reads the same array.
+    return windows.withColumn("vals", F.sort_array("vals"))
 
 
 def calendar_day_percentiles(
@@ -68,10 +71,22 @@ def calendar_day_percentiles(
     base = daily.where(F.year(date).between(first_year, last_year))
     if check:
         stop_if_any(missing_years(base, first_year, last_year, date), "climatology years are missing", show=50)
-    around = F.transform(F.sequence(F.lit(-radius), F.lit(radius)), lambda k: F.date_add(F.col(date), k))
-    inside = F.filter(around, lambda t: F.year(t).between(first_year, last_year))
-    targets = F.transform(inside, lambda t: F.dayofyear(t))
-    packed = _packed_windows(base.select(date, *CELL, value), CELL, targets, value)
+    year, doy, offset = F.year(date), F.dayofyear(date), F.col("offset")
+    days_before = F.col("days_before")
+    day_keys = {
+        "day": doy,
+        "length": F.when(timefn.is_leap(year), 366).otherwise(365),
+        "days_before": F.when(year > first_year, F.when(timefn.is_leap(year - 1), 366).otherwise(365)),
+        "goes_on": year < last_year,
+    }
+    # Neighbours outside the base period do not count.
+    moved = F.col("day") + offset
+    target = (
+        F.when(moved < 1, moved + days_before)
+        .when(moved <= F.col("length"), moved)
+        .when(F.col("goes_on"), moved - F.col("length"))
+    )
+    packed = _packed_windows(base.select(date, *CELL, value), CELL, value, day_keys, target, radius)
     each = F.explode(
         F.array(
             *[
@@ -115,12 +130,9 @@ def circular_quantile(
     """
     radius = _check_window(window)
     rows = daily.where(F.col(date).isNotNull())
-    targets = timefn.circular_window(F.dayofyear(date), radius)
-    packed = _packed_windows(
-        rows.withColumn("_v", F.struct(F.col(value).alias("v"))), groups, targets, "_v"
-    )
-    values = F.transform("vals", lambda x: x["v"])
-    out = packed.select(*groups, "doy", plotting_position_quantile(values, level).alias("quantile"), F.size("vals").cast("long").alias("sample_count"))
+    target = timefn.circular_day(F.col("day"), F.col("offset"))
+    packed = _packed_windows(rows, groups, value, {"day": F.dayofyear(date)}, target, radius)
+    out = packed.select(*groups, "doy", plotting_position_quantile(F.col("vals"), level).alias("quantile"), F.col("n").alias("sample_count"))
     return out if counts else out.drop("sample_count")
 
 
@@ -131,7 +143,7 @@ def circular_counts(dates: DataFrame, groups: list[str], window: int, date: str
     """
     radius = _check_window(window)
     per_day = dates.where(F.col(date).isNotNull()).groupBy(*groups, F.dayofyear(date).alias("day")).agg(F.count("*").alias("n"))
-    spread = per_day.select(*groups, F.explode(timefn.circular_window(F.col("day"), radius)).alias("doy"), "n")
+    spread = per_day.withColumn("offset", timefn.window_offsets(radius)).withColumn("doy", timefn.circular_day(F.col("day"), F.col("offset")))
     counts = spread.groupBy(*groups, "doy").agg(F.sum("n").alias("sample_count"))
     if not dense:
         return counts

@@ -49,7 +49,9 @@ def observation_samples(cases: DataFrame, observations: DataFrame, days, value:
     days = timefn.check_forecast_days(days)
     wanted = (
         cases.withColumn("utc_forecast_day", F.explode(F.array(*[F.lit(d) for d in days])))
-        .withColumn("lead_hours", F.explode(timefn.sample_leads(F.col("utc_forecast_day"))))
+        .withColumn("hour", F.explode(F.array(*[F.lit(h) for h in timefn.SAMPLE_HOURS])))
+        .withColumn("lead_hours", (F.col("utc_forecast_day") - 1) * 24 + F.col("hour"))
+        .drop("hour")
         .withColumn("valid_time", timefn.valid_time(F.col("init_time"), F.col("lead_hours")))
     )
     return wanted.join(observations.select("valid_time", *CELL, value), ["valid_time", *CELL], "left")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .align import CELL, merge_many_to_one, threshold_for_dates
@@ -81,17 +81,29 @@ def long_scores(card: DataFrame, metrics=tuple(HIGHER_IS_BETTER)) -> DataFrame:
     )
 
 
+def _relative(metric_is_higher: Column, value: Column, reference: Column) -> Column:
+    return F.when(metric_is_higher, F.try_divide(value, reference)).otherwise(F.try_divide(reference, value))
+
+
 def relative_performance(card: DataFrame, reference_model: str, metrics=tuple(HIGHER_IS_BETTER)) -> DataFrame:
-    """Score relative to a reference model, above 1 is better; a zero divisor gives NULL."""
+    """Score relative to a reference model, above 1 is better; a zero divisor gives NULL.
+
+    A window partition holds the models of one region, day and metric.
+    """
     rows = long_scores(card, metrics)
-    keys = ["region", "forecast_day", "metric"]
-    base = rows.where(F.col("model") == reference_model).select(*keys, F.col("value").alias("reference"))
-    joined = rows.join(base, keys, "left")
+    same = Window.partitionBy("region", "forecast_day", "metric")
+    reference = F.max(F.when(F.col("model") == reference_model, F.col("value"))).over(same)
     higher = F.col("metric").isin([m for m in metrics if HIGHER_IS_BETTER[m]])
-    return joined.withColumn(
-        "relative",
-        F.when(higher, F.try_divide("value", "reference")).otherwise(F.try_divide("reference", "value")),
-    )
+    return rows.withColumn("reference", reference).withColumn("relative", _relative(higher, F.col("value"), F.col("reference")))
+
+
+def with_relative(card: DataFrame, reference_model: str, metrics=tuple(HIGHER_IS_BETTER)) -> DataFrame:
+    """Scorecard with a ``relative_<metric>`` column per metric."""
+    same = Window.partitionBy("region", "forecast_day")
+    is_reference = F.col("model") == reference_model
+    found = card.withColumns({f"_ref_{m}": F.max(F.when(is_reference, F.col(m))).over(same) for m in metrics})
+    out = found.withColumns({f"relative_{m}": _relative(F.lit(HIGHER_IS_BETTER[m]), F.col(m), F.col(f"_ref_{m}")) for m in metrics})
+    return out.drop(*[f"_ref_{m}" for m in metrics])
 
 
 def pivot_days(card: DataFrame, metric: str, days) -> DataFrame:

@@ -169,9 +169,8 @@ def to_regions(cell_sums: DataFrame, regions, keys: list[str], land_mask: DataFr
         cell_sums = cell_sums.join(land_mask.select(*CELL, "is_land"), CELL, "left")
         is_land = F.col("is_land")
     sums = [c for c in cell_sums.columns if c not in (*keys, *CELL, "is_land")]
-    names = geo.regions_of(F.col("latitude"), F.col("longitude"), regions, is_land)
     w = geo.area_weight(F.col("latitude"))
-    rows = cell_sums.withColumn("region", F.explode(names))
+    rows = geo.with_regions(cell_sums, regions, is_land)
     zero = F.lit(0.0)
     return rows.groupBy(*keys, "region").agg(
         *[F.coalesce(F.sum(w * F.col(c)), zero).alias(f"w_{c}") for c in sums],

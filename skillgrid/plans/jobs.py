@@ -72,8 +72,11 @@ def regional_statistics(case_table: DataFrame, regions, *, cutoffs=(0.5,), edges
 
 
 def regional_verification(case_table: DataFrame, regions, store_cases: bool = True, **options) -> dict[str, DataFrame]:
-    """Final tables by region; cases that feed several tables are written once."""
-    stored = materialize(case_table, "cases", ("model", "init_month")) if store_cases else case_table
+    """Final tables by region; cases that feed several tables are written once.
+
+    Cases read from a store need no second copy: pass ``store_cases=False``.
+    """
+    stored = materialize(case_table, "cases") if store_cases else case_table
     return finals.aggregate(regional_statistics(stored, regions, **options))
 
 
@@ -89,15 +92,16 @@ def model_quantiles(forecasts: DataFrame, window: int = 15, level: float = 0.95)
 
 
 def regional_scorecard(case_table: DataFrame, thresholds: DataFrame, climatology_mean: DataFrame, regions, reference_model: str, days, check: bool = True) -> DataFrame:
-    """Scorecard on common initializations, with climatology and relative performance."""
+    """Scorecard on common initializations, with climatology and relative performance.
+
+    Scores are computed once; the reference model's row is found by a window over the few models
+    of a region and day.
+    """
     shared = align.common_initializations(case_table.where(F.col("forecast_day").isin(list(days))))
     card = scorecard.scores(shared, thresholds, regions)
     benchmark = scorecard.climatology_rmse(shared.where(F.col("model") == reference_model), climatology_mean, regions)
     merged = scorecard.with_climatology(card, benchmark, check)
-    relative = scorecard.relative_performance(card, reference_model).select("region", "model", "forecast_day", "metric", "relative")
-    wide = relative.groupBy("region", "model", "forecast_day").pivot("metric", list(scorecard.HIGHER_IS_BETTER)).agg(F.first("relative"))
-    wide = wide.withColumnsRenamed({m: f"relative_{m}" for m in scorecard.HIGHER_IS_BETTER})
-    return merged.join(wide, ["region", "model", "forecast_day"], "left")
+    return scorecard.with_relative(merged, reference_model)
 
 
 def inventory_and_coverage(case_table: DataFrame, months: list[str], days: list[int]) -> DataFrame:
