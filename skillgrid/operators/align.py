@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import geo, timefn
-from .checks import one_per_key, stop_if_any
+from .checks import one_per_key, small_table, stop_if_any
 
 CELL = ["latitude", "longitude"]
 
@@ -34,7 +34,7 @@ def match_valid_date(
     keys = ["valid_date", *CELL]
     if on_missing == "error":
         absent = cases.where("valid_date is not null").select("valid_date").distinct()
-        stop_if_any(absent.join(observations.select("valid_date"), "valid_date", "left_anti"), "no observation on dates")
+        stop_if_any(absent.join(observations.select("valid_date").distinct(), "valid_date", "left_anti"), "no observation on dates")
     lookup = observations.select(*keys, *[F.col(c).alias(a) for c, a in columns.items()])
     if check:
         lookup = one_per_key(lookup, keys, list(columns.values()), "observation dates")
@@ -55,7 +55,8 @@ def calendar_day_map(thresholds: DataFrame) -> DataFrame:
 
 def thresholds_by_day(thresholds: DataFrame) -> DataFrame:
     """A calendar-day field spread to all 366 days."""
-    return thresholds.join(calendar_day_map(thresholds), "doy").drop("doy").withColumnRenamed("day", "doy")
+    days = small_table(calendar_day_map(thresholds))
+    return thresholds.join(days, "doy").drop("doy").withColumnRenamed("day", "doy")
 
 
 def thresholds_by_cell(thresholds: DataFrame, value: str = "value", fill_days: bool = True) -> DataFrame:
@@ -84,8 +85,9 @@ def threshold_for_dates(
 def nearest_percentile(thresholds: DataFrame, percentile: float) -> DataFrame:
     """Rows of the percentile label closest to the one asked for."""
     labels = thresholds.select("percentile").distinct()
-    best = labels.agg(F.min_by("percentile", F.abs(F.col("percentile") - percentile)).alias("percentile"))
-    return thresholds.join(best, "percentile", "left_semi")
+    best = labels.agg(F.min_by("percentile", F.abs(F.col("percentile") - percentile))).first()[0]
+    # A literal reaches the scan as a filter.
+    return thresholds.where(F.col("percentile") == F.lit(best).cast("double"))
 
 
 def cells(frame: DataFrame) -> DataFrame:
@@ -135,7 +137,7 @@ def common_initializations(cases: DataFrame) -> DataFrame:
     n_models = pairs.select("model").distinct().agg(F.count("*").alias("n_models"))
     shared = pairs.groupBy("init_time").agg(F.count("*").alias("n"))
     shared = shared.join(n_models, F.col("n") == F.col("n_models"), "left_semi")
-    return cases.join(shared.select("init_time"), "init_time", "left_semi")
+    return cases.join(small_table(shared.select("init_time")), "init_time", "left_semi")
 
 
 def merge_many_to_one(left: DataFrame, right: DataFrame, keys: list[str], check: bool = True) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import timefn
 from .align import CELL
+from .checks import small_table
 from .climatology import circular_counts
 
 
@@ -175,7 +176,7 @@ def sample_differences(source: DataFrame, copy: DataFrame, columns: list[str]) -
     keys = ["valid_time", *CELL]
     sample = source
     for k in keys:
-        sample = sample.join(_ends_and_middle(source, k), k, "left_semi")
+        sample = sample.join(small_table(_ends_and_middle(source, k)), k, "left_semi")
     other = copy.select(*keys, *[F.col(c).alias(f"copy_{c}") for c in columns])
     joined = sample.join(other, keys, "left")
     return joined.agg(

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import ensemble as ens
 from ..functions import geo
 from . import align, onset
+from .checks import small_table
 from .suffstats import EVENTS, INTERVAL_LEVELS
 
 CASE = ["model", "init_time", "init_month", "forecast_day", "valid_date", "latitude", "longitude"]
@@ -105,7 +106,7 @@ def fill_missing_days(cases: DataFrame, days: list[int]) -> DataFrame:
     have = kept.groupBy(*keys).agg(F.collect_set("forecast_day").alias("have"))
     lacking = have.select(*keys, F.explode(F.array_except(F.array(*[F.lit(d) for d in days]), "have")).alias("forecast_day"))
     places = kept.select(*keys, "init_time", "latitude", "longitude").distinct()
-    added = places.join(lacking, keys)
+    added = places.join(small_table(lacking), keys)
     masks = [c for c in cases.columns if c == "temperature_case_valid" or c.startswith("valid_") and c != "valid_date"]
     flags = [c for c in cases.columns if c.startswith("observed_")]
     added = added.withColumns({c: F.lit(False) for c in [*masks, *flags]})

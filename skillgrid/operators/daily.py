@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import timefn
 from ..functions.ensemble import statistic
+from .checks import small_table, stop_if_any
 from .select import before_day, forecast_day_samples
 
 CELL = ["latitude", "longitude"]
@@ -161,7 +162,7 @@ def _common_to_bands(daily: DataFrame, day: str) -> DataFrame:
     n_bands = bands.select("band").distinct().agg(F.count("*").alias("n_bands"))
     per_day = bands.groupBy(day).agg(F.count("*").alias("n"))
     common = per_day.join(n_bands, F.col("n") == F.col("n_bands"), "left_semi").select(day)
-    return daily.join(common, day, "left_semi")
+    return daily.join(small_table(common), day, "left_semi")
 
 
 def six_hourly_from_hourly(hourly: DataFrame, check: bool = False) -> DataFrame:
@@ -180,7 +181,5 @@ def six_hourly_from_hourly(hourly: DataFrame, check: bool = False) -> DataFrame:
         .withColumnRenamed("end", "valid_time")
     )
     if check:
-        from .checks import stop_if_any
-
         stop_if_any(out.where("hours_present < 6"), "6-hour intervals lack hours")
     return out

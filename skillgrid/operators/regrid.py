@@ -11,8 +11,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .align import CELL
+from .checks import small_table
 from .select import normalize_longitude_like
 
+# Corner rows of one axis that are broadcast.
+MAX_AXIS = 100_000
+
 
 def _axis(frame: DataFrame, name: str) -> DataFrame:
     return frame.select(F.col(name).cast("double").alias("x")).distinct()
@@ -77,8 +81,8 @@ def to_grid(source: DataFrame, target: DataFrame, value: str = "value", method:
     if same_axes(source, target):
         return source
     keys = [c for c in source.columns if c not in (*CELL, value)]
-    lat = axis_weights(source, target, "latitude", method)
-    lon = axis_weights(source, target, "longitude", method)
+    lat = small_table(axis_weights(source, target, "latitude", method), MAX_AXIS)
+    lon = small_table(axis_weights(source, target, "longitude", method), MAX_AXIS)
     spread = source.join(lat, "latitude").join(lon, "longitude")
     weight = F.col("w_latitude") * F.col("w_longitude")
     complete = F.count(value) == F.max(F.col("n_latitude") * F.col("n_longitude"))

@@ -60,14 +60,14 @@ def forecast_cases(forecasts: DataFrame, thresholds: DataFrame, observed: DataFr
     return cases.canonical_cases(cases.compact_products(members, thresholds, levels=levels), observed)
 
 
-def regional_statistics(case_table: DataFrame, regions, *, cutoffs=(0.5,), edges=suffstats.RELIABILITY_EDGES, levels=suffstats.INTERVAL_LEVELS, land_mask: DataFrame | None = None) -> dict[str, DataFrame]:
-    """All statistics tables of stored cases."""
+def regional_statistics(case_table: DataFrame, regions, *, by=suffstats.BY, cutoffs=(0.5,), edges=suffstats.RELIABILITY_EDGES, levels=suffstats.INTERVAL_LEVELS, land_mask: DataFrame | None = None) -> dict[str, DataFrame]:
+    """All statistics tables of stored cases, by default per initialization month."""
     events = suffstats.event_rows(case_table)
     return {
-        "deterministic": suffstats.deterministic_table(case_table, regions, land_mask=land_mask),
-        "probability": suffstats.probability_table(events, regions, cutoffs, land_mask=land_mask),
-        "reliability": suffstats.reliability_table(events, regions, edges, land_mask=land_mask),
-        "interval": suffstats.interval_table(case_table, regions, levels, land_mask=land_mask),
+        "deterministic": suffstats.deterministic_table(case_table, regions, by, land_mask),
+        "probability": suffstats.probability_table(events, regions, cutoffs, by, land_mask),
+        "reliability": suffstats.reliability_table(events, regions, edges, by, land_mask),
+        "interval": suffstats.interval_table(case_table, regions, levels, by, land_mask),
     }
 
 
@@ -77,7 +77,8 @@ def regional_verification(case_table: DataFrame, regions, store_cases: bool = Tr
     Cases read from a store need no second copy: pass ``store_cases=False``.
     """
     stored = materialize(case_table, "cases") if store_cases else case_table
-    return finals.aggregate(regional_statistics(stored, regions, **options))
+    # No months are kept apart here, so cells are summed over all initializations at once.
+    return finals.aggregate(regional_statistics(stored, regions, by=["model", "forecast_day"], **options))
 
 
 def model_quantiles(forecasts: DataFrame, window: int = 15, level: float = 0.95) -> DataFrame:

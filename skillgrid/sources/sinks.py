@@ -6,8 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import cases as case_ops
+from ..operators.checks import small_table
 
 UNIT = ["model", "init_month", "forecast_day"]
+# Models x months x days that a key table may hold to be broadcast.
+MAX_UNITS = 100_000
 
 
 def _laid_out(frame: DataFrame, partition_by: list[str], spread: int) -> DataFrame:
@@ -58,17 +61,17 @@ def uncommitted_units(expected: DataFrame, stored: DataFrame | None) -> DataFram
     """Expected units that the store does not hold."""
     if stored is None:
         return expected
-    return expected.join(stored.select(*UNIT).distinct(), UNIT, "left_anti")
+    return expected.join(small_table(stored.select(*UNIT).distinct(), MAX_UNITS), UNIT, "left_anti")
 
 
 def resume(cases: DataFrame, expected: DataFrame, stored: DataFrame | None) -> DataFrame:
     """Only the cases of units still to be written."""
-    return cases.join(uncommitted_units(expected, stored), UNIT, "left_semi")
+    return cases.join(small_table(uncommitted_units(expected, stored), MAX_UNITS), UNIT, "left_semi")
 
 
 def upsert(existing: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     """Existing rows whose key the new rows do not hold, and the new rows."""
-    kept = existing.join(new.select(*keys).distinct(), keys, "left_anti")
+    kept = existing.join(small_table(new.select(*keys).distinct(), MAX_UNITS), keys, "left_anti")
     return kept.unionByName(new, allowMissingColumns=True)
 
 
