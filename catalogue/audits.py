@@ -5,11 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from skillgrid.functions import ensemble as ens
-from skillgrid.functions import timefn
-from skillgrid.operators import audit, climatology, daily, ensemble, metricgrid, suffstats
+from skillgrid.operators import audit, climatology, daily, metricgrid, suffstats
 from skillgrid.plans import jobs
 from skillgrid.session import scratch_path
-from skillgrid.sources import sinks
 from skillgrid.streaming import incremental
 
 from . import views as V
@@ -247,8 +245,3 @@ def user_source(spark, sf_dir):
 def named_statistic(spark, sf_dir):
     aggs = [ens.statistic(s)("value").alias(f"s_{s}") for s in ("mean", "min", "max")]
     return V.fc6(spark, sf_dir).groupBy("lead_hours").agg(*aggs)
-
-
-mean = ensemble.mean
-write = sinks.write_table
-hours = timefn.hours

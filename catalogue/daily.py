@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from skillgrid.functions import ensemble as ens
-from skillgrid.functions import timefn
 from skillgrid.operators import align, daily, ensemble, metricgrid
 
 from . import views as V
@@ -351,6 +350,3 @@ def single_case(spark, sf_dir):
 
     init = F.lit("1999-01-01 00:00:00").cast("timestamp_ntz")
     return job(V.fc6(spark, sf_dir), V.ob6(spark, sf_dir), lead_hours=120, init=init)
-
-
-hours = timefn.hours

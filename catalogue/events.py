@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from skillgrid.functions import geo, timefn
-from skillgrid.operators import align, audit, climatology, daily, onset
+from skillgrid.functions import timefn
+from skillgrid.operators import align, climatology, daily, onset
 from skillgrid.operators import cases as case_ops
 from skillgrid.operators.suffstats import EVENTS
 
@@ -277,7 +277,3 @@ def case_study(spark, sf_dir):
     return rows.groupBy("valid_date", "member").agg(
         F.count("*").alias("row_count"), F.avg("value_anomaly").alias("forecast_anomaly"), F.avg("observation_anomaly").alias("observation_anomaly"), F.avg("q_anomaly").alias("q_anomaly")
     )
-
-
-area_weight = geo.area_weight
-date_steps = audit.date_steps

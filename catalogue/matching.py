@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from skillgrid.functions.geo import REGIONS, Region
-from skillgrid.operators import align, climatology, daily, ensemble, regrid, select
+from skillgrid.operators import align, climatology, daily, ensemble, regrid
 from skillgrid.operators.checks import small_table
 
 from . import views as V
@@ -188,6 +188,3 @@ def anomalies(spark, sf_dir):
     return out.groupBy("model", "forecast_day").agg(
         F.count("*").alias("cases"), F.avg("forecast_temperature_anomaly").alias("forecast_anomaly"), F.avg("observation_temperature_anomaly").alias("observation_anomaly")
     )
-
-
-box = select.box

@@ -4,10 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from skillgrid.functions import ensemble as ens
 from skillgrid.functions import geo, timefn
-from skillgrid.functions.geo import REGIONS, Region
-from skillgrid.operators import align, select, suffstats
+from skillgrid.functions.geo import Region
+from skillgrid.operators import align, select
 from skillgrid.operators import cases as case_ops
 from skillgrid.sources.observations import years_needed
 
@@ -242,8 +241,3 @@ def expected_minus_available(spark, sf_dir):
 @query("so5_drop_duplicates", f"SELECT model, {t('init_time')}, {n('forecast_day')} FROM (SELECT DISTINCT model, init_time, forecast_day FROM fc)")
 def drop_duplicates(spark, sf_dir):
     return V.fc(spark, sf_dir).select("model", "init_time", "forecast_day").dropDuplicates(["model", "init_time", "forecast_day"])
-
-
-REGION_NAMES = [g.name for g in REGIONS]
-EVENTS = suffstats.EVENTS
-indicator = ens.indicator

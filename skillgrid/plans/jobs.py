@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import ensemble as ens
-from ..operators import align, audit, cases, climatology, daily, finals, metricgrid, onset, scorecard, select, suffstats
+from ..operators import align, audit, cases, climatology, daily, finals, metricgrid, scorecard, select, suffstats
 from ..operators.align import CELL
 from ..operators.ensemble import spread
 from ..session import materialize
@@ -139,7 +138,3 @@ def onset_report(events: DataFrame, durations=(2, 3)) -> DataFrame:
         F.count_if("observed_hot_day_q95").alias("hot_days"),
         *[F.count_if(f"observed_heatwave_start_q95_{d}d").alias(f"onsets_{d}d") for d in durations],
     )
-
-
-observed_onset = onset.observed_onset
-indicator = ens.indicator

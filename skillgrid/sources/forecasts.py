@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.geo import nan_to_null
-from ..operators import ensemble as members_ops
 from ..operators.checks import stop_if_any
 
 # Variable and dimension names accepted on entry, and the canonical ones.
@@ -140,6 +139,3 @@ class RawSource:
 
 def without_members(capabilities: Capabilities) -> Capabilities:
     return replace(capabilities, ensemble=False, member_temperature=False, interval_quantiles=False)
-
-
-ensemble_mean = members_ops.mean
