@@ -136,10 +136,10 @@ def regrid_nearest(spark, sf_dir):
     return regrid.to_grid(source, target, method="nearest")
 
 
-@query("j10_land_regions", f"""WITH mask AS (SELECT latitude, longitude, avg(value)>25 AS land FROM ob GROUP BY ALL)
+@query("j10_land_regions", f"""WITH mask AS (SELECT latitude, longitude, round(avg(value),9)>25 AS land FROM ob GROUP BY ALL)
   SELECT region, {n('count(*)','cells')} FROM (SELECT 'land' AS region FROM mask WHERE land UNION ALL SELECT 'tropical_land' FROM mask WHERE land AND latitude BETWEEN -23.5 AND 23.5) GROUP BY region""")
 def land_regions(spark, sf_dir):
-    m = V.ob(spark, sf_dir).groupBy("latitude", "longitude").agg(F.avg("value").alias("m")).select("latitude", "longitude", (F.col("m") > 25).alias("is_land"))
+    m = V.ob(spark, sf_dir).groupBy("latitude", "longitude").agg(F.round(F.avg("value"), 9).alias("m")).select("latitude", "longitude", (F.col("m") > 25).alias("is_land"))
     cells = align.cells(V.ob(spark, sf_dir))
     on_grid = regrid.land_mask_on_grid(m, cells)
     regions = [Region("land", land_only=True), Region("tropical_land", -23.5, 23.5, land_only=True)]
@@ -162,9 +162,9 @@ def many_to_one(spark, sf_dir):
 
 
 @query("j13_cell_threshold", f"""SELECT {r('latitude')}, {r('longitude')}, {n('count(*) FILTER (WHERE value>tt)','above_cell')}, {n('count(*) FILTER (WHERE value>27)','above_scalar')} FROM fc
-  JOIN (SELECT latitude, longitude, avg(value) AS tt FROM ob GROUP BY ALL) USING (latitude, longitude) GROUP BY latitude, longitude""")
+  JOIN (SELECT latitude, longitude, round(avg(value),9) AS tt FROM ob GROUP BY ALL) USING (latitude, longitude) GROUP BY latitude, longitude""")
 def cell_threshold(spark, sf_dir):
-    per_cell = V.ob(spark, sf_dir).groupBy("latitude", "longitude").agg(F.avg("value").alias("value"))
+    per_cell = V.ob(spark, sf_dir).groupBy("latitude", "longitude").agg(F.round(F.avg("value"), 9).alias("value"))
     rows = align.with_scalar_or_cell_threshold(V.fc(spark, sf_dir), per_cell, "cell_threshold")
     rows = align.with_scalar_or_cell_threshold(rows, 27, "scalar")
     v = F.col("value")

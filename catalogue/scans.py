@@ -173,9 +173,9 @@ def region_table(spark, sf_dir):
     return align.cell_regions(align.cells(V.ob(spark, sf_dir)), regions).groupBy("region").agg(F.count("*").alias("cells"))
 
 
-@query("sc12_land_mask", f"""SELECT latitude+0.0 AS latitude, longitude+0.0 AS longitude, avg(value)>25 AS is_land FROM ob GROUP BY latitude, longitude""")
+@query("sc12_land_mask", f"""SELECT latitude+0.0 AS latitude, longitude+0.0 AS longitude, round(avg(value),9)>25 AS is_land FROM ob GROUP BY latitude, longitude""")
 def land_mask(spark, sf_dir):
-    field = V.ob(spark, sf_dir).groupBy("latitude", "longitude").agg(F.avg("value").alias("m"))
+    field = V.ob(spark, sf_dir).groupBy("latitude", "longitude").agg(F.round(F.avg("value"), 9).alias("m"))
     return tables.land_mask(field.select("latitude", "longitude", (F.col("m") > 25).alias("lsm")))
 
 

@@ -133,10 +133,10 @@ def spatial_statistics(spark, sf_dir):
     return suffstats.spatial_cells(V.cs(spark, sf_dir), BY_LEAD)
 
 
-@query("ws10_land_region_statistics", f"""WITH mask AS (SELECT latitude, longitude, avg(value)>25 AS land FROM ob GROUP BY ALL)
+@query("ws10_land_region_statistics", f"""WITH mask AS (SELECT latitude, longitude, round(avg(value),9)>25 AS land FROM ob GROUP BY ALL)
   SELECT model, {n('forecast_day')}, 'land' AS region, {r(f'coalesce(sum({W}*{E_SQL}),0)','numerator')}, {r(f'coalesce(sum({W}) FILTER (WHERE {E_SQL} IS NOT NULL),0)','denominator')} FROM cs JOIN mask USING (latitude, longitude) WHERE land GROUP BY model, forecast_day""")
 def land_region_statistics(spark, sf_dir):
-    m = V.ob(spark, sf_dir).groupBy(*CELLS).agg(F.avg("value").alias("m")).select(*CELLS, (F.col("m") > 25).alias("is_land"))
+    m = V.ob(spark, sf_dir).groupBy(*CELLS).agg(F.round(F.avg("value"), 9).alias("m")).select(*CELLS, (F.col("m") > 25).alias("is_land"))
     table = suffstats.deterministic_table(V.cs(spark, sf_dir), [Region("land", land_only=True)], BY_LEAD, land_mask=m)
     return table.where("subset = 'all' and metric = 'bias'").select("model", "forecast_day", "region", "numerator", "denominator")
 

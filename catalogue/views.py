@@ -129,7 +129,7 @@ def thr(spark, sf_dir):
     base = base.groupBy("doy", "latitude", "longitude").agg(F.avg("value").alias("m"))
     each = F.explode(F.array(*[F.lit(p) for p in (90.0, 95.0, 97.5)]))
     return base.withColumn("percentile", each).select(
-        "percentile", "doy", "latitude", "longitude", (F.col("m") + F.col("percentile") - 90.0).alias("value")
+        "percentile", "doy", "latitude", "longitude", F.round(F.col("m") + F.col("percentile") - 90.0, 9).alias("value")
     )
 
 
@@ -181,7 +181,7 @@ SQL_VIEWS = {
       DATE '2000-06-01'+CAST(l_suppkey%20 AS INTEGER)+CAST(l_orderkey%15 AS INTEGER) AS valid_date, l_linenumber AS member,
       CAST(30*(l_partkey%2) AS DOUBLE) AS latitude, 30.0::DOUBLE AS longitude, avg(l_quantity) AS t2m_daily_mean
       FROM lineitem GROUP BY ALL""",
-    "thr": """SELECT p AS percentile, doy, latitude, longitude, m+p-90.0 AS value FROM
+    "thr": """SELECT p AS percentile, doy, latitude, longitude, round(m+p-90.0,9) AS value FROM
       (SELECT CAST(dayofyear(valid_date) AS INTEGER) AS doy, latitude, longitude, avg(value) AS m FROM ob
        WHERE dayofyear(valid_date)%5=1 GROUP BY ALL), (SELECT unnest([90.0::DOUBLE,95.0::DOUBLE,97.5::DOUBLE]) AS p)""",
     "thr_days": """SELECT d.day AS doy, t.percentile, t.latitude, t.longitude, t.value FROM

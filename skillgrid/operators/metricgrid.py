@@ -153,4 +153,4 @@ def coverage_departure(summary: DataFrame, widths: dict[str, float]) -> DataFram
     nominal = F.lit(None).cast("double")
     for metric, width in widths.items():
         nominal = F.when(F.col("metric") == metric, F.lit(width / 100.0)).otherwise(nominal)
-    return summary.withColumn("departure", F.col("mean") - nominal).where("departure is not null")
+    return summary.where(F.col("metric").isin(list(widths))).withColumn("departure", F.col("mean") - nominal)
