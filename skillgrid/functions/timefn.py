@@ -94,6 +94,19 @@ def bucket_start(ts: Column, width_hours: int = 6) -> Column:
     )
 
 
+def utc_instant(wall: Column) -> Column:
+    """The instant at which UTC clocks show a wall time, whatever the session's zone."""
+    days = F.datediff(F.to_date(wall), F.lit("1970-01-01").cast("date")).cast("long")
+    seconds = days * 86400 + F.hour(wall) * 3600 + F.minute(wall) * 60
+    return F.timestamp_micros(seconds * 1_000_000 + (F.date_part(F.lit("SECOND"), wall) * 1_000_000).cast("long"))
+
+
+def utc_wall_time(instant: Column) -> Column:
+    """UTC wall time of an instant, to the second."""
+    seconds = F.unix_seconds(instant).cast("decimal(18,6)")
+    return F.lit("1970-01-01").cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds)
+
+
 def circular_day_distance(a: Column, b: Column) -> Column:
     """Days between two calendar days on a 366-day circle."""
     return F.abs(F.pmod(a - b + 183, F.lit(DAYS_IN_CALENDAR)) - 183)

@@ -76,14 +76,18 @@ def six_hourly_sums(stream: DataFrame, delay: str = "0 seconds") -> DataFrame:
     """Accumulations over (T-6h, T] once complete; an interval lacking hours has a NULL total.
 
     Stepping back a microsecond turns the right-closed interval into Spark's left-closed window.
+    Watermarks need instants, so times without a zone are read as UTC and come back without one.
     """
-    shifted = stream.withColumn("shifted", (F.col("valid_time") - F.expr("interval 1 microsecond")).cast("timestamp"))
+    zoned = stream.schema["valid_time"].dataType.typeName() == "timestamp"
+    before = F.col("valid_time") - F.expr("interval 1 microsecond")
+    shifted = stream.withColumn("shifted", before if zoned else timefn.utc_instant(before))
+    end = F.col("window.end") if zoned else timefn.utc_wall_time(F.col("window.end"))
     return (
         shifted.withWatermark("shifted", delay)
         .groupBy(F.window("shifted", "6 hours"), "latitude", "longitude")
         .agg(F.sum("tp").alias("total"), F.count("tp").alias("hours_present"))
         .select(
-            F.col("window.end").alias("valid_time"), "latitude", "longitude",
+            end.alias("valid_time"), "latitude", "longitude",
             F.when(F.col("hours_present") == 6, F.col("total")).alias("tp"), "hours_present",
         )
     )
