@@ -19,6 +19,10 @@ SETTINGS = {
 }
 
 
+# Scratch folder per application, in local mode only.
+_local_folders: dict[str, str] = {}
+
+
 def build_session(master: str | None = None, app_name: str = "skillgrid", **settings: str) -> SparkSession:
     builder = SparkSession.builder.appName(app_name)
     if master is not None:
@@ -37,8 +41,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-        base = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
-        spark.conf.set("spark.checkpoint.dir", base)
+        application = spark.sparkContext.applicationId
+        if application not in _local_folders:
+            _local_folders[application] = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
+        base = _local_folders[application]
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 

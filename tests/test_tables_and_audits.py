@@ -207,3 +207,27 @@ def test_resume_only_computes_what_is_absent(spark):
     sinks.write_cases(todo, path)
     stored = case_source.read_case_store(spark, path)
     assert stored.count() == 8 and sinks.resume(cases, expected, stored).count() == 0
+
+
+class _Conf:
+    def __init__(self, value):
+        self.value = value
+
+    def get(self, key, default=None):
+        return self.value if key == "spark.checkpoint.dir" else default
+
+
+class _Session:
+    """Just what the scratch folder is chosen from."""
+
+    def __init__(self, folder, master):
+        self.conf = _Conf(folder)
+        self.sparkContext = type("Context", (), {"master": master, "applicationId": "app"})()
+
+
+def test_scratch_folder_follows_the_session():
+    assert scratch_path(_Session("/shared/cp/", "yarn"), "x").startswith("/shared/cp/x-")
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch_path(_Session(None, "yarn"), "x")
+    first, second = (scratch_path(_Session(None, "local[8]"), "x") for _ in range(2))
+    assert first.startswith("/tmp/spark-") and first != second and first.rsplit("/", 1)[0] == second.rsplit("/", 1)[0]
