@@ -27,6 +27,11 @@ WORD_BYTES = bytes(
 )
 
 
+def words_of(text: bytes | None) -> list[bytes]:
+    """Words in the sense of ``WORD_BYTES``; null has none."""
+    return text.translate(WORD_BYTES).split() if text else []
+
+
 def utf8(column: str) -> Column:
     """Text as UTF-8 bytes; null stays null."""
     return F.col(f"`{column}`").cast("string").cast("binary")

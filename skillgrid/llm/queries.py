@@ -6,10 +6,15 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import packing, token_counts
+from . import decontamination, jaccard, licenses, packing, pseudonyms, token_counts
+from . import checks
 from .common import ship_package
 
+# Of the registered query; a user of the operator passes a key of their own.
+PSEUDONYM_KEY = "registered query"
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
@@ -32,11 +37,39 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query("op3_license_templates", checks.licenses_sql())
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(table(spark, sf_dir, "documents")).drop("spans")
+
+
 @query("op5_cutting_stock_packing")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+@query("op6_ngram_jaccard_join")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op7_feistel_pseudonyms")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pseudonyms.report(table(spark, sf_dir, "documents"), PSEUDONYM_KEY)
+
+
+@query("op9_suffix_automaton_decontamination", checks.decontamination_sql())
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 @query("op10_token_counts")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
