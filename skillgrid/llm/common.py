@@ -9,7 +9,6 @@ from __future__ import annotations
 import math
 import tempfile
 import zipfile
-import zlib
 from collections.abc import Callable, Iterator
 from pathlib import Path
 
@@ -68,33 +67,57 @@ def unit_hash(*columns: str, seed: int = 7) -> Column:
     return F.pmod(F.xxhash64(F.lit(seed), *[F.col(f"`{c}`") for c in columns]), F.lit(1 << 30)) / float(1 << 30)
 
 
-def windows(text: bytes, size: int, overlap: int) -> Iterator[bytes]:
-    """Parts of a long byte text that overlap, so that memory stays bounded whatever its length."""
-    if len(text) <= size:
-        yield text
-        return
-    for start in range(0, len(text) - overlap, size - overlap):
-        yield text[start : start + size]
+def sigmoid(x: float) -> float:
+    return 1 / (1 + math.exp(-x)) if x >= 0 else 1 - 1 / (1 + math.exp(x))
 
 
-def crc(value: bytes) -> int:
-    return zlib.crc32(value)
+_letters: list[np.ndarray] = []
 
 
-def sigmoid(x: float) -> float:
-    return 1 / (1 + math.exp(-x)) if x >= 0 else 1 - 1 / (1 + math.exp(x))
+def letter_codes(text: str) -> np.ndarray:
+    """Code points of the lower-cased text, everything but letters as blanks, a blank at either end."""
+    if not _letters:
+        _letters.append(np.array([c if chr(c).isalpha() else 32 for c in range(1 << 16)], np.uint64))
+    codes = np.frombuffer(f" {text.lower()} ".encode("utf-32-le", "surrogatepass"), np.uint32)
+    table = _letters[0]
+    return np.where(codes < len(table), table[np.minimum(codes, len(table) - 1)], codes.astype(np.uint64))
+
+
+def ngram_hashes(codes: np.ndarray, sizes: tuple[int, ...], bits: int) -> np.ndarray:
+    """Hashes of ``bits`` bits of every run of codes of the given sizes."""
+    out, h = [], np.zeros(len(codes) + 1, np.uint64)
+    for n in range(1, min(max(sizes), len(codes)) + 1):
+        h = h[:-1] * np.uint64(0x9E3779B97F4A7C15) + codes[n - 1 :] + np.uint64(1)
+        if n in sizes:
+            mixed = (h ^ (h >> np.uint64(32)) ^ np.uint64(n)) * np.uint64(0xD6E8FEB86659FD93)
+            out.append((mixed >> np.uint64(64 - bits)).astype(np.int64))
+    return np.concatenate(out) if out else np.empty(0, np.int64)
+
+
+def summed_chunks(rows: DataFrame, length: int, chunks: int) -> np.ndarray:
+    """Sum of whole-number vectors of one length, given by tasks as (chunk, cells: 64-bit numbers)."""
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for chunk, cells in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                sums[chunk] = sums.get(chunk, 0) + np.frombuffer(cells, np.int64)
+        if sums:
+            yield chunk_rows(sums)
+
+    out = np.zeros((chunks, length // chunks), np.int64)
+    for r in rows.repartition(chunks, "chunk").mapInArrow(add, CHUNK_SCHEMA).collect():
+        out[r.chunk] = np.frombuffer(bytes(r.cells), np.int64)
+    return out.ravel()
+
+
+CHUNK_SCHEMA = "chunk bigint, cells binary"
 
 
-def ngram_hashes(codes: np.ndarray, n: int, bits: int) -> np.ndarray:
-    """Hash of every run of ``n`` codes, in ``bits`` bits."""
-    if len(codes) < n:
-        return np.empty(0, np.int64)
-    h = np.full(len(codes) - n + 1, n, np.uint64)
-    for i in range(n):
-        h = h * np.uint64(0x9E3779B97F4A7C15) + codes[i : len(codes) - n + 1 + i].astype(np.uint64) + np.uint64(1)
-    h ^= h >> np.uint64(32)
-    h *= np.uint64(0xD6E8FEB86659FD93)
-    return (h >> np.uint64(64 - bits)).astype(np.int64)
+def chunk_rows(chunks: dict[int, np.ndarray]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array(list(chunks), pa.int64()), pa.array([c.astype(np.int64).tobytes() for c in chunks.values()], pa.binary())], ["chunk", "cells"]
+    )
 
 
 _shipped: set[str] = set()

@@ -90,7 +90,9 @@ class Pseudonyms:
         return digits_of(self.permutation.permuted(value, size, kind), [r for _, r in digits])
 
     def letters(self, kind: str, text: str) -> str:
-        """ASCII letters and digits permuted within their classes; all else stays."""
+        """ASCII letters and digits permuted within their classes, hexadecimal text as such; all else stays."""
+        if re.fullmatch(r"(?=.*[a-f])[0-9a-f]{8,}", text):
+            return "".join(f"{d:x}" for d in self._permute(kind, [(int(c, 16), 16) for c in text]))
         classes = [next(((a, r) for a, r in (("0", 10), ("a", 26), ("A", 26)) if ord(a) <= ord(c) < ord(a) + r), None) for c in text]
         new = iter(self._permute(kind, [(ord(c) - ord(k[0]), k[1]) for c, k in zip(text, classes) if k]))
         return "".join(chr(ord(k[0]) + next(new)) if k else c for c, k in zip(text, classes))

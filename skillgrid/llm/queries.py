@@ -8,9 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, jaccard, licenses, packing, pseudonyms, token_counts
-from . import checks
-from .common import ship_package
+from . import checks, decontamination, jaccard, language, licenses, packing, pseudonyms, token_counts, toxicity
+from .common import crc_bucket, ship_package
 
 # Of the registered query; a user of the operator passes a key of their own.
 PSEUDONYM_KEY = "registered query"
@@ -37,6 +36,31 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query("op1_language_centroids")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = crc_bucket("doc_id", 5) == 0
+    model = language.fit(docs, allowed=~held_out)
+    found = language.detect(docs.select("doc_id", "text"), model)
+    return found.select(
+        "doc_id", held_out.alias("held_out"), F.col("_lang.lang").alias("lang_pred"), "_lang.score", "_lang.rejected"
+    )
+
+
+@query("op2_toxicity_ngrams")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = crc_bucket("doc_id", 4) == 2
+    model = toxicity.fit(docs, labels.select("doc_id", "toxic"), allowed=~held_out)
+    found = toxicity.score(docs.select("doc_id", "text"), model)
+    return found.select(
+        "doc_id",
+        held_out.alias("held_out"),
+        F.col("_toxic").alias("score"),
+        (F.col("_toxic") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 @query("op3_license_templates", checks.licenses_sql())
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(table(spark, sf_dir, "documents")).drop("spans")
