@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import checks, decontamination, jaccard, language, licenses, packing, pseudonyms, token_counts, toxicity
+from . import checks, decontamination, hilbert, jaccard, language, licenses, packing, pseudonyms, token_counts, toxicity, url_templates
 from .common import crc_bucket, ship_package
 
 # Of the registered query; a user of the operator passes a key of their own.
@@ -66,6 +66,11 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(table(spark, sf_dir, "documents")).drop("spans")
 
 
+@query("op4_url_templates")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_templates.judge_urls(table(spark, sf_dir, "pages"))
+
+
 @query("op5_cutting_stock_packing")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
@@ -81,6 +86,11 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pseudonyms.report(table(spark, sf_dir, "documents"), PSEUDONYM_KEY)
 
 
+@query("op8_hilbert_neighbours")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hilbert.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 @query("op9_suffix_automaton_decontamination", checks.decontamination_sql())
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
