@@ -86,13 +86,16 @@ def templates(pages: DataFrame, levels: int = LEVELS) -> DataFrame:
         branches = materialize(out.groupBy("host", "template", "own").agg(
             F.sum("n").alias("n"), F.sum("b").alias("b"), F.sum("labelled").alias("labelled"), F.min("shape_below").alias("below_lo"), F.max("shape_below").alias("below_hi")
         ), "branches")
-        parents = branches.groupBy("host", "template").agg(F.sum("n").alias("pn"), F.count("*").alias("values"), F.sum(F.coalesce("b", F.lit(0))).alias("pb"))
-        known = branches.join(parents, ["host", "template"])
+        parents = branches.groupBy("host", "template").agg(F.sum("n").alias("pn"), F.count("*").alias("values"))
+        alike = branches.where("below_lo = below_hi").groupBy("host", "template", "below_lo").agg(
+            F.sum("n").alias("an"), F.count("*").alias("branches"), F.sum(F.coalesce("b", F.lit(0))).alias("ab")
+        )
+        known = branches.join(parents, ["host", "template"]).join(alike, ["host", "template", "below_lo"], "left")
         variable = (F.col("values") >= VALUES) & (F.col("pn") < REPEATS * F.col("values")) & ~F.col("own").contains("{")
-        share = F.col("pb") / F.col("pn")
+        share = F.col("ab") / F.col("an")
         error = F.sqrt(share * (1 - share) / F.col("n"))
         apart = F.abs(F.coalesce("b", F.lit(0)) / F.col("n") - share) > SIGNIFICANT * error
-        one_shape = (F.col("below_lo") == F.col("below_hi")) & (F.col("below_lo") != "")
+        one_shape = (F.col("below_lo") == F.col("below_hi")) & (F.col("below_lo") != "") & (F.col("branches") > 1)
         merged = (
             F.when(F.col("own") == "", F.lit(""))
             .when(variable, F.lit("{value}"))
