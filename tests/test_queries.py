@@ -5,9 +5,9 @@ import compare
 import pytest
 
 import __spark_entry__ as entry
+from catalogue.base import ORACLE, QUERIES
 
 SF = os.environ.get("QUERY_SF_DIR", "/root/testdata/sf0.001")
-QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
 # Results that are rightly empty on the smallest tables.
 MAY_BE_EMPTY = {"so3_common_days", "au2_common_days"}
 
