@@ -96,10 +96,13 @@ def templates(pages: DataFrame, levels: int = LEVELS) -> DataFrame:
         error = F.sqrt(share * (1 - share) / F.col("n"))
         apart = F.abs(F.coalesce("b", F.lit(0)) / F.col("n") - share) > SIGNIFICANT * error
         one_shape = (F.col("below_lo") == F.col("below_hi")) & (F.col("below_lo") != "") & (F.col("branches") > 1)
+        known = known.withColumn("variable", variable).withColumn("similar", F.coalesce(one_shape & ~apart & ~F.col("own").contains("{"), F.lit(False)))
+        several = known.where("similar").groupBy("host", "template", "below_lo").agg((F.count("*") > 1).alias("several"))
+        known = known.join(several, ["host", "template", "below_lo"], "left")
         merged = (
             F.when(F.col("own") == "", F.lit(""))
-            .when(variable, F.lit("{value}"))
-            .when(one_shape & ~apart & ~F.col("own").contains("{"), F.concat(F.lit("{branch:"), "below_lo", F.lit("}")))
+            .when(F.col("variable"), F.lit("{value}"))
+            .when(F.col("similar") & F.col("several"), F.concat(F.lit("{branch:"), "below_lo", F.lit("}")))
             .otherwise(F.col("own"))
         )
         names = known.select("host", "template", "own", merged.alias("name"))
