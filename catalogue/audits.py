@@ -158,10 +158,10 @@ def inventory_and_coverage(spark, sf_dir):
 
 # Streams over stored files.
 def _forecast_files(spark, sf_dir):
-    """The forecasts as a folder of files, an initialization in one file."""
+    """The forecasts as a folder of files, each with rows of any initialization, member and lead."""
     path = scratch_path(spark, "arriving")
     rows = V.fc6(spark, sf_dir)
-    rows.repartition(4, "init_time").write.parquet(path)
+    rows.repartition(F.xxhash64("lead_hours", "member", "latitude") % 12).write.parquet(path)
     return path, rows.schema
 
 
@@ -173,8 +173,8 @@ def incremental_scoring(spark, sf_dir):
     folder, schema = _forecast_files(spark, sf_dir)
     stream = incremental.stream_parquet(spark, folder, schema, files_per_batch=2)
     out = scratch_path(spark, "scored")
-    incremental.score_new_cases(stream, V.ob6(spark, sf_dir), 27.0, out, scratch_path(spark, "progress")).awaitTermination()
-    return spark.read.parquet(out).groupBy("init_time").agg(
+    incremental.count_new_cases(stream, 27.0, out, scratch_path(spark, "progress")).awaitTermination()
+    return incremental.scored(spark.read.parquet(out), V.ob6(spark, sf_dir), 27.0).groupBy("init_time").agg(
         F.count("*").alias("cases"), F.count("brier_score").alias("scored"), F.avg("brier_score").alias("brier_score")
     )
 
@@ -190,15 +190,16 @@ def running_statistics(spark, sf_dir):
 
 
 @query("st3_six_hourly_stream", f"""WITH six AS (SELECT time_bucket(INTERVAL 6 HOUR, valid_time-INTERVAL 1 MICROSECOND, TIMESTAMP '2024-01-01')+INTERVAL 6 HOUR AS e, latitude, longitude, CASE WHEN count(tp)=6 THEN sum(tp) END AS tp, count(tp) AS k FROM obs1h GROUP BY ALL)
-  SELECT {t('e','valid_time')}, {r('latitude')}, {r('longitude')}, {r('tp')}, {n('k','hours_present')} FROM six WHERE e<=(SELECT max(valid_time)-INTERVAL 1 MICROSECOND FROM obs1h)""")
+  SELECT {t('e','valid_time')}, {r('latitude')}, {r('longitude')}, {r('tp')}, {n('k','hours_present')} FROM six""")
 def six_hourly_stream(spark, sf_dir):
     folder = scratch_path(spark, "hourly")
     rows = V.obs1h(spark, sf_dir)
-    rows.coalesce(1).write.parquet(folder)
-    stream = incremental.stream_parquet(spark, folder, rows.schema)
+    # Files of hours in no order: every interval's hours come in several batches.
+    rows.repartition(F.xxhash64("valid_time") % 9).write.parquet(folder)
+    stream = incremental.stream_parquet(spark, folder, rows.schema, files_per_batch=3)
     out = scratch_path(spark, "six_hourly")
-    incremental.publish_six_hourly(stream, out, scratch_path(spark, "progress")).awaitTermination()
-    return spark.read.parquet(out)
+    incremental.keep_six_hourly(stream, out, scratch_path(spark, "progress")).awaitTermination()
+    return incremental.six_hourly(spark.read.parquet(out))
 
 
 @query("st4_restart", f"""SELECT {t('init_time')}, {n('count(*)','cases')}, {r('avg(p)','mean_probability')} FROM
@@ -207,10 +208,11 @@ def restart(spark, sf_dir):
     folder, schema = _forecast_files(spark, sf_dir)
     out, progress = scratch_path(spark, "scored"), scratch_path(spark, "progress")
     for _ in range(2):
-        # The second start finds every file in the checkpoint and scores nothing again.
+        # The second start finds every file in the checkpoint and counts nothing again.
         stream = incremental.stream_parquet(spark, folder, schema, files_per_batch=2)
-        incremental.score_new_cases(stream, V.ob6(spark, sf_dir), 27.0, out, progress).awaitTermination()
-    return spark.read.parquet(out).groupBy("init_time").agg(F.count("*").alias("cases"), F.avg("probability").alias("mean_probability"))
+        incremental.count_new_cases(stream, 27.0, out, progress).awaitTermination()
+    cases = incremental.scored(spark.read.parquet(out), V.ob6(spark, sf_dir), 27.0)
+    return cases.groupBy("init_time").agg(F.count("*").alias("cases"), F.avg("probability").alias("mean_probability"))
 
 
 # User-defined pieces.

@@ -230,14 +230,13 @@ _E3 = f"""{LOCAL_OBS}, ff AS (SELECT dayofyear(local_date+CAST(k AS INTEGER)) AS
 @query("e3_observed_heat", f"""WITH {_E3}, on3 AS (SELECT *, coalesce(hot,FALSE) AND coalesce(lead(hot) OVER w,FALSE) AND NOT coalesce(lag(hot) OVER w,FALSE) AS onset_2d FROM h2 WINDOW w AS (PARTITION BY latitude, longitude ORDER BY local_date))
   SELECT {d('local_date','valid_date')}, {n('count(*)','cells')}, {n('count(*) FILTER (WHERE hot)','hot_cells')}, {n('count(*) FILTER (WHERE onset_2d)','onsets_2d')}, {r('avg(mean)','mean_temperature')} FROM on3 GROUP BY local_date""")
 def observed_heat(spark, sf_dir):
-    days = daily.local_solar_observation_days(V.obs6(spark, sf_dir)).withColumn("t2m_daily_mean", F.round("t2m_daily_mean", 9))
-    q = climatology.calendar_day_percentiles(days, 2024, 2024, [95.0], 15, value="t2m_daily_mean", stretch_leap_day=False, check=False)
-    q = q.withColumn("value", F.round("value", 9)).drop("percentile")
-    # One month of data: days without a label have no threshold, so the labels are not extended.
-    rows = align.threshold_for_dates(days, q, date="local_date", fill_days=False).withColumn("hot", F.col("t2m_daily_mean") > F.col("threshold"))
-    rows = onset.observed_onset(rows, (2,), CELLS)
-    return rows.groupBy(F.col("local_date").alias("valid_date")).agg(
-        F.count("*").alias("cells"), F.count_if("hot").alias("hot_cells"), F.count_if("onset_2d").alias("onsets_2d"), F.avg("t2m_daily_mean").alias("mean_temperature")
+    from skillgrid.plans.jobs import observed_heat as job
+
+    # The events table holds a part of one year.
+    _, _, flags = job(V.obs6(spark, sf_dir), 2024, 2024, percentiles=(95.0,), check=False, whole_year=False)
+    return flags.groupBy("valid_date").agg(
+        F.count("*").alias("cells"), F.count_if("observed_hot_day_q95").alias("hot_cells"),
+        F.count_if("observed_heatwave_start_q95_2d").alias("onsets_2d"), F.avg("observation_temperature").alias("mean_temperature"),
     )
 
 
@@ -255,13 +254,14 @@ def heat_month(spark, sf_dir):
     return job(V.fc6(spark, sf_dir), q).drop(f"probability_{EVENTS[2]}")
 
 
-@query("e7_model_climatology", f"WITH {MODEL_Q} SELECT {n('ld','local_forecast_day')}, {n('count(DISTINCT (doy, latitude, longitude))','cells')}, {r('avg(m)','mean')} FROM ef GROUP BY ld")
+@query("e7_model_climatology", f"WITH {MODEL_Q} SELECT {n('ld','local_forecast_day')}, {n('count(*)','cells')}, {r('avg(q)','mean_quantile')}, {n('sum(k)','samples')} FROM (SELECT ld, doy, latitude, longitude, quantile_cont(m,0.95) AS q, count(*) AS k FROM ef GROUP BY ALL) GROUP BY ld")
 def model_climatology(spark, sf_dir):
-    means = V.fc6(spark, sf_dir).groupBy("init_time", "lead_hours", *CELLS).agg(F.avg("value").alias("value"))
-    days = daily.local_solar_days(means)
-    rows = days.withColumn("k", timefn.window_offsets(7)).withColumn("doy", timefn.circular_day(F.dayofyear("valid_date"), F.col("k")))
-    per_cell = rows.groupBy("local_forecast_day", "doy", *CELLS).agg(F.sum("t2m_daily_mean").alias("s"), F.count("*").alias("k"))
-    return per_cell.groupBy("local_forecast_day").agg(F.count("*").alias("cells"), (F.sum("s") / F.sum("k")).alias("mean"))
+    from skillgrid.plans.jobs import model_quantiles
+
+    rows = model_quantiles(V.fc6(spark, sf_dir).withColumn("model", F.lit("m0")))
+    return rows.groupBy("local_forecast_day").agg(
+        F.count("*").alias("cells"), F.avg("quantile").alias("mean_quantile"), F.sum("sample_count").alias("samples")
+    )
 
 
 @query("e11_case_study", f"""WITH {CLIM}, mm AS (SELECT f.*, o.value AS y FROM fc f LEFT JOIN ob o ON o.valid_date=f.valid_date AND o.latitude=f.latitude AND o.longitude=f.longitude)

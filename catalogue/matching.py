@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from skillgrid.functions.geo import REGIONS, Region
 from skillgrid.operators import align, climatology, daily, ensemble, regrid
-from skillgrid.operators.checks import small_table
 
 from . import views as V
 from .base import d, n, query, r, t
@@ -58,9 +57,9 @@ def sample_observations(spark, sf_dir):
 
 
 @query("j4_threshold_by_day", f"""SELECT {n('forecast_day')}, {n('count(*)','cases')}, {n('count(q.value)','with_threshold')}, {r('avg(q.value)','mean_threshold')} FROM cs
-  LEFT JOIN (SELECT * FROM thr_days WHERE percentile=95.0) q ON q.doy=dayofyear(valid_date) AND q.latitude=cs.latitude AND q.longitude=cs.longitude GROUP BY forecast_day""")
+  LEFT JOIN (SELECT * FROM thr5_days WHERE percentile=95.0) q ON q.doy=dayofyear(valid_date) AND q.latitude=cs.latitude AND q.longitude=cs.longitude GROUP BY forecast_day""")
 def threshold_by_day(spark, sf_dir):
-    q = V.thr(spark, sf_dir).where("percentile = 95.0")
+    q = V.thr5(spark, sf_dir).where("percentile = 95.0")
     out = align.threshold_for_dates(V.cs(spark, sf_dir), q)
     return out.groupBy("forecast_day").agg(F.count("*").alias("cases"), F.count("threshold").alias("with_threshold"), F.avg("threshold").alias("mean_threshold"))
 
@@ -174,7 +173,7 @@ def cell_threshold(spark, sf_dir):
 @query("j14_time_intersection", f"SELECT {t('valid_time')}, {n('count(*)','row_count')} FROM ob6 WHERE valid_time IN (SELECT init_time+to_hours(lead_hours) FROM fc6) GROUP BY valid_time")
 def time_intersection(spark, sf_dir):
     times = V.fc6(spark, sf_dir).select((F.col("init_time") + F.make_dt_interval(F.lit(0), F.col("lead_hours"))).alias("valid_time")).distinct()
-    return V.ob6(spark, sf_dir).join(small_table(times, 100_000), "valid_time", "left_semi").groupBy("valid_time").agg(F.count("*").alias("row_count"))
+    return V.ob6(spark, sf_dir).join(times, "valid_time", "left_semi").groupBy("valid_time").agg(F.count("*").alias("row_count"))
 
 
 CLIM = "clim AS (SELECT CAST(dayofyear(valid_date) AS INTEGER) AS doy, latitude, longitude, avg(value) AS c FROM ob WHERE year(valid_date) BETWEEN 1995 AND 2000 GROUP BY ALL)"

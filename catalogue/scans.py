@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from skillgrid.functions.geo import REGIONS, select_regions
+from skillgrid.functions.geo import REGIONS, regions_named
 from skillgrid.operators import align, audit, suffstats
 from skillgrid.operators import cases as case_ops
 from skillgrid.session import scratch_path
@@ -14,7 +14,7 @@ from skillgrid.sources import forecasts, observations, sinks, tables
 from . import views as V
 from .base import d, n, query, r, t
 
-MONTHS = [f"{y}-{m:02d}" for y in (1995, 1996) for m in range(1, 13)]
+MONTHS = [f"{y}-{m:02d}" for y in range(1995, 2002) for m in range(1, 13)]
 
 
 def _forecast_store(spark, sf_dir):
@@ -105,8 +105,8 @@ def case_reader(spark, sf_dir):
     )
 
 
-_FILLED = """kept AS (SELECT * FROM cs WHERE forecast_day IN (0,1,2,5) AND NOT (month(init_time)%3=0 AND forecast_day=5)),
-  lacking AS (SELECT m.model, m.init_month, dd FROM (SELECT DISTINCT model, init_month FROM kept) m, (SELECT unnest([0,1,2,5]) AS dd)
+_FILLED = """kept AS (SELECT * FROM cs WHERE NOT (month(init_time)%3=0 AND forecast_day=5)),
+  lacking AS (SELECT m.model, m.init_month, dd FROM (SELECT DISTINCT model, init_month FROM kept) m, (SELECT unnest([0,1,2,5,99]) AS dd)
     WHERE NOT EXISTS (SELECT 1 FROM kept k WHERE k.model=m.model AND k.init_month=m.init_month AND k.forecast_day=dd)),
   added AS (SELECT p.model, p.init_month, l.dd AS forecast_day FROM
     (SELECT DISTINCT model, init_month, init_time, latitude, longitude FROM kept) p JOIN lacking l USING (model, init_month)),
@@ -164,7 +164,7 @@ def availability(spark, sf_dir):
   (VALUES ('tropics',-23.5,23.5,NULL,NULL),('nh_extratropics',23.5,90.0,NULL,NULL),('lac',-60.0,32.0,-120.0,-55.0)) AS g(name,s,nn,w,e)
   WHERE latitude>=s AND latitude<=nn AND (w IS NULL OR (((longitude+180)%360)-180>=w AND ((longitude+180)%360)-180<=e)) GROUP BY name""")
 def region_table(spark, sf_dir):
-    chosen = select_regions(REGIONS, ["tropics", "nh_extratropics", "lac"])
+    chosen = regions_named(REGIONS, "tropics", "nh_extratropics", "lac")
     frame = spark.createDataFrame(
         [(g.name, g.lat_min, g.lat_max, g.lon_min, g.lon_max, g.land_only) for g in chosen],
         "name string, lat_min double, lat_max double, lon_min double, lon_max double, land_only boolean",
@@ -200,9 +200,7 @@ def table_concat(spark, sf_dir):
   {r('sum(CASE WHEN observation_temperature IS NOT NULL THEN forecast_temperature END)','total')} FROM cs GROUP BY model, forecast_day""")
 def write_cases(spark, sf_dir):
     path = scratch_path(spark, "cases")
-    # One period per year: the given tables hold a few cases per month and lead.
-    yearly = V.cs(spark, sf_dir).withColumn("init_month", F.concat(F.year("init_time"), F.lit("-01")))
-    sinks.write_cases(yearly, path, spread=1)
+    sinks.write_cases(V.cs(spark, sf_dir), path)
     return spark.read.parquet(path).groupBy("model", "forecast_day").agg(
         F.count("*").alias("cases"), F.count("forecast_temperature").alias("valid_cases"), F.sum("forecast_temperature").alias("total")
     )
@@ -213,7 +211,7 @@ def write_cases(spark, sf_dir):
 def resume_cases(spark, sf_dir):
     cases = V.cs(spark, sf_dir)
     path = scratch_path(spark, "cases")
-    sinks.write_cases(cases.where("init_month = '1995-01' and forecast_day < 10"), path, spread=1)
+    sinks.write_cases(cases.where("init_month = '1995-01' and forecast_day < 10"), path)
     expected = audit.expected_slices(cases, ["1995-01", "1995-02", "1995-03"], list(range(15)))
     todo = sinks.resume(cases, expected, spark.read.parquet(path))
     return todo.groupBy("model", "init_month", "forecast_day").agg(F.count("*").alias("cases"))

@@ -118,7 +118,7 @@ def interval_statistics(spark, sf_dir):
   (VALUES ('tropics'),('nh_extratropics')) AS g(region), (SELECT unnest([0.5,0.9]) AS c), {_SUBSETS}""")
 def unavailable_intervals(spark, sf_dir):
     slices = V.fc(spark, sf_dir).select("model", "forecast_day").distinct()
-    rows = suffstats.unavailable_intervals(slices, geo.select_regions(REGIONS, ["tropics", "nh_extratropics"]), [0.5, 0.9], "no members")
+    rows = suffstats.unavailable_intervals(slices, geo.regions_named(REGIONS, "tropics", "nh_extratropics"), [0.5, 0.9], "no members")
     return rows.select("model", "forecast_day", "region", "nominal_coverage", "subset", "reason")
 
 
@@ -145,7 +145,7 @@ def land_region_statistics(spark, sf_dir):
 def group_sum(spark, sf_dir):
     day = F.col("forecast_day")
     rows = V.cs(spark, sf_dir).withColumn("total", F.when(day != 7, F.col("observation_temperature"))).withColumn("forecast_day", F.when(day >= 5, day))
-    return finals.group_sum(rows, ["model", "forecast_day"], ["total"])
+    return finals.totals(rows, ["model", "forecast_day"], ["total"])
 
 
 @query("fa2_deterministic_scores", f"""WITH {DET} SELECT model, region, {n('forecast_day')}, subset, metric, {r("CASE WHEN metric='rmse' THEN sqrt(sum(numerator)/nullif(sum(denominator),0)) ELSE sum(numerator)/nullif(sum(denominator),0) END",'value')}, {n('sum(k)','unweighted_support')}

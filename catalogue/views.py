@@ -123,9 +123,14 @@ def traj(spark, sf_dir):
     ).agg(F.avg("l_quantity").alias("t2m_daily_mean"))
 
 
+def thr5(spark, sf_dir):
+    """Thresholds that are labelled every fifth day only."""
+    return thr(spark, sf_dir).where("doy % 5 = 1")
+
+
 def thr(spark, sf_dir):
-    """Calendar-day thresholds of three percentiles, labelled every fifth day."""
-    base = ob(spark, sf_dir).withColumn("doy", F.dayofyear("valid_date")).where("doy % 5 = 1")
+    """Calendar-day thresholds of three percentiles."""
+    base = ob(spark, sf_dir).withColumn("doy", F.dayofyear("valid_date"))
     base = base.groupBy("doy", "latitude", "longitude").agg(F.avg("value").alias("m"))
     each = F.explode(F.array(*[F.lit(p) for p in (90.0, 95.0, 97.5)]))
     return base.withColumn("percentile", each).select(
@@ -182,8 +187,11 @@ SQL_VIEWS = {
       CAST(30*(l_partkey%2) AS DOUBLE) AS latitude, 30.0::DOUBLE AS longitude, avg(l_quantity) AS t2m_daily_mean
       FROM lineitem GROUP BY ALL""",
     "thr": """SELECT p AS percentile, doy, latitude, longitude, round(m+p-90.0,9) AS value FROM
-      (SELECT CAST(dayofyear(valid_date) AS INTEGER) AS doy, latitude, longitude, avg(value) AS m FROM ob
-       WHERE dayofyear(valid_date)%5=1 GROUP BY ALL), (SELECT unnest([90.0::DOUBLE,95.0::DOUBLE,97.5::DOUBLE]) AS p)""",
+      (SELECT CAST(dayofyear(valid_date) AS INTEGER) AS doy, latitude, longitude, avg(value) AS m FROM ob GROUP BY ALL), (SELECT unnest([90.0::DOUBLE,95.0::DOUBLE,97.5::DOUBLE]) AS p)""",
+    "thr5": "SELECT * FROM thr WHERE doy%5=1",
+    "thr5_days": """SELECT d.day AS doy, t.percentile, t.latitude, t.longitude, t.value FROM
+      (SELECT day, arg_min(lab, abs(lab-day)*1000-lab) AS lab FROM (SELECT unnest(range(1,367)) AS day),
+       (SELECT DISTINCT doy AS lab FROM thr5) GROUP BY day) d JOIN thr5 t ON t.doy=d.lab""",
     "thr_days": """SELECT d.day AS doy, t.percentile, t.latitude, t.longitude, t.value FROM
       (SELECT day, arg_min(lab, abs(lab-day)*1000-lab) AS lab FROM (SELECT unnest(range(1,367)) AS day),
        (SELECT DISTINCT doy AS lab FROM thr) GROUP BY day) d JOIN thr t ON t.doy=d.lab""",

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import geo, timefn
-from .checks import one_per_key, small_table, stop_if_any
+from .checks import one_per_key, stop_if_any
 
 CELL = ["latitude", "longitude"]
 
@@ -55,7 +55,7 @@ def calendar_day_map(thresholds: DataFrame) -> DataFrame:
 
 def thresholds_by_day(thresholds: DataFrame) -> DataFrame:
     """A calendar-day field spread to all 366 days."""
-    days = small_table(calendar_day_map(thresholds))
+    days = F.broadcast(calendar_day_map(thresholds))  # 366 rows
     return thresholds.join(days, "doy").drop("doy").withColumnRenamed("day", "doy")
 
 
@@ -137,7 +137,7 @@ def common_initializations(cases: DataFrame) -> DataFrame:
     n_models = pairs.select("model").distinct().agg(F.count("*").alias("n_models"))
     shared = pairs.groupBy("init_time").agg(F.count("*").alias("n"))
     shared = shared.join(n_models, F.col("n") == F.col("n_models"), "left_semi")
-    return cases.join(small_table(shared.select("init_time")), "init_time", "left_semi")
+    return cases.join(shared.select("init_time"), "init_time", "left_semi")
 
 
 def merge_many_to_one(left: DataFrame, right: DataFrame, keys: list[str], check: bool = True) -> DataFrame:

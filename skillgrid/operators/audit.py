@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from ..functions import timefn
 from .align import CELL
-from .checks import small_table
 from .climatology import circular_counts
 
 
@@ -53,13 +52,14 @@ def coverage_audit(status: DataFrame) -> DataFrame:
     )
 
 
-def inventory(forecasts: DataFrame, max_day: int = 14) -> tuple[DataFrame, DataFrame]:
-    """Initializations per model and month, and the forecast days every initialization has."""
+def inventory(forecasts: DataFrame, max_day: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """Initializations per model and month, and the forecast days (up to ``max_day``) every initialization has."""
     held = forecasts.select("model", "init_time", "forecast_day").distinct()
     inits = held.select("model", "init_time").distinct()
     months = inits.groupBy("model", F.date_format("init_time", "yyyy-MM").alias("init_month")).agg(F.count("*").alias("initializations"))
     totals = inits.groupBy("model").agg(F.count("*").alias("n"))
-    per_day = held.where(F.col("forecast_day").between(0, max_day)).groupBy("model", "forecast_day").agg(F.count("*").alias("n"))
+    asked = held if max_day is None else held.where(F.col("forecast_day") <= max_day)
+    per_day = asked.groupBy("model", "forecast_day").agg(F.count("*").alias("n"))
     return months, per_day.join(totals, ["model", "n"], "left_semi").select("model", "forecast_day")
 
 
@@ -176,7 +176,7 @@ def sample_differences(source: DataFrame, copy: DataFrame, columns: list[str]) -
     keys = ["valid_time", *CELL]
     sample = source
     for k in keys:
-        sample = sample.join(small_table(_ends_and_middle(source, k)), k, "left_semi")
+        sample = sample.join(F.broadcast(_ends_and_middle(source, k)), k, "left_semi")  # three rows
     other = copy.select(*keys, *[F.col(c).alias(f"copy_{c}") for c in columns])
     joined = sample.join(other, keys, "left")
     return joined.agg(

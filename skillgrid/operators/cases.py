@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from ..functions import ensemble as ens
 from ..functions import geo
 from . import align, onset
-from .checks import small_table
 from .suffstats import EVENTS, INTERVAL_LEVELS
 
 CASE = ["model", "init_time", "init_month", "forecast_day", "valid_date", "latitude", "longitude"]
@@ -51,9 +50,9 @@ def reduce_members(flags: DataFrame, value: str = "t2m_daily_mean", levels=None)
     return out
 
 
-def observed_events(daily: DataFrame, thresholds: DataFrame, value: str = "t2m_daily_mean", date: str = "local_date") -> DataFrame:
+def observed_events(daily: DataFrame, thresholds: DataFrame, value: str = "t2m_daily_mean", date: str = "local_date", fill_days: bool = True) -> DataFrame:
     """Observed hot-day and onset flags of daily observations."""
-    rows = align.threshold_for_dates(geo.with_cell_id(daily), thresholds, date=date)
+    rows = align.threshold_for_dates(geo.with_cell_id(daily), thresholds, date=date, fill_days=fill_days)
     rows = rows.withColumn("hot", F.col(value) > F.col("threshold"))
     flags = onset.observed_onset(rows, DURATIONS, ["cell_id"], date=date)
     return flags.select(
@@ -99,18 +98,17 @@ def fill_missing_days(cases: DataFrame, days: list[int]) -> DataFrame:
 
     A day that a month lacks altogether gets a row per initialization and cell of that month, with
     NULL values, FALSE masks and FALSE events. A month without any row is not invented. Days
-    outside ``days`` are dropped.
+    that the cases hold beyond ``days`` stay.
     """
     keys = ["model", "init_month"]
-    kept = cases.where(F.col("forecast_day").isin(days))
-    have = kept.groupBy(*keys).agg(F.collect_set("forecast_day").alias("have"))
+    have = cases.groupBy(*keys).agg(F.collect_set("forecast_day").alias("have"))
     lacking = have.select(*keys, F.explode(F.array_except(F.array(*[F.lit(d) for d in days]), "have")).alias("forecast_day"))
-    places = kept.select(*keys, "init_time", "latitude", "longitude").distinct()
-    added = places.join(small_table(lacking), keys)
+    places = cases.select(*keys, "init_time", "latitude", "longitude").distinct()
+    added = places.join(lacking, keys)
     masks = [c for c in cases.columns if c == "temperature_case_valid" or c.startswith("valid_") and c != "valid_date"]
     flags = [c for c in cases.columns if c.startswith("observed_")]
     added = added.withColumns({c: F.lit(False) for c in [*masks, *flags]})
-    return kept.unionByName(added, allowMissingColumns=True)
+    return cases.unionByName(added, allowMissingColumns=True)
 
 
 def missing_months(cases: DataFrame, expected: DataFrame) -> DataFrame:

@@ -12,19 +12,6 @@ def stop_if_any(frame: DataFrame, message: str, show: int = 3) -> None:
         raise ValueError(f"{message}: {[r.asDict() for r in rows]}")
 
 
-def small_table(frame: DataFrame, limit: int = 10_000) -> DataFrame:
-    """A table of keys for broadcast, if it is small; otherwise the table as it is.
-
-    At most ``limit + 1`` rows are fetched, which both proves the size and saves computing the
-    table again. Tables joined on a few distinct keys (days, units, percentiles, axis points) go
-    through here: shuffling the big side by such a key would pile it onto few tasks.
-    """
-    rows = frame.limit(limit + 1).collect()
-    if len(rows) > limit:
-        return frame
-    return F.broadcast(frame.sparkSession.createDataFrame(rows, frame.schema))
-
-
 def duplicates(frame: DataFrame, keys: list[str]) -> DataFrame:
     return frame.groupBy(*keys).agg(F.count("*").alias("copies")).where("copies > 1")
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import timefn
 from ..functions.ensemble import statistic
-from .checks import small_table, stop_if_any
+from .checks import stop_if_any
 from .select import before_day, forecast_day_samples
 
 CELL = ["latitude", "longitude"]
@@ -47,7 +47,7 @@ def observation_samples(cases: DataFrame, observations: DataFrame, days, value:
 
     ``cases`` holds the initializations and cells to sample.
     """
-    days = timefn.check_forecast_days(days)
+    days = timefn.day_list(days)
     wanted = (
         cases.withColumn("utc_forecast_day", F.explode(F.array(*[F.lit(d) for d in days])))
         .withColumn("hour", F.explode(F.array(*[F.lit(h) for h in timefn.SAMPLE_HOURS])))
@@ -111,7 +111,7 @@ def utc_observation_days(observations: DataFrame) -> DataFrame:
 
 def local_solar_days(
     forecasts: DataFrame,
-    max_days: int = timefn.MAX_LOCAL_DAYS,
+    max_days: int | None = None,
     stat: str = "mean",
     value: str = "value",
     first_lead: int = 0,
@@ -121,11 +121,12 @@ def local_solar_days(
 
     A day needs all four sample rows; missing values among them are skipped. Day 0 is the
     first date whose local midnight lies on the lead axis, which starts at ``first_lead`` hours,
-    so the numbering is a projection and needs no window over an initialization.
+    so the numbering is a projection and needs no window over an initialization. All leads are used
+    unless ``max_days`` bounds them.
     ``common_days`` keeps only days that every longitude band reaches.
     """
     offset = timefn.utc_offset_hours(F.col("longitude"))
-    rows = before_day(forecasts, min(max_days, timefn.MAX_LOCAL_DAYS))
+    rows = forecasts if max_days is None else before_day(forecasts, max_days)
     rows = rows.withColumn(
         "valid_date", F.to_date(F.col("init_time") + timefn.hours(F.col("lead_hours") + offset))
     )
@@ -162,7 +163,7 @@ def _common_to_bands(daily: DataFrame, day: str) -> DataFrame:
     n_bands = bands.select("band").distinct().agg(F.count("*").alias("n_bands"))
     per_day = bands.groupBy(day).agg(F.count("*").alias("n"))
     common = per_day.join(n_bands, F.col("n") == F.col("n_bands"), "left_semi").select(day)
-    return daily.join(small_table(common), day, "left_semi")
+    return daily.join(common, day, "left_semi")
 
 
 def six_hourly_from_hourly(hourly: DataFrame, check: bool = False) -> DataFrame:

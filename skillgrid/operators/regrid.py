@@ -11,11 +11,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .align import CELL
-from .checks import small_table
 from .select import normalize_longitude_like
 
 # Corner rows of one axis that are broadcast.
-MAX_AXIS = 100_000
 
 
 def _axis(frame: DataFrame, name: str) -> DataFrame:
@@ -60,30 +58,22 @@ def axis_weights(source: DataFrame, target: DataFrame, name: str, method: str) -
     )
 
 
-def same_axes(source: DataFrame, target: DataFrame) -> bool:
-    """Whether both grids have exactly the same coordinates on both axes."""
-    for name in CELL:
-        a, b = _axis(source, name), _axis(target, name)
-        if not a.exceptAll(b).isEmpty() or not b.exceptAll(a).isEmpty():
-            return False
-    return True
-
-
 def to_grid(source: DataFrame, target: DataFrame, value: str = "value", method: str = "linear", align_longitude: bool = True) -> DataFrame:
     """A field on the target's coordinates.
 
     Corners with weight must all have values, otherwise the result is NULL. Targets outside the
     source range have no row, which a left join from the forecasts turns into NULL. The
-    longitude seam is not bridged. Equal grids pass through.
+    longitude seam is not bridged. On equal coordinates values stay as they are. ``nearest`` also
+    takes values that are no numbers.
     """
     if align_longitude:
         source = normalize_longitude_like(source, target)
-    if same_axes(source, target):
-        return source
     keys = [c for c in source.columns if c not in (*CELL, value)]
-    lat = small_table(axis_weights(source, target, "latitude", method), MAX_AXIS)
-    lon = small_table(axis_weights(source, target, "longitude", method), MAX_AXIS)
+    lat = F.broadcast(axis_weights(source, target, "latitude", method))  # an axis
+    lon = F.broadcast(axis_weights(source, target, "longitude", method))
     spread = source.join(lat, "latitude").join(lon, "longitude")
+    if method == "nearest":
+        return spread.select(*keys, F.col("target_latitude").alias("latitude"), F.col("target_longitude").alias("longitude"), value)
     weight = F.col("w_latitude") * F.col("w_longitude")
     complete = F.count(value) == F.max(F.col("n_latitude") * F.col("n_longitude"))
     return (

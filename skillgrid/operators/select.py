@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
-from numbers import Integral
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -44,22 +43,17 @@ def region(frame: DataFrame, bounds: geo.Region, is_land: Column | None = None)
     return frame.where(geo.in_region(F.col("latitude"), F.col("longitude"), bounds, is_land))
 
 
-def valid_time_mask(
-    init: Column, lead_hours: Column, hour: int | None = None, day_offsets: int | Iterable[int] | None = None
-) -> Column:
-    """Forecasts valid at a UTC hour and/or on dates counted from the initialization date."""
-    valid = timefn.valid_time(init, lead_hours)
-    mask = F.lit(True)
-    if hour is not None:
-        if not isinstance(hour, Integral) or not 0 <= hour < 24:
-            raise ValueError("hour must be an integer from 0 through 23")
-        mask = mask & (F.hour(valid) == hour)
-    if day_offsets is not None:
-        offsets = [day_offsets] if isinstance(day_offsets, Integral) else list(day_offsets)
-        if not offsets or not all(isinstance(d, Integral) for d in offsets):
-            raise ValueError("day offsets must be one or more integers")
-        mask = mask & F.datediff(F.to_date(valid), F.to_date(init)).isin(offsets)
-    return mask
+def valid_at(init: Column, lead_hours: Column, *, hours: Iterable[int] = (), days_after: Iterable[int] = ()) -> Column:
+    """Whether a forecast is valid at one of some UTC hours, on one of some days after its initialization's date.
+
+    An empty choice leaves that side open. A day may be negative, an hour lies on the clock.
+    """
+    clock, days = set(hours), set(days_after)
+    if not clock <= set(range(24)):
+        raise ValueError(f"not hours of a day: {sorted(clock - set(range(24)))}")
+    at = timefn.valid_time(init, lead_hours)
+    on_day = F.datediff(F.to_date(at), F.to_date(init))
+    return (F.hour(at).isin(clock) if clock else F.lit(True)) & (on_day.isin(days) if days else F.lit(True))
 
 
 def before_day(frame: DataFrame, max_days: int) -> DataFrame:
@@ -71,7 +65,7 @@ def before_day(frame: DataFrame, max_days: int) -> DataFrame:
 
 def missing_leads(forecasts: DataFrame, days) -> DataFrame:
     """Lead hours of the requested days that no forecast has."""
-    days = timefn.check_forecast_days(days)
+    days = timefn.day_list(days)
     wanted = forecasts.sparkSession.range(1).select(
         F.explode(F.array(*[F.lit(h + 24 * (d - 1)) for d in days for h in timefn.SAMPLE_HOURS])).alias("lead_hours")
     )
@@ -80,7 +74,7 @@ def missing_leads(forecasts: DataFrame, days) -> DataFrame:
 
 def forecast_day_samples(forecasts: DataFrame, days, check: bool = False) -> DataFrame:
     """Rows at the four leads of each requested completed day, with ``utc_forecast_day``."""
-    days = timefn.check_forecast_days(days)
+    days = timefn.day_list(days)
     if check:
         stop_if_any(missing_leads(forecasts, days), "forecast lacks requested 6-hourly leads", show=4 * len(days))
     lead = F.col("lead_hours")
@@ -90,7 +84,7 @@ def forecast_day_samples(forecasts: DataFrame, days, check: bool = False) -> Dat
 
 def daily_totals(forecasts: DataFrame, days, check: bool = False) -> DataFrame:
     """Already accumulated daily totals (``lead_days``) of the requested days."""
-    days = timefn.check_forecast_days(days)
+    days = timefn.day_list(days)
     if check:
         wanted = forecasts.sparkSession.range(1).select(F.explode(F.array(*[F.lit(d) for d in days])).alias("lead_days"))
         absent = wanted.join(forecasts.select("lead_days").distinct(), "lead_days", "left_anti")

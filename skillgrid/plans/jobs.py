@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..operators import align, audit, cases, climatology, daily, finals, metricgrid, scorecard, select, suffstats
 from ..operators.align import CELL
 from ..operators.ensemble import spread
+from ..operators.regrid import to_grid
 from ..session import materialize
 
 TEMPERATURE_STATISTICS = ["t2m_min_6h", "t2m_mean_6h", "t2m_max_6h"]
@@ -38,13 +39,20 @@ def metric_summaries(metrics: DataFrame) -> tuple[DataFrame, DataFrame]:
     return means, metricgrid.contingency_rates(codes, ["metric", "utc_forecast_day"], CELL)
 
 
-def observed_heat(observations: DataFrame, first_year: int, last_year: int, percentiles=(90.0, 95.0, 97.5), window: int = 15, stat: str = "mean", primary: float = 95.0, check: bool = True) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Daily local-solar observations, calendar-day thresholds and hot-day / onset flags."""
-    days = daily.local_solar_observation_days(observations, stat)
+def observed_heat(observations: DataFrame, first_year: int, last_year: int, percentiles=(90.0, 95.0, 97.5), window: int = 15, stat: str = "mean", primary: float = 95.0, check: bool = True, whole_year: bool = True) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Daily local-solar observations, calendar-day thresholds and hot-day / onset flags.
+
+    ``whole_year`` thresholds are stretched over leap years and extended to days without a label; without
+    it, as for a part of a year, a day has the threshold of its own label or none.
+    """
     value = f"t2m_daily_{stat}"
-    thresholds = climatology.calendar_day_percentiles(days, first_year, last_year, percentiles, window, value=value, check=check)
+    # Sums in another order differ in the last digits; a day that makes its own threshold must not exceed it.
+    days = daily.local_solar_observation_days(observations, stat).withColumn(value, F.round(value, 9))
+    thresholds = climatology.calendar_day_percentiles(
+        days, first_year, last_year, percentiles, window, value=value, check=check, stretch_leap_day=whole_year
+    ).withColumn("value", F.round("value", 9))
     q = thresholds.where(F.col("percentile") == primary)
-    return days, thresholds, cases.observed_events(days, q, value)
+    return days, thresholds, cases.observed_events(days, q, value, fill_days=whole_year)
 
 
 def heat_month(forecasts: DataFrame, thresholds: DataFrame, max_days: int = 15) -> DataFrame:
@@ -52,10 +60,22 @@ def heat_month(forecasts: DataFrame, thresholds: DataFrame, max_days: int = 15)
     return cases.compact_products(daily.local_solar_days(forecasts, max_days), thresholds)
 
 
-def forecast_cases(forecasts: DataFrame, thresholds: DataFrame, observed: DataFrame, quantiles: bool = True) -> DataFrame:
-    """Canonical cases from raw members."""
+def forecast_cases(forecasts: DataFrame, thresholds: DataFrame, observed: DataFrame, quantiles: bool = True, regrid: bool = False) -> DataFrame:
+    """Canonical cases from raw members.
+
+    With ``regrid``, thresholds and observations come on other grids: thresholds and temperatures are
+    interpolated to the forecast's cells, events are those of the nearest cell.
+    """
     members = daily.local_solar_days(forecasts)
     levels = cases.default_levels() if quantiles else None
+    if regrid:
+        cells = align.cells(forecasts)
+        thresholds = to_grid(thresholds, cells)
+        warm = to_grid(observed.select("valid_date", *CELL, "observation_temperature"), cells, value="observation_temperature")
+        flags = [c for c in observed.columns if c.startswith("observed_")]
+        seen = observed.select("valid_date", *CELL, F.struct(*flags).alias("flags"))
+        seen = to_grid(seen, cells, value="flags", method="nearest").select("valid_date", *CELL, "flags.*")
+        observed = warm.join(seen, ["valid_date", *CELL], "left")
     return cases.canonical_cases(cases.compact_products(members, thresholds, levels=levels), observed)
 
 

@@ -10,7 +10,8 @@ from ..operators import cases as case_ops
 from ..operators.align import match_valid_date
 from ..operators.suffstats import EVENTS
 
-SUPPORTED_DAYS = range(MAX_LOCAL_DAYS)
+# Days that a local-solar product has, where neither caller nor manifest names them.
+PRODUCT_DAYS = range(MAX_LOCAL_DAYS)
 REQUIRED = (
     "forecast_temperature", "observation_temperature", "temperature_case_valid",
     *[f"{p}_{e}" for p in ("probability", "observed", "valid") for e in EVENTS],
@@ -25,26 +26,18 @@ def read_cases(frame: DataFrame) -> DataFrame:
     return case_ops.masked_cases(frame)
 
 
-def expected_days(requested=None, manifest=None) -> list[int]:
-    """Days to return: requested ones must be supported, others from a manifest are ignored."""
-    days = list(requested if requested is not None else manifest or SUPPORTED_DAYS)
-    outside = sorted(set(days) - set(SUPPORTED_DAYS))
-    if requested is not None and outside:
-        raise ValueError(f"forecast days must be within 0 to {MAX_LOCAL_DAYS - 1}: {outside}")
-    days = sorted({int(d) for d in days if d in SUPPORTED_DAYS})
-    if not days:
-        raise ValueError("forecast days must not be empty")
-    return days
-
-
 def open_cases(cases: DataFrame, requested=None, manifest_days=None, years=None, months=None) -> DataFrame:
-    """Cases with every expected day of each month that has any; absent slices are NULL."""
-    out = cases
+    """Cases with every expected day of each month that has any; absent slices are NULL.
+
+    ``requested`` days are the caller's choice and others are left out. The days of a manifest, or those
+    of the product, are expected, and further days that the cases hold are kept.
+    """
+    out = cases if requested is None else cases.where(F.col("forecast_day").isin(list(requested)))
     if years is not None:
         out = out.where(F.substring("init_month", 1, 4).cast("int").isin(list(years)))
     if months is not None:
         out = out.where(F.substring("init_month", 6, 2).cast("int").isin(list(months)))
-    return case_ops.fill_missing_days(out, expected_days(requested, manifest_days))
+    return case_ops.fill_missing_days(out, list(requested or manifest_days or PRODUCT_DAYS))
 
 
 def availability(cases: DataFrame, expected_months: DataFrame, days: list[int]) -> DataFrame:
@@ -61,8 +54,9 @@ def availability(cases: DataFrame, expected_months: DataFrame, days: list[int])
 
 def open_compact_months(products: DataFrame, observed: DataFrame, requested=None, months=(6, 7, 8, 9)) -> DataFrame:
     """Cases from monthly products; days missing in a month and dates without observation are NULL."""
-    chosen = products.where(F.month("init_time").isin(list(months))).withColumn("init_month", F.date_format("init_time", "yyyy-MM"))
-    filled = case_ops.fill_missing_days(chosen, expected_days(requested))
+    chosen = products if requested is None else products.where(F.col("forecast_day").isin(list(requested)))
+    chosen = chosen.where(F.month("init_time").isin(list(months))).withColumn("init_month", F.date_format("init_time", "yyyy-MM"))
+    filled = case_ops.fill_missing_days(chosen, list(requested or PRODUCT_DAYS))
     names = ["observation_temperature", *[f"observed_{e}" for e in EVENTS]]
     matched = match_valid_date(filled, observed, {n: n for n in names}, on_missing="null", check=False)
     return case_ops.with_masks(matched)

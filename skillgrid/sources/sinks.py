@@ -6,30 +6,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import cases as case_ops
-from ..operators.checks import small_table
 
 UNIT = ["model", "init_month", "forecast_day"]
-# Models x months x days that a key table may hold to be broadcast.
-MAX_UNITS = 100_000
 
 
-def _laid_out(frame: DataFrame, partition_by: list[str], spread: int) -> DataFrame:
-    """Rows grouped by output partition, each split over ``spread`` tasks.
+def _laid_out(frame: DataFrame, partition_by: list[str]) -> DataFrame:
+    """Rows rebalanced by output partition.
 
-    A partition of any size is written by several tasks, and small ones do not make a file per task.
+    Adaptive execution measures the shuffled bytes: a large partition is written by several tasks, and
+    small ones share a task, so neither makes a file too large nor too many.
     """
-    if spread <= 1:
-        return frame.repartition(*partition_by)
-    salt = F.pmod(F.hash("latitude", "longitude"), F.lit(spread)) if "latitude" in frame.columns else F.lit(0)
-    return frame.repartition(*partition_by, salt)
+    return frame.hint("rebalance", *partition_by)
 
 
-def write_partitioned(frame: DataFrame, path: str, partition_by: list[str], spread: int = 8) -> None:
+def write_partitioned(frame: DataFrame, path: str, partition_by: list[str]) -> None:
     """Replace exactly the partitions that the rows belong to.
 
     A new table is written plainly: only an existing one needs the per-partition commit.
     """
-    writer = _laid_out(frame, partition_by, spread).write.partitionBy(*partition_by)
+    writer = _laid_out(frame, partition_by).write.partitionBy(*partition_by)
     if table_exists(frame.sparkSession, path):
         writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.parquet(path)
@@ -52,26 +47,26 @@ def write_forecasts(frame: DataFrame, path: str, cells_per_block: float = 10.0)
     writer.parquet(path)
 
 
-def write_cases(cases: DataFrame, path: str, spread: int = 8) -> None:
+def write_cases(cases: DataFrame, path: str) -> None:
     """Canonical cases, values masked by validity, one partition per model, month and lead."""
-    write_partitioned(case_ops.masked_cases(cases), path, UNIT, spread)
+    write_partitioned(case_ops.masked_cases(cases), path, UNIT)
 
 
 def uncommitted_units(expected: DataFrame, stored: DataFrame | None) -> DataFrame:
     """Expected units that the store does not hold."""
     if stored is None:
         return expected
-    return expected.join(small_table(stored.select(*UNIT).distinct(), MAX_UNITS), UNIT, "left_anti")
+    return expected.join(stored.select(*UNIT).distinct(), UNIT, "left_anti")
 
 
 def resume(cases: DataFrame, expected: DataFrame, stored: DataFrame | None) -> DataFrame:
     """Only the cases of units still to be written."""
-    return cases.join(small_table(uncommitted_units(expected, stored), MAX_UNITS), UNIT, "left_semi")
+    return cases.join(uncommitted_units(expected, stored), UNIT, "left_semi")
 
 
 def upsert(existing: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     """Existing rows whose key the new rows do not hold, and the new rows."""
-    kept = existing.join(small_table(new.select(*keys).distinct(), MAX_UNITS), keys, "left_anti")
+    kept = existing.join(new.select(*keys).distinct(), keys, "left_anti")
     return kept.unionByName(new, allowMissingColumns=True)
 
 
@@ -85,13 +80,13 @@ def write_table(frame: DataFrame, path: str, file_format: str = "parquet") -> No
         raise ValueError("file_format must be 'parquet' or 'csv'")
 
 
-def write_products(products: DataFrame, path: str, overwrite: bool = False, spread: int = 8) -> None:
+def write_products(products: DataFrame, path: str, overwrite: bool = False) -> None:
     """Monthly products by initialization month; existing output needs ``overwrite``."""
     by_month = products.withColumn("init_month", F.date_format("init_time", "yyyy-MM"))
     if overwrite:
-        write_partitioned(by_month, path, ["init_month"], spread)
+        write_partitioned(by_month, path, ["init_month"])
     else:
-        _laid_out(by_month, ["init_month"], spread).write.mode("error").partitionBy("init_month").parquet(path)
+        _laid_out(by_month, ["init_month"]).write.mode("error").partitionBy("init_month").parquet(path)
 
 
 def append_batch(frame: DataFrame, path: str, partition_by: list[str] | None = None) -> None:

@@ -9,8 +9,6 @@ from pyspark.sql import functions as F
 
 from ..functions.geo import Region
 
-MAX_REGIONS = 1000
-
 
 def read_table(spark: SparkSession, path: str, file_format: str = "parquet", schema=None) -> DataFrame:
     """A Parquet or CSV table; CSV needs a schema."""
@@ -29,12 +27,9 @@ def concatenate(frames: list[DataFrame]) -> DataFrame:
 
 
 def regions_from_table(frame: DataFrame) -> list[Region]:
-    """Regions from a table of names and bounds; a missing pair of bounds is open."""
-    rows = frame.limit(MAX_REGIONS + 1).collect()
-    if len(rows) > MAX_REGIONS:
-        raise ValueError(f"more than {MAX_REGIONS} regions")
+    """Regions from a table of names and bounds, which is configuration; a missing pair of bounds is open."""
     out = []
-    for r in rows:
+    for r in frame.toLocalIterator():
         for low, high in (("lat_min", "lat_max"), ("lon_min", "lon_max")):
             if (r[low] is None) != (r[high] is None):
                 raise ValueError(f"region {r['name']!r} needs both of {low}, {high} or neither")

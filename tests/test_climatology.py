@@ -145,10 +145,11 @@ def test_case_fill_keeps_missing_slices_visible(spark):
     data = [("m", ts("2022-06-01T00:00:00"), "2022-06", d, 0.0, 0.0, 1.0, 1.0, True) for d in (0, 2, 99)]
     frame = spark.createDataFrame(data, columns)
     out = source.open_cases(frame, manifest_days=[0, 1, 2, 99])
-    assert rows(out, "forecast_day", "forecast_temperature", "temperature_case_valid", by=["forecast_day"]) == [(0, 1.0, True), (1, None, False), (2, 1.0, True)]
+    assert rows(out, "forecast_day", "forecast_temperature", "temperature_case_valid", by=["forecast_day"]) == [(0, 1.0, True), (1, None, False), (2, 1.0, True), (99, 1.0, True)]
+    assert [r.forecast_day for r in source.open_cases(frame, requested=[1, 2]).orderBy("forecast_day").collect()] == [1, 2]
+    held = source.open_cases(frame)
+    assert held.count() == 16 and held.where("forecast_day = 99").count() == 1  # the product's days, and one beyond them
     expected = spark.createDataFrame([("m", "2022-06"), ("m", "2022-07")], "model string, init_month string")
     assert [r.init_month for r in case_ops.missing_months(frame, expected).collect()] == ["2022-07"]
     status = {(r.init_month, r.forecast_day): r.status for r in source.availability(frame, expected, [0, 1]).collect()}
     assert status == {("2022-06", 0): "complete", ("2022-06", 1): "missing", ("2022-07", 0): "missing_month", ("2022-07", 1): "missing_month"}
-    with pytest.raises(ValueError):
-        source.expected_days(requested=[15])

@@ -1,5 +1,6 @@
 import pytest
 from helpers import day, rows, ts
+from pyspark.sql import functions as F
 
 from skillgrid.operators import daily
 
@@ -92,3 +93,10 @@ def test_local_observation_days_drop_partial_days(spark):
 def test_unknown_statistic(spark):
     with pytest.raises(ValueError):
         daily.local_solar_observation_days(spark.createDataFrame([], OBS), "median")
+
+
+def test_local_days_have_no_end(spark):
+    data = [(ts("2024-01-01T00:00:00"), 6 * i, 0, 0.0, 0.0, 1.0) for i in range(21 * 4)]
+    fc = spark.createDataFrame(data, FC)
+    assert daily.local_solar_days(fc).agg(F.max("local_forecast_day")).first()[0] == 20
+    assert daily.local_solar_days(fc, max_days=3).agg(F.max("local_forecast_day")).first()[0] == 2

@@ -9,34 +9,41 @@ from skillgrid.streaming import incremental
 FC = "init_time timestamp_ntz, lead_hours int, member int, latitude double, longitude double, value double"
 
 
-def test_six_hourly_stream_publishes_complete_intervals(spark):
+def test_six_hourly_stream_counts_late_hours(spark):
     data = [(ts("2024-01-01T00:00:00") + timedelta(hours=h), 0.0, 0.0, 1.0) for h in range(1, 32)]
-    folder = scratch_path(spark, "hourly")
-    frame = spark.createDataFrame(data, "valid_time timestamp_ntz, latitude double, longitude double, tp double")
-    frame.coalesce(1).write.parquet(folder)
-    out = scratch_path(spark, "out")
-    incremental.publish_six_hourly(incremental.stream_parquet(spark, folder, frame.schema), out, scratch_path(spark, "cp")).awaitTermination()
-    got = rows(spark.read.parquet(out).withColumn("valid_time", F.date_format("valid_time", "dd HH")), "valid_time", "tp")
-    assert got == [("01 06", 6.0), ("01 12", 6.0), ("01 18", 6.0), ("02 00", 6.0), ("02 06", 6.0)]
-
-
-def test_new_files_are_scored_once(spark):
-    folder, out, progress = (scratch_path(spark, x) for x in ("fc", "scored", "cp"))
+    folder, out, progress = (scratch_path(spark, x) for x in ("hourly", "out", "cp"))
+    schema = "valid_time timestamp_ntz, latitude double, longitude double, tp double"
+    # Newest first, in files that split intervals, with a restart after each.
+    for start in (24, 16, 8, 0):
+        frame = spark.createDataFrame(data[start : start + 8], schema)
+        frame.coalesce(1).write.mode("append").parquet(folder)
+        incremental.keep_six_hourly(incremental.stream_parquet(spark, folder, frame.schema), out, progress).awaitTermination()
+    want = [("01 06", 6.0), ("01 12", 6.0), ("01 18", 6.0), ("02 00", 6.0), ("02 06", 6.0), ("02 12", None)]
+    show = F.date_format("valid_time", "dd HH")
+    assert rows(incremental.six_hourly(spark.read.parquet(out)).withColumn("valid_time", show), "valid_time", "tp") == want
+    short = scratch_path(spark, "merged")
+    incremental.merged(spark.read.parquet(out), ["end", "latitude", "longitude"], short)
+    assert spark.read.parquet(short).count() == 6
+    assert rows(incremental.six_hourly(spark.read.parquet(short)).withColumn("valid_time", show), "valid_time", "tp") == want
+
+
+def test_cases_are_scored_once_however_members_arrive(spark):
+    folder, out, progress = (scratch_path(spark, x) for x in ("fc", "counts", "cp"))
     obs = spark.createDataFrame([(ts("2024-01-01T00:00:00") + timedelta(hours=6 * i), 0.0, 0.0, float(i)) for i in range(9)], "valid_time timestamp_ntz, latitude double, longitude double, value double")
 
-    def arrive(start):
-        data = [(ts(start), 6 * i, m, 0.0, 0.0, float(i + m)) for i in range(4) for m in range(2)]
+    def arrive(member, start="2024-01-01T00:00:00"):
+        data = [(ts(start), 6 * i, member, 0.0, 0.0, float(i + member)) for i in range(4)]
         frame = spark.createDataFrame(data, FC)
         frame.coalesce(1).write.mode("append").parquet(folder)
-        incremental.score_new_cases(incremental.stream_parquet(spark, folder, frame.schema), obs, 2.0, out, progress).awaitTermination()
+        incremental.count_new_cases(incremental.stream_parquet(spark, folder, frame.schema), 2.0, out, progress).awaitTermination()
+        return incremental.scored(spark.read.parquet(out), obs, 2.0)
 
-    arrive("2024-01-01T00:00:00")
-    assert spark.read.parquet(out).count() == 4
-    arrive("2024-01-02T00:00:00")
-    assert spark.read.parquet(out).count() == 8
+    assert arrive(0).count() == 4
+    assert arrive(1).count() == 4
+    assert arrive(0, "2024-01-02T00:00:00").count() == 8
     batch = incremental.score_rows(spark.read.parquet(folder), obs, 2.0)
     columns = ("init_time", "lead_hours", "brier_score")
-    assert rows(spark.read.parquet(out), *columns) == rows(batch, *columns)
+    assert rows(incremental.scored(spark.read.parquet(out), obs, 2.0), *columns) == rows(batch, *columns)
 
 
 def test_running_sums_continue_after_restart(spark):

@@ -15,7 +15,7 @@ def test_sample_leads_of_days(spark):
 @pytest.mark.parametrize("bad", [[], [0], [1, 1], [True], [1.5]])
 def test_forecast_days_are_checked(bad):
     with pytest.raises(ValueError):
-        timefn.check_forecast_days(bad)
+        timefn.day_list(bad)
 
 
 def test_utc_forecast_day_puts_24_hours_in_day_one(spark):
@@ -26,15 +26,15 @@ def test_utc_forecast_day_puts_24_hours_in_day_one(spark):
 def test_valid_time_mask_counts_from_the_initialization_date(spark):
     data = [(ts("2024-01-01T00:00:00"), h) for h in (114, 120, 126)] + [(ts("2024-01-01T06:00:00"), h) for h in (114, 120, 126)]
     frame = spark.createDataFrame(data, "init_time timestamp_ntz, lead_hours int")
-    out = frame.withColumn("m", select.valid_time_mask(F.col("init_time"), F.col("lead_hours"), 0, 5))
+    out = frame.withColumn("m", select.valid_at(F.col("init_time"), F.col("lead_hours"), hours=[0], days_after=[5]))
     assert [r.m for r in out.orderBy("init_time", "lead_hours").collect()] == [False, True, False, True, False, False]
 
 
 def test_valid_time_mask_rejects_bad_arguments():
     with pytest.raises(ValueError):
-        select.valid_time_mask(F.lit(1), F.lit(1), 24)
+        select.valid_at(F.lit(1), F.lit(1), hours=[24])
     with pytest.raises(ValueError):
-        select.valid_time_mask(F.lit(1), F.lit(1), None, [])
+        select.valid_at(F.lit(1), F.lit(1), hours=[0, -1])
 
 
 @pytest.mark.parametrize("lon,offset", [(0, 0), (44.75, 0), (45, 6), (134.75, 6), (135, 12), (179.75, 12), (180, -12), (224.75, -12), (225, -6), (314.75, -6), (315, 0), (359.75, 0), (-180, -12), (-135, -6), (-45.25, -6), (-45, 0)])
@@ -81,7 +81,7 @@ def test_land_region_needs_a_mask():
 
 def test_unknown_region_is_an_error():
     with pytest.raises(KeyError):
-        geo.select_regions(geo.REGIONS, ["atlantis"])
+        geo.regions_named(geo.REGIONS, "atlantis")
 
 
 def test_longitudes_that_meet_after_wrapping_are_an_error(spark):
