@@ -6,9 +6,10 @@
 2. A second pass orders each set rarest first by the sketch (any one order is right; this one keeps common
    n-grams out of prefixes) and emits the prefix: the n-grams of which two linked sets share one at least.
 3. Nodes that share a prefix n-gram are candidates if size, position and suffix allow it. All pairs of a
-   large group are never emitted: in each of a few rounds every node is compared with one leader of
-   each of its n-grams, and n-grams whose nodes already lie in one component drop out. Only what is then
-   left, n-grams that hold nodes of different components, is joined in full, so no component is missed.
+   large group are never emitted: in each of a few rounds every node is compared with one leader, the
+   most typical node among the holders of its n-grams, and n-grams whose nodes already lie in one
+   component drop out. Only what is then left, n-grams that hold nodes of different components, is
+   joined in full, so no component is missed.
 4. A candidate pair is verified once on the two whole texts.
 
 Texts move only for candidates. Intermediate tables lie in the shared folder; a lost executor costs its tasks.
@@ -175,7 +176,10 @@ def rarity(surveyed: DataFrame) -> np.ndarray:
 
 
 def prefixes(docs: DataFrame, levels, words: int, percent: int) -> DataFrame:
-    """(token, node, size_place, classes) of every n-gram in a set's rare-first prefix."""
+    """(token, node, size_place, classes) of every n-gram in a set's rare-first prefix.
+
+    ``size_place`` packs how common the prefix's n-grams are (8 bits), the set's size and the place (28 bits each).
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         level = levels.value
@@ -196,7 +200,8 @@ def prefixes(docs: DataFrame, levels, words: int, percent: int) -> DataFrame:
                 order = np.argsort(level[(z >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)], kind="stable")[:m]
                 tokens.append(z[order].view(np.int64))
                 nodes.append(np.full(m, node, np.int64))
-                places.append((len(z) << 32) + np.arange(m, dtype=np.int64))
+                typical = int(level[(z[order] >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)].mean() * 2)  # below 128
+                places.append((typical << 56) + (len(z) << 28) + np.arange(m, dtype=np.int64))
                 classes.append(np.full(m, class_counts(z), np.int64))
             if tokens:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in (tokens, nodes, places, classes)], schema=schema)
@@ -206,8 +211,8 @@ def prefixes(docs: DataFrame, levels, words: int, percent: int) -> DataFrame:
 
 def possible(a: str, b: str, percent: int):
     """Whether two prefix entries with one n-gram may belong to linked sets."""
-    na, nb = (F.shiftright(f"{s}size_place", 32) for s in (a, b))
-    pa_, pb = (F.col(f"{s}size_place").bitwiseAND(F.lit((1 << 32) - 1)) for s in (a, b))
+    na, nb = (F.shiftright(f"{s}size_place", 28).bitwiseAND(F.lit((1 << 28) - 1)) for s in (a, b))
+    pa_, pb = (F.col(f"{s}size_place").bitwiseAND(F.lit((1 << 28) - 1)) for s in (a, b))
     overlap = F.ceil(percent * (na + nb) / F.lit(100 + percent))  # of linked sets, at least
     size = 100 * F.least(na, nb) >= percent * F.greatest(na, nb)
     position = F.lit(1) + F.least(na - pa_ - 1, nb - pb - 1) >= overlap
@@ -216,33 +221,41 @@ def possible(a: str, b: str, percent: int):
     return size & position & (apart <= na + nb - 2 * overlap)
 
 
-def with_components(entries: DataFrame, comps: DataFrame | None) -> DataFrame:
+def undecided(entries: DataFrame, comps: DataFrame | None, turn: int) -> DataFrame:
+    """Entries of n-grams whose nodes lie in more than one component, with the n-gram's leader.
+
+    The leader is the node with the most common prefix: copies with changes have rare n-grams of their own.
+    """
     if comps is None:
-        return entries.withColumn("component", F.col("node"))
-    joined = entries.join(comps, "node", "left")
-    return joined.withColumn("component", F.coalesce("component", "node"))
+        placed = entries.withColumn("component", F.col("node"))
+    else:
+        placed = entries.select(*ENTRY).join(checked_broadcast(comps), "node", "left").withColumn("component", F.coalesce("component", "node"))
+    holders = Window.partitionBy("token")
+    order = F.struct(F.shiftright("size_place", 56).alias("typical"), F.xxhash64(F.lit(turn), "node").alias("order"), "node", "size_place", "classes", "component")
+    return (
+        placed.repartition("token")
+        .withColumn("lo", F.min("component").over(holders))
+        .withColumn("hi", F.max("component").over(holders))
+        .withColumn("l", F.max(order).over(holders))
+        .where("lo < hi")
+        .select(*ENTRY, "component", "l")
+    )
 
 
-def undecided(entries: DataFrame) -> DataFrame:
-    """Entries of n-grams whose nodes lie in more than one component."""
-    spread = entries.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
-    return entries.join(spread.select("token"), "token")
+ENTRY = ("token", "node", "size_place", "classes")
 
 
-def star_pairs(entries: DataFrame, turn: int, percent: int) -> DataFrame:
-    """Each node with the leader of each of its n-grams."""
-    order = F.xxhash64(F.lit(turn), "node")
-    leaders = entries.groupBy("token").agg(
-        F.min(F.struct(order.alias("o"), "node", "size_place", "classes", "component")).alias("l")
-    ).select("token", *[F.col(f"l.{c}").alias(f"l_{c}") for c in ("node", "size_place", "classes", "component")])
-    both = entries.join(leaders, "token").where((F.col("component") != F.col("l_component")) & possible("", "l_", percent))
-    return both.select(F.least("node", "l_node").alias("x"), F.greatest("node", "l_node").alias("y")).distinct()
+def star_pairs(entries: DataFrame, percent: int) -> DataFrame:
+    """Each node with one leader of its n-grams, the most typical that it may be linked with."""
+    lead = entries.select(*ENTRY, "component", *[F.col(f"l.{c}").alias(f"l_{c}") for c in ("typical", "order", "node", "size_place", "classes", "component")])
+    lead = lead.where((F.col("component") != F.col("l_component")) & possible("", "l_", percent))
+    best = lead.groupBy("node").agg(F.max(F.struct("l_typical", "l_order", "l_node")).alias("b"))
+    return best.select(F.least("node", "b.l_node").alias("x"), F.greatest("node", "b.l_node").alias("y")).distinct()
 
 
 def all_pairs(entries: DataFrame, percent: int) -> DataFrame:
     """Every pair of nodes of different components that share an n-gram and may be linked."""
-    a = entries.select(*[F.col(c).alias(f"a_{c}") for c in entries.columns])
-    b = entries.select(*[F.col(c).alias(f"b_{c}") for c in entries.columns])
+    a, b = (entries.select(*[F.col(c).alias(f"{s}_{c}") for c in (*ENTRY, "component")]) for s in ("a", "b"))
     rule = (F.col("a_token") == F.col("b_token")) & (F.col("a_node") < F.col("b_node")) & (F.col("a_component") != F.col("b_component"))
     both = a.join(b, rule & possible("a_", "b_", percent))
     return both.select(F.col("a_node").alias("x"), F.col("b_node").alias("y")).distinct()
@@ -300,28 +313,21 @@ def near_duplicates(
         raise ValueError("two sets share a 64-bit fingerprint; change the constants of the hash")
     homes = classes.select("node", "doc_id")
     levels = sc.broadcast(rarity(surveyed))
-    token = Window.partitionBy("token")
-    entries = (
-        prefixes(docs.where("doc_id is not null"), levels, words, percent)
-        .repartition("token")
-        .dropDuplicates(["token", "node"])
-        .withColumn("lo", F.min("node").over(token))
-        .withColumn("hi", F.max("node").over(token))
-        .where("lo < hi")  # n-grams of one set only are most of all
-        .drop("lo", "hi")
-    )
-    entries = materialize(entries, "entries")
+    # Equal sets met by several tasks stay until the first shuffle; most n-grams, those of one set, go there.
+    entries = prefixes(docs.where("doc_id is not null"), levels, words, percent).repartition("token").dropDuplicates(["token", "node"])
     links, comps = None, None
     for turn in range(ROUNDS + 1):
-        open_entries = materialize(undecided(with_components(entries, comps)), "open")
-        pairs = star_pairs(open_entries, turn, percent) if turn < ROUNDS else all_pairs(open_entries, percent)
+        entries = materialize(undecided(entries, comps, turn), "entries")
+        pairs = star_pairs(entries, percent) if turn < ROUNDS else all_pairs(entries, percent)
         pairs = materialize(pairs, "pairs")
         if not pairs.limit(1).count():
             continue
         found = materialize(verified(pairs, docs, homes, words, percent), "links")
         links = found if links is None else links.unionByName(found)
         comps = materialize(components(links), "components")
-    named = homes.select("node", "doc_id", F.col("node").alias("component")) if comps is None else with_components(homes, comps)
+    named = homes.withColumn("component", F.col("node"))
+    if comps is not None:
+        named = homes.join(comps, "node", "left").withColumn("component", F.coalesce("component", "node"))
     smallest = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     named = named.join(smallest, "component").select("node", "component_id")
     with_text = rows.where("n > 0 and doc_id is not null").join(named, "node")
