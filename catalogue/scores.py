@@ -354,6 +354,34 @@ def regional_verification(spark, sf_dir):
     return a.select(*columns).unionByName(out["probability"].select(*columns))
 
 
+def _regional(spark, sf_dir, rows=None):
+    from skillgrid.plans.jobs import regional_verification as job
+
+    return job(V.cs(spark, sf_dir) if rows is None else rows, REGIONS, cutoffs=CUTOFFS, edges=EDGES, levels=V.COVERAGES)
+
+
+@query("e6_reliability", f"WITH {REL} SELECT model, region, {n('forecast_day')}, event, {n('bin')}, {r('wp/nullif(wc,0)','mean_forecast_probability')}, {r('wo/nullif(wc,0)','observed_frequency')}, {n('uc','unweighted_count')} FROM rl")
+def regional_reliability(spark, sf_dir):
+    out = _regional(spark, sf_dir)["reliability"]
+    return out.select("model", "region", "forecast_day", "event", "bin", "mean_forecast_probability", "observed_frequency", "unweighted_count")
+
+
+@query("e6_intervals", f"""WITH {INT} SELECT model, region, {n('forecast_day')}, {r('nominal_coverage')}, subset, 'available' AS status, {r('num/nullif(den,0)','empirical_weighted_coverage')}, {r('wn/nullif(den,0)','mean_interval_width')} FROM iv WHERE model<>'m1'
+  UNION ALL SELECT 'm1', g.region, {n('forecast_day')}, {r('c','nominal_coverage')}, subset, 'unavailable', NULL, NULL FROM (SELECT DISTINCT forecast_day FROM cs WHERE model='m1'),
+  (SELECT unnest({[x.name for x in REGIONS]}) AS region) AS g, (SELECT unnest({[float(c) for c in V.COVERAGES]}) AS c), {_SUBSETS}""")
+def regional_intervals(spark, sf_dir):
+    # One of the models is deterministic.
+    cases = V.cs(spark, sf_dir)
+    cases = cases.withColumn("quantiles", F.when(F.col("model") != "m1", F.col("quantiles")))
+    out = _regional(spark, sf_dir, cases)["interval"]
+    return out.select("model", "region", "forecast_day", "nominal_coverage", "subset", "status", "empirical_weighted_coverage", "mean_interval_width")
+
+
+@query("e6_maps", f"WITH {SPATIAL} SELECT model, {n('forecast_day')}, {r('latitude')}, {r('longitude')}, {_SPATIAL_FINAL} FROM sp")
+def regional_maps(spark, sf_dir):
+    return _regional(spark, sf_dir, V.cs(spark, sf_dir).drop("quantiles"))["spatial"].drop(*finals.SPATIAL_SUMS)
+
+
 _SHARED = "(SELECT * FROM cs WHERE forecast_day IN (0,3,6,9,12) AND init_time IN (SELECT init_time FROM cs WHERE forecast_day IN (0,3,6,9,12) GROUP BY init_time HAVING count(DISTINCT model)=3))"
 _CARD8 = f"{REGION_CELLS}, {_CARD_BASE.format(source=_SHARED)}, {_CARD}, {_LONG}"
 _BENCH8 = _BENCH.format(source="(SELECT * FROM shr WHERE model='m0')")

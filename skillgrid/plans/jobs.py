@@ -11,6 +11,7 @@ from ..operators.ensemble import spread
 from ..operators.regrid import to_grid
 from ..session import materialize
 
+NO_QUANTILES = "no ensemble quantiles"
 TEMPERATURE_STATISTICS = ["t2m_min_6h", "t2m_mean_6h", "t2m_max_6h"]
 
 
@@ -80,18 +81,31 @@ def forecast_cases(forecasts: DataFrame, thresholds: DataFrame, observed: DataFr
 
 
 def regional_statistics(case_table: DataFrame, regions, *, by=suffstats.BY, cutoffs=(0.5,), edges=suffstats.RELIABILITY_EDGES, levels=suffstats.INTERVAL_LEVELS, land_mask: DataFrame | None = None) -> dict[str, DataFrame]:
-    """All statistics tables of stored cases, by default per initialization month."""
+    """All statistics tables of stored cases, by default per initialization month: four by region, and maps."""
     events = suffstats.event_rows(case_table)
     return {
         "deterministic": suffstats.deterministic_table(case_table, regions, by, land_mask),
         "probability": suffstats.probability_table(events, regions, cutoffs, by, land_mask),
         "reliability": suffstats.reliability_table(events, regions, edges, by, land_mask),
-        "interval": suffstats.interval_table(case_table, regions, levels, by, land_mask),
+        "interval": interval_statistics(case_table, regions, levels, by, land_mask),
+        "spatial": suffstats.spatial_cells(case_table, by),
     }
 
 
+def interval_statistics(case_table: DataFrame, regions, levels, by, land_mask: DataFrame | None = None) -> DataFrame:
+    """Interval coverage of the cases with quantiles; slices without any have rows that say so."""
+    slices = case_table.select(*by).distinct()
+    if "quantiles" not in case_table.columns:
+        return suffstats.unavailable_intervals(slices, regions, levels, NO_QUANTILES)
+    held = case_table.where(F.col("quantiles").isNotNull())
+    bare = slices.join(held.select(*by).distinct(), by, "left_anti")
+    return suffstats.interval_table(held, regions, levels, by, land_mask).unionByName(
+        suffstats.unavailable_intervals(bare, regions, levels, NO_QUANTILES), allowMissingColumns=True
+    )
+
+
 def regional_verification(case_table: DataFrame, regions, store_cases: bool = True, **options) -> dict[str, DataFrame]:
-    """Final tables by region; cases that feed several tables are written once.
+    """Final tables by region and final maps; cases that feed several tables are written once.
 
     Cases read from a store need no second copy: pass ``store_cases=False``.
     """
