@@ -48,12 +48,16 @@ def lead_day(spark, sf_dir):
     return daily.lead_days(V.fc6(spark, sf_dir), max_days=10)
 
 
-@query("ag5_utc_observation_day", f"""WITH x AS (SELECT CAST(valid_time AS DATE) AS day, latitude, longitude, t2m, NULL AS tp FROM obs1h WHERE hour(valid_time)%6=0
-   UNION ALL SELECT CAST(valid_time-INTERVAL 6 HOUR AS DATE), latitude, longitude, NULL, tp FROM obs1h WHERE hour(valid_time)%6=0)
+SIX = """six AS (SELECT time_bucket(INTERVAL 6 HOUR, valid_time-INTERVAL 1 MICROSECOND, TIMESTAMP '2024-01-01')+INTERVAL 6 HOUR AS e, latitude, longitude,
+   max(CASE WHEN hour(valid_time)%6=0 THEN t2m END) AS t2m, CASE WHEN count(tp)=6 THEN sum(tp) END AS tp, count(tp) AS k FROM obs1h GROUP BY ALL)"""
+
+
+@query("ag5_utc_observation_day", f"""WITH {SIX}, x AS (SELECT CAST(e AS DATE) AS day, latitude, longitude, t2m, NULL AS tp FROM six
+   UNION ALL SELECT CAST(e-INTERVAL 6 HOUR AS DATE), latitude, longitude, NULL, tp FROM six)
   SELECT {d('day')}, {r('latitude')}, {r('longitude')}, {r('min(t2m)','t2m_min_6h')}, {r('avg(t2m)','t2m_mean_6h')}, {r('max(t2m)','t2m_max_6h')}, {r('CASE WHEN count(tp)>=4 THEN sum(tp) END','total_precipitation')}
   FROM x GROUP BY day, latitude, longitude""")
 def utc_observation_day(spark, sf_dir):
-    return daily.utc_observation_days(V.obs1h(spark, sf_dir).where("hour(valid_time) % 6 = 0"))
+    return daily.utc_observation_days(daily.six_hourly_from_hourly(V.obs1h(spark, sf_dir)))
 
 
 @query("ag6_local_solar_day", f"""SELECT {t('init_time')}, {n('member')}, {r('latitude')}, {r('longitude')}, {d('valid_date')}, {n('local_forecast_day')}, {r('mean','t2m_daily_mean')} FROM day6""")
@@ -77,10 +81,6 @@ def local_observation_day(spark, sf_dir):
     return daily.local_solar_observation_days(V.obs6(spark, sf_dir), "min")
 
 
-SIX = """six AS (SELECT time_bucket(INTERVAL 6 HOUR, valid_time-INTERVAL 1 MICROSECOND, TIMESTAMP '2024-01-01')+INTERVAL 6 HOUR AS e, latitude, longitude,
-   max(CASE WHEN hour(valid_time)%6=0 THEN t2m END) AS t2m, CASE WHEN count(tp)=6 THEN sum(tp) END AS tp, count(tp) AS k FROM obs1h GROUP BY ALL)"""
-
-
 @query("ag9_six_hourly", f"WITH {SIX} SELECT {t('e','valid_time')}, {r('latitude')}, {r('longitude')}, {r('t2m')}, {r('tp')}, {n('k','hours_present')} FROM six")
 def six_hourly(spark, sf_dir):
     return daily.six_hourly_from_hourly(V.obs1h(spark, sf_dir))
@@ -220,14 +220,15 @@ def temperature_grid(spark, sf_dir):
 
 
 _MM = {"40mm": 40.0, "100mm": 100.0}
-_RAIN = """rn AS (SELECT init_time, lead_hours//24 AS dd, member, latitude, longitude, value*4 AS su FROM fc6 WHERE lead_hours IN (24,72,120))"""
+_RAIN = """rn AS (SELECT init_time, CAST(ceil(lead_hours/24.0) AS INTEGER) AS dd, member, latitude, longitude, sum(value) AS su FROM fc6
+  WHERE lead_hours>0 AND ceil(lead_hours/24.0) IN (1,3,5) GROUP BY ALL)"""
 RAIN_GRID = f"{_RAIN}, {SAMPLES}, {_SMP_DAY}, {_grid_sql('rn', {'su': 'total_precipitation'}, _MM, 80.0)}"
 
 
 def daily_rain(spark, sf_dir):
-    """Daily totals on their own lead axis."""
-    rows = V.fc6(spark, sf_dir).where("lead_hours > 0 and lead_hours % 24 = 0")
-    return rows.select("init_time", (F.col("lead_hours") / 24).cast("int").alias("lead_days"), "member", *CELLS, (F.col("value") * 4).alias("value"))
+    """Daily totals, the sum of a day's leads, on their own lead axis."""
+    rows = V.fc6(spark, sf_dir).where("lead_hours > 0")
+    return rows.groupBy("init_time", F.ceil(F.col("lead_hours") / 24).cast("int").alias("lead_days"), "member", *CELLS).agg(F.sum("value").alias("value"))
 
 
 def rain_grid(spark, sf_dir):
