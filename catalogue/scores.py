@@ -342,6 +342,31 @@ def canonical_cases(spark, sf_dir):
     )
 
 
+@query("e5_cases_on_other_grid", f"""WITH q AS (SELECT t.latitude AS lat, a.doy, a.longitude, 0.25*a.value+0.75*b.value AS v FROM (VALUES (-30.0::DOUBLE, 0.0::DOUBLE), (0.0::DOUBLE, 30.0::DOUBLE)) AS t(below, latitude)
+    JOIN thr a ON a.latitude=t.below AND a.percentile=90.0 JOIN thr b ON b.latitude=t.latitude AND b.percentile=90.0 AND b.doy=a.doy AND b.longitude=a.longitude),
+  y AS (SELECT t.latitude AS lat, a.valid_date, a.longitude, 0.25*a.value+0.75*b.value AS v FROM (VALUES (-30.0::DOUBLE, 0.0::DOUBLE), (0.0::DOUBLE, 30.0::DOUBLE)) AS t(below, latitude)
+    JOIN ob a ON a.latitude=t.below JOIN ob b ON b.latitude=t.latitude AND b.valid_date=a.valid_date AND b.longitude=a.longitude),
+  c AS (SELECT init_time, local_forecast_day AS fd, day6.latitude, day6.longitude, valid_date, avg(mean) AS m, avg(CASE WHEN mean>q.v THEN 1.0 WHEN NOT mean>q.v THEN 0.0 END) AS p
+    FROM day6 LEFT JOIN q ON q.doy=dayofyear(valid_date) AND q.lat=day6.latitude AND q.longitude=day6.longitude GROUP BY ALL)
+  SELECT {n('fd','forecast_day')}, {n('count(*)','cases')}, {r('avg(m)','mean_forecast')}, {r('avg(p)','mean_probability')}, {n('count(y.v)','with_observation')}, {r('avg(y.v)','mean_observation')}, {n('count(*) FILTER (WHERE y.v IS NOT NULL AND ob.value>25)','hot')}
+  FROM c LEFT JOIN y ON y.valid_date=c.valid_date AND y.lat=c.latitude AND y.longitude=c.longitude LEFT JOIN ob ON ob.valid_date=c.valid_date AND ob.latitude=c.latitude AND ob.longitude=c.longitude GROUP BY fd""")
+def cases_on_other_grid(spark, sf_dir):
+    from skillgrid.plans.jobs import forecast_cases
+
+    # Thresholds and observations lie 7.5 degrees north of the forecast's cells.
+    moved = lambda frame: frame.withColumn("latitude", F.col("latitude") + 7.5)
+    y = F.col("observation_temperature")
+    seen = moved(V.ob(spark, sf_dir)).withColumnRenamed("value", "observation_temperature")
+    seen = seen.withColumns({f"observed_{e}": y > lim for e, lim in zip(EVENTS, V.OBSERVED_LIMITS)})
+    thresholds = moved(V.thr(spark, sf_dir).where("percentile = 90.0"))
+    rows = forecast_cases(V.fc6(spark, sf_dir), thresholds, seen, quantiles=False, regrid=True)
+    seen_at_all = y.isNotNull()
+    return rows.groupBy("forecast_day").agg(
+        F.count("*").alias("cases"), F.avg("forecast_temperature").alias("mean_forecast"), F.avg("probability_hot_day_q95").alias("mean_probability"),
+        F.count(y).alias("with_observation"), F.avg(y).alias("mean_observation"), F.count_if(seen_at_all & F.col("observed_hot_day_q95")).alias("hot"),
+    )
+
+
 @query("e6_regional_verification", f"""WITH {DET}, {_EP}, {_PR}, {_DC}, {FINAL_P} SELECT model, region, {n('forecast_day')}, subset, NULL::VARCHAR AS event, metric, NULL::DOUBLE AS decision_threshold,
   {r("CASE WHEN metric='rmse' THEN sqrt(sum(numerator)/nullif(sum(denominator),0)) ELSE sum(numerator)/nullif(sum(denominator),0) END",'value')} FROM det GROUP BY model, region, forecast_day, subset, metric
   UNION ALL SELECT model, region, {n('forecast_day')}, 'all', event, metric, {r('decision_threshold')}, {r('value')} FROM fp""")
