@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import functions as F
 
 from skillgrid.functions.geo import REGIONS, Region
@@ -95,6 +97,15 @@ def reindex(spark, sf_dir):
     return out.groupBy("latitude", "longitude").agg(F.count("value").alias("observed"))
 
 
+@query("j8_reindex_times", f"""SELECT {r('c.latitude','latitude')}, {r('c.longitude','longitude')}, {t('c.vt','valid_time')}, {r('o.value','value')} FROM
+  (SELECT * FROM (SELECT DISTINCT latitude, longitude FROM fc), (SELECT unnest([TIMESTAMP '1995-01-01 06:00:00', TIMESTAMP '1998-01-02 00:00:00', TIMESTAMP '2031-01-01 00:00:00']) AS vt)) c
+  LEFT JOIN ob6 o ON o.latitude=c.latitude AND o.longitude=c.longitude AND o.valid_time=c.vt""")
+def reindex_times(spark, sf_dir):
+    times = [datetime(1995, 1, 1, 6), datetime(1998, 1, 2), datetime(2031, 1, 1)]
+    out = align.reindex_cells(V.ob6(spark, sf_dir), align.cells(V.fc(spark, sf_dir)), times)
+    return out.select("latitude", "longitude", "valid_time", "value")
+
+
 # Targets halfway and a third of the way between source coordinates, and outside the range.
 _LAT_T, _LON_T = [-75.0, -60.0, -45.0, -20.0, 0.0, 7.5, 60.0], [10.0, 30.0, 45.0, 110.0, 150.0, 325.0, 330.0]
 

@@ -126,9 +126,17 @@ def common_cells(*frames: DataFrame) -> list[DataFrame]:
     return [frame.join(shared, CELL, "left_semi") for frame in frames]
 
 
-def reindex_cells(observations: DataFrame, model_cells: DataFrame, times: DataFrame | None = None) -> DataFrame:
-    """Observations on the model grid; model cells without any observation get one NULL row."""
-    return model_cells.join(observations, CELL, "left")
+def reindex_cells(observations: DataFrame, model_cells: DataFrame, times: list | None = None, time: str = "valid_time") -> DataFrame:
+    """Observations on the model grid.
+
+    With ``times``, every model cell has a row for each of them, NULL where nothing was observed. Without,
+    a cell has its observed times, and one without any observation one NULL row.
+    """
+    if times is None:
+        return model_cells.join(observations, CELL, "left")
+    kind = observations.schema[time].dataType
+    axis = F.explode(F.array(*[F.lit(t).cast(kind) for t in times]))
+    return model_cells.withColumn(time, axis).join(observations, [time, *CELL], "left")
 
 
 def common_initializations(cases: DataFrame) -> DataFrame:

@@ -145,7 +145,12 @@ def latest_complete_six_hours(hourly: DataFrame) -> DataFrame:
 
 def yearly_validation(observations: DataFrame, cadence_hours: int, grid: tuple[int, int], partial_final_year: bool = False) -> DataFrame:
     """Steps, bounds, grid size and verdict per year."""
-    per_time = observations.groupBy("valid_time").agg(F.count_distinct("latitude").alias("n_lat"), F.count_distinct("longitude").alias("n_lon"))
+    # Coordinates become distinct before they are counted; two distinct counts at once would double every row.
+    per_axis = [
+        observations.select("valid_time", axis).distinct().groupBy("valid_time").agg(F.count(axis).alias(name))
+        for axis, name in (("latitude", "n_lat"), ("longitude", "n_lon"))
+    ]
+    per_time = per_axis[0].join(per_axis[1], "valid_time")
     table = per_time.groupBy(F.year("valid_time").alias("year")).agg(
         F.count("*").alias("steps"), F.min("valid_time").alias("first"), F.max("valid_time").alias("last"),
         F.min("n_lat").alias("n_lat"), F.min("n_lon").alias("n_lon"),

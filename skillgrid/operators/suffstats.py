@@ -110,14 +110,6 @@ def reliability_bin(probability: Column, edges) -> Column:
     return F.when(inside, F.least(F.size(passed) - 1, F.lit(len(edges) - 2)))
 
 
-def reliability_cells(events: DataFrame, edges=RELIABILITY_EDGES, by: list[str] = BY) -> DataFrame:
-    p, o = F.col("forecast_probability"), F.col("observed_event")
-    rows = events.where(p.isNotNull() & o.isNotNull()).withColumn("bin", reliability_bin(p, edges)).where("bin is not null")
-    return rows.groupBy(*by, "event", "bin", *CELL).agg(
-        F.count("*").alias("cases"), F.sum(p).alias("probability_sum"), F.sum(indicator(o)).alias("observation_sum")
-    )
-
-
 def interval_cells(cases: DataFrame, levels=INTERVAL_LEVELS, by: list[str] = BY) -> DataFrame:
     """Coverage and width sums per cell, nominal level and subset."""
     q, obs, hot = F.col("quantiles"), F.col("observation_temperature"), F.col("observed_hot_day_q95")

@@ -164,11 +164,3 @@ def single_case(forecasts: DataFrame, observations: DataFrame, *, lead_hours: in
     reduced = spread(chosen)
     lookup = observations.select("valid_time", *CELL, F.col("value").alias("observation"))
     return reduced.join(lookup, ["valid_time", *CELL], "left").withColumn("bias", F.col("ensemble_mean") - F.col("observation"))
-
-
-def onset_report(events: DataFrame, durations=(2, 3)) -> DataFrame:
-    """Event counts per duration; a longer duration cannot have more."""
-    return events.agg(
-        F.count_if("observed_hot_day_q95").alias("hot_days"),
-        *[F.count_if(f"observed_heatwave_start_q95_{d}d").alias(f"onsets_{d}d") for d in durations],
-    )

@@ -135,7 +135,3 @@ class RawSource:
             daily = daily.withColumn("member", F.lit(0))
         levels = default_levels() if self.capabilities.interval_quantiles else None
         return canonical_cases(compact_products(daily, self.thresholds, levels=levels), self.observed)
-
-
-def without_members(capabilities: Capabilities) -> Capabilities:
-    return replace(capabilities, ensemble=False, member_temperature=False, interval_quantiles=False)

@@ -45,9 +45,3 @@ def land_mask(frame: DataFrame, variable: str | None = None) -> DataFrame:
             raise ValueError(f"name the mask variable, one of {values}")
         variable = values[0]
     return frame.select("latitude", "longitude", (F.col(variable).cast("double") > 0.5).alias("is_land"))
-
-
-def models_with_path(registry: DataFrame) -> DataFrame:
-    """Registry rows with list columns split into arrays."""
-    lists = [c for c in ("init_years", "init_months", "variables") if c in registry.columns]
-    return registry.withColumns({c: F.transform(F.split(c, r"[,\n]"), F.trim) for c in lists})
