@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 
 def exact_quantile(frame: DataFrame, keys: list[str], value: str, level: float, buckets: int = 1024, rounds: int = 2) -> DataFrame:
     """``keys, quantile`` with linear interpolation; NULLs are skipped."""
@@ -20,6 +22,8 @@ def exact_quantile(frame: DataFrame, keys: list[str], value: str, level: float,
     rows = frame if keys else frame.withColumn("_all", F.lit(1))
     v = F.col("v")
     counts = rows.where(F.col(value).isNotNull()).groupBy(*by, F.col(value).cast("double").alias("v")).agg(F.count("*").alias("n"))
+    # Every round reads the distinct values; they are written once, not computed again from the rows.
+    counts = materialize(counts, "counts")
     size = counts.groupBy(*by).agg(F.sum("n").alias("size"), F.min("v").alias("lo"), F.max("v").alias("hi"))
     place = (F.col("size") - 1) * F.lit(level)
     targets = size.select(
