@@ -15,13 +15,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import CHUNK_SCHEMA, arrow_column, chunk_rows, letter_codes, ngram_hashes, sigmoid, summed_chunks, unit_hash, utf8
+from .common import CHUNK_SCHEMA, arrow_column, chunk_rows, letter_codes, ngram_hashes, sigmoid, slices, summed_chunks, unit_hash, utf8
 
 SIZES, BITS = (3, 4, 5), 19
 DIMENSIONS = 1 << BITS
 CHUNKS = 32
 TRAINING = 16_000  # labelled texts that are learned from, about: half of them toxic if there are so many
-FEATURES = 1 << 13  # features of the regression, the most telling first
+FEATURES = 1 << 11  # features of the regression, the most telling first
 LEAST = 4  # texts in which a feature must occur
 RIDGE = 5e-4
 THRESHOLD = 0.3
@@ -51,9 +51,9 @@ def regression(offsets: np.ndarray, columns: np.ndarray, scale: np.ndarray, y: n
 
     Row i has the features ``columns[offsets[i]:offsets[i + 1]]``. Weights come back for unscaled features.
     """
-    rows = np.repeat(np.arange(len(y)), np.diff(offsets))
+    rows = np.repeat(np.arange(len(y), dtype=np.int32), np.diff(offsets))
     weight = weight / weight.sum()
-    value = scale[columns]
+    value = scale[columns].astype(np.float32)
     prior = float((weight * y).sum())
     w, bias = np.zeros(len(scale)), float(np.log(prior / (1 - prior)))
     norms = np.bincount(rows, value * value, len(y))
@@ -103,7 +103,7 @@ def fit(
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((2, DIMENSIONS), np.int64)
-        for batch in batches:
+        for batch in slices(batches):
             for y, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 total[y, np.unique(features_of(raw.decode() if raw else ""))] += 1
         yield chunk_rows(dict(enumerate(total.reshape(CHUNKS, -1))))
@@ -123,7 +123,7 @@ def fit(
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def present(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             found = [shared.value.present(raw.decode() if raw else "").astype(np.int32).tobytes() for raw in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], ["y", "slots"])
 
@@ -133,7 +133,7 @@ def fit(
     if not len(y) or y.min() == y.max() or not len(best):
         return empty
     offsets = np.concatenate(([0], np.cumsum([len(r) for r in rows_])))
-    weights, bias = regression(offsets, np.concatenate(rows_).astype(np.int64), ratio[best], y, np.where(y == 1, 1 / take[1], 1 / take[0]))
+    weights, bias = regression(offsets, np.concatenate(rows_), ratio[best], y, np.where(y == 1, 1 / take[1], 1 / take[0]))
     return Model(slot, weights, bias)
 
 
