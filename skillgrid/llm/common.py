@@ -26,6 +26,16 @@ WORD_BYTES = bytes(
 )
 
 
+ROWS = 256  # of a batch that are Python objects at one time
+
+
+def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of batches, a few at a time, so that few texts are Python objects at one time."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, ROWS):
+            yield batch.slice(start, ROWS)
+
+
 def words_of(text: bytes | None) -> list[bytes]:
     """Words in the sense of ``WORD_BYTES``; null has none."""
     return text.translate(WORD_BYTES).split() if text else []
@@ -46,8 +56,11 @@ def arrow_column(fn: Callable[[list], list], kind: str, arrow_type: pa.DataType,
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         state = setup() if setup else None
         for batch in batches:
-            values = batch.to_pylist()
-            yield pa.array(fn(values, state) if setup else fn(values), type=arrow_type)
+            parts = []
+            for start in range(0, len(batch), ROWS):  # few texts at a time as Python objects
+                values = batch.slice(start, ROWS).to_pylist()
+                parts.append(pa.array(fn(values, state) if setup else fn(values), type=arrow_type))
+            yield pa.concat_arrays(parts) if parts else pa.array([], type=arrow_type)
 
     run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
     return arrow_udf(run, kind)
@@ -121,13 +134,17 @@ def chunk_rows(chunks: dict[int, np.ndarray]) -> pa.RecordBatch:
 
 
 _shipped: set[str] = set()
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def ship_package(spark) -> None:
     """Give the workers this package, once per application, by Spark's own distribution of Python files.
 
-    The archive is made in the driver's temporary folder; executors get it from the driver.
+    The archive is made in the driver's temporary folder; executors get it from the driver. Texts are long:
+    where the session has Spark's own number of rows in an Arrow batch, a smaller one is set.
     """
+    if spark.conf.get(BATCH_ROWS) == "10000":
+        spark.conf.set(BATCH_ROWS, "1000")
     app = spark.sparkContext.applicationId
     if app not in _shipped:
         _shipped.add(app)

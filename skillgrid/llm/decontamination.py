@@ -261,7 +261,8 @@ def decontaminated(docs: DataFrame, items: DataFrame, max_coverage: float = 0.5,
     def cut(rows: list) -> list:
         return [r and cut_spans(r["t"], [(s["start"], s["stop"]) for s in r["spans"]]).decode() for r in rows]
 
-    found = matches(docs, items, text_col=text_col, **options).where(n_hit() <= max_coverage * F.col("_match.n_words"))
+    # Written before the second Python step, so that no task holds two Python workers at a time.
+    found = materialize(matches(docs, items, text_col=text_col, **options), "matches").where(n_hit() <= max_coverage * F.col("_match.n_words"))
     hit = F.size("_match.spans") > 0
     # Only texts with a hit go through Python again.
     pair = F.when(hit, F.struct(utf8(text_col).alias("t"), F.col("_match.spans").alias("spans")))

@@ -16,7 +16,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -97,6 +96,8 @@ def distinct_points(rows: DataFrame, k: int) -> DataFrame:
     """
 
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import pandas as pd
+
         for batch in batches:
             frame = pd.DataFrame({"id": batch.column(0).to_pandas(), "asked": batch.column(2).to_pandas(), "v": batch.column(1).to_pylist()})
             frame["key"] = [np.array(v, np.float64).tobytes() for v in frame.v]
@@ -182,7 +183,9 @@ def nearest(
     body = points.select("point", "v")
     where = ["curve", "window", "part", "qpart"]
 
-    def compare(queries: pd.DataFrame, group: pd.DataFrame) -> pd.DataFrame:
+    def compare(queries, group):
+        import pandas as pd
+
         if not len(queries) or not len(group):
             return pd.DataFrame({"query": np.empty(0, np.int64), "point": np.empty(0, np.int64), "score": np.empty(0)})
         q, p = (np.stack([np.frombuffer(v, np.float64) for v in column]) for column in (queries.q_v, group.v))

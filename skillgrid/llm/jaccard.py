@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import arrow_column, materialize, utf8
+from .common import arrow_column, materialize, slices, utf8
 from .components import components
 
 WORDS = 4  # words of an n-gram
@@ -127,7 +127,7 @@ def survey(docs: DataFrame, words: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << BUCKET_BITS, np.int64)
         names, id_type = ["kind", "doc_id", "node", "other", "n", "cells"], None
-        for batch in batches:
+        for batch in slices(batches):
             id_type = batch.schema.field(0).type
             nodes, others, sizes, held = [], [], [], []
             for text in batch.column(1).to_pylist():
@@ -137,11 +137,7 @@ def survey(docs: DataFrame, words: int) -> DataFrame:
                 others.append(b)
                 sizes.append(len(z))
                 held.append((z >> np.uint64(64 - BUCKET_BITS)).astype(np.int64))
-                if len(held) == 256:
-                    counts += np.bincount(np.concatenate(held), minlength=1 << BUCKET_BITS)
-                    held = []
-            if held:
-                counts += np.bincount(np.concatenate(held), minlength=1 << BUCKET_BITS)
+            np.add.at(counts, np.concatenate(held), 1)
             m = batch.num_rows
             yield pa.RecordBatch.from_arrays(
                 [pa.array([0] * m, pa.int32()), batch.column(0), pa.array(nodes, pa.int64()), pa.array(others, pa.int64()), pa.array(sizes, pa.int64()), pa.nulls(m, pa.binary())], names
@@ -185,7 +181,7 @@ def prefixes(docs: DataFrame, levels, words: int, percent: int) -> DataFrame:
         level = levels.value
         schema = pa.schema([("token", pa.int64()), ("node", pa.int64()), ("size_place", pa.int64()), ("classes", pa.int64())])
         seen: set[int] = set()  # sets of this task, so that its copies are emitted once
-        for batch in batches:
+        for batch in slices(batches):
             tokens, nodes, places, classes = [], [], [], []
             for text in batch.column(0).to_pylist():
                 z = shingles(text, words)
@@ -194,7 +190,7 @@ def prefixes(docs: DataFrame, levels, words: int, percent: int) -> DataFrame:
                 node, _ = fingerprint(z)
                 if node in seen:
                     continue
-                if len(seen) < 1 << 20:
+                if len(seen) < 1 << 17:
                     seen.add(node)
                 m = prefix_size(len(z), percent)
                 order = np.argsort(level[(z >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)], kind="stable")[:m]

@@ -11,16 +11,15 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import CHUNK_SCHEMA, arrow_column, chunk_rows, letter_codes, ngram_hashes, summed_chunks, unit_hash, utf8
+from .common import CHUNK_SCHEMA, arrow_column, chunk_rows, letter_codes, ngram_hashes, slices, summed_chunks, unit_hash, utf8
 
 SIZES, BITS = (1, 2, 3), 13
 DIMENSIONS = 1 << BITS
-PER_LANGUAGE = 1500  # sampled training texts of a language, about: the bound of a clustering task
+PER_LANGUAGE = 1000  # sampled training texts of a language, about: the bound of a clustering task
 LANGUAGES = 500  # languages learned, the most frequent first: the bound of the broadcast (64 MB at 4 centroids)
 CENTROIDS = 4
 REJECT = 0.5  # of the smallest cosine between a centroid and its own training texts
@@ -93,7 +92,7 @@ def fit(
 
     def document_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(DIMENSIONS + 1, np.int64)
-        for batch in batches:
+        for batch in slices(batches):
             for raw in batch.column(1).to_pylist():
                 total[:-1] += counts_of(raw.decode()) > 0
                 total[-1] += 1
@@ -104,7 +103,9 @@ def fit(
         return None
     idf = np.log((1 + seen[-1]) / (1 + seen[:-1])) + 1
 
-    def cluster(group: pd.DataFrame) -> pd.DataFrame:
+    def cluster(group):
+        import pandas as pd  # here, so that workers of other stages do without it
+
         # In order of the text, so that the result does not depend on how rows arrive.
         vectors = np.stack([unit_vector(bytes(t).decode(), idf) for t in sorted(group.t)])
         found, nearest = k_means(vectors, centroids)

@@ -27,14 +27,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize, utf8
+from .common import materialize, slices, utf8
 from .cutting_stock import plan
 from .token_counts import UNSAFE, byte_letters
 
 CAPACITY = 2048
 END = 1  # id after each document
-CACHE = 600_000  # words a worker remembers
-LONGEST = 48  # characters of a remembered word
+CACHE = 200_000  # words a task remembers
+LONGEST = 32  # characters of a remembered word
 
 # The split of the lower-case word vocabulary, on characters that UNSAFE lets pass.
 PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\s\w]|_)+")
@@ -74,16 +74,6 @@ class Words(dict):
         return b"".join(map(self.__getitem__, text.split()))
 
 
-_words: dict[str, Words] = {}  # one per worker process and tokenizer
-
-
-def words_of(tokenizer_path: str) -> Words:
-    if tokenizer_path not in _words:
-        _words.clear()
-        _words[tokenizer_path] = Words(tokenizer_path)
-    return _words[tokenizer_path]
-
-
 def class_lengths(capacity: int) -> np.ndarray:
     """Upper ends of the length classes below the capacity."""
     fine = np.arange(1, min(64, capacity - 1) + 1)
@@ -97,9 +87,9 @@ def cut(
     classes = class_lengths(capacity)
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, met, part = words_of(tokenizer_path), Counter(), TaskContext.get().partitionId()
+        words, met, part = Words(tokenizer_path), Counter(), TaskContext.get().partitionId()
         tail = array("I", [END]).tobytes()
-        for batch in batches:
+        for batch in slices(batches):
             rows: list[tuple] = []
             for doc, raw in zip(batch.column(0), batch.column(1).to_pylist()):
                 ids = (words.ids(raw.decode()) if raw else b"") + tail

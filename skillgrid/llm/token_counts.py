@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_column, utf8
+from .common import arrow_column, slices, utf8
 
 ENTRIES = 1 << 15  # frequent pre-tokens kept: the broadcast's bound
 LONGEST = 64  # characters of a pre-token in the table or a cache
@@ -114,7 +114,7 @@ def frequent_tokens(docs: DataFrame, tokenizer_path: str, text_col: str = "text"
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         source, counts = PreTokens(tokenizer_path), Counter()
-        for batch in batches:
+        for batch in slices(batches):
             for raw in batch.column(0).to_pylist():
                 text = raw.decode() if raw else ""
                 if text and source.plain(text):
