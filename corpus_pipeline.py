@@ -14,6 +14,7 @@ from skillgrid.llm import decontamination, jaccard, language, packing, pseudonym
 from skillgrid.llm.common import materialize, ship_package
 
 PSEUDONYM_KEY = "corpus pipeline"
+WORDS, PERCENT = 5, 80  # of near duplicates; op6's own values hold for its query alone
 
 
 def _measured(docs: DataFrame) -> DataFrame:
@@ -34,7 +35,7 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     Of rows that repeat an id and a text one stays.
     """
     ship_package(spark)
-    kept = jaccard.near_duplicates(docs).where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("rows"))
+    kept = jaccard.near_duplicates(docs, words=WORDS, percent=PERCENT).where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("rows"))
     kept = materialize(kept, "kept")
     ids = lambda rule: jaccard.checked_broadcast(kept.where(rule).select("doc_id"))
     once = docs.join(ids("rows = 1"), "doc_id", "left_semi")

@@ -75,3 +75,16 @@ def test_pipeline_of_no_documents(spark, folder, tmp_path):
     spark.read.parquet(f"{path}/documents.parquet").where("false").write.parquet(f"{tmp_path}/documents.parquet")
     spark.read.parquet(f"{path}/benchmark.parquet").write.parquet(f"{tmp_path}/benchmark.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_near_duplicates_are_those_of_all_pairs(spark):
+    rows = [(i, fx.prose(i, 100)) for i in range(10)]
+    for i in range(10):  # a passage of 10 to 28 words more, a word changed: similarities around 0.80 and 0.85
+        rows += [(100 + i, rows[i][1] + " " + fx.prose(700 + i, 10 + 2 * i)), (200 + i, " ".join([*rows[i][1].split()[: 90 - i], "other", *rows[i][1].split()[91 - i :]]))]
+    sets = {i: fx.word_grams(text, 5) for i, text in rows}
+    alike = [len(sets[i] & sets[100 + i]) / len(sets[i] | sets[100 + i]) for i in range(10)]
+    assert sum(0.80 <= s < 0.85 for s in alike) >= 2 and min(alike) < 0.80
+    groups = fx.components_of(sets, 80)
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    kept = {r.doc_id for r in corpus_pipeline.one_of_each_group(spark, docs, "").collect()}
+    assert kept == set(groups.values())
