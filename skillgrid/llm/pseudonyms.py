@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 from .common import arrow_column, utf8
 
 ROUNDS = 8
+# First digits of area and exchange code of which one at least is not of the number plan.
+OUTSIDE = [(a, e) for a in "0123456789" for e in "0123456789" if a < "2" or e < "2"]
 FIRST_DAY, LAST_DAY = date(1900, 1, 1).toordinal(), date(2099, 12, 31).toordinal()
 
 
@@ -130,7 +132,13 @@ class Pseudonyms:
             return None
         north = kept in ("", "1") and len(rest) == 10
         if north and (rest[0] < "2" or rest[3] < "2"):
-            return None
+            if text[0] not in "+(":
+                return None
+            # Written as a phone number though outside the number plan: permuted among all such numbers.
+            first, *others = self._permute("phone outside", [(OUTSIDE.index((rest[0], rest[3])), len(OUTSIDE)), *[(int(d), 10) for d in rest[1:3] + rest[4:]]])
+            area, exchange = OUTSIDE[first]
+            new = [area, *others[:2], exchange, *others[2:]]
+            return refill(text, kept + "".join(map(str, new)))
         low = [2 if north and i in (0, 3) else 0 for i in range(len(rest))]
         new = self._permute(f"phone{kept if kept != '1' else ''}", [(int(d) - a, 10 - a) for d, a in zip(rest, low)])
         return refill(text, kept + "".join(str(d + a) for d, a in zip(new, low)))
@@ -178,16 +186,28 @@ class Pseudonyms:
     def applied(self, text: str) -> tuple[str, list[str]]:
         """The text with every valid value replaced, and the kinds found, in order."""
         kinds: list[str] = []
-
-        def swap(m: re.Match) -> str:
-            for kind in ALTERNATIVES[m.lastgroup]:
-                new = self.replacement(kind, m[0])
+        parts, done, at = [], 0, 0
+        while m := PATTERN.search(text, at):
+            kind, new, at = self._valid(m)
+            if new is not None:
+                kinds.append(kind)
+                parts += [text[done : m.start()], new]
+                done = at
+        return "".join([*parts, text[done:]]), kinds
+
+    def _valid(self, m: re.Match) -> tuple[str, str | None, int]:
+        """Kind, pseudonym (null without a valid value) and where the search goes on.
+
+        A form of any number of groups also takes a number that follows, so the match is tried without its last
+        groups too. After a match with no valid value the search goes on behind its first number.
+        """
+        for kind in ALTERNATIVES[m.lastgroup]:
+            cuts = [c.start() for c in re.finditer(r"[ .\-]", m[0])] if kind in GROUPS else []
+            for cut in [len(m[0]), *reversed(cuts)]:
+                new = self.replacement(kind, m[0][:cut])
                 if new is not None:
-                    kinds.append(kind)
-                    return new
-            return m[0]
-
-        return PATTERN.sub(swap, text), kinds
+                    return kind, new, m.start() + cut
+        return m.lastgroup, None, re.compile(r"\d+|$").search(m.string, m.start()).end()
 
 
 # Longer and stricter forms first: a match is tried against the kinds of its form in order.
@@ -200,8 +220,9 @@ FORMS = {
     "social": r"(?<![\d\-])\d{3}-\d{2}-\d{4}(?![\d\-])",
     "address": r"(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?![\d]|\.\d)",
     "phone": r"(?<![\d+])\+\d{1,3}[ .\-]?\(?\d{2,4}\)?(?:[ .\-]?\d{2,4}){1,3}(?![\d])|(?<!\d)\(\d{3}\) ?\d{3}[ .\-]\d{4}(?!\d)|(?<![\d\-])\d{3}-\d{3}-\d{4}(?![\d\-])",
-    "card": r"(?<![\d\-])\d(?:[ \-]?\d){12,18}(?![\d]|-\d)",
+    "card": r"(?<!\d)\d(?:[ \-]?\d){12,18}(?![\d]|-\d)",
 }
+GROUPS = ("iban", "phone", "card")  # forms of any number of groups
 ALTERNATIVES = {kind: [kind] for kind in FORMS} | {"date": ["day"]}
 PATTERN = re.compile("|".join(f"(?P<{kind}>{form})" for kind, form in FORMS.items()))
 # Every form has one of these bytes.
