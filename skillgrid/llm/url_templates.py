@@ -1,7 +1,7 @@
 """URL filters: rules first, then path templates judged by labelled purity. DataFrame functions only.
 
 1. A url's longest fitting rule decides it. The pages that rules decide are the labelled ones.
-2. Paths of a host form a tree of segments. Level by level, a segment becomes a wildcard where it looks
+2. Paths of a host form a tree of segments. Level by level, down to the last segment, a segment becomes a wildcard where it looks
    variable (numbers, dates, hexadecimal names), or where its parent has many different values that
    hardly repeat. Branches of one parent that lead to the same shape and whose share of blocked pages does
    not differ significantly are merged.
@@ -15,10 +15,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import materialize
+from .common import materialize, scratch_path
 
-LEVELS = 3  # segments told apart; deeper ones are one tail
 REPEATS = 2.0  # pages per different value under which values of a parent are variable
 VALUES = 20  # different values a parent must have for that
 SIGNIFICANT = 2.58  # standard errors by which a branch's blocked share must differ to stay apart
@@ -73,15 +73,22 @@ def shape(segment: Column) -> Column:
     return F.when(wildcard.isNotNull(), F.concat(wildcard, extension)).otherwise(segment)
 
 
-def templates(pages: DataFrame, levels: int = LEVELS) -> DataFrame:
+def templates(pages: DataFrame) -> DataFrame:
     """The distinct (host, path) of ``pages`` (host, path, blocked 0/1 or null): host, path, template, n, b, labelled."""
     paths = pages.groupBy("host", "path").agg(F.count("*").alias("n"), F.sum("blocked").alias("b"), F.count("blocked").alias("labelled"))
     segments = F.filter(F.split("path", "/"), lambda s: s != "")
     # Written at each level, where counting, comparing and naming branches all read it.
     out = materialize(paths.withColumn("segments", segments).withColumn("template", F.lit("")), "paths")
-    for level in range(levels):
+    columns = ["host", "path", "template", "n", "b", "labelled"]
+    deepest = out.agg(F.max(F.size("segments")).alias("deepest")).first().deepest or 0
+    if not deepest:
+        return out.select(columns)
+    # A level is written without the paths that ended before it; these are read from where they ended.
+    spark, schema, folder = out.sparkSession, out.schema, scratch_path(out.sparkSession, "levels")
+    for level in range(deepest):
+        out = out.where(F.size("segments") >= level)
         own = F.when(F.size("segments") > level, shape(F.get("segments", F.lit(level)))).otherwise(F.lit(""))
-        tail = F.when(F.size("segments") > level + 1, F.array_join(F.transform(F.slice("segments", level + 2, levels), shape), "/")).otherwise(F.lit(""))
+        tail = F.when(F.size("segments") > level + 1, F.array_join(F.transform(F.slice("segments", level + 2, F.size("segments")), shape), "/")).otherwise(F.lit(""))
         out = out.withColumn("own", own).withColumn("shape_below", tail)
         branches = materialize(out.groupBy("host", "template", "own").agg(
             F.sum("n").alias("n"), F.sum("b").alias("b"), F.sum("labelled").alias("labelled"), F.min("shape_below").alias("below_lo"), F.max("shape_below").alias("below_hi")
@@ -107,9 +114,10 @@ def templates(pages: DataFrame, levels: int = LEVELS) -> DataFrame:
         )
         names = known.select("host", "template", "own", merged.alias("name"))
         out = out.join(names, ["host", "template", "own"]).withColumn("template", F.concat("template", F.when(F.col("name") != "", F.concat(F.lit("/"), "name")).otherwise(F.lit(""))))
-        out = materialize(out.select("host", "path", "n", "b", "labelled", "segments", "template"), "paths")
-    tail = F.when(F.size("segments") > levels, F.lit("/{tail}")).otherwise(F.lit(""))
-    return out.select("host", "path", F.concat("template", tail).alias("template"), "n", "b", "labelled")
+        out.select(schema.names).write.mode("overwrite").parquet(f"{folder}/level={level}")
+        out = spark.read.schema(schema).parquet(f"{folder}/level={level}")
+    ended = F.col("level") == F.least(F.size("segments"), F.lit(deepest - 1))
+    return spark.read.schema(T.StructType([*schema, T.StructField("level", T.IntegerType())])).parquet(folder).where(ended).select(columns)
 
 
 def judge_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", rules: tuple = RULES, reject: float = REJECT) -> DataFrame:

@@ -160,6 +160,16 @@ def test_values_that_hardly_repeat_become_wildcards(spark):
     assert found[0] == "/user/{value}/{number}" and found[900] == "/about/us"
 
 
+def test_branches_part_at_any_depth(spark):
+    rules = (("a.org", "/2024/05/01/x/y/spam/", "block"),)
+    rows = [(i, f"http://a.org/2024/05/01/x/y/spam/{i}") for i in range(60)] + [(100 + i, f"http://a.org/2024/05/01/x/y/news/{i}") for i in range(20)]
+    rows += [(200, "http://a.org//2024/05/01/x/y/spam/7"), (201, "http://a.org/2024/05"), (202, "http://a.org")]
+    found = {r.page_id: r for r in url_templates.judge_urls(fx.table(spark, rows, "page_id bigint, url string"), rules=rules).collect()}
+    assert len(found) == len(rows) and found[202].template == ""
+    assert found[0].template == "/{number}/{number}/{number}/x/y/spam/{number}" and found[201].template == "/{number}/{number}"
+    assert found[200].verdict == "block" and {found[100 + i].verdict for i in range(20)} == {"allow"}
+
+
 # --- classifiers
 
 def sentences(words, n, seed):
