@@ -3,8 +3,8 @@
 1. A url's longest fitting rule decides it. The pages that rules decide are the labelled ones.
 2. Paths of a host form a tree of segments. Level by level, down to the last segment, a segment becomes a wildcard where it looks
    variable (numbers, dates, hexadecimal names), or where its parent has many different values that
-   hardly repeat. Branches of one parent that lead to the same shape and whose share of blocked pages does
-   not differ significantly are merged.
+   hardly repeat. Branches of one parent are merged with a larger one if neither how their pages divide
+   over the shapes below nor their share of blocked pages differs significantly.
 3. A template is rejected when its blocked share among its pages, smoothed towards the share over all
    pages, reaches a threshold.
 
@@ -21,7 +21,8 @@ from .common import materialize, scratch_path
 
 REPEATS = 2.0  # pages per different value under which values of a parent are variable
 VALUES = 20  # different values a parent must have for that
-SIGNIFICANT = 2.58  # standard errors by which a branch's blocked share must differ to stay apart
+SIGNIFICANT = 2.58  # standard errors by which two branches' blocked shares must differ to stay apart
+LEVEL = 2.326  # of the chi-square test of shapes: the same 1 %, one-sided
 SMOOTHING = 10.0  # pages' weight of the overall share
 REJECT = 0.6
 
@@ -73,6 +74,46 @@ def shape(segment: Column) -> Column:
     return F.when(wildcard.isNotNull(), F.concat(wildcard, extension)).otherwise(segment)
 
 
+def alike(left: DataFrame) -> DataFrame:
+    """host, template, own, leader: each branch with the one it is like, itself if with no larger one.
+
+    ``left`` has how many pages ``c`` of a branch have a shape below, with the branch's pages ``n``, blocked pages
+    ``b`` and shapes ``k``. In a round, branches larger than all that share a shape with them lead; each other
+    one is compared with the largest it shares a shape with, if that one leads. Leaders and what is like
+    them drop out, and rounds go on until no branch is left, so work is that of shapes, not of pairs.
+    """
+    spark, folder, turn = left.sparkSession, scratch_path(left.sparkSession, "alike"), 0
+    keys = ["host", "template"]
+    left = materialize(left, "left")
+    while turn == 0 or left.limit(1).count():
+        largest = left.groupBy(*keys, "below").agg(F.max(F.struct("n", "own")).alias("largest"))
+        target = left.join(largest, [*keys, "below"]).groupBy(*keys, "own", "n", "b", "k").agg(F.max("largest").getField("own").alias("leader"))
+        target = materialize(target, "targets")
+        leaders = target.where("own = leader").select(*keys, "leader", F.col("n").alias("m"), F.col("b").alias("mb"), F.col("k").alias("mk"))
+        pairs = target.where("own <> leader").join(leaders, [*keys, "leader"])
+        theirs = left.select(*keys, F.col("own").alias("leader"), "below", F.col("c").alias("d"))
+        both = pairs.join(left.select(*keys, "own", "below", "c"), [*keys, "own"]).join(theirs, [*keys, "leader", "below"])
+        scale = F.sqrt(F.col("m") / F.col("n"))
+        square = F.pow(scale * F.col("c") - F.col("d") / scale, F.lit(2)) / (F.col("c") + F.col("d"))
+        sums = both.groupBy(*keys, "own", "leader", "n", "b", "k", "m", "mb", "mk").agg(
+            F.sum(square).alias("x"), F.sum("c").alias("sc"), F.sum("d").alias("sd"), F.count("*").alias("shared")
+        )
+        # Two-sample chi-square over all shapes of either, with Wilson and Hilferty's bound.
+        x = F.col("x") + F.col("m") / F.col("n") * (F.col("n") - F.col("sc")) + F.col("n") / F.col("m") * (F.col("m") - F.col("sd"))
+        free = F.col("k") + F.col("mk") - F.col("shared") - 1
+        part = F.lit(2 / 9) / F.greatest(free, F.lit(1))
+        shapes_agree = (free == 0) | (x <= free * F.pow(1 - part + LEVEL * F.sqrt(part), F.lit(3)))
+        share = (F.col("b") + F.col("mb")) / (F.col("n") + F.col("m"))
+        error = F.sqrt(share * (1 - share) * (1 / F.col("n") + 1 / F.col("m")))
+        shares_agree = F.abs(F.col("b") / F.col("n") - F.col("mb") / F.col("m")) <= SIGNIFICANT * error
+        names = [*keys, "own", "leader"]
+        found = sums.where(shapes_agree & shares_agree).select(names).unionByName(target.where("own = leader").select(names))
+        found.write.mode("overwrite").parquet(f"{folder}/turn={turn}")
+        left = materialize(left.join(spark.read.schema(found.schema).parquet(f"{folder}/turn={turn}"), [*keys, "own"], "left_anti"), "left")
+        turn += 1
+    return spark.read.schema(found.schema).parquet(folder).select(names)
+
+
 def templates(pages: DataFrame) -> DataFrame:
     """The distinct (host, path) of ``pages`` (host, path, blocked 0/1 or null): host, path, template, n, b, labelled."""
     paths = pages.groupBy("host", "path").agg(F.count("*").alias("n"), F.sum("blocked").alias("b"), F.count("blocked").alias("labelled"))
@@ -89,27 +130,21 @@ def templates(pages: DataFrame) -> DataFrame:
         out = out.where(F.size("segments") >= level)
         own = F.when(F.size("segments") > level, shape(F.get("segments", F.lit(level)))).otherwise(F.lit(""))
         tail = F.when(F.size("segments") > level + 1, F.array_join(F.transform(F.slice("segments", level + 2, F.size("segments")), shape), "/")).otherwise(F.lit(""))
-        out = out.withColumn("own", own).withColumn("shape_below", tail)
-        branches = materialize(out.groupBy("host", "template", "own").agg(
-            F.sum("n").alias("n"), F.sum("b").alias("b"), F.sum("labelled").alias("labelled"), F.min("shape_below").alias("below_lo"), F.max("shape_below").alias("below_hi")
-        ), "branches")
+        ending = F.regexp_extract("own", r"(\.[A-Za-z]{1,5})$", 1)  # of a page, which has no shape below
+        out = out.withColumn("own", own).withColumn("below", F.when(F.size("segments") > level + 1, tail).otherwise(ending))
+        shapes = materialize(out.groupBy("host", "template", "own", "below").agg(F.sum("n").alias("c"), F.sum(F.coalesce("b", F.lit(0))).alias("b")), "shapes")
+        branches = shapes.groupBy("host", "template", "own").agg(F.sum("c").alias("n"), F.sum("b").alias("b"), F.count("*").alias("k"))
         parents = branches.groupBy("host", "template").agg(F.sum("n").alias("pn"), F.count("*").alias("values"))
-        alike = branches.where("below_lo = below_hi").groupBy("host", "template", "below_lo").agg(
-            F.sum("n").alias("an"), F.count("*").alias("branches"), F.sum(F.coalesce("b", F.lit(0))).alias("ab")
-        )
-        known = branches.join(parents, ["host", "template"]).join(alike, ["host", "template", "below_lo"], "left")
         variable = (F.col("values") >= VALUES) & (F.col("pn") < REPEATS * F.col("values")) & ~F.col("own").contains("{")
-        share = F.col("ab") / F.col("an")
-        error = F.sqrt(share * (1 - share) / F.col("n"))
-        apart = F.abs(F.coalesce("b", F.lit(0)) / F.col("n") - share) > SIGNIFICANT * error
-        one_shape = (F.col("below_lo") == F.col("below_hi")) & (F.col("below_lo") != "") & (F.col("branches") > 1)
-        known = known.withColumn("variable", variable).withColumn("similar", F.coalesce(one_shape & ~apart & ~F.col("own").contains("{"), F.lit(False)))
-        several = known.where("similar").groupBy("host", "template", "below_lo").agg((F.count("*") > 1).alias("several"))
-        known = known.join(several, ["host", "template", "below_lo"], "left")
+        known = materialize(branches.join(parents, ["host", "template"]).withColumn("variable", variable), "branches")
+        fixed = known.where((F.col("own") != "") & ~F.col("variable") & ~F.col("own").contains("{")).select("host", "template", "own", "n", "b", "k")
+        like = alike(shapes.drop("b").join(fixed, ["host", "template", "own"]))
+        several = like.groupBy("host", "template", "leader").agg(F.count("*").alias("members")).where("members > 1")
+        known = known.join(like.join(several, ["host", "template", "leader"]), ["host", "template", "own"], "left")
         merged = (
             F.when(F.col("own") == "", F.lit(""))
             .when(F.col("variable"), F.lit("{value}"))
-            .when(F.col("similar") & F.col("several"), F.concat(F.lit("{branch:"), "below_lo", F.lit("}")))
+            .when(F.col("leader").isNotNull(), F.concat(F.lit("{branch:"), "leader", F.lit("}")))
             .otherwise(F.col("own"))
         )
         names = known.select("host", "template", "own", merged.alias("name"))

@@ -170,6 +170,20 @@ def test_branches_part_at_any_depth(spark):
     assert found[200].verdict == "block" and {found[100 + i].verdict for i in range(20)} == {"allow"}
 
 
+def test_alike_branches_of_several_shapes_merge(spark):
+    pages = lambda host, name, numbers, files: [f"http://{host}/{name}/{i}" for i in range(numbers)] + [f"http://{host}/{name}/{i}.html" for i in range(files)]
+    urls = pages("a.org", "news", 51, 9) + pages("a.org", "blog", 40, 8) + pages("a.org", "docs", 5, 45) + pages("a.org", "faq", 4, 50) + pages("a.org", "spam", 50, 9)
+    urls += pages("a.org", "one", 1, 0)
+    urls += [f"http://b.org/{name}" for name in ("x.html", "y.html", "z.pdf") for _ in range(9)]
+    rules = (("a.org", "/spam/", "block"),)
+    got = url_templates.judge_urls(fx.table(spark, list(enumerate(urls)), "page_id bigint, url string"), rules=rules).collect()
+    name = {(r.host, r.path.split("/")[1]): r.template.split("/")[1] for r in got}
+    assert len(got) == len(urls)
+    assert name["a.org", "news"] == name["a.org", "blog"] == "{branch:news}" and name["a.org", "docs"] == name["a.org", "faq"] == "{branch:faq}"
+    assert name["a.org", "spam"] == "spam"  # shapes as news has, but blocked
+    assert name["b.org", "x.html"] == name["b.org", "y.html"] == "{branch:y.html}" and name["b.org", "z.pdf"] == "z.pdf"
+
+
 # --- classifiers
 
 def sentences(words, n, seed):
