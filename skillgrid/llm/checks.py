@@ -70,3 +70,56 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS B
        CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
        coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN n USING (doc_id) LEFT JOIN g USING (doc_id)"""
+
+
+def crc32_sql(text: str) -> str:
+    """Unsigned crc32 of an ASCII text, bit by bit (the reflected polynomial 0xEDB88320)."""
+    byte = f"CASE WHEN i % 8 = 0 THEN ascii(substr({text}, (i // 8 + 1)::BIGINT, 1))::UBIGINT ELSE 0::UBIGINT END"
+    step = f"xor(xor(c, {byte}) >> 1, 3988292384::UBIGINT * (xor(c, {byte}) & 1))"
+    bits = f"list_transform(range(8 * strlen({text})), lambda i: i::UBIGINT)"
+    return f"xor(list_reduce({bits}, lambda c, i: {step}, 4294967295::UBIGINT), 4294967295::UBIGINT)"
+
+
+def merkle_sql(arity: int = 8) -> str:
+    def leaf(text: str) -> str:
+        fields = [f"coalesce(strlen({v}) || ':' || {v}, '-')" for v in ("doc_id::VARCHAR", "source", "lang", "n_chars::VARCHAR", text)]
+        return f"sha256({' || '.join(fields)})"
+
+    def tree(name: str, source: str) -> str:
+        return f"""{name} AS (
+  SELECT tree, 0 AS level, row_number() OVER (PARTITION BY tree ORDER BY place) - 1 AS idx, count(*) OVER (PARTITION BY tree) AS size, digest FROM {source}
+  UNION ALL
+  SELECT tree, level + 1, idx // {arity}, (any_value(size) + {arity - 1}) // {arity}, sha256(string_agg(digest, '' ORDER BY idx))
+  FROM {name} WHERE size > 1 GROUP BY tree, level, idx // {arity})"""
+
+    def sides(name: str) -> str:
+        """Each starting node's siblings on every level, as before|after."""
+        own = f"(a.idx // ({arity}**n.level)::BIGINT)"
+        return f"""(SELECT a.tree, a.idx, n.level,
+    coalesce(string_agg(n.digest, '' ORDER BY n.idx) FILTER (n.idx < {own}), '') || '|' ||
+    coalesce(string_agg(n.digest, '' ORDER BY n.idx) FILTER (n.idx > {own}), '') AS side
+  FROM {name} a JOIN {name} n ON n.tree = a.tree AND n.size > 1 AND n.idx // {arity} = {own} // {arity}
+  WHERE a.level = 0 GROUP BY a.tree, a.idx, n.level)"""
+
+    return f"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, coalesce('=' || lang, '-') AS tree, {leaf("text")} AS digest,
+         CASE WHEN {crc32_sql("doc_id::VARCHAR")} % 3 = 0 THEN {leaf("translate(text, '" + string.ascii_uppercase + "', '" + string.ascii_lowercase + "')")} END AS changed
+  FROM documents),
+leaves AS (SELECT *, struct_pack(i := doc_id, d := digest) AS place FROM docs),
+{tree("low", "leaves")},
+subroots AS (SELECT '' AS tree, tree AS place, digest FROM low WHERE size = 1),
+{tree("top", "subroots")},
+groups AS (SELECT place AS tree, digest AS subroot, row_number() OVER (ORDER BY place) - 1 AS spot FROM subroots),
+places AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY place) - 1 AS idx FROM leaves),
+low_sides AS (SELECT tree, idx, list(side ORDER BY level) AS sides FROM {sides("low")} GROUP BY tree, idx),
+top_sides AS (SELECT idx AS spot, list(side ORDER BY level) AS sides FROM {sides("top")} GROUP BY idx),
+paths AS (
+  SELECT p.doc_id, p.digest AS leaf, g.subroot, coalesce(p.changed, p.digest) AS given, (SELECT digest FROM top WHERE size = 1) AS root,
+         list_concat(coalesce(l.sides, []), coalesce(t.sides, [])) AS sides
+  FROM places p JOIN groups g USING (tree) LEFT JOIN low_sides l ON l.tree = p.tree AND l.idx = p.idx LEFT JOIN top_sides t USING (spot)),
+proved AS (
+  SELECT doc_id, leaf, subroot, root, sha256(replace(array_to_string(sides, ''), '|', '')) AS proof_sha256,
+         list_reduce(sides, lambda acc, s: sha256(split_part(s, '|', 1) || acc || split_part(s, '|', 2)), given) AS folded_root
+  FROM paths)
+SELECT *, folded_root = root AS verified FROM proved"""

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import string
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import checks, decontamination, hilbert, jaccard, language, licenses, packing, pseudonyms, token_counts, toxicity, url_templates
+from . import checks, decontamination, hilbert, jaccard, language, licenses, merkle, packing, pieces, pseudonyms, token_counts, toxicity, url_templates
 from .common import crc_bucket, ship_package
 
 # Of the registered query; a user of the operator passes a key of their own.
@@ -107,3 +108,24 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_token_counts")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query("op11_merkle_manifest", checks.merkle_sql())
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lower = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
+    tampered = {"text": F.when(F.crc32(F.col("doc_id").cast("string")) % 3 == 0, lower).otherwise(F.col("text"))}
+    found = merkle.manifest(table(spark, sf_dir, "documents"), variants={"given": tampered})
+    found = found.select("doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("path")).alias("proof_sha256"), merkle.folded(F.col("given"), F.col("path")).alias("folded_root"))
+    return found.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+@query("op12_sentencepiece_round_trip")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    found = pieces.decoded(pieces.encoded(table(spark, sf_dir, "documents"), model), model)
+    return found.select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("text", 256).alias("decoded_sha256"),
+    )
