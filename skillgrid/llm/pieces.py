@@ -12,30 +12,51 @@ remembers the ids of words it has met, in a bounded cache. Characters outside th
 from __future__ import annotations
 
 import codecs
+import math
 import re
-from itertools import chain
+from collections.abc import Callable, Iterator
+from functools import cached_property
+from itertools import accumulate, chain, groupby
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_column, utf8
+from .common import ROWS, arrow_column, utf8
 
 BLANK = "▁"  # stands for a space
 LONGEST = 64  # characters of a word in the cache
-CACHE = 1 << 18  # words a worker remembers, and pairs whose compatibility it remembers
+CACHE = 1 << 17  # words in either half of a worker's cache, and pairs whose compatibility it remembers
 UNKNOWN = " ⁇ "  # what the library writes for the unknown id
 
 # The library writes one replacement character for each byte that begins no valid character.
 codecs.register_error("one-byte", lambda error: ("�", error.start + 1))
 
 
+class Words(dict):
+    """Ids of the words met. When full it becomes the older half of the cache, from which words in use come back."""
+
+    def __init__(self, encode: Callable[[str], tuple[int, ...]]):
+        super().__init__()
+        self.encode, self.older = encode, {}
+
+    def __missing__(self, word: str) -> tuple[int, ...]:
+        found = self.older.get(word)
+        if found is None:
+            found = self.encode(word)
+        if len(word) <= LONGEST:
+            if len(self) >= CACHE:
+                self.older = dict(self)
+                self.clear()
+            self[word] = found
+        return found
+
+
 class Vocabulary:
     """Pieces of a merge-type model: scores, automaton, pairs and byte ids."""
 
     def __init__(self, model_path: str):
-        import ahocorasick
         from sentencepiece import SentencePieceProcessor
 
         model = SentencePieceProcessor(model_file=model_path)
@@ -62,26 +83,46 @@ class Vocabulary:
 
         self.known = {c for p in self.ids for c in p}
         self.pairs: dict[tuple[str, str], bool] = {}
-        self.automaton = ahocorasick.Automaton()
-        for piece in self.ids:
-            if len(piece) > 1 and self.merged(piece) == [piece]:  # others never stand in an encoding
-                self.automaton.add_word(piece, piece)
-        for c in self.known:
-            self.automaton.add_word(c, c)
-        self.automaton.make_automaton()
         letters = "".join(re.escape(c) for c in sorted(self.known - {BLANK}))
         self.words = re.compile(f"{BLANK}*[{letters}]+|{BLANK}+|[^{letters}{BLANK}]").findall
-        self.cache: dict[str, tuple[int, ...]] = {}
+        self.cache = Words(self.word)
+
+    @cached_property
+    def automaton(self):
+        """Finds the tokens that end at each character of a text, longest first."""
+        import ahocorasick
 
-    def merged(self, text: str) -> list[str]:
+        automaton = ahocorasick.Automaton()
+        for piece in [*self.halves, *self.known]:
+            automaton.add_word(piece, piece)
+        automaton.make_automaton()
+        return automaton
+
+    @cached_property
+    def halves(self) -> dict[str, tuple[str, str]]:
+        """The pieces of several characters that stand in encodings, that is, those encoded as themselves, and what they are
+        merged from."""
+        return {p: tuple(self.merged(p, 2)) for p in self.ids if len(p) > 1 and self.merged(p) == [p]}
+
+    @cached_property
+    def late(self) -> set[str]:
+        """Pieces merged from one with no better score, or that hold such a piece."""
+        out: set[str] = set()
+        for p in sorted(self.halves, key=len):
+            if any(half in out or half in self.halves and self.score[half] <= self.score[p] for half in self.halves[p]):
+                out.add(p)
+        return out
+
+    def merged(self, text: str, down_to: int = 1) -> list[str]:
         """Encoding of a short text by its definition: merge the best pair, the leftmost of equals, until none is left."""
         parts = list(text)
-        while True:
+        while len(parts) > down_to:
             best = max(((self.score[p], -k) for k, p in enumerate(map(str.__add__, parts, parts[1:])) if p in self.score), default=None)
             if best is None:
-                return parts
+                break
             k = -best[1]
             parts[k : k + 2] = [parts[k] + parts[k + 1]]
+        return parts
 
     def compatible(self, left: str, right: str) -> bool:
         """Whether two tokens side by side are encoded as themselves."""
@@ -90,54 +131,81 @@ class Vocabulary:
         if found is None:
             if len(self.pairs) >= CACHE:
                 self.pairs.clear()
-            found = self.pairs[pair] = self.merged(left + right) == [left, right]
+            plain = left in self.late or right in self.late
+            found = self.pairs[pair] = self.merged(left + right) == [left, right] if plain else self._apart(left, right)
         return found
 
+    def _apart(self, x: str, y: str) -> bool:
+        """Whether no merge joins what stands on either side of the seam of two tokens at any time.
+
+        Seen backwards in time: the side merged last is taken apart first, which leaves its half at the seam. As halves have
+        better scores than what they form, merges of either side happen in the order of their scores, the left one of
+        equals first. A merge across the seam happens if it is due before both halves are merged away.
+        """
+        never = -math.inf
+        gone_x = gone_y = never  # scores of the merges that take x and y away
+        while True:
+            across = self.score.get(x + y)
+            if across is not None and across > gone_x and across >= gone_y:
+                return False
+            made_x = self.score[x] if len(x) > 1 else math.inf
+            made_y = self.score[y] if len(y) > 1 else math.inf
+            if made_x < made_y:
+                x, gone_x = self.halves[x][1], made_x
+            elif made_y < math.inf:
+                y, gone_y = self.halves[y][0], made_y
+            else:
+                return True
+
     def last_tokens(self, text: str) -> list[str]:
         """For each prefix of a text of known characters, the last token of its encoding."""
         last: list[str | None] = [None] * (len(text) + 1)
+        seen = self.pairs.get
         for end, token in self.automaton.iter(text):
-            if last[end + 1] is None:
-                before = end + 1 - len(token)
-                if before == 0 or (last[before] is not None and self.compatible(last[before], token)):
-                    last[end + 1] = token
+            end += 1
+            if last[end] is None:
+                before = last[end - len(token)]
+                if before is None:  # the text begins here
+                    last[end] = token
+                else:
+                    fits = seen((before, token))
+                    if fits or fits is None and self.compatible(before, token):
+                        last[end] = token
         return last
 
-    def ids_of(self, token: str) -> tuple[int, ...]:
-        if token in self.ids:
-            return (self.ids[token],)
-        return tuple(self.bytes.get(b, self.unknown) for b in token.encode()) if self.bytes else (self.unknown,)
+    def bytes_of(self, c: str) -> tuple[int, ...]:
+        return tuple(self.bytes.get(b, self.unknown) for b in c.encode()) if self.bytes else (self.unknown,)
 
     def word(self, word: str) -> tuple[int, ...]:
         if word[0] not in self.known:
-            return self.ids_of(word)
+            return self.bytes_of(word)
         last, end, out = self.last_tokens(word), len(word), []
         while end:
-            out.append(self.ids_of(last[end]))
-            end -= len(last[end])
-        return tuple(chain.from_iterable(reversed(out)))
-
-    def __getitem__(self, word: str) -> tuple[int, ...]:
-        found = self.cache.get(word)
-        if found is None:
-            found = self.word(word)
-            if len(word) <= LONGEST:
-                if len(self.cache) >= CACHE:
-                    self.cache.clear()
-                self.cache[word] = found
-        return found
+            token = last[end]
+            found = self.ids.get(token)
+            if found is None:
+                out.extend(reversed(self.bytes_of(token)))
+            else:
+                out.append(found)
+            end -= len(token)
+        return tuple(reversed(out))
 
     def encode(self, text: str) -> np.ndarray:
         if not text:
             return np.empty(0, np.int32)
         words = self.words(BLANK + text.replace(" ", BLANK))
-        return np.fromiter(chain.from_iterable(map(self.__getitem__, words)), np.int32)
+        return np.fromiter(chain.from_iterable(map(self.cache.__getitem__, words)), np.int32)
 
     def decode(self, ids: list[int]) -> str:
         """Text of ids: bytes side by side form characters, and the blank put before the text goes."""
+        if self.silent.isdisjoint(ids):
+            return self._joined(ids)
+        runs = [list(run) for silent, run in groupby(ids, self.silent.__contains__) if not silent]
+        return "".join(self._joined(run, k == 0) for k, run in enumerate(runs))
+
+    def _joined(self, ids: list[int], start: bool = True) -> str:
         text = "".join(map(self.text.__getitem__, ids))
-        first = next((i for i in ids if i not in self.silent), None)
-        if first is not None and self.pieces[first][0] == BLANK:
+        if start and ids and self.pieces[ids[0]][0] == BLANK:
             text = text[1:]
         try:
             text.encode()
@@ -168,10 +236,21 @@ def encode(text: Column, model_path: str) -> Column:
 def decode(ids: Column, model_path: str) -> Column:
     """Text of ids; null ids give an empty text."""
 
-    def texts(values: list, vocab: Vocabulary) -> list[str]:
-        return [vocab.decode(v) if v else "" for v in values]
-
-    return arrow_column(texts, "string", pa.string(), lambda: vocabulary(model_path))(ids)
+    from pyspark.sql.functions import arrow_udf
+
+    def texts(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        vocab = vocabulary(model_path)
+        for batch in batches:
+            parts = [pa.array([], pa.string())]
+            for start in range(0, len(batch), ROWS):  # few texts at a time as Python objects
+                rows = batch.slice(start, ROWS)
+                flat, n = rows.flatten().to_numpy(zero_copy_only=False).tolist(), rows.value_lengths().fill_null(0).to_pylist()
+                ends = [0, *accumulate(n)]
+                parts.append(pa.array([vocab.decode(flat[a:b]) for a, b in zip(ends, ends[1:])], pa.string()))
+            yield pa.concat_arrays(parts)
+
+    texts.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
+    return arrow_udf(texts, "string")(ids)
 
 
 def encoded(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

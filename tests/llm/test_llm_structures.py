@@ -144,7 +144,16 @@ def test_caches_start_anew_when_full(monkeypatch, library):
     own = pieces.Vocabulary(MODEL)
     for text in ("one two three four five six", "seven eight one two"):
         assert own.encode(text).tolist() == library.encode(text)
-        assert len(own.cache) <= 3 and len(own.pairs) <= 3
+        assert len(own.cache) <= 3 and len(own.cache.older) <= 3 and len(own.pairs) <= 3
+
+
+def test_seams_are_those_of_plain_merging():
+    own, rng = pieces.vocabulary(MODEL), random.Random(5)
+    tokens = [*own.halves]
+    short = [t for t in tokens if len(t) <= 3]
+    for _ in range(20_000):
+        x, y = rng.choice(short), rng.choice(rng.choice([short, tokens]))
+        assert own.compatible(x, y) == (own.merged(x + y) == [x, y])
 
 
 def test_round_trip_of_a_table(spark, library):
