@@ -123,3 +123,32 @@ proved AS (
          list_reduce(sides, lambda acc, s: sha256(split_part(s, '|', 1) || acc || split_part(s, '|', 2)), given) AS folded_root
   FROM paths)
 SELECT *, folded_root = root AS verified FROM proved"""
+
+
+def trie_sql(group: int = 20, most: int = 3) -> str:
+    words = r"len(regexp_extract_all(p[d].x, '[^\x20\x09-\x0D]+'))"
+    return f"""
+WITH t AS (
+  SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos,
+         struct_pack(r := coalesce(role, ''), x := coalesce(text, '')) AS turn
+  FROM conversations WHERE conv_id IS NOT NULL),
+ids AS (SELECT DISTINCT c, c::VARCHAR AS name FROM t),
+k AS (SELECT c, {crc32_sql("name")} % {most + 1} AS h, c - c % {group} AS base FROM ids),
+parts AS (
+  SELECT k.c, 0 AS src, b.pos, b.turn FROM k JOIN t b ON b.c = k.base AND b.pos <= k.h
+  UNION ALL SELECT t.c, 1, t.pos, t.turn FROM t JOIN k ON k.c = t.c AND t.pos > k.h),
+seqs AS (SELECT c, list(turn ORDER BY src, pos) AS seq FROM parts GROUP BY c),
+whole AS (SELECT k.c, coalesce(seq, []) AS seq FROM k LEFT JOIN seqs USING (c)),
+prefix AS (SELECT c, d, seq[1:d] AS p, d = len(seq) AS ended FROM (SELECT *, unnest(range(0, len(seq) + 1)) AS d FROM whole)),
+node AS (
+  SELECT p, any_value(d) AS d, min(c) AS conv, count(*) AS n, sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (ended), '')) AS ends
+  FROM prefix GROUP BY p),
+kids AS (SELECT p[1:d - 1] AS p, count(*) AS n_children FROM node WHERE d > 0 GROUP BY 1),
+full_node AS (
+  SELECT node.*, coalesce(n_children, 0) AS n_children, CASE WHEN d > 0 THEN (n - 1) * {words} ELSE 0 END AS saved FROM node LEFT JOIN kids USING (p)),
+below AS (
+  SELECT p[1:u] AS p, count(*) FILTER (n_children = 0) AS n_leaves, sum(saved) AS saved
+  FROM (SELECT *, unnest(range(0, d + 1)) AS u FROM full_node) GROUP BY 1)
+SELECT n.conv AS conv_id, n.d::BIGINT AS depth, up.conv AS parent_conv_id, n.n AS n_convs, n.n_children, below.n_leaves,
+       below.saved::BIGINT AS saved_tokens, n.ends AS ends_sha256
+FROM full_node n JOIN below USING (p) LEFT JOIN node up ON n.d > 0 AND up.p = n.p[1:n.d - 1]"""

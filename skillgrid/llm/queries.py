@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import checks, decontamination, hilbert, jaccard, language, licenses, merkle, packing, pieces, pseudonyms, token_counts, toxicity, url_templates
+from . import checks, decontamination, hilbert, jaccard, language, licenses, merkle, packing, pieces, pseudonyms, token_counts, toxicity, trie, url_templates
 from .common import crc_bucket, ship_package
 
 # Of the registered query; a user of the operator passes a key of their own.
@@ -129,3 +129,8 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
         F.sha2("text", 256).alias("decoded_sha256"),
     )
+
+
+@query("op13_conversation_trie", checks.trie_sql())
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.trie(trie.shared_turns(table(spark, sf_dir, "conversations"), group=20, most=3))
