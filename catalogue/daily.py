@@ -14,9 +14,10 @@ from .matching import SAMPLES
 CELLS = ["latitude", "longitude"]
 DAYS = [1, 3, 5]
 STATS = ["t2m_min_6h", "t2m_mean_6h", "t2m_max_6h"]
+CASE_KEYS = ["init_time", "utc_forecast_day", *CELLS]
 
-UTC_DAYS = """fd AS (SELECT init_time, (lead_hours+23)//24 AS dd, member, latitude, longitude, CASE WHEN count(value)=4 THEN min(value) END AS lo,
-   CASE WHEN count(value)=4 THEN avg(value) END AS me, CASE WHEN count(value)=4 THEN max(value) END AS hi FROM fc6
+UTC_DAYS = f"""fd AS (SELECT init_time, (lead_hours+23)//24 AS dd, member, latitude, longitude, CASE WHEN count(value)=4 THEN min(value) END AS lo,
+   CASE WHEN count(value)=4 THEN {V.exact_mean('value')} END AS me, CASE WHEN count(value)=4 THEN max(value) END AS hi FROM fc6
    WHERE lead_hours IN (6,12,18,24,54,60,66,72,102,108,114,120) GROUP BY ALL)"""
 
 
@@ -27,7 +28,7 @@ def utc_forecast_day(spark, sf_dir):
 
 
 @query("ag2_observation_day", f"""WITH {SAMPLES} SELECT {t('init_time')}, {n('utc_forecast_day')}, {r('latitude')}, {r('longitude')},
-  {r('CASE WHEN count(value)=4 THEN min(value) END','t2m_min_6h')}, {r('CASE WHEN count(value)=4 THEN avg(value) END','t2m_mean_6h')}, {r('CASE WHEN count(value)=4 THEN max(value) END','t2m_max_6h')}
+  {r('CASE WHEN count(value)=4 THEN min(value) END','t2m_min_6h')}, {r(f"CASE WHEN count(value)=4 THEN {V.exact_mean('value')} END",'t2m_mean_6h')}, {r('CASE WHEN count(value)=4 THEN max(value) END','t2m_max_6h')}
   FROM smp GROUP BY init_time, utc_forecast_day, latitude, longitude""")
 def observation_day(spark, sf_dir):
     where = V.fc6(spark, sf_dir).select("init_time", *CELLS).distinct()
@@ -35,26 +36,26 @@ def observation_day(spark, sf_dir):
 
 
 @query("ag3_precipitation_day", f"""WITH {SAMPLES} SELECT {t('init_time')}, {n('utc_forecast_day')}, {r('latitude')}, {r('longitude')},
-  {r('CASE WHEN count(value)=4 THEN sum(value) END','total_precipitation')}, {n('(utc_forecast_day-1)*24','lead_start')}, {n('utc_forecast_day*24','lead_end')}
+  {r(f"CASE WHEN count(value)=4 THEN {V.exact_sum('value')} END",'total_precipitation')}, {n('(utc_forecast_day-1)*24','lead_start')}, {n('utc_forecast_day*24','lead_end')}
   FROM smp GROUP BY init_time, utc_forecast_day, latitude, longitude""")
 def precipitation_day(spark, sf_dir):
     where = V.fc6(spark, sf_dir).select("init_time", *CELLS).distinct()
     return daily.precipitation_days(daily.observation_samples(where, V.ob6(spark, sf_dir), DAYS))
 
 
-@query("ag4_lead_day", f"""SELECT {t('init_time')}, {n('lead_hours//24','lead_day')}, {n('member')}, {r('latitude')}, {r('longitude')}, {r('min(value)','t2m_min_6h')}, {r('avg(value)','t2m_mean_6h')}, {r('max(value)','t2m_max_6h')}
+@query("ag4_lead_day", f"""SELECT {t('init_time')}, {n('lead_hours//24','lead_day')}, {n('member')}, {r('latitude')}, {r('longitude')}, {r('min(value)','t2m_min_6h')}, {r(V.exact_mean('value'),'t2m_mean_6h')}, {r('max(value)','t2m_max_6h')}
   FROM fc6 WHERE lead_hours<240 GROUP BY init_time, lead_hours//24, member, latitude, longitude""")
 def lead_day(spark, sf_dir):
     return daily.lead_days(V.fc6(spark, sf_dir), max_days=10)
 
 
-SIX = """six AS (SELECT time_bucket(INTERVAL 6 HOUR, valid_time-INTERVAL 1 MICROSECOND, TIMESTAMP '2024-01-01')+INTERVAL 6 HOUR AS e, latitude, longitude,
-   max(CASE WHEN hour(valid_time)%6=0 THEN t2m END) AS t2m, CASE WHEN count(tp)=6 THEN sum(tp) END AS tp, count(tp) AS k FROM obs1h GROUP BY ALL)"""
+SIX = f"""six AS (SELECT time_bucket(INTERVAL 6 HOUR, valid_time-INTERVAL 1 MICROSECOND, TIMESTAMP '2024-01-01')+INTERVAL 6 HOUR AS e, latitude, longitude,
+   max(CASE WHEN hour(valid_time)%6=0 THEN t2m END) AS t2m, CASE WHEN count(tp)=6 THEN {V.exact_sum('tp')} END AS tp, count(tp) AS k FROM obs1h GROUP BY ALL)"""
 
 
 @query("ag5_utc_observation_day", f"""WITH {SIX}, x AS (SELECT CAST(e AS DATE) AS day, latitude, longitude, t2m, NULL AS tp FROM six
    UNION ALL SELECT CAST(e-INTERVAL 6 HOUR AS DATE), latitude, longitude, NULL, tp FROM six)
-  SELECT {d('day')}, {r('latitude')}, {r('longitude')}, {r('min(t2m)','t2m_min_6h')}, {r('avg(t2m)','t2m_mean_6h')}, {r('max(t2m)','t2m_max_6h')}, {r('CASE WHEN count(tp)>=4 THEN sum(tp) END','total_precipitation')}
+  SELECT {d('day')}, {r('latitude')}, {r('longitude')}, {r('min(t2m)','t2m_min_6h')}, {r(V.exact_mean('t2m'),'t2m_mean_6h')}, {r('max(t2m)','t2m_max_6h')}, {r(f"CASE WHEN count(tp)>=4 THEN {V.exact_sum('tp')} END",'total_precipitation')}
   FROM x GROUP BY day, latitude, longitude""")
 def utc_observation_day(spark, sf_dir):
     return daily.utc_observation_days(daily.six_hourly_from_hourly(V.obs1h(spark, sf_dir)))
@@ -71,7 +72,7 @@ def local_solar_max(spark, sf_dir):
     return daily.local_solar_days(V.fc6(spark, sf_dir), stat="max", common_days=True)
 
 
-LOCAL_OBS = f"""ld AS (SELECT CAST(valid_time+to_hours(off) AS DATE) AS local_date, latitude, longitude, off, avg(value) AS mean, min(value) AS low, max(value) AS high
+LOCAL_OBS = f"""ld AS (SELECT CAST(valid_time+to_hours(off) AS DATE) AS local_date, latitude, longitude, off, {V.exact_mean('value')} AS mean, min(value) AS low, max(value) AS high
    FROM (SELECT *, {V.OFFSET} AS off FROM obs6) GROUP BY ALL HAVING count(*)=4),
   lc AS (SELECT * FROM ld WHERE local_date IN (SELECT local_date FROM ld GROUP BY local_date HAVING count(DISTINCT off)=5))"""
 
@@ -180,8 +181,8 @@ def interval_bounds(spark, sf_dir):
 
 # Metric grids.
 _THRESHOLDS = {"20c": 20.0, "30c": 30.0}
-_SMP_DAY = """od AS (SELECT init_time, utc_forecast_day AS dd, latitude, longitude, CASE WHEN count(value)=4 THEN min(value) END AS lo, CASE WHEN count(value)=4 THEN avg(value) END AS me,
-   CASE WHEN count(value)=4 THEN max(value) END AS hi, CASE WHEN count(value)=4 THEN sum(value) END AS su FROM smp GROUP BY ALL)"""
+_SMP_DAY = f"""od AS (SELECT init_time, utc_forecast_day AS dd, latitude, longitude, CASE WHEN count(value)=4 THEN min(value) END AS lo, CASE WHEN count(value)=4 THEN {V.exact_mean('value')} END AS me,
+   CASE WHEN count(value)=4 THEN max(value) END AS hi, CASE WHEN count(value)=4 THEN {V.exact_sum('value')} END AS su FROM smp GROUP BY ALL)"""
 
 
 def _grid_sql(members: str, stats: dict[str, str], thresholds: dict[str, float], width: float) -> str:
@@ -209,37 +210,36 @@ _GRID_OUT = f"{t('init_time')}, {n('dd','utc_forecast_day')}, {r('latitude')}, {
 
 
 def t2m_grid(spark, sf_dir):
-    from skillgrid.plans.jobs import temperature_metrics
+    from skillgrid.plans.jobs import temperature_scores
 
-    return temperature_metrics(V.fc6(spark, sf_dir), V.ob6(spark, sf_dir), DAYS, widths=(90.0,), thresholds=_THRESHOLDS, cutoffs=(0.5,))
+    return temperature_scores(V.fc6(spark, sf_dir), V.ob6(spark, sf_dir), DAYS, widths=(90.0,), thresholds=_THRESHOLDS, cutoffs=(0.5,))
 
 
 @query("mg1_temperature_grid", f"WITH {T2M_GRID} SELECT {_GRID_OUT} FROM grid")
 def temperature_grid(spark, sf_dir):
-    return t2m_grid(spark, sf_dir)
+    return metricgrid.tidy(t2m_grid(spark, sf_dir), CASE_KEYS)
 
 
 _MM = {"40mm": 40.0, "100mm": 100.0}
-_RAIN = """rn AS (SELECT init_time, CAST(ceil(lead_hours/24.0) AS INTEGER) AS dd, member, latitude, longitude, sum(value) AS su FROM fc6
+_RAIN = f"""rn AS (SELECT init_time, CAST(ceil(lead_hours/24.0) AS INTEGER) AS dd, member, latitude, longitude, {V.exact_sum('value')} AS su FROM fc6
   WHERE lead_hours>0 AND ceil(lead_hours/24.0) IN (1,3,5) GROUP BY ALL)"""
 RAIN_GRID = f"{_RAIN}, {SAMPLES}, {_SMP_DAY}, {_grid_sql('rn', {'su': 'total_precipitation'}, _MM, 80.0)}"
 
 
 def daily_rain(spark, sf_dir):
     """Daily totals, the sum of a day's leads, on their own lead axis."""
-    rows = V.fc6(spark, sf_dir).where("lead_hours > 0")
-    return rows.groupBy("init_time", F.ceil(F.col("lead_hours") / 24).cast("int").alias("lead_days"), "member", *CELLS).agg(F.sum("value").alias("value"))
+    return daily.lead_totals(V.fc6(spark, sf_dir))
 
 
 def rain_grid(spark, sf_dir):
-    from skillgrid.plans.jobs import precipitation_metrics
+    from skillgrid.plans.jobs import precipitation_scores
 
-    return precipitation_metrics(daily_rain(spark, sf_dir), V.ob6(spark, sf_dir), DAYS, widths=(80.0,), thresholds=_MM, cutoffs=(0.5,))
+    return precipitation_scores(daily_rain(spark, sf_dir), V.ob6(spark, sf_dir), DAYS, widths=(80.0,), thresholds=_MM, cutoffs=(0.5,))
 
 
 @query("mg2_precipitation_grid", f"WITH {RAIN_GRID} SELECT {_GRID_OUT} FROM grid")
 def precipitation_grid(spark, sf_dir):
-    return rain_grid(spark, sf_dir)
+    return metricgrid.tidy(rain_grid(spark, sf_dir), CASE_KEYS)
 
 
 def _summary_sql(grid: str) -> str:
@@ -258,7 +258,7 @@ def _rates_sql(grid: str) -> str:
 
 @query("mg3_metric_summary", _summary_sql(T2M_GRID))
 def metric_summary(spark, sf_dir):
-    return metricgrid.summarize(t2m_grid(spark, sf_dir), "utc_forecast_day", CELLS)
+    return metricgrid.summarize(t2m_grid(spark, sf_dir), CASE_KEYS, "utc_forecast_day", CELLS)
 
 
 @query("mg4_contingency_rates", _rates_sql(T2M_GRID))
@@ -286,7 +286,7 @@ def rmse_map(spark, sf_dir):
 @query("mg7_coverage_departure", f"""WITH {T2M_GRID} SELECT metric, {n('dd','utc_forecast_day')}, {r('avg(value)','mean')}, {r('avg(value)-0.9','departure')} FROM grid
   WHERE metric LIKE 'coverage%' GROUP BY metric, dd""")
 def coverage_departure(spark, sf_dir):
-    summary = metricgrid.summarize(t2m_grid(spark, sf_dir), "utc_forecast_day", CELLS).where("scope = 'global'")
+    summary = metricgrid.summarize(t2m_grid(spark, sf_dir), CASE_KEYS, "utc_forecast_day", CELLS).where("scope = 'global'")
     return metricgrid.coverage_departure(summary, {f"coverage_p90_{s}": 90.0 for s in STATS}).select("metric", "utc_forecast_day", "mean", "departure")
 
 

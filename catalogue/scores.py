@@ -65,7 +65,7 @@ PROB = f"{REGION_CELLS}, {_EP}, {_PR}"
 @query("ws4_probability_statistics", f"""WITH {PROB} SELECT model, {n('forecast_day')}, event, region, metric, {r('numerator')}, {r('denominator')}, {r('denominator','weighted_support')}, {n('k','unweighted_support')},
   {r('ew','event_weighted_support')}, {r('nw','non_event_weighted_support')} FROM pr""")
 def probability_statistics(spark, sf_dir):
-    table = suffstats.probability_table(suffstats.event_rows(V.cs(spark, sf_dir)), REGIONS, CUTOFFS, BY_LEAD)
+    table = suffstats.probability_table(V.cs(spark, sf_dir), REGIONS, CUTOFFS, BY_LEAD)
     return table.where("decision_threshold is null").select(
         "model", "forecast_day", "event", "region", "metric", "numerator", "denominator", "weighted_support", "unweighted_support",
         "event_weighted_support", "non_event_weighted_support",
@@ -83,7 +83,7 @@ _CONTINGENCY = f"""{r('wh','weighted_hits')}, {r('wm','weighted_misses')}, {r('w
 @query("ws5_decision_statistics", f"""WITH {DECISION} SELECT model, {n('forecast_day')}, event, region, metric, {r('decision_threshold')}, {r("CASE metric WHEN 'pod' THEN wh ELSE wf END",'numerator')},
   {r("CASE metric WHEN 'pod' THEN wh+wm ELSE wh+wf END",'denominator')}, {_CONTINGENCY} FROM dc, (VALUES ('pod'),('far')) AS mt(metric)""")
 def decision_statistics(spark, sf_dir):
-    table = suffstats.probability_table(suffstats.event_rows(V.cs(spark, sf_dir)), REGIONS, CUTOFFS, BY_LEAD)
+    table = suffstats.probability_table(V.cs(spark, sf_dir), REGIONS, CUTOFFS, BY_LEAD)
     sums = [f"{side}_{c}" for side in ("weighted", "unweighted") for c in suffstats.CONTINGENCY]
     return table.where("decision_threshold is not null").select(
         "model", "forecast_day", "event", "region", "metric", "decision_threshold", "numerator", "denominator", *sums
@@ -99,7 +99,7 @@ REL = f"""{REGION_CELLS}, rl AS (SELECT model, forecast_day, event, region, bin,
 @query("ws6_reliability_statistics", f"""WITH {REL} SELECT model, {n('forecast_day')}, event, region, {n('bin')}, {r('bin_lower')}, {r('bin_upper')}, {r('wc','weighted_count')}, {n('uc','unweighted_count')},
   {r('wp','weighted_probability_sum')}, {r('wo','weighted_observation_sum')} FROM rl""")
 def reliability_statistics(spark, sf_dir):
-    return suffstats.reliability_table(suffstats.event_rows(V.cs(spark, sf_dir)), REGIONS, EDGES, BY_LEAD).drop("subset", "metric")
+    return suffstats.reliability_table(V.cs(spark, sf_dir), REGIONS, EDGES, BY_LEAD).drop("subset", "metric")
 
 
 _LV = "(VALUES (0.5::DOUBLE,3,4),(0.8::DOUBLE,2,5),(0.9::DOUBLE,1,6)) AS lv(nominal_coverage, i, j)"
@@ -162,13 +162,13 @@ FINAL_P = f"""fp AS (SELECT model, region, forecast_day, event, metric, decision
 
 @query("fa3_probability_scores", f"WITH {PROB_FINAL}, {FINAL_P} SELECT model, region, {n('forecast_day')}, event, metric, {r('decision_threshold')}, {r('value')} FROM fp")
 def probability_scores(spark, sf_dir):
-    partial = suffstats.probability_table(suffstats.event_rows(V.cs(spark, sf_dir)), REGIONS, CUTOFFS, BY)
+    partial = suffstats.probability_table(V.cs(spark, sf_dir), REGIONS, CUTOFFS, BY)
     return finals.probability(partial).select("model", "region", "forecast_day", "event", "metric", "decision_threshold", "value")
 
 
 @query("fa4_reliability_scores", f"WITH {REL} SELECT model, region, {n('forecast_day')}, event, {n('bin')}, {r('wp/nullif(wc,0)','mean_forecast_probability')}, {r('wo/nullif(wc,0)','observed_frequency')}, {n('uc','unweighted_count')} FROM rl")
 def reliability_scores(spark, sf_dir):
-    partial = suffstats.reliability_table(suffstats.event_rows(V.cs(spark, sf_dir)), REGIONS, EDGES, BY)
+    partial = suffstats.reliability_table(V.cs(spark, sf_dir), REGIONS, EDGES, BY)
     return finals.reliability(partial).select("model", "region", "forecast_day", "event", "bin", "mean_forecast_probability", "observed_frequency", "unweighted_count")
 
 
@@ -272,7 +272,7 @@ def pivot_days(spark, sf_dir):
 @query("sd5_probability_frequency", f"""WITH {PROB_FINAL}, {FINAL_P} SELECT region, model, {n('forecast_day')}, {r("avg(value) FILTER (WHERE metric='mean_forecast_probability')",'mean_forecast_probability')}, {r("avg(value) FILTER (WHERE metric='observed_event_frequency')",'observed_event_frequency')}
   FROM fp WHERE event='hot_day_q95' GROUP BY region, model, forecast_day""")
 def probability_frequency(spark, sf_dir):
-    partial = suffstats.probability_table(suffstats.event_rows(V.cs(spark, sf_dir)), REGIONS, CUTOFFS, BY)
+    partial = suffstats.probability_table(V.cs(spark, sf_dir), REGIONS, CUTOFFS, BY)
     return scorecard.probability_frequency(finals.probability(partial))
 
 
@@ -284,13 +284,13 @@ def temperature_figure(spark, sf_dir):
 
 @query("sd6_decision_figure", f"WITH {PROB_FINAL}, {FINAL_P} SELECT model, region, {n('forecast_day')}, event, metric, {r('decision_threshold')}, {r('value')} FROM fp WHERE metric IN ('pod','far')")
 def decision_figure(spark, sf_dir):
-    partial = suffstats.probability_table(suffstats.event_rows(V.cs(spark, sf_dir)), REGIONS, CUTOFFS, BY)
+    partial = suffstats.probability_table(V.cs(spark, sf_dir), REGIONS, CUTOFFS, BY)
     return scorecard.probability_metrics(finals.probability(partial), ["pod", "far"]).select("model", "region", "forecast_day", "event", "metric", "decision_threshold", "value")
 
 
 @query("sd6_reliability_figure", f"WITH {REL} SELECT model, region, {n('forecast_day')}, event, {n('bin')}, {r('wp/nullif(wc,0)','mean_forecast_probability')}, {r('wo/nullif(wc,0)','observed_frequency')} FROM rl WHERE forecast_day IN (0,5,10)")
 def reliability_figure(spark, sf_dir):
-    table = finals.reliability(suffstats.reliability_table(suffstats.event_rows(V.cs(spark, sf_dir)), REGIONS, EDGES, BY))
+    table = finals.reliability(suffstats.reliability_table(V.cs(spark, sf_dir), REGIONS, EDGES, BY))
     return scorecard.reliability_days(table, [0, 5, 10]).select("model", "region", "forecast_day", "event", "bin", "mean_forecast_probability", "observed_frequency")
 
 

@@ -163,6 +163,19 @@ OFFSET = (
     "CASE WHEN ((longitude+180)%360)-180 < -135 THEN -12 WHEN ((longitude+180)%360)-180 < -45 THEN -6 "
     "WHEN ((longitude+180)%360)-180 < 45 THEN 0 WHEN ((longitude+180)%360)-180 < 135 THEN 6 ELSE 12 END"
 )
+
+
+def exact_sum(x: str) -> str:
+    """The double nearest to the exact sum, whatever the order: parts down to 2**-20 and to 2**-62 as whole numbers."""
+    coarse = f"sum(CAST(floor(CAST({x} AS DOUBLE)*1048576) AS BIGINT))"
+    fine = f"sum(CAST(trunc((CAST({x} AS DOUBLE)*1048576-floor(CAST({x} AS DOUBLE)*1048576))*4398046511104) AS BIGINT))"
+    return f"(CAST({coarse}+{fine}//4398046511104 AS DOUBLE)/1048576+CAST({fine}%4398046511104 AS DOUBLE)/4611686018427387904)"
+
+
+def exact_mean(x: str) -> str:
+    return f"({exact_sum(x)}/count({x}))"
+
+
 W = "greatest(cos(radians(latitude)),0)"
 
 SQL_VIEWS = {
@@ -199,7 +212,7 @@ SQL_VIEWS = {
         CAST(init_time+to_hours(off)+to_hours((24-hour(init_time+to_hours(off)))%24) AS DATE), valid_date) AS INTEGER) AS local_forecast_day,
         off, mean, low, high FROM (
       SELECT init_time, member, latitude, longitude, off, CAST(init_time+to_hours(lead_hours+off) AS DATE) AS valid_date,
-        avg(value) AS mean, min(value) AS low, max(value) AS high
+        {exact_mean('value')} AS mean, min(value) AS low, max(value) AS high
       FROM (SELECT *, {OFFSET} AS off FROM fc6) WHERE lead_hours<360 GROUP BY ALL HAVING count(*)=4)
       WHERE datediff('day', CAST(init_time+to_hours(off)+to_hours((24-hour(init_time+to_hours(off)))%24) AS DATE), valid_date)>=0""",
     "cs": f"""SELECT f.*, strftime(init_time,'%Y-%m') AS init_month, y AS observation_temperature,

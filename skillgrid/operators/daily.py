@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import timefn
 from ..functions.ensemble import statistic
+from ..functions.exact import exact_mean, exact_sum
 from .checks import stop_if_any
 from .select import before_day, forecast_day_samples
 
@@ -27,7 +28,7 @@ def day_statistics(samples: DataFrame, keys: list[str], value: str = "value", pr
     whole = _complete(v)
     out = samples.groupBy(*keys).agg(
         F.when(whole, F.min(v)).alias(f"{prefix}_min_6h"),
-        F.when(whole, F.avg(v)).alias(f"{prefix}_mean_6h"),
+        F.when(whole, exact_mean(v)).alias(f"{prefix}_mean_6h"),
         F.when(whole, F.max(v)).alias(f"{prefix}_max_6h"),
     )
     if "utc_forecast_day" in keys:
@@ -69,11 +70,17 @@ def precipitation_days(samples: DataFrame, value: str = "value", out: str = "tot
     start, end = timefn.lead_window(F.col("utc_forecast_day"), 0)
     return (
         samples.groupBy(*keys)
-        .agg(F.when(_complete(F.col(value)), F.sum(value)).alias(out))
+        .agg(F.when(_complete(F.col(value)), exact_sum(value)).alias(out))
         .withColumns({"lead_start": start, "lead_end": end})
     )
 
 
+def lead_totals(forecasts: DataFrame, value: str = "value") -> DataFrame:
+    """Totals of end-labelled accumulations by day of lead (``lead_days`` from 1); lead 0 belongs to no day."""
+    rows = forecasts.where("lead_hours > 0").withColumn("lead_days", F.ceil(F.col("lead_hours") / 24).cast("int"))
+    return rows.groupBy(*_keys(rows, "lead_hours", value)).agg(exact_sum(value).alias(value))
+
+
 def lead_days(forecasts: DataFrame, max_days: int | None = None, value: str = "value", stats=("min", "mean", "max")) -> DataFrame:
     """Statistics by whole days of lead counted from lead 0; partial days are allowed."""
     rows = forecasts if max_days is None else before_day(forecasts, max_days)
@@ -103,9 +110,9 @@ def utc_observation_days(observations: DataFrame) -> DataFrame:
     ).select(*CELL, "r.*")
     return rows.groupBy("day", *CELL).agg(
         F.min("t2m").alias("t2m_min_6h"),
-        F.avg("t2m").alias("t2m_mean_6h"),
+        exact_mean("t2m").alias("t2m_mean_6h"),
         F.max("t2m").alias("t2m_max_6h"),
-        F.when(F.count("tp") >= 4, F.sum("tp")).alias("total_precipitation"),
+        F.when(F.count("tp") >= 4, exact_sum("tp")).alias("total_precipitation"),
     )
 
 
@@ -176,7 +183,7 @@ def six_hourly_from_hourly(hourly: DataFrame, check: bool = False) -> DataFrame:
         .groupBy("end", *CELL)
         .agg(
             *[F.max(F.when(at_end, F.col(c))).alias(c) for c in instant],
-            F.when(F.count("tp") == 6, F.sum("tp")).alias("tp"),
+            F.when(F.count("tp") == 6, exact_sum("tp")).alias("tp"),
             F.count("tp").alias("hours_present"),
         )
         .withColumnRenamed("end", "valid_time")

@@ -14,7 +14,7 @@ def number_label(value: float) -> str:
     return f"{value:g}".replace(".", "p")
 
 
-def case_metrics(
+def case_scores(
     members: DataFrame,
     observations: DataFrame,
     case_keys: list[str],
@@ -24,7 +24,7 @@ def case_metrics(
     thresholds: dict[str, float],
     cutoffs=(0.5,),
 ) -> DataFrame:
-    """Coverage, exceedance probability, Brier score and contingency code as tidy rows.
+    """Coverage, exceedance probability, Brier score and contingency code, one row a case and one column a metric.
 
     Members shrink to one row per case before the observations are joined; all thresholds and
     statistics come from that one aggregation. ``thresholds`` maps labels to data units.
@@ -36,10 +36,10 @@ def case_metrics(
     reduced = members.groupBy(*case_keys).agg(*aggs)
     observed = observations.select(*case_keys, *[F.col(s).alias(f"o_{s}") for s in statistics])
     cases = reduced.join(observed, case_keys, "left")
-    rows: list[Column] = []
+    scores: list[Column] = []
 
     def row(metric: str, value: Column) -> None:
-        rows.append(F.struct(F.lit(metric).alias("metric"), value.cast("double").alias("value")))
+        scores.append(value.cast("double").alias(metric))
 
     for s in statistics:
         obs = F.col(f"o_{s}")
@@ -53,50 +53,66 @@ def case_metrics(
             row(f"brier_score_{label}_{s}", ens.brier(p, event))
             for c in cutoffs:
                 row(f"poe_contingency_p{number_label(c)}_{label}_{s}", ens.contingency_code(p, event, c))
-    return cases.select(*case_keys, F.explode(F.array(*rows)).alias("r")).select(*case_keys, "r.*")
+    return cases.select(*case_keys, *scores)
 
 
-def _mean_sums(metrics: DataFrame, by: list[str]) -> DataFrame:
-    return metrics.groupBy(*by).agg(F.sum("value").alias("total"), F.count("value").alias("valid"))
+def tidy(scores: DataFrame, case_keys: list[str]) -> DataFrame:
+    """One row for each case and metric."""
+    rows = [F.struct(F.lit(c).alias("metric"), F.col(c).alias("value")) for c in scores.columns if c not in case_keys]
+    return scores.select(*case_keys, F.explode(F.array(*rows)).alias("r")).select(*case_keys, "r.*")
 
 
-def summarize(metrics: DataFrame, day: str, cell: list[str]) -> DataFrame:
+def case_metrics(members: DataFrame, observations: DataFrame, case_keys: list[str], statistics: list[str], **options) -> DataFrame:
+    """The scores of :func:`case_scores` as tidy rows."""
+    return tidy(case_scores(members, observations, case_keys, statistics, **options), case_keys)
+
+
+CODES = "poe_contingency_"
+COUNTS = {"hits": ens.HIT, "misses": ens.MISS, "false_positives": ens.FALSE_POSITIVE, "true_negatives": ens.TRUE_NEGATIVE}
+
+
+def summarize(scores: DataFrame, case_keys: list[str], day: str, cell: list[str]) -> DataFrame:
     """Map mean and case count per cell, and the global ones, of every metric.
 
-    Cells are summed first; the global rows then come from the small cell table.
+    All metrics of a cell are summed side by side in one aggregation; the global rows come from the small
+    cell table, and metrics become rows only after that.
     """
-    per_cell = _mean_sums(metrics.where(~F.col("metric").startswith("poe_contingency_")), ["metric", day, *cell])
-    return (
-        per_cell.groupingSets([["metric", day, *cell], ["metric", day]], "metric", day, *cell)
-        .agg(
-            F.sum("total").alias("total"),
-            F.sum("valid").alias("valid_cases"),
-            F.grouping(cell[0]).alias("is_global"),
-        )
-        .select(
-            "metric",
-            day,
-            *cell,
-            F.when(F.col("is_global") == 1, "global").otherwise("map").alias("scope"),
-            F.try_divide("total", "valid_cases").alias("mean"),
-            "valid_cases",
-        )
+    metrics = [c for c in scores.columns if c not in case_keys and not c.startswith(CODES)]
+    pairs = [(F.sum(m).alias(f"total.{m}"), F.count(m).alias(f"valid.{m}")) for m in metrics]
+    per_cell = scores.groupBy(day, *cell).agg(*[c for pair in pairs for c in pair])
+    sums = [F.sum(f"`{kind}.{m}`").alias(f"{kind}.{m}") for m in metrics for kind in ("total", "valid")]
+    both = per_cell.groupingSets([[day, *cell], [day]], day, *cell).agg(*sums, F.grouping(cell[0]).alias("is_global"))
+    rows = [F.struct(F.lit(m).alias("metric"), F.col(f"`total.{m}`").alias("total"), F.col(f"`valid.{m}`").alias("valid")) for m in metrics]
+    return both.select(day, *cell, "is_global", F.explode(F.array(*rows)).alias("r")).select(
+        "r.metric",
+        day,
+        *cell,
+        F.when(F.col("is_global") == 1, "global").otherwise("map").alias("scope"),
+        F.try_divide("r.total", "r.valid").alias("mean"),
+        F.col("r.valid").alias("valid_cases"),
     )
 
 
+def contingency_summary(scores: DataFrame, case_keys: list[str], day: str, cell: list[str]) -> DataFrame:
+    """Rates (see :func:`contingency_rates`) of every contingency metric, counted side by side like the means."""
+    metrics = [c for c in scores.columns if c.startswith(CODES)]
+    counts = [F.count_if(F.col(m) == code).alias(f"{kind}.{m}") for m in metrics for kind, code in COUNTS.items()]
+    per_cell = scores.groupBy(day, *cell).agg(*counts)
+    sums = [F.sum(f"`{kind}.{m}`").alias(f"{kind}.{m}") for m in metrics for kind in COUNTS]
+    both = per_cell.groupingSets([[day, *cell], [day]], day, *cell).agg(*sums, F.grouping(cell[0]).alias("is_global"))
+    rows = [F.struct(F.lit(m).alias("metric"), *[F.col(f"`{kind}.{m}`").alias(kind) for kind in COUNTS]) for m in metrics]
+    return _rates(both.select(day, *cell, "is_global", F.explode(F.array(*rows)).alias("r")).select(day, *cell, "is_global", "r.*"), ["metric", day], cell)
+
+
 def contingency_rates(codes: DataFrame, by: list[str], cell: list[str], code: str = "code") -> DataFrame:
     """Hit, miss and false-positive rates per cell and overall; NULL without a denominator."""
     c = F.col(code)
-    per_cell = codes.groupBy(*by, *cell).agg(
-        F.count_if(c == ens.HIT).alias("hits"),
-        F.count_if(c == ens.MISS).alias("misses"),
-        F.count_if(c == ens.FALSE_POSITIVE).alias("false_positives"),
-        F.count_if(c == ens.TRUE_NEGATIVE).alias("true_negatives"),
-    )
-    sums = per_cell.groupingSets([[*by, *cell], by], *by, *cell).agg(
-        *[F.sum(x).alias(x) for x in ("hits", "misses", "false_positives", "true_negatives")],
-        F.grouping(cell[0]).alias("is_global"),
-    )
+    per_cell = codes.groupBy(*by, *cell).agg(*[F.count_if(c == value).alias(kind) for kind, value in COUNTS.items()])
+    sums = per_cell.groupingSets([[*by, *cell], by], *by, *cell).agg(*[F.sum(kind).alias(kind) for kind in COUNTS], F.grouping(cell[0]).alias("is_global"))
+    return _rates(sums, by, cell)
+
+
+def _rates(sums: DataFrame, by: list[str], cell: list[str]) -> DataFrame:
     events = F.col("hits") + F.col("misses")
     non_events = F.col("false_positives") + F.col("true_negatives")
     return sums.select(

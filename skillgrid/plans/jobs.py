@@ -15,29 +15,31 @@ NO_QUANTILES = "no ensemble quantiles"
 TEMPERATURE_STATISTICS = ["t2m_min_6h", "t2m_mean_6h", "t2m_max_6h"]
 
 
-def temperature_metrics(forecasts: DataFrame, observations: DataFrame, days, *, widths, thresholds: dict[str, float], cutoffs) -> DataFrame:
-    """UTC-day temperature verification: daily statistics, matched observations, case metrics."""
+CASE_KEYS = ["init_time", "utc_forecast_day", *CELL]
+
+
+def temperature_scores(forecasts: DataFrame, observations: DataFrame, days, *, widths, thresholds: dict[str, float], cutoffs) -> DataFrame:
+    """UTC-day temperature verification: daily statistics, matched observations, a column for each metric."""
     members = daily.utc_forecast_days(forecasts, days)
     where = forecasts.select("init_time", *CELL).distinct()
     observed = daily.observation_days(daily.observation_samples(where, observations, days))
-    keys = ["init_time", "utc_forecast_day", *CELL]
-    return metricgrid.case_metrics(members, observed, keys, TEMPERATURE_STATISTICS, widths=widths, thresholds=thresholds, cutoffs=cutoffs)
+    return metricgrid.case_scores(members, observed, CASE_KEYS, TEMPERATURE_STATISTICS, widths=widths, thresholds=thresholds, cutoffs=cutoffs)
 
 
-def precipitation_metrics(totals: DataFrame, observations: DataFrame, days, *, widths, thresholds: dict[str, float], cutoffs) -> DataFrame:
+def precipitation_scores(totals: DataFrame, observations: DataFrame, days, *, widths, thresholds: dict[str, float], cutoffs) -> DataFrame:
     """Daily precipitation verification against sums of 6-hour accumulations."""
     members = select.daily_totals(totals, days).withColumnRenamed("value", "total_precipitation")
     where = totals.select("init_time", *CELL).distinct()
     observed = daily.precipitation_days(daily.observation_samples(where, observations, days))
-    keys = ["init_time", "utc_forecast_day", *CELL]
-    return metricgrid.case_metrics(members, observed, keys, ["total_precipitation"], widths=widths, thresholds=thresholds, cutoffs=cutoffs)
+    return metricgrid.case_scores(members, observed, CASE_KEYS, ["total_precipitation"], widths=widths, thresholds=thresholds, cutoffs=cutoffs)
 
 
-def metric_summaries(metrics: DataFrame) -> tuple[DataFrame, DataFrame]:
+def metric_summaries(scores: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Means by map and overall, and the rates of every contingency metric."""
-    means = metricgrid.summarize(metrics, "utc_forecast_day", CELL)
-    codes = metrics.where(F.col("metric").startswith("poe_contingency_")).withColumn("code", F.col("value").cast("int"))
-    return means, metricgrid.contingency_rates(codes, ["metric", "utc_forecast_day"], CELL)
+    return (
+        metricgrid.summarize(scores, CASE_KEYS, "utc_forecast_day", CELL),
+        metricgrid.contingency_summary(scores, CASE_KEYS, "utc_forecast_day", CELL),
+    )
 
 
 def observed_heat(observations: DataFrame, first_year: int, last_year: int, percentiles=(90.0, 95.0, 97.5), window: int = 15, stat: str = "mean", primary: float = 95.0, check: bool = True, whole_year: bool = True) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -81,37 +83,36 @@ def forecast_cases(forecasts: DataFrame, thresholds: DataFrame, observed: DataFr
 
 
 def regional_statistics(case_table: DataFrame, regions, *, by=suffstats.BY, cutoffs=(0.5,), edges=suffstats.RELIABILITY_EDGES, levels=suffstats.INTERVAL_LEVELS, land_mask: DataFrame | None = None) -> dict[str, DataFrame]:
-    """All statistics tables of stored cases, by default per initialization month: four by region, and maps."""
-    events = suffstats.event_rows(case_table)
+    """All statistics tables of cases, by default per initialization month: four by region, and maps.
+
+    One pass over the cases adds up all families per cell; the sums are written once and every table starts from them.
+    """
+    cutoffs, edges = suffstats.check_cutoffs(cutoffs), suffstats.check_edges(edges)
+    cells = materialize(suffstats.cell_sums(case_table, by, cutoffs=cutoffs, edges=edges, levels=levels), "cell-sums")
     return {
-        "deterministic": suffstats.deterministic_table(case_table, regions, by, land_mask),
-        "probability": suffstats.probability_table(events, regions, cutoffs, by, land_mask),
-        "reliability": suffstats.reliability_table(events, regions, edges, by, land_mask),
-        "interval": interval_statistics(case_table, regions, levels, by, land_mask),
-        "spatial": suffstats.spatial_cells(case_table, by),
+        "deterministic": suffstats.deterministic_of(cells, regions, by, land_mask),
+        "probability": suffstats.probability_of(cells, regions, cutoffs, by, land_mask),
+        "reliability": suffstats.reliability_of(cells, regions, edges, by, land_mask),
+        "interval": interval_statistics(cells, regions, levels, by, land_mask),
+        "spatial": suffstats.spatial_of(cells, by),
     }
 
 
-def interval_statistics(case_table: DataFrame, regions, levels, by, land_mask: DataFrame | None = None) -> DataFrame:
-    """Interval coverage of the cases with quantiles; slices without any have rows that say so."""
-    slices = case_table.select(*by).distinct()
-    if "quantiles" not in case_table.columns:
-        return suffstats.unavailable_intervals(slices, regions, levels, NO_QUANTILES)
-    held = case_table.where(F.col("quantiles").isNotNull())
-    bare = slices.join(held.select(*by).distinct(), by, "left_anti")
-    return suffstats.interval_table(held, regions, levels, by, land_mask).unionByName(
+def interval_statistics(cells: DataFrame, regions, levels, by, land_mask: DataFrame | None = None) -> DataFrame:
+    """Interval coverage of the cells with quantiles; slices without any have rows that say so."""
+    if "intervals" not in cells.columns:
+        return suffstats.unavailable_intervals(cells.select(*by).distinct(), regions, levels, NO_QUANTILES)
+    held = cells.where("with_quantiles > 0")
+    bare = cells.groupBy(*by).agg(F.max("with_quantiles").alias("most")).where("most = 0").drop("most")
+    return suffstats.interval_of(held, regions, by, land_mask).unionByName(
         suffstats.unavailable_intervals(bare, regions, levels, NO_QUANTILES), allowMissingColumns=True
     )
 
 
-def regional_verification(case_table: DataFrame, regions, store_cases: bool = True, **options) -> dict[str, DataFrame]:
-    """Final tables by region and final maps; cases that feed several tables are written once.
-
-    Cases read from a store need no second copy: pass ``store_cases=False``.
-    """
-    stored = materialize(case_table, "cases") if store_cases else case_table
+def regional_verification(case_table: DataFrame, regions, **options) -> dict[str, DataFrame]:
+    """Final tables by region and final maps, from one pass over the cases."""
     # No months are kept apart here, so cells are summed over all initializations at once.
-    return finals.aggregate(regional_statistics(stored, regions, by=["model", "forecast_day"], **options))
+    return finals.aggregate(regional_statistics(case_table, regions, by=["model", "forecast_day"], **options))
 
 
 def model_quantiles(forecasts: DataFrame, window: int = 15, level: float = 0.95) -> DataFrame:

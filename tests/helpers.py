@@ -26,3 +26,8 @@ def one(frame, column):
 
 def ntz(column="init_time"):
     return F.col(column).cast("timestamp_ntz")
+
+
+def executed(frame):
+    """The physical plan before adaptive execution, outermost node first."""
+    return frame._jdf.queryExecution().executedPlan().toString()

@@ -1,5 +1,5 @@
 import pytest
-from helpers import one, rows, ts
+from helpers import executed, one, rows, ts
 from pyspark.sql import functions as F
 
 from skillgrid.functions import ensemble as ens
@@ -104,13 +104,29 @@ def test_metric_grid_rows(spark):
     }
 
 
+KEYS = ["init_time", "d", "latitude", "longitude"]
+
+
+def scores(spark):
+    rows_ = [(k, 1, 0.0, 0.0, v, c) for k, (v, c) in enumerate([(0.0, 1.0), (1.0, 2.0), (None, 3.0), (None, 0.0), (None, -1.0)])]
+    schema = "init_time int, d int, latitude double, longitude double, coverage_p90 double, poe_contingency_p0p5 double"
+    return spark.createDataFrame(rows_, schema)
+
+
 def test_summaries_and_rates(spark):
-    metrics = spark.createDataFrame([("coverage_p90", 1, 0.0, 0.0, v) for v in (0.0, 1.0)], "metric string, d int, latitude double, longitude double, value double")
-    got = rows(metricgrid.summarize(metrics, "d", ["latitude", "longitude"]), "scope", "mean", "valid_cases")
-    assert got == [("global", 0.5, 2), ("map", 0.5, 2)]
-    codes = spark.createDataFrame([(1, 0.0, 0.0, c) for c in (1, 2, 3, 0, -1)], "d int, latitude double, longitude double, code int")
-    got = rows(metricgrid.contingency_rates(codes, ["d"], ["latitude", "longitude"]), "scope", "poe_hit_rate", "poe_miss_rate", "poe_false_positive_rate", "poe_valid_cases")
-    assert got == [("global", 0.5, 0.5, 0.5, 4), ("map", 0.5, 0.5, 0.5, 4)]
+    got = rows(metricgrid.summarize(scores(spark), KEYS, "d", KEYS[2:]), "scope", "metric", "mean", "valid_cases")
+    assert got == [("global", "coverage_p90", 0.5, 2), ("map", "coverage_p90", 0.5, 2)]
+    rates = ("poe_hit_rate", "poe_miss_rate", "poe_false_positive_rate", "poe_valid_cases")
+    side_by_side = metricgrid.contingency_summary(scores(spark), KEYS, "d", KEYS[2:])
+    assert rows(side_by_side, "scope", "metric", *rates) == [(s, "poe_contingency_p0p5", 0.5, 0.5, 0.5, 4) for s in ("global", "map")]
+    codes = scores(spark).withColumnRenamed("poe_contingency_p0p5", "code")
+    assert rows(metricgrid.contingency_rates(codes, ["d"], KEYS[2:]), "scope", *rates) == [(s, 0.5, 0.5, 0.5, 4) for s in ("global", "map")]
+
+
+def test_metrics_become_rows_after_the_sums(spark):
+    for table in (metricgrid.summarize, metricgrid.contingency_summary):
+        plan = executed(table(scores(spark), KEYS, "d", KEYS[2:]))
+        assert "Generate" in plan and "Generate" not in plan[plan.index("Exchange") :]
 
 
 def test_rates_without_denominator_are_null(spark):
