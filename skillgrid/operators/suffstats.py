@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 from ..functions import geo
 from ..functions.ensemble import indicator, quantile_value
 from .align import CELL
-from .select import subset_conditions
 
 # The verified events.
 EVENTS = ("hot_day_q95", "heatwave_start_q95_2d", "heatwave_start_q95_3d")
@@ -57,84 +56,78 @@ def reliability_bin(probability: Column, edges) -> Column:
     return F.when(inside, F.least(F.size(passed) - 1, F.lit(len(edges) - 2)))
 
 
-def _subset_sums(prefix: str, field: Column, hot: Column) -> dict[str, Column]:
+# Aggregates are written as SQL text: there are some two hundred of them, and a text is one call to the JVM.
+# They refer to helper columns of cell_sums: e (error), obs, hot, and by event p_, o_, x_ (1.0 or 0.0), b_ (bin).
+_SUBSET_RULES = {"all": "true", "observed_hot": "hot", "observed_nonhot": "NOT hot"}
+
+
+def _subset_sums(prefix: str, field: str) -> dict[str, str]:
     """Sum and count of a field in each observed subset."""
     out = {}
-    for subset, condition in subset_conditions(hot).items():
-        out[f"{prefix}_{subset}"] = F.sum(F.when(condition, field))
-        out[f"{prefix}_{subset}_n"] = F.count(F.when(condition, field))
+    for subset, rule in _SUBSET_RULES.items():
+        out[f"{prefix}_{subset}"] = f"sum({field}) FILTER (WHERE {rule})"
+        out[f"{prefix}_{subset}_n"] = f"count({field}) FILTER (WHERE {rule})"
     return out
 
 
-def _error() -> Column:
-    return F.col("forecast_temperature") - F.col("observation_temperature")
-
-
-def _deterministic_sums() -> dict[str, Column]:
+def _deterministic_sums() -> dict[str, str]:
     """The squared, absolute and signed error of each subset."""
-    error, hot = _error(), F.col("observed_hot_day_q95")
-    out = {}
-    for name, field in (("rmse", error * error), ("mae", F.abs(error)), ("bias", error)):
-        out |= _subset_sums(name, field, hot)
-    return out
+    return _subset_sums("rmse", "e * e") | _subset_sums("mae", "abs(e)") | _subset_sums("bias", "e")
 
 
-def _spatial_sums() -> dict[str, Column]:
+def _spatial_sums() -> dict[str, str]:
     """Unweighted sums over initializations for maps."""
-    error, p = _error(), F.col("probability_hot_day_q95")
-    o = indicator(F.col("observed_hot_day_q95"))
-    both = p.isNotNull() & o.isNotNull()
-    zero = F.lit(0.0)
     return {
-        "temperature_bias_numerator": F.coalesce(F.sum(error), zero),
-        "temperature_squared_error_numerator": F.coalesce(F.sum(error * error), zero),
-        "temperature_denominator": F.count(error),
-        "hot_day_brier_numerator": F.coalesce(F.sum((p - o) * (p - o)), zero),
-        "hot_day_probability_numerator": F.coalesce(F.sum(F.when(both, p)), zero),
-        "hot_day_observation_numerator": F.coalesce(F.sum(F.when(both, o)), zero),
-        "hot_day_denominator": F.count_if(both),
+        "temperature_bias_numerator": "coalesce(sum(e), 0.0D)",
+        "temperature_squared_error_numerator": "coalesce(sum(e * e), 0.0D)",
+        "temperature_denominator": "count(e)",
+        "hot_day_brier_numerator": "coalesce(sum((hot_p - hot_x) * (hot_p - hot_x)), 0.0D)",
+        "hot_day_probability_numerator": "coalesce(sum(hot_p) FILTER (WHERE hot_x IS NOT NULL), 0.0D)",
+        "hot_day_observation_numerator": "coalesce(sum(hot_x) FILTER (WHERE hot_p IS NOT NULL), 0.0D)",
+        "hot_day_denominator": "count(hot_p - hot_x)",
     }
 
 
-def _probability_sums(event: str, cutoffs) -> dict[str, Column]:
+def _probability_sums(i: int, cutoffs) -> dict[str, str]:
     """Probability scores and contingency counts of an event."""
-    p, o = F.col(f"probability_{event}"), F.col(f"observed_{event}")
-    obs = indicator(o)
-    both = p.isNotNull() & o.isNotNull()
+    p, o, x = f"p_{i}", f"o_{i}", f"x_{i}"
+    both = f"{p} IS NOT NULL AND {o} IS NOT NULL"
+    fields = {
+        "brier_score": f"({p} - {x}) * ({p} - {x})",
+        "mean_forecast_probability": p,
+        "observed_event_frequency": x,
+        "probability_frequency_bias": f"{p} - {x}",
+    }
     out = {}
-    for name, field in (
-        ("brier_score", (p - obs) * (p - obs)),
-        ("mean_forecast_probability", p),
-        ("observed_event_frequency", obs),
-        ("probability_frequency_bias", p - obs),
-    ):
-        out |= {name: F.sum(field), f"{name}_n": F.count(field)}
-    out |= {"non_events": F.sum(1.0 - obs), "pairs": F.count_if(both), "event_pairs": F.count_if(both & o)}
-    for i, c in enumerate(cutoffs):
-        out |= {f"hits_{i}": F.count_if(both & (p >= c) & o), f"false_alarms_{i}": F.count_if(both & (p >= c) & ~o)}
+    for name, field in fields.items():
+        out |= {name: f"sum({field})", f"{name}_n": f"count({field})"}
+    out |= {"non_events": f"sum(1.0D - {x})", "pairs": f"count_if({both})", "event_pairs": f"count_if({both} AND {o})"}
+    for k, c in enumerate(cutoffs):
+        out |= {f"hits_{k}": f"count_if({p} >= {c}D AND {o})", f"false_alarms_{k}": f"count_if({p} >= {c}D AND NOT {o})"}
     return out
 
 
-def _bin_sums(event: str, edges) -> dict[str, Column]:
+def _bin_sums(i: int, edges) -> dict[str, str]:
     """A vector of counters for each reliability bin, filled by the case's bin number."""
-    b, p, o = F.col(f"bin_{event}"), F.col(f"probability_{event}"), indicator(F.col(f"observed_{event}"))
     out = {}
-    for i in range(len(edges) - 1):
-        out |= {f"cases_{i}": F.count_if(b == i), f"probability_sum_{i}": F.sum(F.when(b == i, p)), f"observation_sum_{i}": F.sum(F.when(b == i, o))}
+    for k in range(len(edges) - 1):
+        rule = f"FILTER (WHERE b_{i} = {k})"
+        out |= {f"cases_{k}": f"count(*) {rule}", f"probability_sum_{k}": f"sum(p_{i}) {rule}", f"observation_sum_{k}": f"sum(x_{i}) {rule}"}
     return out
 
 
-def _interval_sums(i: int) -> dict[str, Column]:
+def _interval_sums(i: int) -> dict[str, str]:
     """Coverage and width of one central interval in each subset."""
-    lower, upper, obs, hot = F.col(f"lower_{i}"), F.col(f"upper_{i}"), F.col("observation_temperature"), F.col("observed_hot_day_q95")
-    inside = F.when(
-        lower.isNotNull() & upper.isNotNull() & obs.isNotNull(), indicator((lower <= obs) & (obs <= upper))
-    )
-    return _subset_sums("covered", inside, hot) | _subset_sums("width", F.when(inside.isNotNull(), upper - lower), hot)
+    inside = f"CASE WHEN lower_{i} <= obs AND obs <= upper_{i} THEN 1.0D WHEN NOT (lower_{i} <= obs AND obs <= upper_{i}) THEN 0.0D END"
+    known = f"lower_{i} IS NOT NULL AND upper_{i} IS NOT NULL AND obs IS NOT NULL"
+    return _subset_sums("covered", f"CASE WHEN {known} THEN {inside} END") | _subset_sums("width", f"CASE WHEN {known} THEN upper_{i} - lower_{i} END")
+
+
+FAMILIES = ("deterministic", "spatial", "probability", "reliability", "interval")
 
 
 def cell_sums(
-    cases: DataFrame, by: list[str] = BY, *, cutoffs=(0.5,), edges=RELIABILITY_EDGES, levels=INTERVAL_LEVELS, events=None
+    cases: DataFrame, by: list[str] = BY, *, cutoffs=(0.5,), edges=RELIABILITY_EDGES, levels=INTERVAL_LEVELS, families=FAMILIES
 ) -> DataFrame:
     """All families' sums per cell in one aggregation of the cases; what the cases have no columns for is left out.
 
@@ -142,43 +135,52 @@ def cell_sums(
     struct of sums for each event, its reliability bins as a struct ``bins``), ``intervals`` (an array with a struct for each
     nominal level), ``with_quantiles`` (cases that have quantiles). A case gives no row of its own for an event, a bin or a
     level: these are places in the cell's row, so the exchange moves as many rows as there are cells in a partition.
-    A table made from some of the columns computes these alone.
     """
     edges = check_edges(edges)
-    has = set(cases.columns)
-    events = [e for e in (events or EVENTS) if {f"probability_{e}", f"observed_{e}"} <= has]
-    helpers: dict[str, Column] = {}
-    families: dict[str, dict[str, Column]] = {}
-    if {"forecast_temperature", "observation_temperature", "observed_hot_day_q95"} <= has:
-        families["deterministic"] = _deterministic_sums()
-        if "probability_hot_day_q95" in has:
-            families["spatial"] = _spatial_sums()
-    for e in events:
-        p, o = F.col(f"probability_{e}"), F.col(f"observed_{e}")
-        helpers[f"bin_{e}"] = F.when(p.isNotNull() & o.isNotNull(), reliability_bin(p, edges))
-        families[f"event_{e}"] = _probability_sums(e, cutoffs)
-        families[f"bins_{e}"] = _bin_sums(e, edges)
-    if "quantiles" in has:
-        for i, c in enumerate(levels):
-            helpers[f"lower_{i}"] = quantile_value(F.col("quantiles"), (1.0 - c) / 2.0)
-            helpers[f"upper_{i}"] = quantile_value(F.col("quantiles"), 1.0 - (1.0 - c) / 2.0)
-            families[f"interval_{i}"] = _interval_sums(i)
-    aggs = [c.alias(f"{family}.{name}") for family, sums in families.items() for name, c in sums.items()]
-    if "quantiles" in has:
-        aggs.append(F.count("quantiles").alias("with_quantiles"))
-    sums = cases.withColumns(helpers).groupBy(*by, *CELL).agg(*aggs)
-
-    def fields(family: str) -> list[Column]:
-        return [F.col(f"`{family}.{name}`").alias(name) for name in families[family]]
-
-    packed = [F.struct(*fields(f)).alias(f) for f in ("deterministic", "spatial") if f in families]
+    has, wanted = set(cases.columns), set(families)
+    columns: dict[str, Column] = {}
+    sums: dict[str, dict[str, str]] = {}
+    if wanted & {"deterministic", "spatial", "interval"}:
+        columns |= {"obs": F.col("observation_temperature"), "hot": F.col("observed_hot_day_q95")}
+    if wanted & {"deterministic", "spatial"}:
+        columns["e"] = F.col("forecast_temperature") - F.col("observation_temperature")
+    if "deterministic" in wanted:
+        sums["deterministic"] = _deterministic_sums()
+    if "spatial" in wanted:
+        columns |= {"hot_p": F.col("probability_hot_day_q95"), "hot_x": indicator(F.col("observed_hot_day_q95"))}
+        sums["spatial"] = _spatial_sums()
+    events = [e for e in EVENTS if {f"probability_{e}", f"observed_{e}"} <= has] if wanted & {"probability", "reliability"} else []
+    for i, event in enumerate(events):
+        p, o = F.col(f"probability_{event}"), F.col(f"observed_{event}")
+        columns |= {f"p_{i}": p, f"o_{i}": o, f"x_{i}": indicator(o)}
+        if "probability" in wanted:
+            sums[f"event{i}"] = _probability_sums(i, cutoffs)
+        if "reliability" in wanted:
+            columns[f"b_{i}"] = F.when(p.isNotNull() & o.isNotNull(), reliability_bin(p, edges))
+            sums[f"bins{i}"] = _bin_sums(i, edges)
+    levels = [float(c) for c in levels] if "quantiles" in has and "interval" in wanted else []
+    for i, c in enumerate(levels):
+        columns[f"lower_{i}"] = quantile_value(F.col("quantiles"), (1.0 - c) / 2.0)
+        columns[f"upper_{i}"] = quantile_value(F.col("quantiles"), 1.0 - (1.0 - c) / 2.0)
+        sums[f"interval{i}"] = _interval_sums(i)
+    if levels:
+        columns["quantiles"] = F.col("quantiles")
+        sums["with"] = {"quantiles": "count(quantiles)"}
+
+    rows = cases.select(*by, *CELL, *[c.alias(name) for name, c in columns.items()])
+    summed = rows.groupBy(*by, *CELL).agg(*[F.expr(f"{sql} AS `{family}.{name}`") for family, each in sums.items() for name, sql in each.items()])
+
+    def fields(family: str) -> str:
+        return ", ".join(f"`{family}.{name}` AS {name}" for name in sums.get(family, ()))
+
+    packed = [f"struct({fields(family)}) AS {family}" for family in ("deterministic", "spatial") if family in sums]
     if events:
-        each = [F.struct(F.lit(e).alias("event"), *fields(f"event_{e}"), F.struct(*fields(f"bins_{e}")).alias("bins")) for e in events]
-        packed.append(F.array(*each).alias("events"))
-    if "quantiles" in has:
-        each = [F.struct(F.lit(float(c)).alias("nominal_coverage"), *fields(f"interval_{i}")) for i, c in enumerate(levels)]
-        packed += [F.array(*each).alias("intervals"), F.col("with_quantiles")]
-    return sums.select(*by, *CELL, *packed)
+        each = [f"'{event}' AS event" + "".join(f", {part}" for part in (fields(f"event{i}"), f"struct({fields(f'bins{i}')}) AS bins" if f"bins{i}" in sums else "") if part) for i, event in enumerate(events)]
+        packed.append(f"array({', '.join(f'struct({x})' for x in each)}) AS events")
+    if levels:
+        each = [f"struct({c}D AS nominal_coverage, {fields(f'interval{i}')})" for i, c in enumerate(levels)]
+        packed += [f"array({', '.join(each)}) AS intervals", "`with.quantiles` AS with_quantiles"]
+    return summed.selectExpr(*[f"`{c}`" for c in (*by, *CELL)], *packed)
 
 
 def spatial_of(cells: DataFrame, by: list[str] = BY) -> DataFrame:
@@ -187,7 +189,7 @@ def spatial_of(cells: DataFrame, by: list[str] = BY) -> DataFrame:
 
 def spatial_cells(cases: DataFrame, by: list[str] = BY) -> DataFrame:
     """Unweighted sums over initializations for maps."""
-    return spatial_of(cell_sums(cases, by), by)
+    return spatial_of(cell_sums(cases, by, families=("spatial",)), by)
 
 
 def to_regions(cell_sums: DataFrame, regions, keys: list[str], land_mask: DataFrame | None = None) -> DataFrame:
@@ -197,36 +199,36 @@ def to_regions(cell_sums: DataFrame, regions, keys: list[str], land_mask: DataFr
         cell_sums = cell_sums.join(land_mask.select(*CELL, "is_land"), CELL, "left")
         is_land = F.col("is_land")
     sums = [c for c in cell_sums.columns if c not in (*keys, *CELL, "is_land")]
-    w = geo.area_weight(F.col("latitude"))
-    rows = geo.with_regions(cell_sums, regions, is_land)
-    zero = F.lit(0.0)
+    rows = geo.with_regions(cell_sums, regions, is_land).withColumn("w", geo.area_weight(F.col("latitude")))
     return rows.groupBy(*keys, "region").agg(
-        *[F.coalesce(F.sum(w * F.col(c)), zero).alias(f"w_{c}") for c in sums],
-        *[F.coalesce(F.sum(F.col(c)), F.lit(0)).alias(f"u_{c}") for c in sums],
+        *[F.expr(f"coalesce(sum(w * `{c}`), 0.0D) AS `w_{c}`") for c in sums],
+        *[F.expr(f"coalesce(sum(`{c}`), 0) AS `u_{c}`") for c in sums],
     )
 
 
-def _tidy(regional: DataFrame, keys: list[str], rows: list[Column]) -> DataFrame:
-    return regional.select(*keys, "region", F.explode(F.array(*rows)).alias("r")).select(*keys, "region", "r.*")
+def _tidy(regional: DataFrame, keys: list[str], rows: list[dict[str, str]]) -> DataFrame:
+    """A row for each of ``rows``, given as SQL text by column."""
+    structs = ", ".join("struct(" + ", ".join(f"{sql} AS {name}" for name, sql in row.items()) + ")" for row in rows)
+    return regional.select(*keys, "region", F.expr(f"explode(array({structs})) AS r")).select(*keys, "region", "r.*")
 
 
 def deterministic_table(cases: DataFrame, regions, by: list[str] = BY, land_mask: DataFrame | None = None) -> DataFrame:
     """RMSE, MAE and bias statistics by region and subset."""
-    return deterministic_of(cell_sums(cases, by), regions, by, land_mask)
+    return deterministic_of(cell_sums(cases, by, families=("deterministic",)), regions, by, land_mask)
 
 
 def deterministic_of(cells: DataFrame, regions, by: list[str] = BY, land_mask: DataFrame | None = None) -> DataFrame:
     regional = to_regions(cells.select(*by, *CELL, "deterministic.*"), regions, by, land_mask)
     rows = [
-        F.struct(
-            F.lit(s).alias("subset"),
-            F.lit(None).cast("string").alias("event"),
-            F.lit(m).alias("metric"),
-            F.col(f"w_{m}_{s}").alias("numerator"),
-            F.col(f"w_{m}_{s}_n").alias("denominator"),
-            F.col(f"w_{m}_{s}_n").alias("weighted_support"),
-            F.col(f"u_{m}_{s}_n").cast("long").alias("unweighted_support"),
-        )
+        {
+            "subset": f"'{s}'",
+            "event": "CAST(NULL AS STRING)",
+            "metric": f"'{m}'",
+            "numerator": f"w_{m}_{s}",
+            "denominator": f"w_{m}_{s}_n",
+            "weighted_support": f"w_{m}_{s}_n",
+            "unweighted_support": f"CAST(u_{m}_{s}_n AS BIGINT)",
+        }
         for s in SUBSETS
         for m in ("rmse", "mae", "bias")
     ]
@@ -250,7 +252,7 @@ def probability_table(cases: DataFrame, regions, cutoffs=(0.5,), by: list[str] =
     cases with a probability. Supports count cases inside the region.
     """
     cutoffs = check_cutoffs(cutoffs)
-    return probability_of(cell_sums(cases, by, cutoffs=cutoffs), regions, cutoffs, by, land_mask)
+    return probability_of(cell_sums(cases, by, cutoffs=cutoffs, families=("probability",)), regions, cutoffs, by, land_mask)
 
 
 def probability_of(cells: DataFrame, regions, cutoffs=(0.5,), by: list[str] = BY, land_mask: DataFrame | None = None) -> DataFrame:
@@ -259,51 +261,45 @@ def probability_of(cells: DataFrame, regions, cutoffs=(0.5,), by: list[str] = BY
     per_event = cells.select(*by, *CELL, F.explode("events").alias("e")).select(*by, *CELL, "e.*").drop("bins")
     regional = to_regions(per_event, regions, keys, land_mask)
 
-    def total(name: str, i: int, side: str) -> Column:
-        events_, pairs = F.col(f"{side}_event_pairs"), F.col(f"{side}_pairs")
-        hits, alarms = F.col(f"{side}_hits_{i}"), F.col(f"{side}_false_alarms_{i}")
-        return {"hits": hits, "misses": events_ - hits, "false_alarms": alarms, "correct_negatives": pairs - events_ - alarms}[name]
-
-    def struct(metric, cutoff, numerator, denominator, support, count, event_w, non_event_w, table):
-        return F.struct(
-            F.lit("all").alias("subset"),
-            F.lit(metric).alias("metric"),
-            F.lit(cutoff).cast("double").alias("decision_threshold"),
-            numerator.alias("numerator"),
-            denominator.alias("denominator"),
-            support.alias("weighted_support"),
-            count.cast("long").alias("unweighted_support"),
-            event_w.alias("event_weighted_support"),
-            non_event_w.alias("non_event_weighted_support"),
-            *[table(n, "w").alias(f"weighted_{n}") for n in CONTINGENCY],
-            *[table(n, "u").cast("long").alias(f"unweighted_{n}") for n in CONTINGENCY],
-        )
-
-    def absent(name: str, side: str) -> Column:
-        return F.lit(None).cast("double")
+    def total(name: str, i: int, side: str) -> str:
+        events, pairs, hits, alarms = (f"{side}_{c}" for c in ("event_pairs", "pairs", f"hits_{i}", f"false_alarms_{i}"))
+        return {"hits": hits, "misses": f"({events} - {hits})", "false_alarms": alarms, "correct_negatives": f"({pairs} - {events} - {alarms})"}[name]
+
+    def row(metric, cutoff, numerator, denominator, support, count, event_w, non_event_w, table) -> dict[str, str]:
+        return {
+            "subset": "'all'",
+            "metric": f"'{metric}'",
+            "decision_threshold": f"CAST({cutoff} AS DOUBLE)",
+            "numerator": numerator,
+            "denominator": denominator,
+            "weighted_support": support,
+            "unweighted_support": f"CAST({count} AS BIGINT)",
+            "event_weighted_support": event_w,
+            "non_event_weighted_support": non_event_w,
+            **{f"weighted_{n}": table(n, "w") for n in CONTINGENCY},
+            **{f"unweighted_{n}": f"CAST({table(n, 'u')} AS BIGINT)" for n in CONTINGENCY},
+        }
+
+    def absent(name: str, side: str) -> str:
+        return "CAST(NULL AS DOUBLE)"
 
     rows = [
-        struct(
-            m, None, F.col(f"w_{m}"), F.col(f"w_{m}_n"), F.col(f"w_{m}_n"), F.col("u_observed_event_frequency_n"),
-            F.col("w_observed_event_frequency"), F.col("w_non_events"), absent,
+        row(
+            m, "NULL", f"w_{m}", f"w_{m}_n", f"w_{m}_n", "u_observed_event_frequency_n", "w_observed_event_frequency", "w_non_events", absent
         )
         for m in ("brier_score", "mean_forecast_probability", "observed_event_frequency", "probability_frequency_bias")
     ]
     for i, c in enumerate(cutoffs):
         hits, misses, alarms = (total(n, i, "w") for n in CONTINGENCY[:3])
-        for metric, top, bottom in (("pod", hits, hits + misses), ("far", alarms, hits + alarms)):
-            rows.append(
-                struct(
-                    metric, c, top, bottom, F.col("w_pairs"), F.col("u_pairs"), F.col("w_event_pairs"),
-                    F.col("w_pairs") - F.col("w_event_pairs"), lambda n, side, i=i: total(n, i, side),
-                )
-            )
+        for metric, top, bottom in (("pod", hits, f"{hits} + {misses}"), ("far", alarms, f"{hits} + {alarms}")):
+            table = lambda n, side, i=i: total(n, i, side)
+            rows.append(row(metric, f"{c}D", top, bottom, "w_pairs", "u_pairs", "w_event_pairs", "w_pairs - w_event_pairs", table))
     return _tidy(regional, keys, rows)
 
 
 def reliability_table(cases: DataFrame, regions, edges=RELIABILITY_EDGES, by: list[str] = BY, land_mask: DataFrame | None = None) -> DataFrame:
     """Reliability bins by region and event; every bin is present, empty ones with zeros."""
-    return reliability_of(cell_sums(cases, by, edges=edges), regions, edges, by, land_mask)
+    return reliability_of(cell_sums(cases, by, edges=edges, families=("reliability",)), regions, edges, by, land_mask)
 
 
 def reliability_of(cells: DataFrame, regions, edges=RELIABILITY_EDGES, by: list[str] = BY, land_mask: DataFrame | None = None) -> DataFrame:
@@ -312,17 +308,17 @@ def reliability_of(cells: DataFrame, regions, edges=RELIABILITY_EDGES, by: list[
     per_event = cells.select(*by, *CELL, F.explode("events").alias("e")).select(*by, *CELL, "e.event", "e.bins.*")
     regional = to_regions(per_event, regions, keys, land_mask)
     bins = [
-        F.struct(
-            F.lit("all").alias("subset"),
-            F.lit("reliability_bin").alias("metric"),
-            F.lit(i).alias("bin"),
-            F.lit(a).alias("bin_lower"),
-            F.lit(b).alias("bin_upper"),
-            F.col(f"w_cases_{i}").alias("weighted_count"),
-            F.col(f"u_cases_{i}").cast("long").alias("unweighted_count"),
-            F.col(f"w_probability_sum_{i}").alias("weighted_probability_sum"),
-            F.col(f"w_observation_sum_{i}").alias("weighted_observation_sum"),
-        )
+        {
+            "subset": "'all'",
+            "metric": "'reliability_bin'",
+            "bin": str(i),
+            "bin_lower": f"{a}D",
+            "bin_upper": f"{b}D",
+            "weighted_count": f"w_cases_{i}",
+            "unweighted_count": f"CAST(u_cases_{i} AS BIGINT)",
+            "weighted_probability_sum": f"w_probability_sum_{i}",
+            "weighted_observation_sum": f"w_observation_sum_{i}",
+        }
         for i, (a, b) in enumerate(pairwise(edges))
     ]
     return _tidy(regional, keys, bins)
@@ -330,7 +326,7 @@ def reliability_of(cells: DataFrame, regions, edges=RELIABILITY_EDGES, by: list[
 
 def interval_table(cases: DataFrame, regions, levels=INTERVAL_LEVELS, by: list[str] = BY, land_mask: DataFrame | None = None) -> DataFrame:
     """Central-interval coverage and width statistics by region, level and subset."""
-    return interval_of(cell_sums(cases, by, levels=levels), regions, by, land_mask)
+    return interval_of(cell_sums(cases, by, levels=levels, families=("interval",)), regions, by, land_mask)
 
 
 def interval_of(cells: DataFrame, regions, by: list[str] = BY, land_mask: DataFrame | None = None) -> DataFrame:
@@ -338,18 +334,18 @@ def interval_of(cells: DataFrame, regions, by: list[str] = BY, land_mask: DataFr
     per_level = cells.select(*by, *CELL, F.explode("intervals").alias("i")).select(*by, *CELL, "i.*")
     regional = to_regions(per_level, regions, keys, land_mask)
     rows = [
-        F.struct(
-            F.lit(s).alias("subset"),
-            F.lit(None).cast("string").alias("event"),
-            F.lit("interval_coverage").alias("metric"),
-            F.lit("available").alias("status"),
-            F.lit("").alias("reason"),
-            F.col(f"w_covered_{s}").alias("numerator"),
-            F.col(f"w_covered_{s}_n").alias("denominator"),
-            F.col(f"u_covered_{s}").cast("double").alias("unweighted_numerator"),
-            F.col(f"u_covered_{s}_n").cast("long").alias("unweighted_support"),
-            F.col(f"w_width_{s}").alias("width_numerator"),
-        )
+        {
+            "subset": f"'{s}'",
+            "event": "CAST(NULL AS STRING)",
+            "metric": "'interval_coverage'",
+            "status": "'available'",
+            "reason": "''",
+            "numerator": f"w_covered_{s}",
+            "denominator": f"w_covered_{s}_n",
+            "unweighted_numerator": f"CAST(u_covered_{s} AS DOUBLE)",
+            "unweighted_support": f"CAST(u_covered_{s}_n AS BIGINT)",
+            "width_numerator": f"w_width_{s}",
+        }
         for s in SUBSETS
     ]
     return _tidy(regional, keys, rows)
