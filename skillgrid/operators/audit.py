@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import timefn
 from .align import CELL
+from .axis import numbered
 from .climatology import circular_counts
 
 
@@ -169,11 +170,9 @@ def yearly_validation(observations: DataFrame, cadence_hours: int, grid: tuple[i
 
 
 def _ends_and_middle(frame: DataFrame, column: str) -> DataFrame:
-    """First, middle and last coordinate of one axis."""
-    axis = frame.select(column).distinct().agg(F.array_sort(F.collect_list(column)).alias("a"))
-    n = F.size("a")
-    pick = F.array_distinct(F.array(F.get("a", F.lit(0)), F.get("a", F.floor(n / 2).cast("int")), F.get("a", n - 1)))
-    return axis.select(F.explode(pick).alias(column))
+    """First, middle and last coordinate of one axis, by their places on it."""
+    place, n = F.col("idx"), F.col("size")
+    return numbered(frame, column).where((place == 0) | (place == F.floor(n / 2)) | (place == n - 1)).select(column)
 
 
 def sample_differences(source: DataFrame, copy: DataFrame, columns: list[str]) -> DataFrame:

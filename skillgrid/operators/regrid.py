@@ -2,7 +2,8 @@
 
 Latitude and longitude are handled one axis at a time: each target coordinate gets one or two
 source coordinates with weights, and the field meets the two axis tables by equality. No table
-of cell pairs is built. Axis tables hold a grid's distinct coordinates (thousands at most).
+of cell pairs is built, and no axis is gathered in one row: neighbours are found on an axis that is
+laid out over all partitions. An axis table is broadcast only where counting it shows that it is small.
 """
 
 from __future__ import annotations
@@ -10,33 +11,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from .align import CELL
+from .axis import neighbours, small
 from .select import normalize_longitude_like
 
-# Corner rows of one axis that are broadcast.
-
 
 def _axis(frame: DataFrame, name: str) -> DataFrame:
-    return frame.select(F.col(name).cast("double").alias("x")).distinct()
+    return frame.select(F.col(name).cast("double").alias("x")).where("x is not null").distinct()
 
 
 def axis_weights(source: DataFrame, target: DataFrame, name: str, method: str) -> DataFrame:
     """``(target, source, weight)`` along one axis; targets outside the source range get no row."""
     if method not in ("linear", "nearest"):
         raise ValueError("method must be 'linear' or 'nearest'")
-    tagged = _axis(source, name).withColumn("asked", F.lit(False)).unionByName(
-        _axis(target, name).withColumn("asked", F.lit(True))
-    )
-    # One row per axis: its source points and the coordinates asked for.
-    both = tagged.agg(
-        F.array_sort(F.collect_list(F.when(~F.col("asked"), F.col("x")))).alias("points"),
-        F.collect_list(F.when(F.col("asked"), F.col("x"))).alias("wanted"),
-    ).select("points", F.explode("wanted").alias("t"))
-    bounds = both.select(
-        "t",
-        F.array_max(F.filter("points", lambda p: p <= F.col("t"))).alias("lo"),
-        F.array_min(F.filter("points", lambda p: p >= F.col("t"))).alias("hi"),
-    ).where("lo is not null and hi is not null")
+    bounds = neighbours(_axis(source, name), _axis(target, name)).where("lo is not null and hi is not null")
     part = F.when(F.col("hi") > F.col("lo"), (F.col("t") - F.col("lo")) / (F.col("hi") - F.col("lo"))).otherwise(0.0)
     if method == "nearest":
         # Half way goes to the lower coordinate.
@@ -69,8 +58,8 @@ def to_grid(source: DataFrame, target: DataFrame, value: str = "value", method:
     if align_longitude:
         source = normalize_longitude_like(source, target)
     keys = [c for c in source.columns if c not in (*CELL, value)]
-    lat = F.broadcast(axis_weights(source, target, "latitude", method))  # an axis
-    lon = F.broadcast(axis_weights(source, target, "longitude", method))
+    lat = small(materialize(axis_weights(source, target, "latitude", method), "latitudes"))
+    lon = small(materialize(axis_weights(source, target, "longitude", method), "longitudes"))
     spread = source.join(lat, "latitude").join(lon, "longitude")
     if method == "nearest":
         return spread.select(*keys, F.col("target_latitude").alias("latitude"), F.col("target_longitude").alias("longitude"), value)
