@@ -41,6 +41,14 @@ def words_of(text: bytes | None) -> list[bytes]:
     return text.translate(WORD_BYTES).split() if text else []
 
 
+def free_name(frame: DataFrame, name: str) -> str:
+    """A column name that the frame does not have yet."""
+    taken = {c.lower() for c in frame.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def utf8(column: str) -> Column:
     """Text as UTF-8 bytes; null stays null."""
     return F.col(f"`{column}`").cast("string").cast("binary")

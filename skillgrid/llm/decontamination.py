@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_column, materialize, utf8, words_of
+from .common import arrow_column, free_name, materialize, utf8, words_of
 
 BLOCK_WORDS = 100_000  # words of items in one automaton: the broadcast's bound
 WORD = re.compile(rb"[0-9A-Za-z\x80-\xff]+")
@@ -183,7 +183,7 @@ def matches(
     listed. Without items there are no hits.
     """
     sc = docs.sparkSession.sparkContext
-    kept = docs.columns
+    kept = [c for c in docs.columns if c.lower() != result.lower()]
     out = docs
     for b, blocks, block in item_blocks(items, item_id_col, item_text_col, block_words):
         shared = sc.broadcast(build(block, window))
@@ -201,9 +201,9 @@ def matches(
 
         column = arrow_column(find, RESULT, _RESULT, lambda shared=shared: shared.value)(utf8(text_col))
         if b == 0:
-            out = out.select("*", column.alias(result))
+            out = out.withColumn(result, column)
         else:
-            more = out.select("*", column.alias(f"{result}_more"))
+            more = out.withColumn(f"{result}_more", column)
             union = merge_spans(F.concat(f"{result}.spans", f"{result}_more.spans"))
             both = F.struct(
                 F.col(f"{result}.n_words").alias("n_words"),
@@ -262,10 +262,12 @@ def decontaminated(docs: DataFrame, items: DataFrame, max_coverage: float = 0.5,
         return [r and cut_spans(r["t"], [(s["start"], s["stop"]) for s in r["spans"]]).decode() for r in rows]
 
     # Written before the second Python step, so that no task holds two Python workers at a time.
-    found = materialize(matches(docs, items, text_col=text_col, **options), "matches").where(n_hit() <= max_coverage * F.col("_match.n_words"))
-    hit = F.size("_match.spans") > 0
+    match = free_name(docs, "_match")
+    found = materialize(matches(docs, items, text_col=text_col, result=match, **options), "matches")
+    found = found.where(n_hit(match) <= max_coverage * F.col(f"{match}.n_words"))
+    hit = F.size(f"{match}.spans") > 0
     # Only texts with a hit go through Python again.
-    pair = F.when(hit, F.struct(utf8(text_col).alias("t"), F.col("_match.spans").alias("spans")))
+    pair = F.when(hit, F.struct(utf8(text_col).alias("t"), F.col(f"{match}.spans").alias("spans")))
     column = F.when(hit, arrow_column(cut, "string", pa.string())(pair)).otherwise(F.col(f"`{text_col}`"))
     return found.select(*[column.alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns])
 

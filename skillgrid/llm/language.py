@@ -15,12 +15,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import CHUNK_SCHEMA, arrow_column, chunk_rows, letter_codes, ngram_hashes, slices, summed_chunks, unit_hash, utf8
+from .common import CHUNK_SCHEMA, arrow_column, chunk_rows, free_name, letter_codes, materialize, ngram_hashes, slices, summed_chunks, unit_hash, utf8
 
 SIZES, BITS = (1, 2, 3), 13
 DIMENSIONS = 1 << BITS
 PER_LANGUAGE = 1000  # sampled training texts of a language, about: the bound of a clustering task
-LANGUAGES = 500  # languages learned, the most frequent first: the bound of the broadcast (64 MB at 4 centroids)
+BLOCK = 2000  # centroids broadcast at a time (64 MB); more are compared in further passes
 CENTROIDS = 4
 REJECT = 0.5  # of the smallest cosine between a centroid and its own training texts
 UNKNOWN = "und"
@@ -65,6 +65,11 @@ class Model:
     languages: list[str]  # of the rows
     reach: np.ndarray  # smallest accepted cosine of each row
 
+    def blocks(self, size: int) -> list["Model"]:
+        """The model in parts of ``size`` centroids."""
+        starts = range(0, len(self.languages), size)
+        return [Model(self.idf, self.centroids[k : k + size], self.languages[k : k + size], self.reach[k : k + size]) for k in starts]
+
     def predict(self, text: str | None) -> tuple[str, float, bool]:
         """Language, cosine and whether the text is rejected."""
         if not text or not has_letter(text):
@@ -77,17 +82,16 @@ class Model:
 
 def fit(
     docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id", allowed: Column | None = None,
-    per_language: int = PER_LANGUAGE, languages: int = LANGUAGES, centroids: int = CENTROIDS, reject: float = REJECT,
+    per_language: int = PER_LANGUAGE, centroids: int = CENTROIDS, reject: float = REJECT,
 ) -> Model | None:
     """A model from the labelled rows that ``allowed`` accepts; None if no labelled row has a letter.
 
-    At most about ``per_language`` rows of each of the ``languages`` most frequent languages are used, chosen
-    by a hash of the id; rows without text, letters or label are left out.
+    About ``per_language`` rows of each language are used, chosen by a hash of the id; rows without text, letters
+    or label are left out. Every label is learned; the model grows with their number (131 kB each with four centroids).
     """
     rows = docs.select(F.col(f"`{lang_col}`").alias("lang"), F.col(f"`{text_col}`").alias("text"), F.col(f"`{id_col}`").alias("id"), (F.lit(True) if allowed is None else allowed).alias("ok"))
     rows = rows.where("ok and lang is not null and text rlike '\\\\p{L}'")
-    sizes = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages)
-    shares = F.broadcast(sizes.select("lang", (F.lit(float(per_language)) / F.col("count")).alias("share")))
+    shares = F.broadcast(rows.groupBy("lang").agg((F.lit(float(per_language)) / F.count("*")).alias("share")))  # a row for each label
     sample = rows.join(shares, "lang").where(unit_hash("id") < F.col("share")).select("lang", utf8("text").alias("t"))
 
     def document_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -128,15 +132,30 @@ def detect(docs: DataFrame, model: Model | None, text_col: str = "text", result:
     """``docs`` with one more column, a struct of lang, score (cosine, 0 to 1) and rejected.
 
     A text that is null or has no letter is ``und``, score 0, rejected; so is every text without a model.
-    Any other text gets the nearest learned language, rejected or not. Repeated rows are kept.
+    Any other text gets the nearest learned language, rejected or not. Repeated rows are kept. A
+    column that has the result's name gives way to it.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-
-    def predict(texts: list, model: Model | None) -> list[dict]:
-        out = []
-        for raw in texts:
-            lang, score, rejected = model.predict(raw and raw.decode()) if model else (UNKNOWN, 0.0, True)
-            out.append({"lang": lang, "score": score, "rejected": rejected})
-        return out
-
-    return docs.select("*", arrow_column(predict, RESULT, _RESULT, lambda: shared.value)(utf8(text_col)).alias(result))
+    sc = docs.sparkSession.sparkContext
+    blocks = model.blocks(BLOCK) if model else [None]
+    out = docs
+    for block in blocks:
+        shared = sc.broadcast(block)
+
+        def predict(texts: list, model: Model | None) -> list[dict]:
+            found = []
+            for raw in texts:
+                lang, score, rejected = model.predict(raw and raw.decode()) if model else (UNKNOWN, 0.0, True)
+                found.append({"lang": lang, "score": score, "rejected": rejected})
+            return found
+
+        column = arrow_column(predict, RESULT, _RESULT, lambda shared=shared: shared.value)(utf8(text_col))
+        if block is blocks[0]:
+            out = out.withColumn(result, column)
+        else:
+            more = free_name(out, "_more")
+            nearer = F.col(f"`{more}`.score") > F.col(f"`{result}`.score")  # of equals the first
+            best = F.when(nearer, F.col(f"`{more}`")).otherwise(F.col(f"`{result}`"))
+            out = out.withColumn(more, column).withColumn(result, best).drop(more)
+        if len(blocks) > 1:
+            out = materialize(out, "languages")  # one block in a worker at a time
+    return out

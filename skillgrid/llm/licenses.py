@@ -147,9 +147,10 @@ class Scanner:
         joined = b" " + b" ".join(words) + b" "
         starts, base_labels, spans = [], set(), []
         for label, phrase in self.base:
-            at = joined.find(phrase)
+            place, last, at = 0, 0, joined.find(phrase)
             while at >= 0:
-                place = joined.count(b" ", 0, at)
+                place += joined.count(b" ", last, at)  # blanks since the last place
+                last = at
                 starts.append(place)
                 base_labels.add(label)
                 spans.append((label, place, place + phrase.count(b" ") - 1))

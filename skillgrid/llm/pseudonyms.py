@@ -237,7 +237,8 @@ def pseudonymise(docs: DataFrame, key: str, text_col: str = "text", result: str
     """``docs`` with one more column, a struct of text, n_found and kinds (distinct, sorted, comma-joined).
 
     The struct's text is null where nothing was found (``text_col`` then stands unchanged), so that clean
-    texts do not return from Python. Null and empty texts have nothing; repeated rows are kept.
+    texts do not return from Python. Null and empty texts have nothing; repeated rows are kept. A column that has
+    the result's name gives way to it.
     """
     secret = key.encode()
     if not 1 <= len(secret) <= 64:
@@ -253,7 +254,7 @@ def pseudonymise(docs: DataFrame, key: str, text_col: str = "text", result: str
         return out
 
     column = arrow_column(swap, RESULT, _RESULT, lambda: Pseudonyms(secret))
-    return docs.select("*", column(utf8(text_col)).alias(result))
+    return docs.withColumn(result, column(utf8(text_col)))
 
 
 def report(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

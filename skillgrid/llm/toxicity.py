@@ -138,9 +138,10 @@ def fit(
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text", result: str = "_toxic") -> DataFrame:
-    """``docs`` with one more column, the score from 0 to 1; null and empty texts get the model's base rate."""
+    """``docs`` with one more column, the score from 0 to 1; null and empty texts get the model's base rate.
+    A column that has the result's name gives way to it."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     column = arrow_column(
         lambda texts, model: [model.score(raw and raw.decode()) for raw in texts], "double", pa.float64(), lambda: shared.value
     )
-    return docs.select("*", column(utf8(text_col)).alias(result))
+    return docs.withColumn(result, column(utf8(text_col)))

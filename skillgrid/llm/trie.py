@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from .common import materialize, utf8
 
-LIMIT = 1 << 16  # nodes of a tier-1 shard
+LIMIT = 1 << 11  # nodes of a tier-1 shard
 BATCH = 1 << 16  # rows after which a task closes its table at the end of a shard
 CHUNK = 1 << 16  # bytes of ids that are put together before they are hashed
 LOAD = 1.6  # bits for each key on a level of the hash

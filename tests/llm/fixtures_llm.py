@@ -5,7 +5,7 @@ import re
 
 from skillgrid.llm.common import ship_package
 
-CLASHING = {"score": 1.5, "node": "n", "t": "t", "class": 3, "_r": "r", "part": 1, "x": 0, "label": "l", "n": 2}
+CLASHING = {"score": 1.5, "node": "n", "t": "t", "class": 3, "_r": "r", "part": 1, "x": 0, "label": "l", "n": 2, "_found": 4, "_match": "m", "_lang": 5, "_toxic": 6, "_pii": 7, "_more": 8}
 
 
 def prose(seed, n, vocabulary=400):

@@ -204,7 +204,23 @@ def test_languages_are_told_apart(spark):
     assert got[900] == got[901] == got[902] == ("und", 0.0, True)
     assert got[903][2] and got[903][0] in LATIN and got[None][0] == "aa"
     assert all(0 <= s <= 1 for _, s, _ in got.values())
-    assert language.detect(docs, model).columns == [*docs.columns, "_lang"]
+    assert sorted(language.detect(docs, model).columns) == sorted({*docs.columns, "_lang"})
+
+
+def test_every_language_is_learned_and_blocks_agree(spark, monkeypatch):
+    """More labels than fit one block of centroids, more than any cap of old."""
+    rng = random.Random(7)
+    names = [f"l{k:03}" for k in range(510)]
+    words = {n: ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(7)) for _ in range(3)] for n in names}
+    rows = [(k * 3 + j, " ".join(words[n] * 3), n) for k, n in enumerate(names) for j in range(2)]
+    docs = fx.table(spark, rows, "doc_id bigint, text string, lang string")
+    model = language.fit(docs, centroids=1)
+    assert set(model.languages) == set(names)
+    sample = docs.where("doc_id % 17 = 0")
+    whole = {(r.doc_id, r.lang, r._lang) for r in language.detect(sample, model).collect()}
+    assert all(found.lang == lang for _, lang, found in whole)
+    monkeypatch.setattr(language, "BLOCK", 200)
+    assert {(r.doc_id, r.lang, r._lang) for r in language.detect(sample, model).collect()} == whole
 
 
 def test_language_without_labels(spark):

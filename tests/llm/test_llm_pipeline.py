@@ -24,6 +24,23 @@ def test_query_has_rows(spark, name):
     assert queries.QUERIES[name](spark, SF).count() > 0
 
 
+def test_stages_keep_columns_of_any_name(spark, folder):
+    """Columns named like the stages' own helpers."""
+    path, _, _ = folder
+    clash = {c: "x" for c in ("_found", "_FOUND_", "_match", "_match_more", "_lang", "_pii", "node", "t", "tree")}
+    from pyspark.sql import functions as F
+
+    plain = docs = spark.read.parquet(f"{path}/documents.parquet")
+    named = docs.withColumns({c: F.lit(v) for c, v in clash.items()})
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        plain, out = stage(spark, plain, path), stage(spark, named, path)
+        plain, named_out = corpus_pipeline.materialize(plain, "plain"), corpus_pipeline.materialize(out, "named")
+        assert named_out.columns == named.columns, name
+        assert sorted(map(tuple, named_out.select(docs.columns).collect()), key=repr) == sorted(map(tuple, plain.collect()), key=repr)
+        assert named_out.where(" or ".join(f"`{c}` <> 'x'" for c in clash)).count() == 0
+        named = named_out
+
+
 @pytest.fixture(scope="module")
 def folder(spark, tmp_path_factory):
     """documents and benchmark with planted cases."""

@@ -284,3 +284,12 @@ def test_pseudonyms_of_hard_texts(spark):
     assert pseudonyms.report(empty(spark), "key").count() == 0
     with pytest.raises(ValueError):
         pseudonyms.report(empty(spark), "")
+
+
+def test_places_of_a_text_full_of_hits_take_linear_time():
+    import time
+
+    scanner = licenses.Scanner([("cc-by", b" cc by ")], [])
+    start = time.process_time()
+    found = scanner.scan(b"cc by " * 300_000)
+    assert found["n_base"] == 300_000 and found["last_word"] == 599_998 and time.process_time() - start < 20
