@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skillgrid.llm import decontamination, jaccard, language, packing, pseudonyms
-from skillgrid.llm.common import materialize, ship_package
+from skillgrid.llm.common import free_name, materialize, ship_package
 
 PSEUDONYM_KEY = "corpus pipeline"
 WORDS, PERCENT = 5, 80  # of near duplicates; op6's own values hold for its query alone
@@ -25,8 +25,9 @@ def _measured(docs: DataFrame) -> DataFrame:
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in one of the languages that the labels teach: those without letters or far from all go."""
     ship_package(spark)
-    found = language.detect(docs, language.fit(docs), result="_found")
-    return found.where(~F.col("_found.rejected")).select(*[F.col(f"`{c}`") for c in docs.columns])
+    name = free_name(docs, "_found")
+    found = language.detect(docs, language.fit(docs), result=name)
+    return found.where(~F.col(f"{name}.rejected")).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -56,8 +57,9 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data replaced by pseudonyms."""
     ship_package(spark)
-    found = pseudonyms.pseudonymise(docs, PSEUDONYM_KEY, result="_found")
-    text = F.coalesce(F.col("_found.text"), F.col("text")).alias("text")
+    name = free_name(docs, "_found")
+    found = pseudonyms.pseudonymise(docs, PSEUDONYM_KEY, result=name)
+    text = F.coalesce(F.col(f"{name}.text"), F.col("text")).alias("text")
     return _measured(found.select(*[text if c == "text" else F.col(f"`{c}`") for c in docs.columns]))
 
 
