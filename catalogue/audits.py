@@ -8,7 +8,7 @@ from skillgrid.functions import ensemble as ens
 from skillgrid.operators import audit, climatology, daily, metricgrid, suffstats
 from skillgrid.plans import jobs
 from skillgrid.session import scratch_path
-from skillgrid.streaming import incremental
+from skillgrid.streaming import incremental, intervals
 
 from . import views as V
 from .base import d, n, query, r, t
@@ -202,6 +202,23 @@ def six_hourly_stream(spark, sf_dir):
     return incremental.six_hourly(spark.read.parquet(out))
 
 
+@query("st3_published_intervals", f"""WITH six AS (SELECT time_bucket(INTERVAL 6 HOUR, valid_time-INTERVAL 1 MICROSECOND, TIMESTAMP '2024-01-01')+INTERVAL 6 HOUR AS e, latitude, longitude, CASE WHEN count(tp)=6 THEN sum(tp) END AS tp, count(tp) AS k FROM obs1h GROUP BY ALL)
+  SELECT {t('e','valid_time')}, {r('latitude')}, {r('longitude')}, {r('tp')}, {n('CASE WHEN k=6 THEN 1 ELSE 0 END','times_published')}, {n('k','hours_present')} FROM six WHERE k>0""")
+def published_intervals(spark, sf_dir):
+    folder, out, progress = (scratch_path(spark, x) for x in ("hourly", "intervals", "progress"))
+    rows = V.obs1h(spark, sf_dir)
+    rows.repartition(F.xxhash64("valid_time") % 9).write.parquet(folder)
+    for files in (3, 9):
+        # The second start finds every file in the checkpoint and publishes nothing again.
+        stream = incremental.stream_parquet(spark, folder, rows.schema, files_per_batch=files)
+        intervals.publish_six_hourly(stream, out, progress).awaitTermination()
+    done = intervals.closed_intervals(spark, out).groupBy("valid_time", "latitude", "longitude").agg(
+        F.max("tp").alias("tp"), F.count("*").alias("times_published"), F.lit(6).alias("hours_present")
+    )
+    waiting = intervals.open_intervals(spark, out).withColumns({"tp": F.lit(None).cast("double"), "times_published": F.lit(0)})
+    return done.unionByName(waiting)
+
+
 @query("st4_restart", f"""SELECT {t('init_time')}, {n('count(*)','cases')}, {r('avg(p)','mean_probability')} FROM
   (SELECT init_time, lead_hours, latitude, longitude, avg(CASE WHEN value>27 THEN 1.0 ELSE 0.0 END) AS p FROM fc6 GROUP BY ALL) GROUP BY init_time""")
 def restart(spark, sf_dir):
