@@ -9,7 +9,7 @@ from skillgrid.operators import align, audit, suffstats
 from skillgrid.operators import cases as case_ops
 from skillgrid.session import scratch_path
 from skillgrid.sources import cases as case_source
-from skillgrid.sources import forecasts, observations, sinks, tables
+from skillgrid.sources import forecasts, observations, sinks, tables, versions
 
 from . import views as V
 from .base import d, n, query, r, t
@@ -228,6 +228,20 @@ def upsert(spark, sf_dir):
     return rows.groupBy("forecast_day", "source").agg(F.count("*").alias("row_count"), F.sum("value").alias("total"))
 
 
+@query("sk3_versioned_upsert", f"""SELECT {n('version')}, {n('forecast_day')}, source, {n('count(*)','row_count')}, {r('sum(v)','total')} FROM (
+  SELECT 2 AS version, forecast_day, 'new' AS source, value*2 AS v FROM fc WHERE forecast_day IN (3,4)
+  UNION ALL SELECT 2, forecast_day, 'old', value FROM fc WHERE forecast_day NOT IN (3,4)
+  UNION ALL SELECT 1, forecast_day, 'old', value FROM fc) GROUP BY version, forecast_day, source""")
+def versioned_upsert(spark, sf_dir):
+    path = scratch_path(spark, "versions")
+    base = V.fc(spark, sf_dir)
+    versions.upsert(base.withColumn("source", F.lit("old")), path, ["model", "forecast_day"])
+    stored = versions.read_version(spark, path).where("forecast_day in (3, 4)")
+    versions.upsert(stored.withColumns({"value": F.col("value") * 2, "source": F.lit("new")}), path, ["model", "forecast_day"])
+    both = [versions.read_version(spark, path, k).withColumn("version", F.lit(k)) for k in (1, 2)]
+    return both[0].unionByName(both[1]).groupBy("version", "forecast_day", "source").agg(F.count("*").alias("row_count"), F.sum("value").alias("total"))
+
+
 @query("sk4_map_upsert", f"""SELECT {n('forecast_day')}, {r('latitude')}, {r('longitude')}, {n('count(observation_temperature)','temperature_denominator')},
   {r('coalesce(sum(CASE WHEN forecast_day=2 THEN 0 ELSE forecast_temperature-observation_temperature END),0)','temperature_bias_numerator')}
   FROM cs GROUP BY forecast_day, latitude, longitude""")
@@ -238,6 +252,19 @@ def map_upsert(spark, sf_dir):
     return out.select("forecast_day", "latitude", "longitude", "temperature_denominator", "temperature_bias_numerator")
 
 
+@query("sk4_versioned_map_upsert", f"""SELECT {n('forecast_day')}, {r('latitude')}, {r('longitude')}, {n('count(observation_temperature)','temperature_denominator')},
+  {r('coalesce(sum(CASE WHEN forecast_day=2 THEN 0 ELSE forecast_temperature-observation_temperature END),0)','temperature_bias_numerator')}
+  FROM cs WHERE forecast_day<>7 GROUP BY forecast_day, latitude, longitude""")
+def versioned_map_upsert(spark, sf_dir):
+    path = scratch_path(spark, "versions")
+    versions.replace_partitions(suffstats.spatial_cells(V.cs(spark, sf_dir), ["forecast_day"]), path, ["forecast_day"], whole=True)
+    day = versions.read_version(spark, path).where("forecast_day = 2")
+    versions.upsert(day.withColumn("temperature_bias_numerator", F.lit(0.0)), path, ["forecast_day"])
+    versions.drop_partitions(spark, path, "forecast_day = 7")
+    versions.keep_versions(spark, path, 1)
+    return versions.read_version(spark, path).select("forecast_day", "latitude", "longitude", "temperature_denominator", "temperature_bias_numerator")
+
+
 @query("sk5_write_csv", f"SELECT {d('valid_date')}, {r('latitude')}, {r('longitude')}, {r('value')} FROM ob")
 def write_csv(spark, sf_dir):
     path = scratch_path(spark, "table")
