@@ -98,9 +98,14 @@ CASE_OUT = f"model, {t('init_time')}, {n('forecast_day')}, {d('valid_date')}, {r
 MATCHED = f"mm AS (SELECT f.*, o.value AS y FROM fc f LEFT JOIN ob o ON o.valid_date=f.valid_date AND o.latitude=f.latitude AND o.longitude=f.longitude)"
 
 
+def seen(spark, sf_dir):
+    """Joins the day's observation to reduced cases."""
+    return lambda cases: align.match_valid_date(cases, V.ob(spark, sf_dir), {"value": "observation"}, "null", check=False)
+
+
 def matched(spark, sf_dir):
     """Members with their observation."""
-    return align.match_valid_date(V.fc(spark, sf_dir), V.ob(spark, sf_dir), {"value": "observation"}, "null", check=False)
+    return seen(spark, sf_dir)(V.fc(spark, sf_dir))
 
 
 @query("en1_ensemble_mean", f"SELECT {CASE_OUT}, {r('avg(value)','ensemble_mean')} FROM fc GROUP BY {CASE_SQL}")
@@ -122,7 +127,7 @@ def exceedance_probability(spark, sf_dir):
 @query("en4_interval_coverage", f"""WITH {MATCHED}, b AS (SELECT {CASE_SQL}, y, quantile_cont(value,0.1) AS lo, quantile_cont(value,0.9) AS hi FROM mm GROUP BY {CASE_SQL}, y)
   SELECT {n('forecast_day')}, {n('count(*)','cases')}, {r('avg(CASE WHEN y IS NOT NULL THEN CASE WHEN lo<=y AND y<=hi THEN 1.0 ELSE 0.0 END END)','coverage')} FROM b GROUP BY forecast_day""")
 def interval_coverage(spark, sf_dir):
-    scored = ensemble.coverage(matched(spark, sf_dir), 80.0)
+    scored = ensemble.coverage(V.fc(spark, sf_dir), 80.0, observed=seen(spark, sf_dir))
     return scored.groupBy("forecast_day").agg(F.count("*").alias("cases"), F.avg("coverage").alias("coverage"))
 
 
@@ -131,8 +136,8 @@ BRIER = f"bb AS (SELECT {CASE_SQL}, y, avg(CASE WHEN value>27 THEN 1.0 ELSE 0.0
 
 @query("en5_brier_score", f"""WITH {MATCHED}, {BRIER} SELECT {CASE_OUT}, {r('power(p-CASE WHEN y>27 THEN 1.0 WHEN NOT y>27 THEN 0.0 END,2)','brier_score')} FROM bb""")
 def brier_score(spark, sf_dir):
-    rows = matched(spark, sf_dir).withColumn("threshold", F.lit(27.0))
-    return ensemble.brier_of_exceedance(rows).drop("threshold", "observation", "probability")
+    rows = V.fc(spark, sf_dir).withColumn("threshold", F.lit(27.0))
+    return ensemble.brier_of_exceedance(rows, observed=seen(spark, sf_dir)).drop("threshold", "observation", "probability")
 
 
 @query("en5_brier_valid_time", f"""SELECT {n('lead_hours')}, {n('count(bs)','cases')}, {r('avg(bs)','brier_score')} FROM (
@@ -159,8 +164,8 @@ CODE = "CASE WHEN y IS NULL THEN -1 WHEN y>27 THEN CASE WHEN p>=0.5 THEN 1 ELSE
 
 @query("en7_contingency_code", f"WITH {MATCHED}, {BRIER} SELECT {CASE_OUT}, {n(CODE,'code')} FROM bb")
 def contingency_code(spark, sf_dir):
-    rows = matched(spark, sf_dir).withColumn("threshold", F.lit(27.0))
-    return ensemble.contingency(rows, 0.5).drop("threshold", "observation", "probability")
+    rows = V.fc(spark, sf_dir).withColumn("threshold", F.lit(27.0))
+    return ensemble.contingency(rows, 0.5, observed=seen(spark, sf_dir)).drop("threshold", "observation", "probability")
 
 
 @query("en8_hot_day_probability", f"""SELECT {t('init_time')}, {n('local_forecast_day')}, {r('latitude')}, {r('avg(CASE WHEN t2m_daily_mean>q.value THEN 1.0 WHEN t2m_daily_mean<=q.value THEN 0.0 END)','probability')}

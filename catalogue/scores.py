@@ -10,7 +10,7 @@ from skillgrid.operators import align, climatology, finals, scorecard, suffstats
 from skillgrid.operators.suffstats import BY, EVENTS
 
 from . import views as V
-from .base import n, query, r, t
+from .base import d, n, query, r, t
 from .matching import CLIM, REGION_CELLS
 
 CELLS = ["latitude", "longitude"]
@@ -318,10 +318,14 @@ def raw_cases(spark, sf_dir):
 
     from .scans import products
 
-    seen = V.ob(spark, sf_dir).where("latitude in (0.0, 30.0) and longitude = 30.0").withColumnRenamed("value", "observation_temperature")
+    return case_ops.canonical_cases(products(spark, sf_dir, levels=[0.1, 0.9]), observed_days(spark, sf_dir))
+
+
+def observed_days(spark, sf_dir):
+    """Daily observations of all cells with the events of that day."""
     y = F.col("observation_temperature")
-    seen = seen.withColumns({f"observed_{e}": y > lim for e, lim in zip(EVENTS, V.OBSERVED_LIMITS)})
-    return case_ops.canonical_cases(products(spark, sf_dir, levels=[0.1, 0.9]), seen)
+    seen = V.ob(spark, sf_dir).withColumnRenamed("value", "observation_temperature")
+    return seen.withColumns({f"observed_{e}": y > lim for e, lim in zip(EVENTS, V.OBSERVED_LIMITS)})
 
 
 from .scans import PRODUCTS  # noqa: E402
@@ -330,9 +334,9 @@ _RAW = f"""{PRODUCTS}, qq AS (SELECT init_time, local_forecast_day AS forecast_d
   rc AS (SELECT prod.*, y, lo, hi FROM prod JOIN qq USING (init_time, forecast_day, latitude) LEFT JOIN (SELECT valid_date, latitude, longitude, value AS y FROM ob) USING (valid_date, latitude, longitude))"""
 
 
-@query("e5_canonical_cases", f"""WITH {_RAW} SELECT {t('init_time')}, {n('forecast_day')}, {r('latitude')}, {r('forecast_temperature')}, {r('y','observation_temperature')}, {r('p1','probability_hot_day_q95')},
+@query("e5_trajectory_cases", f"""WITH {_RAW} SELECT {t('init_time')}, {n('forecast_day')}, {r('latitude')}, {r('forecast_temperature')}, {r('y','observation_temperature')}, {r('p1','probability_hot_day_q95')},
   {r('p2','probability_heatwave_start_q95_2d')}, y>25 AS observed_hot_day_q95, y IS NOT NULL AS temperature_case_valid, p3 IS NOT NULL AND y IS NOT NULL AS valid_heatwave_start_q95_3d, {r('lo','lower')}, {r('hi','upper')} FROM rc""")
-def canonical_cases(spark, sf_dir):
+def trajectory_cases(spark, sf_dir):
     from skillgrid.operators.ensemble import interval_bounds
 
     rows = interval_bounds(raw_cases(spark, sf_dir), 0.8)
@@ -342,6 +346,32 @@ def canonical_cases(spark, sf_dir):
     )
 
 
+@query("e5_canonical_cases", f"""WITH m5 AS (SELECT b.*, b.mean>q.value AS hot FROM day6 b LEFT JOIN (SELECT doy, latitude, longitude, value FROM thr_days WHERE percentile=90.0) q
+    ON q.doy=dayofyear(b.valid_date) AND q.latitude=b.latitude AND q.longitude=b.longitude),
+  o5 AS (SELECT a.*, p.hot AS prev, b.hot AS next1, c.hot AS next2 FROM m5 a
+   LEFT JOIN m5 p ON p.init_time=a.init_time AND p.member=a.member AND p.latitude=a.latitude AND p.longitude=a.longitude AND p.local_forecast_day=a.local_forecast_day-1
+   LEFT JOIN m5 b ON b.init_time=a.init_time AND b.member=a.member AND b.latitude=a.latitude AND b.longitude=a.longitude AND b.local_forecast_day=a.local_forecast_day+1
+   LEFT JOIN m5 c ON c.init_time=a.init_time AND c.member=a.member AND c.latitude=a.latitude AND c.longitude=a.longitude AND c.local_forecast_day=a.local_forecast_day+2),
+  p5 AS (SELECT init_time, local_forecast_day AS fd, valid_date, latitude, longitude, avg(mean) AS m, avg(CASE WHEN hot THEN 1.0 WHEN NOT hot THEN 0.0 END) AS p1,
+   avg(CASE WHEN hot IS NOT NULL AND prev IS NOT NULL AND next1 IS NOT NULL THEN CASE WHEN hot AND next1 AND NOT prev THEN 1.0 ELSE 0.0 END END) AS p2,
+   avg(CASE WHEN hot IS NOT NULL AND prev IS NOT NULL AND next1 IS NOT NULL AND next2 IS NOT NULL THEN CASE WHEN hot AND next1 AND next2 AND NOT prev THEN 1.0 ELSE 0.0 END END) AS p3,
+   quantile_cont(mean,0.1) AS lo, quantile_cont(mean,0.9) AS hi FROM o5 GROUP BY ALL)
+  SELECT {t('init_time')}, {n('fd','forecast_day')}, {d('p5.valid_date','valid_date')}, {r('p5.latitude','latitude')}, {r('p5.longitude','longitude')}, {r('m','forecast_temperature')}, {r('ob.value','observation_temperature')},
+  {r('p1','probability_hot_day_q95')}, {r('p2','probability_heatwave_start_q95_2d')}, {r('p3','probability_heatwave_start_q95_3d')}, ob.value>25 AS observed_hot_day_q95, ob.value IS NOT NULL AS temperature_case_valid,
+  p3 IS NOT NULL AND ob.value IS NOT NULL AS valid_heatwave_start_q95_3d, {r('lo','lower')}, {r('hi','upper')}
+  FROM p5 LEFT JOIN ob ON ob.valid_date=p5.valid_date AND ob.latitude=p5.latitude AND ob.longitude=p5.longitude""")
+def canonical_cases(spark, sf_dir):
+    from skillgrid.operators.ensemble import interval_bounds
+    from skillgrid.plans.jobs import forecast_cases
+
+    thresholds = V.thr(spark, sf_dir).where("percentile = 90.0")
+    rows = interval_bounds(forecast_cases(V.fc6(spark, sf_dir), thresholds, observed_days(spark, sf_dir)), 0.8)
+    return rows.select(
+        "init_time", "forecast_day", "valid_date", "latitude", "longitude", "forecast_temperature", "observation_temperature",
+        *[f"probability_{e}" for e in EVENTS], "observed_hot_day_q95", "temperature_case_valid", "valid_heatwave_start_q95_3d", "lower", "upper",
+    )
+
+
 @query("e5_cases_on_other_grid", f"""WITH q AS (SELECT t.latitude AS lat, a.doy, a.longitude, 0.25*a.value+0.75*b.value AS v FROM (VALUES (-30.0::DOUBLE, 0.0::DOUBLE), (0.0::DOUBLE, 30.0::DOUBLE)) AS t(below, latitude)
     JOIN thr a ON a.latitude=t.below AND a.percentile=90.0 JOIN thr b ON b.latitude=t.latitude AND b.percentile=90.0 AND b.doy=a.doy AND b.longitude=a.longitude),
   y AS (SELECT t.latitude AS lat, a.valid_date, a.longitude, 0.25*a.value+0.75*b.value AS v FROM (VALUES (-30.0::DOUBLE, 0.0::DOUBLE), (0.0::DOUBLE, 30.0::DOUBLE)) AS t(below, latitude)

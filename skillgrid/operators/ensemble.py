@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import ensemble as ens
 
+# Joins observations to one row per case, after the members are reduced.
+Observed = Callable[[DataFrame], DataFrame] | None
+
 NOT_CASE = ("member", "value")
 
 
@@ -43,22 +48,32 @@ def quantiles(members: DataFrame, levels, value: str = "value") -> DataFrame:
     return grouped.withColumn("quantiles", F.when(F.col("v").isNotNull(), pairs)).drop("v")
 
 
-def coverage(members: DataFrame, width: float = 90.0, value: str = "value", observation: str = "observation") -> DataFrame:
-    """Whether the observation lies in the central interval, bounds included."""
+def coverage(members: DataFrame, width: float = 90.0, value: str = "value", observation: str = "observation", observed: Observed = None) -> DataFrame:
+    """Whether the observation lies in the central interval, bounds included.
+
+    ``observed`` joins the observation to the bounds of each case; without it every member row holds its
+    observation already. The same holds for the other scores below.
+    """
     levels = ens.central_levels(width)
     grouped = members.groupBy(*case_keys(members, value)).agg(ens.member_quantiles(F.col(value), levels).alias("b"))
-    return grouped.withColumn("coverage", ens.covered(F.get("b", F.lit(0)), F.col(observation), F.get("b", F.lit(1)))).drop("b")
+    cases = observed(grouped) if observed else grouped
+    return cases.withColumn("coverage", ens.covered(F.get("b", F.lit(0)), F.col(observation), F.get("b", F.lit(1)))).drop("b")
+
+
+def _observed_exceedance(members: DataFrame, threshold: str, value: str, observed: Observed) -> DataFrame:
+    cases = exceedance(members, threshold, value)
+    return observed(cases) if observed else cases
 
 
-def brier_of_exceedance(members: DataFrame, threshold: str = "threshold", value: str = "value", observation: str = "observation") -> DataFrame:
+def brier_of_exceedance(members: DataFrame, threshold: str = "threshold", value: str = "value", observation: str = "observation", observed: Observed = None) -> DataFrame:
     """Brier score of the exceedance event for aligned observations."""
-    scored = exceedance(members, threshold, value)
+    scored = _observed_exceedance(members, threshold, value, observed)
     return scored.withColumn("brier_score", ens.brier(F.col("probability"), F.col(observation) > F.col(threshold)))
 
 
-def contingency(members: DataFrame, cutoff: float = 0.5, threshold: str = "threshold", value: str = "value", observation: str = "observation") -> DataFrame:
+def contingency(members: DataFrame, cutoff: float = 0.5, threshold: str = "threshold", value: str = "value", observation: str = "observation", observed: Observed = None) -> DataFrame:
     """Contingency code of each case."""
-    scored = exceedance(members, threshold, value)
+    scored = _observed_exceedance(members, threshold, value, observed)
     return scored.withColumn(
         "code", ens.contingency_code(F.col("probability"), F.col(observation) > F.col(threshold), cutoff)
     )

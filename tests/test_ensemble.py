@@ -142,3 +142,17 @@ def test_named_reductions_equal_direct_means(spark):
     }
     with pytest.raises(ValueError):
         metricgrid.mean_by(fc, lambda x: x, {}, ["coverage"])
+
+
+def test_members_are_reduced_before_they_meet_the_observation(spark):
+    members = spark.createDataFrame([(k, m, float(k + m), 2.0) for k in range(3) for m in range(4)], "k int, member int, value double, threshold double")
+    seen = spark.createDataFrame([(0, 1.5), (1, 9.0)], "k int, observation double")
+    late = lambda cases: cases.join(seen, "k", "left")
+    scores = (
+        (ensemble.coverage, {"width": 50.0}, "coverage"), (ensemble.brier_of_exceedance, {}, "brier_score"), (ensemble.contingency, {}, "code"),
+    )
+    for score, options, out in scores:
+        after = score(members, observed=late, **options)
+        assert rows(after, "k", out) == rows(score(late(members), **options), "k", out)
+        plan = executed(after)
+        assert plan.index("Join") < plan.index("Aggregate")
