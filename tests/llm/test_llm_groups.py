@@ -1,4 +1,5 @@
 import random
+import time
 
 import fixtures_llm as fx
 import numpy as np
@@ -184,6 +185,28 @@ def test_alike_branches_of_several_shapes_merge(spark):
     assert name["b.org", "x.html"] == name["b.org", "y.html"] == "{branch:y.html}" and name["b.org", "z.pdf"] == "z.pdf"
 
 
+def test_purity_is_that_of_labelled_pages(spark):
+    rules = (("a.org", "/u/bad", "block"),)
+    # One template of variable names: 30 labelled pages, all blocked, and 60 that no rule decides.
+    names = [f"bad{a}{b}" for a in "abcdef" for b in "ghijk"] + [f"{a}{b}{c}" for a in "mno" for b in "abcd" for c in "vwxyz"]
+    urls = [f"http://a.org/u/{x}" for x in names] + ["http://a.org/about/me", "http://b.org/u/badag"]
+    found = {r.path if r.host == "a.org" else r.host: r for r in url_templates.judge_urls(fx.table(spark, list(enumerate(urls)), "page_id bigint, url string"), rules=rules).collect()}
+    assert found["/u/badag"].template == found["/u/mav"].template == "/u/{value}" and found["/u/mav"].purity == 1.0
+    assert found["/u/mav"].rule is None and found["/u/mav"].verdict == "block"
+    assert found["/about/me"].verdict == found["b.org"].verdict == "allow"
+
+
+def test_long_paths_and_literal_braces(spark):
+    trap = "http://a.org/" + "/".join(f"s{'x' * (i % 7)}" for i in range(2000))
+    urls = [trap, trap + "/end", *[f"http://h{i % 9}.org/a/{i}.html" for i in range(1000)], "http://c.org/{number}/1", "http://c.org/2/1"]
+    start = time.time()
+    found = {r.page_id: r for r in url_templates.judge_urls(fx.table(spark, list(enumerate(urls)), "page_id bigint, url string"), rules=()).collect()}
+    assert time.time() - start < 60 and len(found) == len(urls)
+    assert found[0].template.count("/") == 2000 and found[1].template == found[0].template + "/end"
+    assert found[2].template == "/a/{number}.html"
+    assert found[1002].template == "/%7Bnumber%7D/{number}" and found[1003].template == "/{number}/{number}"
+
+
 # --- classifiers
 
 def sentences(words, n, seed):
