@@ -28,6 +28,7 @@ SIGNIFICANT = 2.58  # standard errors by which two branches' blocked shares must
 LEVEL = 2.326  # of the chi-square test of shapes: the same 1 %, one-sided
 SMOOTHING = 10.0  # labelled pages' weight of the overall share
 REJECT = 0.6
+PARTS = 32  # tasks over which the paths of one host and template are spread in a join
 
 # Fixed values: (host, path, verdict) of the registered query.
 RULES = (
@@ -153,7 +154,7 @@ def templates(pages: DataFrame) -> DataFrame:
             .otherwise(F.col("own"))
         )
         names = known.select("host", "template", "own", merged.alias("name"))
-        out = out.join(names, ["host", "template", "own"]).withColumn("template", F.concat("template", F.when(F.col("name") != "", F.concat(F.lit("/"), "name")).otherwise(F.lit(""))))
+        out = with_facts(out, names, ["host", "template", "own"]).withColumn("template", F.concat("template", F.when(F.col("name") != "", F.concat(F.lit("/"), "name")).otherwise(F.lit(""))))
         out = out.withColumns({"left": F.slice("left", 2, F.greatest(F.size("left"), F.lit(1))), "ended": F.col("own") == ""})
         out.select(stored.names).write.mode("overwrite").parquet(f"{folder}/turn={turn}")
         out = spark.read.schema(stored).parquet(f"{folder}/turn={turn}").where("not ended").drop("ended")
@@ -163,16 +164,28 @@ def templates(pages: DataFrame) -> DataFrame:
     return rounds.where(F.col("ended") | (F.col("turn") == turn - 1)).select(columns)
 
 
+def with_facts(paths: DataFrame, facts: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """``paths`` with what ``facts`` tell of their group; a group with many paths is joined in ``PARTS`` parts.
+
+    Facts are first joined to the parts that a group has, which are fewer rows than paths, then parts to paths.
+    """
+    dealt = paths.withColumn("_part", F.pmod(F.xxhash64("path"), F.lit(PARTS)))
+    parts = dealt.select(*keys, "_part").distinct().join(facts, keys)
+    return dealt.join(parts, [*keys, "_part"], how).drop("_part")
+
+
 def past_common(paths: DataFrame) -> DataFrame:
     """Paths with the segments that all of one host and template share moved from ``left`` into the template."""
-    ends = paths.groupBy("host", "template").agg(F.min("left").alias("_low"), F.max("left").alias("_high"))
+    part = F.pmod(F.xxhash64("path"), F.lit(PARTS)).alias("_part")
+    ends = paths.groupBy("host", "template", part).agg(F.min("left").alias("_low"), F.max("left").alias("_high"))
+    ends = ends.groupBy("host", "template").agg(F.min("_low").alias("_low"), F.max("_high").alias("_high"))
     same = F.zip_with("_low", "_high", lambda a, b: a.eqNullSafe(b))
     differs = F.array_position(same, False)
     shared = F.when(differs > 0, differs - 1).otherwise(F.size(same)).cast("int")
     steps = ends.withColumn("_shared", shared).where("_shared > 0").select("host", "template", "_shared")
     passed = F.concat(F.lit("/"), F.array_join(F.slice("left", F.lit(1), F.col("_shared")), "/"))
     rest = F.slice("left", F.col("_shared") + 1, F.greatest(F.size("left"), F.lit(1)))
-    return paths.join(steps, ["host", "template"], "left").withColumns({
+    return with_facts(paths, steps, ["host", "template"], "left").withColumns({
         "template": F.when(F.col("_shared") > 0, F.concat("template", passed)).otherwise(F.col("template")),
         "left": F.when(F.col("_shared") > 0, rest).otherwise(F.col("left")),
     }).drop("_shared")
@@ -196,7 +209,7 @@ def judge_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     pure = pure.select(
         "host", "template", ((F.col("b") + SMOOTHING * prior) / (F.col("n") + SMOOTHING)).alias("purity"), (F.col("b") > 0).alias("evidence")
     )
-    judged = found.select("host", "path", "template").join(pure, ["host", "template"])
+    judged = with_facts(found.select("host", "path", "template"), pure, ["host", "template"])
     method = F.when(F.col("evidence") & (F.col("purity") >= reject), F.lit("block")).otherwise(F.lit("allow"))
     return rows.join(judged, ["host", "path"]).select(
         "page_id", "host", "path", "rule", F.coalesce("decided", method).alias("verdict"), "template", "purity"
