@@ -66,6 +66,16 @@ def threshold_by_day(spark, sf_dir):
     return out.groupBy("forecast_day").agg(F.count("*").alias("cases"), F.count("threshold").alias("with_threshold"), F.avg("threshold").alias("mean_threshold"))
 
 
+@query("j4_threshold_heavy_cells", f"""SELECT {n('forecast_day')}, {r('cs.latitude','latitude')}, {r('cs.longitude','longitude')}, {n('count(*)','cases')}, {n('count(q.value)','with_threshold')},
+  {r('avg(q.value)','mean_threshold')} FROM cs LEFT JOIN (SELECT * FROM thr5_days WHERE percentile=95.0) q ON q.doy=dayofyear(valid_date) AND q.latitude=cs.latitude AND q.longitude=cs.longitude
+  GROUP BY forecast_day, cs.latitude, cs.longitude""")
+def threshold_heavy_cells(spark, sf_dir):
+    q = V.thr5(spark, sf_dir).where("percentile = 95.0")
+    out = align.spread_threshold_for_dates(V.cs(spark, sf_dir), q, ["model", "init_time"], share=0.02)
+    measures = [F.count("*").alias("cases"), F.count("threshold").alias("with_threshold"), F.avg("threshold").alias("mean_threshold")]
+    return out.groupBy("forecast_day", "latitude", "longitude").agg(*measures)
+
+
 @query("j5_cell_regions", f"WITH {REGION_CELLS} SELECT region, {r('latitude')}, {r('longitude')} FROM cell_region")
 def cell_regions(spark, sf_dir):
     return align.cell_regions(align.cells(V.ob(spark, sf_dir)), REGIONS)

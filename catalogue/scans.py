@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import functions as F
 
 from skillgrid.functions.geo import REGIONS, regions_named
@@ -9,7 +11,7 @@ from skillgrid.operators import align, audit, suffstats
 from skillgrid.operators import cases as case_ops
 from skillgrid.session import scratch_path
 from skillgrid.sources import cases as case_source
-from skillgrid.sources import forecasts, observations, sinks, tables, versions
+from skillgrid.sources import forecasts, observations, sinks, tables, versions, zones
 
 from . import views as V
 from .base import d, n, query, r, t
@@ -38,6 +40,29 @@ def forecast_scan(spark, sf_dir):
     return rows.groupBy("init_time").agg(F.count("*").alias("row_count"), F.sum("t2m").alias("total"))
 
 
+def _zoned_store(spark, sf_dir):
+    """Member forecasts laid out by block, with a zone map."""
+    path = scratch_path(spark, "zoned")
+    zones.write_zoned_forecasts(V.fc6(spark, sf_dir), path)
+    return path
+
+
+@query("sc1_zone_box_scan", f"""SELECT {t('init_time')}, {n('lead_hours')}, {n('count(*)','row_count')}, {r('avg(value)','mean')} FROM fc6
+  WHERE latitude BETWEEN 0 AND 40 AND longitude BETWEEN 0 AND 100 AND lead_hours BETWEEN 24 AND 72 GROUP BY init_time, lead_hours""")
+def zone_box_scan(spark, sf_dir):
+    bounds = {"latitude": (0.0, 40.0), "longitude": (0.0, 100.0), "lead_hours": (24, 72)}
+    rows = zones.read_zoned(spark, _zoned_store(spark, sf_dir), bounds)
+    return rows.groupBy("init_time", "lead_hours").agg(F.count("*").alias("row_count"), F.avg("value").alias("mean"))
+
+
+@query("pf7_zone_valid_times", f"""SELECT {t('init_time')}, {n('count(*)','row_count')}, {n('min(lead_hours)','first_lead')}, {r('avg(value)','mean')} FROM fc6
+  WHERE init_time+to_hours(CAST(lead_hours AS BIGINT)) BETWEEN TIMESTAMP '1997-01-03 00:00:00' AND TIMESTAMP '1998-01-02 12:00:00' GROUP BY init_time""")
+def zone_valid_times(spark, sf_dir):
+    bounds = {"valid_time": (datetime(1997, 1, 3), datetime(1998, 1, 2, 12))}
+    rows = zones.read_zoned(spark, _zoned_store(spark, sf_dir), bounds)
+    return rows.groupBy("init_time").agg(F.count("*").alias("row_count"), F.min("lead_hours").alias("first_lead"), F.avg("value").alias("mean"))
+
+
 @query("sc2_observation_scan", f"""SELECT {n('year(valid_time)','year')}, {n('count(*)','row_count')}, {r('avg(value)','mean')}
   FROM ob6 WHERE year(valid_time)>=1997 GROUP BY year(valid_time)""")
 def observation_scan(spark, sf_dir):

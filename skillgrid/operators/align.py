@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -82,6 +84,49 @@ def threshold_for_dates(
     return joined if "cell_id" in frame.columns else joined.drop("cell_id")
 
 
+def heavy_cells(frame: DataFrame, share: float) -> DataFrame:
+    """Cells that hold more than ``share`` of all rows and the parts they are dealt to: cell_id, parts.
+
+    Rows are counted per cell (summed before the shuffle). Fewer than 1 / share cells can be found, each in
+    at most 1 / share parts, however large the table: that bounds what is collected and broadcast.
+    """
+    if not 0.0 < share < 1.0:
+        raise ValueError("share must lie between 0 and 1")
+    keyed = frame if "cell_id" in frame.columns else geo.with_cell_id(frame)
+    counts = keyed.where("cell_id is not null").groupBy("cell_id").agg(F.count("*").alias("n"))
+    total = counts.agg(F.sum("n").alias("n")).first().n or 0
+    found = counts.where(F.col("n") > share * total).collect()
+    sized = [(row.cell_id, math.ceil(row.n / (share * total))) for row in found]
+    return frame.sparkSession.createDataFrame(sized, "cell_id bigint, parts int")
+
+
+def spread_threshold_for_dates(
+    frame: DataFrame,
+    thresholds: DataFrame,
+    together: list[str],
+    share: float,
+    value: str = "value",
+    out: str = "threshold",
+    date: str = "valid_date",
+    fill_days: bool = True,
+) -> DataFrame:
+    """``threshold_for_dates`` for tables in which few cells hold many rows; adds ``cell_id`` and ``cell_part``.
+
+    Rows of a heavy cell are dealt to parts by the hash of the ``together`` columns, and its packed
+    thresholds are copied to each part. Rows come out laid out by ``cell_id, cell_part``: a window or grouping
+    whose keys are those two and all of ``together`` needs no shuffle. A row without a cell gets NULL.
+    """
+    keyed = frame if "cell_id" in frame.columns else geo.with_cell_id(frame)
+    heavy = F.broadcast(heavy_cells(keyed, share))  # fewer than 1 / share rows
+    parts = F.coalesce(F.col("parts"), F.lit(1))
+    dealt = keyed.join(heavy, "cell_id", "left").withColumn("cell_part", F.pmod(F.xxhash64(*together), parts).cast("int")).drop("parts")
+    packed = geo.with_cell_id(thresholds_by_cell(thresholds, value, fill_days)).select("cell_id", "by_day")
+    copies = F.explode(F.sequence(F.lit(0), parts - 1)).alias("cell_part")
+    copied = packed.join(heavy, "cell_id", "left").select("cell_id", copies, "by_day")
+    joined = dealt.join(copied, ["cell_id", "cell_part"], "left")
+    return joined.withColumn(out, F.get("by_day", F.dayofyear(date) - 1)).drop("by_day")
+
+
 def nearest_percentile(thresholds: DataFrame, percentile: float) -> DataFrame:
     """Rows of the percentile label closest to the one asked for."""
     labels = thresholds.select("percentile").distinct()

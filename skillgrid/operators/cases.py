@@ -14,27 +14,33 @@ CASE = ["model", "init_time", "init_month", "forecast_day", "valid_date", "latit
 DURATIONS = (2, 3)
 
 
-def compact_products(daily: DataFrame, thresholds: DataFrame, value: str = "t2m_daily_mean", levels=None) -> DataFrame:
+def compact_products(daily: DataFrame, thresholds: DataFrame, value: str = "t2m_daily_mean", levels=None, share: float | None = None) -> DataFrame:
     """Ensemble mean, hot-day and onset probabilities, and optional quantiles, per case.
 
     ``daily`` has one row per member and local forecast day. The threshold join lays rows out by
     cell (or broadcasts a small threshold table); the onset windows and the reduction over members
-    keep the cell in their keys and need no further shuffle of member rows.
+    keep the cell in their keys and need no further shuffle of member rows. With ``share``, cells that hold
+    more than this share of the rows are dealt to several tasks by initialization.
     """
-    hot = onset_flags(daily, thresholds, value)
+    hot = onset_flags(daily, thresholds, value, share)
     return reduce_members(hot, value, levels)
 
 
-def onset_flags(daily: DataFrame, thresholds: DataFrame, value: str = "t2m_daily_mean") -> DataFrame:
-    rows = align.threshold_for_dates(geo.with_cell_id(daily), thresholds)
+def onset_flags(daily: DataFrame, thresholds: DataFrame, value: str = "t2m_daily_mean", share: float | None = None) -> DataFrame:
+    keyed = geo.with_cell_id(daily)
+    if share is None:
+        rows = align.threshold_for_dates(keyed, thresholds)
+    else:
+        together = [c for c in ("model", "init_time") if c in keyed.columns]
+        rows = align.spread_threshold_for_dates(keyed, thresholds, together, share)
     rows = rows.withColumn("hot", F.col(value) > F.col("threshold"))
-    keys = [c for c in ("model", "init_time", "member", "cell_id") if c in rows.columns]
+    keys = [c for c in ("model", "init_time", "member", "cell_id", "cell_part") if c in rows.columns]
     return onset.member_onset(rows, DURATIONS, keys)
 
 
 def reduce_members(flags: DataFrame, value: str = "t2m_daily_mean", levels=None) -> DataFrame:
     """Means, probabilities and quantiles over members, per initialization, day and cell."""
-    keys = [c for c in ("model", "init_time", "local_forecast_day", "cell_id") if c in flags.columns]
+    keys = [c for c in ("model", "init_time", "local_forecast_day", "cell_id", "cell_part") if c in flags.columns]
     same = [F.any_value(c).alias(c) for c in ("valid_date", "latitude", "longitude")]
     aggs = [
         F.avg(value).alias("forecast_temperature"),
@@ -43,7 +49,7 @@ def reduce_members(flags: DataFrame, value: str = "t2m_daily_mean", levels=None)
     ]
     if levels:
         aggs.append(ens.member_quantiles(F.col(value), levels).alias("q"))
-    out = flags.groupBy(*keys).agg(*same, *aggs).withColumnRenamed("local_forecast_day", "forecast_day").drop("cell_id")
+    out = flags.groupBy(*keys).agg(*same, *aggs).withColumnRenamed("local_forecast_day", "forecast_day").drop("cell_id", "cell_part")
     if levels:
         pairs = F.array(*[F.struct(F.lit(float(q)).alias("q"), F.get("q", F.lit(i)).alias("value")) for i, q in enumerate(levels)])
         out = out.withColumn("quantiles", F.when(F.col("q").isNotNull(), pairs)).drop("q")

@@ -38,26 +38,33 @@ def member_onset(trajectories: DataFrame, durations, keys: list[str], day: str =
     """Onset flag per member and day as 1.0 / 0.0, NULL where it cannot be verified.
 
     The previous day and all ``d`` days must be valid, so day 0 and the last ``d-1`` days are
-    NULL. Rows may be missing: neighbours are found by day number. A window partition is one
-    member's forecast (15 days).
+    NULL. Rows may be missing: a neighbour counts only if its day number is the one asked for. A window
+    partition is one member's forecast (15 days, each once); all durations share one window of row offsets.
     """
+    if any(d < 1 for d in durations):
+        raise ValueError("duration must be at least one day")
     by_day = Window.partitionBy(*keys).orderBy(day)
     flag = F.col(hot)
-    out = {}
 
     def at(step: int):
-        w = by_day.rangeBetween(step, step)
-        return F.max(flag).over(w)
+        row = F.struct(F.col(day).alias("day"), flag.alias("hot"))
+        return (F.lead(row, step) if step > 0 else F.lag(row, -step)).over(by_day)
 
-    previous = at(-1)
+    reach = max(durations, default=1)
+    steps = {-1: "_before", **{k: f"_ahead_{k}" for k in range(1, reach)}}
+    near = trajectories.withColumns({name: at(k) for k, name in steps.items()})
+    hot_at = {k: F.when(F.col(name)["day"] == F.col(day) + k, F.col(name)["hot"]) for k, name in steps.items()} | {0: flag}
+    out = {}
     for d in durations:
-        if d < 1:
-            raise ValueError("duration must be at least one day")
-        ahead = by_day.rangeBetween(0, d - 1)
-        all_hot = F.min(flag).over(ahead)
-        valid = (F.count(flag).over(ahead) == d) & previous.isNotNull()
-        out[f"onset_{d}d"] = F.when(valid, (all_hot & ~previous).cast("double"))
-    return trajectories.withColumns(out)
+        run = [hot_at[k] for k in range(d)]
+        valid = hot_at[-1].isNotNull()
+        for h in run:
+            valid = valid & h.isNotNull()
+        all_hot = ~hot_at[-1]
+        for h in run:
+            all_hot = all_hot & h
+        out[f"onset_{d}d"] = F.when(valid, all_hot.cast("double"))
+    return near.withColumns(out).drop(*steps.values())
 
 
 def onset_check(daily: DataFrame, duration: int, keys: list[str], onset: str, date: str = "local_date", hot: str = "hot") -> DataFrame:

@@ -63,9 +63,11 @@ def heat_month(forecasts: DataFrame, thresholds: DataFrame, max_days: int = 15)
     return cases.compact_products(daily.local_solar_days(forecasts, max_days), thresholds)
 
 
-def forecast_cases(forecasts: DataFrame, thresholds: DataFrame, observed: DataFrame, quantiles: bool = True, regrid: bool = False) -> DataFrame:
+def forecast_cases(forecasts: DataFrame, thresholds: DataFrame, observed: DataFrame, quantiles: bool = True, regrid: bool = False, share: float | None = None) -> DataFrame:
     """Canonical cases from raw members.
 
+    ``share``: cells with more than this share of the member rows are dealt to several tasks.
+
     With ``regrid``, thresholds and observations come on other grids: thresholds and temperatures are
     interpolated to the forecast's cells, events are those of the nearest cell.
     """
@@ -79,7 +81,7 @@ def forecast_cases(forecasts: DataFrame, thresholds: DataFrame, observed: DataFr
         seen = observed.select("valid_date", *CELL, F.struct(*flags).alias("flags"))
         seen = to_grid(seen, cells, value="flags", method="nearest").select("valid_date", *CELL, "flags.*")
         observed = warm.join(seen, ["valid_date", *CELL], "left")
-    return cases.canonical_cases(cases.compact_products(members, thresholds, levels=levels), observed)
+    return cases.canonical_cases(cases.compact_products(members, thresholds, levels=levels, share=share), observed)
 
 
 def regional_statistics(case_table: DataFrame, regions, *, by=suffstats.BY, cutoffs=(0.5,), edges=suffstats.RELIABILITY_EDGES, levels=suffstats.INTERVAL_LEVELS, land_mask: DataFrame | None = None) -> dict[str, DataFrame]:
