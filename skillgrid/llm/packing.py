@@ -29,19 +29,22 @@ from pyspark.sql import functions as F
 
 from .common import materialize, slices, utf8
 from .cutting_stock import plan
-from .token_counts import UNSAFE, byte_letters
+from .token_counts import byte_letters
 
 CAPACITY = 2048
 END = 1  # id after each document
 CACHE = 200_000  # words a task remembers
 LONGEST = 32  # characters of a remembered word
 
-# The split of the lower-case word vocabulary, on characters that UNSAFE lets pass.
+# The split of the lower-case word vocabulary, on words without a character outside ODD.
 PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\s\w]|_)+")
-# Not split here: numbers and letters outside the plain ranges, which regular expressions class differently.
+# Words with these are encoded by the tokenizer: numbers and letters that regular expressions class differently.
 ODD = re.compile(r"[^\t\n\r\x20-\x7E¡-©«-±´¶-¸»¿-įı-ǃǍ-ǰǵ-ȿА-яぁ-ゖァ-ヺ一-龥]")
 
 
+BLANKS = re.compile(r"[ \t\n\r]+")  # white space under every definition; no token reaches across it
+
+
 class Words(dict):
     """Token ids (little-endian 32-bit) of blank-separated words, encoded when first met."""
 
@@ -55,6 +58,8 @@ class Words(dict):
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
 
     def encode(self, word: str) -> bytes:
+        if ODD.search(word) or any(s in word for s in self.special):
+            return array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
         out = array("I")
         for piece in [word.lower()] if word.isalpha() else PIECES.findall(word.lower()):
             if not piece.isascii():
@@ -69,9 +74,8 @@ class Words(dict):
         return ids
 
     def ids(self, text: str) -> bytes:
-        if ODD.search(text) or any(s in text for s in self.special):
-            return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
-        return b"".join(map(self.__getitem__, text.split()))
+        words = filter(None, BLANKS.split(text)) if ODD.search(text) else text.split()
+        return b"".join(map(self.__getitem__, words))
 
 
 def class_lengths(capacity: int) -> np.ndarray:

@@ -1,10 +1,11 @@
 """Token counts: a broadcast table of frequent pre-token lengths, worker caches for the rest.
 
-Two map-only passes over whole texts. The first finds frequent pre-tokens: each task counts its own in a
-bounded summary (space-saving by pruning) and the summaries, one bounded row per task, are merged in
-two small steps. The second splits each text into pre-tokens and adds their lengths: first from the
-broadcast table, then from a bounded cache in the worker that encodes a miss with the tokenizer's model.
-No pre-token is shuffled, and the summary's quality affects speed alone: counts are always exact.
+Two passes over whole texts. The first finds frequent pre-tokens: each task counts its own in a
+bounded summary (space-saving by pruning), and the summaries, one row per task with the pre-tokens that
+reach a fixed share of its own, are merged in two small steps. The second splits each text into pre-tokens
+and adds their lengths: first from the broadcast table, then from a bounded cache in the worker that
+encodes a miss with the tokenizer's model. Pre-tokens of texts are never shuffled, only those summaries;
+their quality affects speed alone: counts are always exact.
 """
 
 from __future__ import annotations
@@ -29,8 +30,8 @@ CHUNK = 1 << 20  # characters of text split at a time
 # The published split pattern of this vocabulary.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
-# Characters on which all Unicode versions agree about letters, numbers and spaces; a text with any
-# other character is encoded whole by the tokenizer.
+# Characters on which all Unicode versions agree about letters, numbers and spaces; parts of texts with any
+# other character are split by the tokenizer's own pre-tokenizer, which is slower.
 UNSAFE = regex.compile(r"[^\t\n\r\x20-\x7E\xA1-ɏА-яぁ-ゖァ-ヺ一-龥가-힣]")
 
 
@@ -42,27 +43,38 @@ def byte_letters() -> dict[int, str]:
 
 
 class PreTokens:
-    """Splits texts; ``plain`` tells whether a text may be split here at all."""
+    """Splits texts into pre-tokens as the tokenizer does."""
 
     def __init__(self, tokenizer_path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_path)
-        self.model = self.tokenizer.model
-        self.split = regex.compile(PATTERN).findall
+        self.model, self.pre_tokenizer = self.tokenizer.model, self.tokenizer.pre_tokenizer
+        self.plain_split = regex.compile(PATTERN).findall
         self.letters = byte_letters()
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        if any(t.single_word or t.lstrip or t.rstrip or t.normalized for t in added):
+            raise ValueError("special tokens that depend on their surroundings are not supported")
+        names = sorted((regex.escape(t.content) for t in added), key=len, reverse=True)
+        self.special = regex.compile("|".join(names)) if names else None
 
-    def plain(self, text: str) -> bool:
-        return UNSAFE.search(text) is None and not any(s in text for s in self.special)
+    def split(self, part: str) -> list[str]:
+        if UNSAFE.search(part) is None:
+            return self.plain_split(part)
+        return [part[a:b] for _, (a, b) in self.pre_tokenizer.pre_tokenize_str(part)]
+
+    def segments(self, text: str) -> list[str]:
+        """What lies between the strings of special tokens; these are one less, each a token of its own."""
+        return self.special.split(text) if self.special else [text]
+
+    def pieces(self, segment: str) -> Iterator[list[str]]:
+        """Pre-tokens of a segment, one list for each of its parts."""
+        return (self.split(part) for part in parts_of(segment)) if segment else iter(())
 
     def length(self, token: str) -> int:
         return len(self.model.tokenize("".join([self.letters[b] for b in token.encode()])))
 
-    def whole(self, text: str) -> int:
-        return len(self.tokenizer.encode(text, add_special_tokens=False).ids)
-
 
 class Lengths(dict):
     """Second tier: lengths met by this worker, started anew when full."""
@@ -113,16 +125,17 @@ def frequent_tokens(docs: DataFrame, tokenizer_path: str, text_col: str = "text"
     """The most frequent pre-tokens over all texts, up to ``entries`` of them."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        source, counts = PreTokens(tokenizer_path), Counter()
+        source, counts, met = PreTokens(tokenizer_path), Counter(), 0
         for batch in slices(batches):
             for raw in batch.column(0).to_pylist():
                 text = raw.decode() if raw else ""
-                if text and source.plain(text):
-                    for part in parts_of(text):
-                        counts.update(source.split(part))
+                for segment in source.segments(text):
+                    for tokens in source.pieces(segment):
+                        counts.update(tokens)
+                        met += len(tokens)
                 if len(counts) > 8 * entries:
                     counts = _pruned(counts, 2 * entries)
-        yield _row(Counter({t: n for t, n in counts.items() if len(t) <= LONGEST}), entries)
+        yield _row(Counter({t: n for t, n in counts.items() if len(t) <= LONGEST and n * 4 * entries >= met}), entries)
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter = Counter()
@@ -155,7 +168,7 @@ def count_tokens(
     empty table gives an empty result. Strings of special tokens inside a text are those tokens.
     """
     source = PreTokens(tokenizer_path)
-    tokens = frequent_tokens(docs, tokenizer_path, text_col, entries)
+    tokens = [t for t in frequent_tokens(docs, tokenizer_path, text_col, entries) if "\0" not in t]
     table = docs.sparkSession.sparkContext.broadcast(
         ("\0".join(tokens), bytes(min(255, source.length(t)) for t in tokens))  # at most 64 characters: at most 255 tokens
     )
@@ -167,11 +180,9 @@ def count_tokens(
     def count(texts: list, lengths: Lengths) -> list[int]:
         source, out = lengths.source, []
         for raw in texts:
-            text = raw.decode() if raw else ""
-            if source.plain(text):
-                out.append(sum(sum(map(lengths.__getitem__, source.split(part))) for part in parts_of(text)))
-            else:
-                out.append(source.whole(text))
+            segments = source.segments(raw.decode()) if raw else [""]
+            pieces = (tokens for segment in segments for tokens in source.pieces(segment))
+            out.append(len(segments) - 1 + sum(sum(map(lengths.__getitem__, tokens)) for tokens in pieces))
         return out
 
     counted = arrow_column(count, "bigint", pa.int64(), setup)

@@ -1,3 +1,4 @@
+import random
 import zlib
 from array import array
 
@@ -53,6 +54,53 @@ def test_lengths_start_anew_when_full(monkeypatch):
     assert len(lengths) <= 3
 
 
+ODD_TEXTS = [
+    "It’s fine — really … 5 € 🙂👩‍👩‍👧",
+    "  ١٢٣ هذا نص ، हिन्दी में  ไทยแลนด์ x² ½ Ⅷ\u2003\u00a0 end",
+    "tail<|endoftext|>’s <|endoftext|>  <|endoftext|><|endoftext|>\n\n",
+    "nul\0 \0\0 \x1c a\x1cb \x85c\u2028 d\u3000e \ufeff",
+    "ΟΔΟΣ Σ’Σ ﬁn İstanbul e\u0301 Å \u1e9e <|startoftext|>x<|endoftext|>",
+    " \u0338= \u0301 ’ ' 's ’s 'S 'Re we’ll",
+]
+
+
+def odd_mixture(seed, n):
+    rng = random.Random(seed)
+    letters = "".join(ODD_TEXTS) + "abc  \t\n\r'" * 4
+    return ["".join(rng.choices(letters, k=rng.randrange(1, 60))) for _ in range(n)]
+
+
+def test_odd_characters_go_through_the_tiers(spark, monkeypatch):
+    texts = ODD_TEXTS + odd_mixture(3, 300)
+    library = tokenizer(BYTE)
+    want = [len(library.encode(t, add_special_tokens=False).ids) for t in texts]
+    source = token_counts.PreTokens(BYTE)
+    lengths = token_counts.Lengths({}, source)
+    got = [len(source.segments(t)) - 1 + sum(lengths[p] for s in source.segments(t) for ps in source.pieces(s) for p in ps) for t in texts]
+    assert got == want
+    assert "’" in lengths and " —" in lengths
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(3)
+    counted = token_counts.count_tokens(rows, BYTE, entries=40)
+    assert [r.n_tokens for r in counted.orderBy("doc_id").collect()] == want
+    frequent = token_counts.frequent_tokens(rows, BYTE, entries=40)
+    assert any(not t.isascii() for t in frequent)
+
+
+def test_long_odd_texts_are_split_in_parts(monkeypatch):
+    monkeypatch.setattr(token_counts, "CHUNK", 50)
+    source = token_counts.PreTokens(BYTE)
+    for text in ("’tis — the  ١٢ day " * 40, "ไทย" * 200, "🙂" * 300, "a  \u2003  b" * 100):
+        got = [source.length(p) for ps in source.pieces(text) for p in ps]
+        assert sum(got) == len(tokenizer(BYTE).encode(text, add_special_tokens=False).ids)
+
+
+def test_odd_words_have_the_tokenizers_ids():
+    words, library = packing.Words(WORD), tokenizer(WORD)
+    for text in ODD_TEXTS + odd_mixture(4, 600):
+        assert list(memoryview(words.ids(text)).cast("I")) == library.encode(text, add_special_tokens=False).ids, text
+    assert "really" in words and "—" in words
+
+
 # --- packing
 
 def packed(spark, rows, **options):
