@@ -1,5 +1,5 @@
 import pytest
-from helpers import day, rows, ts
+from helpers import day, executed, rows, ts
 from pyspark.sql import functions as F
 
 from skillgrid.operators import daily
@@ -100,3 +100,13 @@ def test_local_days_have_no_end(spark):
     fc = spark.createDataFrame(data, FC)
     assert daily.local_solar_days(fc).agg(F.max("local_forecast_day")).first()[0] == 20
     assert daily.local_solar_days(fc, max_days=3).agg(F.max("local_forecast_day")).first()[0] == 2
+
+
+def test_day_numbers_are_computed_after_the_aggregation(spark):
+    i = F.col("id")
+    fc = spark.range(80).select(
+        F.lit(T0).cast("timestamp_ntz").alias("init_time"), (6 * (i % 40)).cast("int").alias("lead_hours"), (i / 40).cast("int").alias("member"),
+        F.lit(0.0).alias("latitude"), (90.0 * (i % 2)).alias("longitude"), i.cast("double").alias("value"),
+    )
+    plan = executed(daily.local_solar_days(fc).where("local_forecast_day < 5"))
+    assert "datediff" not in plan[plan.rindex("HashAggregate") :]

@@ -1,7 +1,7 @@
 from datetime import timedelta
 
 import pytest
-from helpers import day, one, rows, ts
+from helpers import day, executed, one, rows, ts
 from pyspark.sql import functions as F
 
 from skillgrid.functions.geo import Region
@@ -231,3 +231,13 @@ def test_scratch_folder_follows_the_session():
         scratch_path(_Session(None, "yarn"), "x")
     first, second = (scratch_path(_Session(None, "local[8]"), "x") for _ in range(2))
     assert first.startswith("/tmp/spark-") and first != second and first.rsplit("/", 1)[0] == second.rsplit("/", 1)[0]
+
+
+def test_date_steps_compute_their_rows_once(spark):
+    late = F.when(F.col("id") == 3, F.date_add(F.lit("2024-01-01").cast("date"), F.col("id").cast("int") + 1))
+    date = F.coalesce(late, F.date_add(F.lit("2024-01-01").cast("date"), F.col("id").cast("int")))
+    key = F.when(F.col("id") < 6, F.lit(1.0))  # later rows have no key and so no neighbour
+    frame = spark.range(8).select(key.alias("k"), F.col("id").cast("int").alias("d"), date.alias("valid_date"))
+    out = audit.date_steps(frame.unionByName(frame.where("d = 3")), ["k"], "d")
+    assert rows(out, "k", "d", "previous_date", "step") == [(1.0, 3, day("2024-01-03"), 2), (1.0, 4, day("2024-01-05"), 0)]
+    assert executed(audit.date_steps(frame, ["k"], "d")).count("Range (") == 1
