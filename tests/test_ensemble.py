@@ -156,3 +156,23 @@ def test_members_are_reduced_before_they_meet_the_observation(spark):
         assert rows(after, "k", out) == rows(score(late(members), **options), "k", out)
         plan = executed(after)
         assert plan.index("Join") < plan.index("Aggregate")
+
+
+def test_quantile_bounds_round_the_lower_share_once(spark):
+    # 0.9 * 28 + 0.1 * 32 and 0.8 * 28 + 0.2 * 32 with products rounded first give 28.4 and 28.800000000000004.
+    frame = spark.createDataFrame([(1, 44.0), (1, 28.0), (1, None), (1, 32.0), (2, None), (3, 7.0)], "k int, v double")
+    got = {r.k: r.q for r in frame.groupBy("k").agg(ens.member_quantiles(F.col("v"), [0.05, 0.1, 0.5, 1.0]).alias("q")).collect()}
+    assert got == {1: [28.400000000000002, 28.8, 32.0, 44.0], 2: None, 3: [7.0] * 4}
+
+
+def test_fused_sum_is_exact_before_rounding(spark):
+    import random
+    from fractions import Fraction
+
+    from skillgrid.functions.exact import fused
+
+    draw = random.Random(5)
+    data = [(draw.uniform(-60, 60), draw.random(), draw.randint(1, 150) / 3) for _ in range(500)]
+    rows = spark.createDataFrame(data, "a double, b double, c double").withColumn("r", fused(F.col("a"), F.col("b"), F.col("c"))).collect()
+    assert all(x.r == float(Fraction(x.a) * Fraction(x.b) + Fraction(x.c)) for x in rows)
+    assert any(x.r != x.a * x.b + x.c for x in rows)
