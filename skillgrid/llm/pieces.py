@@ -1,9 +1,10 @@
 """SentencePiece encoding and decoding by a prefix table of last tokens, for merge-type (BPE) models.
 
-The encoding of a text's first i characters ends with exactly one token. For every i the table keeps it: an automaton
-over the vocabulary lists the tokens that end at i, and the right one is compatible with the last token of the prefix
-before it, that is, both side by side are encoded as themselves. The ids are then read backwards through the table.
-Time is linear in the text whatever it holds.
+The encoding of a text's first i characters ends with exactly one token, which the table keeps for i. A token is the right one
+if it is compatible with the last token of the prefix before it, that is, both side by side are encoded as themselves. The
+automaton over the vocabulary gives the longest token that begins where a prefix ends. The table is filled from the longest
+tokens on, and a place that leads nowhere is left for good, so the prefixes that no try reaches cost nothing. The ids are
+then read backwards through the table. Time is linear in the text whatever it holds.
 
 No token holds a blank after another character, so a text is the encodings of its words one after another; a worker
 remembers the ids of words it has met, in a bounded cache. Characters outside the vocabulary become their bytes.
@@ -16,7 +17,7 @@ import math
 import re
 from collections.abc import Callable, Iterator
 from functools import cached_property
-from itertools import accumulate, chain, groupby
+from itertools import accumulate, chain, groupby, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +28,8 @@ from .common import ROWS, arrow_column, utf8
 
 BLANK = "▁"  # stands for a space
 LONGEST = 64  # characters of a word in the cache
-CACHE = 1 << 17  # words in either half of a worker's cache, and pairs whose compatibility it remembers
+CACHE = 1 << 18  # words in either half of a worker's cache, and pairs whose compatibility it remembers
+KINDS = 4  # sets of characters between which words are cut
 UNKNOWN = " ⁇ "  # what the library writes for the unknown id
 
 # The library writes one replacement character for each byte that begins no valid character.
@@ -84,9 +86,25 @@ class Vocabulary:
         self.known = {c for p in self.ids for c in p}
         self.pairs: dict[tuple[str, str], bool] = {}
         letters = "".join(re.escape(c) for c in sorted(self.known - {BLANK}))
-        self.words = re.compile(f"{BLANK}*[{letters}]+|{BLANK}+|[^{letters}{BLANK}]").findall
+        runs = "|".join(f"[{''.join(map(re.escape, sorted(kind)))}]+" for kind in self.kinds())
+        self.words = re.compile(f"{BLANK}*(?:{runs})|{BLANK}+|[^{letters}{BLANK}]").findall
         self.cache = Words(self.word)
 
+    def kinds(self) -> list[set[str]]:
+        """Characters in sets of which no piece holds two, such as letters and signs; so no merge joins them.
+
+        The largest sets are returned, and the union of the others.
+        """
+        kind = {c: {c} for c in self.known - {BLANK}}
+        for piece in self.ids:
+            for a, b in pairwise(piece.lstrip(BLANK)):
+                if kind[a] is not kind[b]:
+                    small, large = sorted((kind[a], kind[b]), key=len)
+                    large |= small
+                    kind.update(dict.fromkeys(small, large))
+        sets = sorted({id(s): s for s in kind.values()}.values(), key=lambda s: (-len(s), min(s)))
+        return [s for s in (*sets[:KINDS], set().union(*sets[KINDS:])) if s]
+
     @cached_property
     def automaton(self):
         """Finds the tokens that end at each character of a text, longest first."""
@@ -98,6 +116,27 @@ class Vocabulary:
         automaton.make_automaton()
         return automaton
 
+    @cached_property
+    def longest(self) -> dict[str, str]:
+        """The longest token that begins each string that begins a token."""
+        tokens, out = {*self.halves, *self.known}, {}
+        for start in sorted({p[:n] for p in tokens for n in range(1, len(p) + 1)}, key=len):
+            out[start] = start if start in tokens else out[start[:-1]]
+        return out
+
+    @cached_property
+    def shorter(self) -> dict[str, str | None]:
+        """The longest token that begins a longer one; a character has none."""
+        return {token: self.longest.get(token[:-1]) for token in set(self.longest.values())}
+
+    @cached_property
+    def ids_of(self) -> dict[str, tuple[int, ...]]:
+        return {token: (self.ids[token],) if token in self.ids else self.bytes_of(token) for token in self.shorter}
+
+    @cached_property
+    def width(self) -> int:
+        return max(map(len, self.longest))
+
     @cached_property
     def halves(self) -> dict[str, tuple[str, str]]:
         """The pieces of several characters that stand in encodings, that is, those encoded as themselves, and what they are
@@ -173,22 +212,42 @@ class Vocabulary:
                         last[end] = token
         return last
 
+    def reached_tokens(self, text: str) -> list[str | None]:
+        """The table of :meth:`last_tokens` up to a text's end, without the prefixes that no try of longest tokens reaches."""
+        size, width = len(text), self.width
+        last: list[str | None] = [None] * (size + 1)
+        seen, longest, shorter, begun = self.pairs.get, self.longest, self.shorter, self.automaton.longest_prefix
+        at, before, token = 0, None, longest[text[: begun(text[:width])]]
+        while True:
+            while token is not None:
+                end = at + len(token)
+                if last[end] is None:  # else tried before, without success
+                    fits = before is None or seen((before, token))
+                    if fits or fits is None and self.compatible(before, token):
+                        break
+                token = shorter[token]
+            if token is None:  # no token goes on from here, so the last one gives way to a shorter one
+                at -= len(before)
+                token, before = shorter[before], last[at]
+                continue
+            last[end] = before = token
+            if end == size:
+                return last
+            at = end
+            token = longest[text[at : at + begun(text[at : at + width])]]
+
     def bytes_of(self, c: str) -> tuple[int, ...]:
         return tuple(self.bytes.get(b, self.unknown) for b in c.encode()) if self.bytes else (self.unknown,)
 
     def word(self, word: str) -> tuple[int, ...]:
         if word[0] not in self.known:
             return self.bytes_of(word)
-        last, end, out = self.last_tokens(word), len(word), []
+        last, end, tokens = self.reached_tokens(word), len(word), []
         while end:
             token = last[end]
-            found = self.ids.get(token)
-            if found is None:
-                out.extend(reversed(self.bytes_of(token)))
-            else:
-                out.append(found)
+            tokens.append(token)
             end -= len(token)
-        return tuple(reversed(out))
+        return tuple(chain.from_iterable(map(self.ids_of.__getitem__, reversed(tokens))))
 
     def encode(self, text: str) -> np.ndarray:
         if not text:

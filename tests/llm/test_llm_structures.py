@@ -139,6 +139,27 @@ def test_every_prefix_ends_with_the_last_token_of_its_encoding():
     assert own.last_tokens(text)[1:] == [own.merged(text[:n])[-1] for n in range(1, len(text) + 1)]
 
 
+def test_table_is_filled_only_where_longest_tokens_lead():
+    own, rng = pieces.vocabulary(MODEL), random.Random(6)
+    texts = ["".join(rng.choice(["th", "ble", "▁", "er", "tion", "xq", "aaa"]) for _ in range(rng.randrange(1, 9))) for _ in range(2000)]
+    left_out = 0
+    for text in texts:
+        full, table = own.last_tokens(text), own.reached_tokens(text)
+        assert table[-1] == full[-1] and all(token in (None, want) for token, want in zip(table, full))
+        left_out += table[1:].count(None)
+    assert left_out > len(texts)
+
+
+def test_words_are_cut_where_no_piece_joins(library):
+    own = pieces.vocabulary(MODEL)
+    words = own.words("▁elle$$$▁▁ab.&&Привет12")
+    assert words[:2] == ["▁elle", "$$$"] and "Привет" in words and "".join(words) == "▁elle$$$▁▁ab.&&Привет12"
+    kinds = own.kinds()
+    assert sum(map(len, kinds)) == len(own.known) - 1
+    for piece in own.ids:
+        assert sum(not kind.isdisjoint(piece.lstrip("▁")) for kind in kinds) <= 1
+
+
 def test_caches_start_anew_when_full(monkeypatch, library):
     monkeypatch.setattr(pieces, "CACHE", 3)
     own = pieces.Vocabulary(MODEL)
