@@ -36,15 +36,13 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     Of rows that repeat an id and a text one stays.
     """
     ship_package(spark)
-    kept = jaccard.near_duplicates(docs, words=WORDS, percent=PERCENT).where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("rows"))
-    kept = materialize(kept, "kept")
-    ids = lambda rule: jaccard.checked_broadcast(kept.where(rule).select("doc_id"))
-    once = docs.join(ids("rows = 1"), "doc_id", "left_semi")
+    found = jaccard.near_duplicates(docs, words=WORDS, percent=PERCENT).where("doc_id is not null")
+    found = materialize(found.groupBy("doc_id").agg(F.count_if(F.expr("doc_id = component_id")).alias("rows")), "kept")
+    ids = lambda rule: jaccard.checked_broadcast(found.where(rule).select("doc_id"))
+    # Those that go are fewer than those that stay: as long as they can be broadcast, no text is shuffled.
+    once = docs.join(ids("rows <> 1"), "doc_id", "left_anti")
     repeated = docs.join(ids("rows > 1"), "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
-    parts = [once, repeated, docs.where("doc_id is null")]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
+    out = once.unionByName(repeated)
     return out.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 

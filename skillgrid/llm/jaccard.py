@@ -5,14 +5,17 @@
    Texts with equal sets are one *node* from here on.
 2. A second pass orders each set rarest first by the sketch (any one order is right; this one keeps common
    n-grams out of prefixes) and emits the prefix: the n-grams of which two linked sets share one at least.
-3. Nodes that share a prefix n-gram are candidates if size, position and suffix allow it. All pairs of a
+3. Nodes that share a prefix n-gram are candidates if size and position allow it. All pairs of a
    large group are never emitted: in each of a few rounds every node is compared with one leader, the
    most typical node among the holders of its n-grams, and n-grams whose nodes already lie in one
    component drop out. Only what is then left, n-grams that hold nodes of different components, is
-   joined in full, so no component is missed.
-4. A candidate pair is verified once on the two whole texts.
+   joined in full, so no component is missed. Holders that no other holder may be linked with drop out too.
+4. Candidates meet with their sets' signatures, about 3 bits an n-gram, which bound from below how the sets
+   differ (the suffix filter). Texts in part alike end here.
+5. A pair that is left is verified once on the two whole texts.
 
-Texts move only for candidates. Intermediate tables lie in the shared folder; a lost executor costs its tasks.
+Texts move only for pairs about as similar as asked. Intermediate tables lie in the shared folder; a lost
+executor costs its tasks.
 """
 
 from __future__ import annotations
@@ -23,7 +26,7 @@ from hashlib import blake2b
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import arrow_column, materialize, slices, utf8
@@ -114,14 +117,27 @@ def prefix_size(n: int, percent: int) -> int:
     return n - -(-percent * n // 100) + 1
 
 
-def class_counts(z: np.ndarray) -> int:
-    """Sizes of eight hash classes of a set, a byte each, at most 255: bounds from below how two sets differ."""
-    sizes = np.minimum(np.bincount((z & np.uint64(7)).astype(np.int64), minlength=8), 255)
-    return int.from_bytes(bytes(sizes.tolist()), "little", signed=True)
+def signature(z: np.ndarray) -> bytes:
+    """Of 2 to 4 times as many hash classes as the set has n-grams (64 at least), whether each holds an odd number."""
+    bits = max(64, 1 << (2 * len(z) - 1).bit_length())
+    return np.packbits(np.bincount((z & np.uint64(bits - 1)).astype(np.int64), minlength=bits).astype(np.uint8) & 1, bitorder="little").tobytes()
+
+
+def least_difference(a: bytes, b: bytes) -> int:
+    """N-grams that only one of the two sets has, at least: one in each class that is odd in one set only."""
+    a, b = sorted((a, b), key=len)
+    x, y, bits = int.from_bytes(a, "little"), int.from_bytes(b, "little"), 8 * len(b)
+    while bits > 8 * len(a):  # two classes become one
+        bits //= 2
+        y = (y >> bits) ^ (y & ((1 << bits) - 1))
+    return (x ^ y).bit_count()
 
 
 def survey(docs: DataFrame, words: int) -> DataFrame:
-    """Rows of kind 0: id, node, check, n of each document; of kind 1: chunks of the sketch (in ``cells``)."""
+    """Rows of kind 0: id, node, check, n and signature of each document; of kind 1: chunks of the sketch.
+
+    Signatures and chunks are in ``cells``.
+    """
     kind = docs.schema["doc_id"].dataType
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -129,18 +145,19 @@ def survey(docs: DataFrame, words: int) -> DataFrame:
         names, id_type = ["kind", "doc_id", "node", "other", "n", "cells"], None
         for batch in slices(batches):
             id_type = batch.schema.field(0).type
-            nodes, others, sizes, held = [], [], [], []
+            nodes, others, sizes, held, signatures = [], [], [], [], []
             for text in batch.column(1).to_pylist():
                 z = shingles(text, words)
                 a, b = fingerprint(z)
                 nodes.append(a)
                 others.append(b)
                 sizes.append(len(z))
+                signatures.append(signature(z) if len(z) else None)
                 held.append((z >> np.uint64(64 - BUCKET_BITS)).astype(np.int64))
             np.add.at(counts, np.concatenate(held), 1)
             m = batch.num_rows
             yield pa.RecordBatch.from_arrays(
-                [pa.array([0] * m, pa.int32()), batch.column(0), pa.array(nodes, pa.int64()), pa.array(others, pa.int64()), pa.array(sizes, pa.int64()), pa.nulls(m, pa.binary())], names
+                [pa.array([0] * m, pa.int32()), batch.column(0), pa.array(nodes, pa.int64()), pa.array(others, pa.int64()), pa.array(sizes, pa.int64()), pa.array(signatures, pa.binary())], names
             )
         if id_type is not None and counts.any():
             cells = np.minimum(counts, 255).astype(np.uint8).reshape(CHUNKS, -1)
@@ -172,17 +189,17 @@ def rarity(surveyed: DataFrame) -> np.ndarray:
 
 
 def prefixes(docs: DataFrame, levels, words: int, percent: int) -> DataFrame:
-    """(token, node, size_place, classes) of every n-gram in a set's rare-first prefix.
+    """(token, node, size_place) of every n-gram in a set's rare-first prefix.
 
     ``size_place`` packs how common the prefix's n-grams are (8 bits), the set's size and the place (28 bits each).
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         level = levels.value
-        schema = pa.schema([("token", pa.int64()), ("node", pa.int64()), ("size_place", pa.int64()), ("classes", pa.int64())])
+        schema = pa.schema([("token", pa.int64()), ("node", pa.int64()), ("size_place", pa.int64())])
         seen: set[int] = set()  # sets of this task, so that its copies are emitted once
         for batch in slices(batches):
-            tokens, nodes, places, classes = [], [], [], []
+            tokens, nodes, places = [], [], []
             for text in batch.column(0).to_pylist():
                 z = shingles(text, words)
                 if not len(z):
@@ -198,63 +215,93 @@ def prefixes(docs: DataFrame, levels, words: int, percent: int) -> DataFrame:
                 nodes.append(np.full(m, node, np.int64))
                 typical = int(level[(z[order] >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)].mean() * 2)  # below 128
                 places.append((typical << 56) + (len(z) << 28) + np.arange(m, dtype=np.int64))
-                classes.append(np.full(m, class_counts(z), np.int64))
             if tokens:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in (tokens, nodes, places, classes)], schema=schema)
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in (tokens, nodes, places)], schema=schema)
+
+    return docs.select("t").mapInArrow(run, "token bigint, node bigint, size_place bigint")
+
+
+_LOW = (1 << 28) - 1
+
+
+def set_size(entry: str) -> Column:
+    return F.shiftright(f"{entry}size_place", 28).bitwiseAND(F.lit(_LOW))
+
+
+def sizes_allow(na: Column, nb: Column, percent: int) -> Column:
+    return 100 * F.least(na, nb) >= percent * F.greatest(na, nb)
+
+
+def overlap(na, nb, percent: int):
+    """What linked sets have in common, at least."""
+    return F.ceil(percent * (na + nb) / F.lit(100 + percent))
+
 
-    return docs.select("t").mapInArrow(run, "token bigint, node bigint, size_place bigint, classes bigint")
+def possible(a: str, b: str, percent: int) -> Column:
+    """Whether two prefix entries with one n-gram, the first that their sets share, may belong to linked sets."""
+    na, nb = set_size(a), set_size(b)
+    pa_, pb = (F.col(f"{s}size_place").bitwiseAND(F.lit(_LOW)) for s in (a, b))
+    return sizes_allow(na, nb, percent) & (F.lit(1) + F.least(na - pa_ - 1, nb - pb - 1) >= overlap(na, nb, percent))
 
 
-def possible(a: str, b: str, percent: int):
-    """Whether two prefix entries with one n-gram may belong to linked sets."""
-    na, nb = (F.shiftright(f"{s}size_place", 28).bitwiseAND(F.lit((1 << 28) - 1)) for s in (a, b))
-    pa_, pb = (F.col(f"{s}size_place").bitwiseAND(F.lit((1 << 28) - 1)) for s in (a, b))
-    overlap = F.ceil(percent * (na + nb) / F.lit(100 + percent))  # of linked sets, at least
-    size = 100 * F.least(na, nb) >= percent * F.greatest(na, nb)
-    position = F.lit(1) + F.least(na - pa_ - 1, nb - pb - 1) >= overlap
-    byte = lambda s, k: F.shiftrightunsigned(f"{s}classes", 8 * k).bitwiseAND(F.lit(255))
-    apart = sum((F.abs(byte(a, k) - byte(b, k)) for k in range(1, 8)), F.abs(byte(a, 0) - byte(b, 0)))
-    return size & position & (apart <= na + nb - 2 * overlap)
+def rank(turn: int, entry: str = "") -> list[Column]:
+    """The leader has the most common prefix: copies with changes have rare n-grams of their own."""
+    return [F.shiftright(f"{entry}size_place", 56).alias("typical"), F.xxhash64(F.lit(turn), f"{entry}node").alias("order"), F.col(f"{entry}node").alias("node")]
 
 
-def undecided(entries: DataFrame, comps: DataFrame | None, turn: int) -> DataFrame:
+def undecided(entries: DataFrame, comps: DataFrame | None, turn: int, percent: int) -> DataFrame:
     """Entries of n-grams whose nodes lie in more than one component, with the n-gram's leader.
 
-    The leader is the node with the most common prefix: copies with changes have rare n-grams of their own.
+    A node that size bars from all other holders has no entry, two holders that may not be linked neither.
     """
     if comps is None:
         placed = entries.withColumn("component", F.col("node"))
     else:
         placed = entries.select(*ENTRY).join(checked_broadcast(comps), "node", "left").withColumn("component", F.coalesce("component", "node"))
     holders = Window.partitionBy("token")
-    order = F.struct(F.shiftright("size_place", 56).alias("typical"), F.xxhash64(F.lit(turn), "node").alias("order"), "node", "size_place", "classes", "component")
-    return (
+    by_size = holders.orderBy("n", "node")
+    n, near = F.col("n"), [f"{s}size_place" for s in ("before_", "after_")]
+    held = (
         placed.repartition("token")
+        .withColumn("n", set_size(""))
         .withColumn("lo", F.min("component").over(holders))
         .withColumn("hi", F.max("component").over(holders))
-        .withColumn("l", F.max(order).over(holders))
+        .withColumn("holders", F.count("*").over(holders))
+        .withColumn("l", F.max(F.struct(*rank(turn), "size_place", "component")).over(holders))
         .where("lo < hi")
-        .select(*ENTRY, "component", "l")
+        .withColumn(near[0], F.lag("size_place").over(by_size))
+        .withColumn(near[1], F.lead("size_place").over(by_size))
+        .withColumn("other_size_place", F.coalesce(*near))
+    )
+    some = F.coalesce(sizes_allow(n, set_size("before_"), percent), F.lit(False)) | F.coalesce(sizes_allow(n, set_size("after_"), percent), F.lit(False))
+    return held.where(F.when(F.col("holders") == 2, possible("", "other_", percent)).otherwise(some)).select(
+        *ENTRY, "component", *[F.col(f"l.{c}").alias(f"l_{c}") for c in ("node", "size_place", "component")]
     )
 
 
-ENTRY = ("token", "node", "size_place", "classes")
+ENTRY = ("token", "node", "size_place")
 
 
-def star_pairs(entries: DataFrame, percent: int) -> DataFrame:
+def star_pairs(entries: DataFrame, percent: int, turn: int) -> DataFrame:
     """Each node with one leader of its n-grams, the most typical that it may be linked with."""
-    lead = entries.select(*ENTRY, "component", *[F.col(f"l.{c}").alias(f"l_{c}") for c in ("typical", "order", "node", "size_place", "classes", "component")])
-    lead = lead.where((F.col("component") != F.col("l_component")) & possible("", "l_", percent))
-    best = lead.groupBy("node").agg(F.max(F.struct("l_typical", "l_order", "l_node")).alias("b"))
-    return best.select(F.least("node", "b.l_node").alias("x"), F.greatest("node", "b.l_node").alias("y")).distinct()
+    lead = entries.where((F.col("component") != F.col("l_component")) & possible("", "l_", percent))
+    best = lead.groupBy("node").agg(F.max(F.struct(*rank(turn, "l_"))).alias("b"))
+    return best.select(F.least("node", "b.node").alias("x"), F.greatest("node", "b.node").alias("y")).distinct()
 
 
 def all_pairs(entries: DataFrame, percent: int) -> DataFrame:
-    """Every pair of nodes of different components that share an n-gram and may be linked."""
-    a, b = (entries.select(*[F.col(c).alias(f"{s}_{c}") for c in (*ENTRY, "component")]) for s in ("a", "b"))
-    rule = (F.col("a_token") == F.col("b_token")) & (F.col("a_node") < F.col("b_node")) & (F.col("a_component") != F.col("b_component"))
-    both = a.join(b, rule & possible("a_", "b_", percent))
-    return both.select(F.col("a_node").alias("x"), F.col("b_node").alias("y")).distinct()
+    """Every pair of nodes of different components that share an n-gram and may be linked.
+
+    One node of such a pair at least lies outside the component of the n-gram's leader: only those look for others.
+    """
+    a, b = (
+        entries.select(*[F.col(c).alias(f"{s}_{c}") for c in (*ENTRY, "component")], (F.col("component") != F.col("l_component")).alias(f"{s}_outside"))
+        for s in ("a", "b")
+    )
+    once = ~F.col("b_outside") | (F.col("a_node") < F.col("b_node"))
+    rule = (F.col("a_token") == F.col("b_token")) & (F.col("a_component") != F.col("b_component")) & once
+    both = a.where("a_outside").join(b, rule & possible("a_", "b_", percent))
+    return both.select(F.least("a_node", "b_node").alias("x"), F.greatest("a_node", "b_node").alias("y")).distinct()
 
 
 def checked_broadcast(table: DataFrame) -> DataFrame:
@@ -262,10 +309,27 @@ def checked_broadcast(table: DataFrame) -> DataFrame:
     return F.broadcast(table) if table.limit(SMALL + 1).count() <= SMALL else table
 
 
+def ends(pairs: DataFrame) -> DataFrame:
+    wanted = pairs.select(F.explode(F.array("x", "y")).alias("node")).distinct()
+    return checked_broadcast(materialize(wanted, "wanted"))
+
+
+def plausible(pairs: DataFrame, surveyed: DataFrame, percent: int) -> DataFrame:
+    """The pairs (x, y) whose signatures allow a link: those that differ too much go before any text moves."""
+    marks = surveyed.where("kind = 0").select("node", "n", "cells").join(ends(pairs), "node", "left_semi").dropDuplicates(["node"])
+    x, y = (marks.select(F.col("node").alias(s), F.col("n").alias(f"n{s}"), F.col("cells").alias(f"c{s}")) for s in ("x", "y"))
+    both = pairs.join(y, "y").join(x, "x")
+    most = F.col("nx") + F.col("ny") - 2 * overlap(F.col("nx"), F.col("ny"), percent)
+
+    def near(rows: list) -> list[bool]:
+        return [least_difference(r["cx"], r["cy"]) <= r["most"] for r in rows]
+
+    return both.where(arrow_column(near, "boolean", pa.bool_())(F.struct("cx", "cy", most.alias("most")))).select("x", "y")
+
+
 def verified(pairs: DataFrame, docs: DataFrame, homes: DataFrame, words: int, percent: int) -> DataFrame:
     """The pairs (x, y) whose whole texts are similar enough. ``homes``: a document of each node."""
-    wanted = pairs.select(F.explode(F.array("x", "y")).alias("node")).distinct()
-    wanted = materialize(homes.join(checked_broadcast(materialize(wanted, "wanted")), "node").select("doc_id", "node"), "wanted")
+    wanted = materialize(homes.join(ends(pairs), "node").select("doc_id", "node"), "wanted")
     texts = docs.join(checked_broadcast(wanted), "doc_id").select("node", "t")
     x = texts.select(F.col("node").alias("x"), F.col("t").alias("tx"))
     y = texts.select(F.col("node").alias("y"), F.col("t").alias("ty"))
@@ -311,14 +375,16 @@ def near_duplicates(
     levels = sc.broadcast(rarity(surveyed))
     # Equal sets met by several tasks stay until the first shuffle; most n-grams, those of one set, go there.
     entries = prefixes(docs.where("doc_id is not null"), levels, words, percent).repartition("token").dropDuplicates(["token", "node"])
-    links, comps = None, None
+    links, comps, tried = None, None, None
     for turn in range(ROUNDS + 1):
-        entries = materialize(undecided(entries, comps, turn), "entries")
-        pairs = star_pairs(entries, percent) if turn < ROUNDS else all_pairs(entries, percent)
-        pairs = materialize(pairs, "pairs")
-        if not pairs.limit(1).count():
+        entries = materialize(undecided(entries, comps, turn, percent), "entries")
+        pairs = star_pairs(entries, percent, turn) if turn < ROUNDS else all_pairs(entries, percent)
+        pairs = materialize(pairs if tried is None else pairs.join(tried, ["x", "y"], "left_anti"), "pairs")
+        tried = pairs if tried is None else tried.unionByName(pairs)
+        likely = materialize(plausible(pairs, surveyed, percent), "likely")
+        if not likely.limit(1).count():
             continue
-        found = materialize(verified(pairs, docs, homes, words, percent), "links")
+        found = materialize(verified(likely, docs, homes, words, percent), "links")
         links = found if links is None else links.unionByName(found)
         comps = materialize(components(links), "components")
     named = homes.withColumn("component", F.col("node"))

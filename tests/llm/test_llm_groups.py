@@ -52,6 +52,40 @@ def test_shuffle_joins_beyond_the_broadcast_bound(spark, monkeypatch):
     compare(spark, [(i, edited(fx.prose(5, 150), i, i % 4)) for i in range(20)])
 
 
+def test_texts_move_for_about_similar_sets_alone(spark, monkeypatch):
+    """Texts that share most of a passage are candidates; their signatures tell them apart before texts move."""
+    rows = [(i, fx.prose(i, 200)) for i in range(40)]
+    rows += [(100 + i, " ".join(text.split()[:150]) + " " + fx.prose(900 + i, 50)) for i, text in rows[:30]]  # similarity 0.6
+    rows += [(200 + i, edited(text, i, 2)) for i, text in rows[30:40]]
+    monkeypatch.setattr(jaccard, "BUCKET_BITS", 6)  # a full sketch, as that of a large corpus: shared n-grams are no less rare
+    moved, verified = [], jaccard.verified
+    monkeypatch.setattr(jaccard, "verified", lambda pairs, *rest: moved.append(pairs.count()) or verified(pairs, *rest))
+    compare(spark, rows)
+    assert 10 <= sum(moved) <= 15
+
+
+def test_signatures_never_overstate_a_difference():
+    rng = np.random.default_rng(3)
+    for n, m, both in [(1, 1, 0), (1, 1, 1), (20, 24, 19), (31, 33, 30), (500, 520, 0), (500, 600, 450), (3000, 100, 90), (40_000, 41_000, 36_000)]:
+        z = np.unique(rng.integers(0, 1 << 63, 2 * (n + m), dtype=np.uint64))
+        rng.shuffle(z)
+        a, b = np.sort(z[:n]), np.sort(z[n - both : n - both + m])
+        apart, least = len(np.setxor1d(a, b)), jaccard.least_difference(jaccard.signature(a), jaccard.signature(b))
+        assert least == jaccard.least_difference(jaccard.signature(b), jaccard.signature(a)) <= apart
+        assert jaccard.least_difference(jaccard.signature(a), jaccard.signature(a)) == 0
+        assert least >= min(apart, 0.3 * (n + m)) * 0.6 or n > 2 * m
+
+
+def test_full_join_of_groups_that_lie_in_few_components(spark, monkeypatch):
+    """Shared passages of linked and lone texts of many sizes, with stars, without and after one round."""
+    shared = fx.prose(77, 60)
+    rows = [(i, shared + " " + edited(fx.prose(8, 20), i, i % 3)) for i in range(25)]
+    rows += [(100 + i, shared + " " + fx.prose(500 + i, 5 * i)) for i in range(12)] + [(200 + i, fx.prose(600 + i % 3, 9) + f" t{i}") for i in range(9)]
+    for rounds in (0, 1, 2):
+        monkeypatch.setattr(jaccard, "ROUNDS", rounds)
+        compare(spark, rows)
+
+
 def test_jaccard_of_hard_rows(spark):
     got = result(spark, fx.hard_texts())
     assert len(got) == len(fx.hard_texts())

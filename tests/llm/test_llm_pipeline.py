@@ -105,3 +105,20 @@ def test_near_duplicates_are_those_of_all_pairs(spark):
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
     kept = {r.doc_id for r in corpus_pipeline.one_of_each_group(spark, docs, "").collect()}
     assert kept == set(groups.values())
+
+
+def test_no_text_is_shuffled_while_few_documents_go(spark, monkeypatch):
+    """More documents stay than may be broadcast, fewer go."""
+    from skillgrid.llm import jaccard
+
+    monkeypatch.setattr(jaccard, "SMALL", 5)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = [(i, fx.prose(i, 40)) for i in range(20)] + [(30, fx.prose(3, 40)), (31, fx.prose(4, 40)), (6, fx.prose(6, 40)), (None, fx.prose(7, 40)), (None, None)]
+        out = corpus_pipeline.one_of_each_group(spark, spark.createDataFrame(rows, "doc_id bigint, text string"), "")
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
+        assert sorted((r.doc_id for r in out.collect()), key=lambda i: -1 if i is None else i) == [None, None, *range(20)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
